@@ -1,0 +1,22 @@
+"""JSON text helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+def json_path(c: Column, path: str) -> Column:
+    """Scalar at a ``$.a.b`` path as text (objects come back as their JSON text)."""
+    return F.get_json_object(c, path)
+
+
+def parse_json(c: Column, schema: StructType) -> Column:
+    """PERMISSIVE parse: malformed text, ``[]`` and ``null`` give an all-NULL struct;
+    SQL NULL and empty text give a NULL struct; keys match case-sensitively."""
+    return F.from_json(c, schema)
+
+
+def to_json_text(c: Column) -> Column:
+    return F.to_json(c)

@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The jobs this library rebuilds are batch, full-refresh jobs: they read bronze
+parquet and catalog tables with ``spark.read`` and replace whole tables.  There
+are no watermarks, windows or state to carry over, so this package is kept
+empty on purpose rather than inventing stream operators the jobs never had.
+"""
