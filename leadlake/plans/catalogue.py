@@ -246,11 +246,13 @@ def canonical_event_whatsapp(spark, d):
 
 def canonical_event_sms(spark, d):
     """[E8 E10 F3 F4 F9] SMS response (as shipped and corrected) and engagement."""
-    logs = T.sms_logs(_events(spark, d)).select(
-        F.col("_id"), "providerResponse", "type",
+    e = F.col("event_id")
+    ev = _events(spark, d).select(
+        "event_id",
+        T.pick(T.SMS_STATUSES, e).alias("status"),
+        T.sms_provider_response(e).alias("providerResponse"),
+        T.sms_type(e).alias("type"),
     )
-    ev = _events(spark, d).select("event_id", T.pick(T.SMS_STATUSES, F.col("event_id")).alias("status"))
-    ev = ev.join(logs, F.concat(F.lit("sms"), F.col("event_id").cast("string")) == F.col("_id"), "inner")
     s = F.col("status")
     pr = F.col("providerResponse")
     return ev.select(

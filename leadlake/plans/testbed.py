@@ -194,27 +194,33 @@ def _campaign_id() -> Column:
     return F.get_json_object(F.col("props"), "$.k")
 
 
-def sms_logs(events: DataFrame) -> DataFrame:
-    e, u = F.col("event_id"), F.col("user_id")
-    form = F.pmod(e, F.lit(3))
-    to = (F.when(form == 0, base_number(u))
-          .when(form == 1, F.concat(F.lit("+91-"), base_number(u)))
-          .otherwise(F.concat(F.lit("91"), base_number(u))))
+def sms_provider_response(e: Column) -> Column:
     pr = F.pmod(e, F.lit(4))
-    provider = (
+    return (
         F.when(pr == 0, F.lit('{"status":{"code":200,"desc":"OK"}}'))
         .when(pr == 1, F.lit('{"status":{"code":"500","desc":"Message Accepted"}}'))
         .when(pr == 2, F.lit('{"status":{"code":"404","desc":"failed"}}'))
     )
+
+
+def sms_type(e: Column) -> Column:
     ty = F.pmod(e, F.lit(5))
-    log_type = (F.when(ty == 0, F.lit("DELIVERY")).when(ty == 1, F.lit("Delivered"))
-                .when(ty == 2, F.lit("submit")))
+    return (F.when(ty == 0, F.lit("DELIVERY")).when(ty == 1, F.lit("Delivered"))
+            .when(ty == 2, F.lit("submit")))
+
+
+def sms_logs(events: DataFrame) -> DataFrame:
+    e, u = F.col("event_id"), F.col("user_id")
+    form = F.pmod(e, F.lit(3))
+    to = (F.when(form == 0, base_number(u))
+          .when(form == 1, F.concat(F.lit("+91-"), base_number(u)))
+          .otherwise(F.concat(F.lit("91"), base_number(u))))
     return events.select(
         F.concat(F.lit("sms"), e.cast("string")).alias("_id"),
         _campaign_id().alias("campaignId"),
         to.alias("to"),
-        provider.alias("providerResponse"),
-        log_type.alias("type"),
+        sms_provider_response(e).alias("providerResponse"),
+        sms_type(e).alias("type"),
         F.to_json(F.struct(F.upper(F.col("event_type")).alias("status"))).alias("payload"),
         F.col("ts").alias("createdAt"),
         org_of(u).alias("organisationId"),
