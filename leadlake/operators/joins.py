@@ -56,6 +56,11 @@ def _as_col(c: "str | Column") -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _tagged(df: DataFrame, names: Sequence[str], tag: str) -> DataFrame:
+    """``names`` of ``df`` renamed to ``tag + name`` (one projection, one rename)."""
+    return df.select(*[f"`{c}`" for c in names]).toDF(*[tag + c for c in names])
+
+
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -76,14 +81,15 @@ def lookup(
     tag = f"__{role}__"
     keys = [d for _, d in on]
     needed = list(dict.fromkeys(keys + list(columns)))
-    side = dim.select(*[F.col(f"`{c}`").alias(tag + c) for c in needed])
-    side = bounded_broadcast(side, max_broadcast_rows, broadcast)
+    side = bounded_broadcast(_tagged(dim, needed, tag), max_broadcast_rows, broadcast)
     cond = reduce(lambda a, b: a & b, [_as_col(f) == F.col(tag + d) for f, d in on])
     joined = fact.join(side, cond, how)
-    keep = [F.col(f"`{c}`") for c in fact.columns] if how not in ("left_semi", "left_anti") else []
     if how in ("left_semi", "left_anti"):
         return joined
-    return joined.select(*keep, *[F.col(tag + d).alias(out) for d, out in columns.items()])
+    unused_keys = [tag + k for k in keys if k not in columns]
+    if unused_keys:
+        joined = joined.drop(*unused_keys)
+    return joined.withColumnsRenamed({tag + d: out for d, out in columns.items()})
 
 
 def role_lookups(
@@ -91,14 +97,16 @@ def role_lookups(
     dim: DataFrame,
     roles: Mapping[str, tuple[Sequence[KeyPair], Mapping[str, str]]],
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """The same lookup table joined once per role: ``roles`` maps a role
-    name to (key pairs, dim column -> output name)."""
+    name to (key pairs, dim column -> output name).  The size bound is checked
+    once for the table and serves every role."""
+    if broadcast is None:
+        broadcast = max_broadcast_rows is not None and row_count_at_most(dim, max_broadcast_rows)
     out = fact
-    # one bound check for the whole table serves every role
-    force = True if max_broadcast_rows is not None and row_count_at_most(dim, max_broadcast_rows) else False
     for role, (on, columns) in roles.items():
-        out = lookup(out, dim, on, columns, role=role, broadcast=force)
+        out = lookup(out, dim, on, columns, role=role, broadcast=broadcast)
     return out
 
 
@@ -116,18 +124,19 @@ def left_join_one_to_many(
     tag = "__r__"
     rkeys = [r for _, r in on]
     needed = list(dict.fromkeys(rkeys + list(right_columns)))
-    rside = right.select(*[F.col(f"`{c}`").alias(tag + c) for c in needed])
+    rside = _tagged(right, needed, tag)
     cond = reduce(lambda a, b: a & b, [F.col(f"`{lc}`") == F.col(tag + rc) for lc, rc in on])
-    left_cols = [F.col(f"`{c}`") for c in left.columns]
-    out_cols = [F.col(tag + r).alias(o) for r, o in right_columns.items()]
+    unused_keys = [tag + k for k in rkeys if k not in right_columns]
+    renames = {tag + r: o for r, o in right_columns.items()}
+
+    def finish(df: DataFrame) -> DataFrame:
+        return (df.drop(*unused_keys) if unused_keys else df).withColumnsRenamed(renames)
+
     if not skew_safe:
-        return left.join(rside, cond, "left").select(*left_cols, *out_cols)
+        return finish(left.join(rside, cond, "left"))
 
-    matched = left.join(rside, cond, "inner").select(*left_cols, *out_cols)
-    right_keys = rside.select(*[F.col(tag + r) for r in rkeys]).distinct()
+    matched = finish(left.join(rside, cond, "inner"))
+    right_keys = rside.select(*[tag + r for r in rkeys]).distinct()
     unmatched = left.join(right_keys, cond, "left_anti")
-    types = {f.name: f.dataType for f in right.schema.fields}
-    unmatched = unmatched.select(
-        *left_cols, *[F.lit(None).cast(types[r]).alias(o) for r, o in right_columns.items()]
-    )
-    return matched.unionByName(unmatched)
+    # the right-side columns of unmatched rows are NULLs of the right types
+    return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -17,7 +17,13 @@ from ..functions.flags import (
     site_visit_scheduled,
 )
 from ..functions.text import normalize_phone
-from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, left_join_one_to_many, lookup, role_lookups
+from ..operators.joins import (
+    DEFAULT_MAX_BROADCAST_ROWS,
+    left_join_one_to_many,
+    lookup,
+    role_lookups,
+    row_count_at_most,
+)
 
 # ---- fixed values: output columns -------------------------------------------
 # lead side, (output name, lead_flat column)
@@ -131,7 +137,13 @@ def lead_360(
 ) -> DataFrame:
     """J1 (leads x logs on lead id, org and project), J2 (project), J3 (status,
     sub-source and source labels), J4 (previous-status label keyed from the log
-    side), then E1-E6 and the 163-column projection."""
+    side), then E1-E6 and the 163-column projection.
+
+    Every lookup is keyed by columns of one side only, so it is applied to that
+    side *before* the one-to-many join: once per lead or per log instead of once
+    per lead x log row, and on a narrow plan.  Left lookups commute with the left
+    join, so the rows are the same as joining everything first.
+    """
     phone = F.col("profile_whatsAppNumber")
     leads = lead_flat.select(
         *[F.col(src).alias(out) for out, src in LEAD_COLUMNS],
@@ -141,20 +153,14 @@ def lead_360(
         *LEAD_PROFILE_COLUMNS,
         lead_temperature(F.col("conversionPropensity")).alias("lead_temperature"),
     )
-    df = left_join_one_to_many(
-        leads,
-        logs,
-        on=[("lead_flat_id", "leadId"), ("orgId", "orgId"), ("projectId", "projectId")],
-        right_columns=dict(COMM_COLUMNS),
-        skew_safe=skew_safe,
-    )
-    df = lookup(
-        df, projects, on=[("projectId", "_id"), ("orgId", "orgId")],
+    leads = lookup(
+        leads, projects, on=[("projectId", "_id"), ("orgId", "orgId")],
         columns={c: c for c in PROJECT_COLUMNS}, role="project",
         max_broadcast_rows=max_broadcast_rows,
     )
-    df = role_lookups(
-        df,
+    labels_fit = max_broadcast_rows is not None and row_count_at_most(labels, max_broadcast_rows)
+    leads = role_lookups(
+        leads,
         labels,
         {
             "status": ([("leadStatus", "_id"), ("orgId", "orgId")],
@@ -163,25 +169,33 @@ def lead_360(
                           {"labelName": "sirrus_sub_source_of_lead"}),
             "source": ([("profile_sourceOfLead", "_id"), ("orgId", "orgId")],
                        {"labelName": "sirrus_source_of_lead"}),
-            "prevstatus": ([("prevStatus_comm", "_id"), ("orgId_comm", "orgId")],
-                           {"labelName": "previous_lead_status"}),
         },
-        max_broadcast_rows=max_broadcast_rows,
+        broadcast=labels_fit,
+    )
+    logs = lookup(
+        logs, labels, on=[("prevStatus", "_id"), ("orgId", "orgId")],
+        columns={"labelName": "previous_lead_status"}, role="prevstatus", broadcast=labels_fit,
+    )
+    df = left_join_one_to_many(
+        leads,
+        logs,
+        on=[("lead_flat_id", "leadId"), ("orgId", "orgId"), ("projectId", "projectId")],
+        right_columns={**dict(COMM_COLUMNS), "previous_lead_status": "previous_lead_status"},
+        skew_safe=skew_safe,
     )
     label = F.col("sirrus_lead_status")
     booking = F.col("bookingId")
-    df = df.select(
-        "*",
-        site_visit_scheduled(
+    derived = {
+        "site_visit_scheduled": site_visit_scheduled(
             F.col("siteVisit"), F.col("nextSiteVisit_comm"),
             F.col("siteVisit_date"), F.col("siteVisit_schedule"), F.col("siteVisit_time"),
             F.col("siteVisitDate"), F.col("siteVisitTime"),
-        ).alias("site_visit_scheduled"),
-        booked_flag(booking, label).alias("booked_flag"),
-        site_visit_completed(F.col("payload_subStatus")).alias("Site_Visit_Completed"),
-        booked_date(booking, label, F.col("createdAt_comm")).alias("booked_date"),
-    )
-    return df.select(*OUTPUT_COLUMNS)
+        ),
+        "booked_flag": booked_flag(booking, label),
+        "Site_Visit_Completed": site_visit_completed(F.col("payload_subStatus")),
+        "booked_date": booked_date(booking, label, F.col("createdAt_comm")),
+    }
+    return df.withColumns(derived).select(*OUTPUT_COLUMNS)
 
 
 assert len(OUTPUT_COLUMNS) == len(set(OUTPUT_COLUMNS)) == 163, len(OUTPUT_COLUMNS)
