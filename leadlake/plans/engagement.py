@@ -57,7 +57,9 @@ def reduce_lead_dim(lead_dim: DataFrame, with_org: bool, with_calls: bool) -> Da
     keys = ["leadId", "phone_key"] + (["orgId"] if with_org else [])
     aggs = [
         F.max(null_to_false(F.col("site_visit_scheduled"))).alias("site_visit_scheduled"),
-        F.max("siteVisit_date").alias("siteVisit_date"),
+        # only "some visit date exists" is used downstream: an integer flag keeps
+        # this a hash aggregate (a max over strings would force a sort aggregate)
+        F.max(flag_if(F.col("siteVisit_date").isNotNull())).alias("site_visit_delivered"),
         F.max(booked_flag(F.col("bookingId"), F.col("sirrus_lead_status"))).alias("booked_flag"),
     ]
     if with_calls:
@@ -73,7 +75,7 @@ def reduce_lead_dim(lead_dim: DataFrame, with_org: bool, with_calls: bool) -> Da
 def _lead_flag_exprs(extra: dict) -> dict:
     flags = dict(extra)
     flags["site_visit_scheduled_flag"] = flag_if(F.col("site_visit_scheduled") == F.lit(True))
-    flags["site_visit_delivered_flag"] = flag_if(F.col("siteVisit_date").isNotNull())
+    flags["site_visit_delivered_flag"] = F.col("site_visit_delivered")
     flags["booked_flag"] = F.col("booked_flag")
     return flags
 
@@ -116,7 +118,7 @@ def sms_engagement(
         sms_engagement_event(F.col("pr.status.code"), F.col("pr.status.desc"), F.col("log_type")).alias("canonical_event"),
         "event_ts_local",
         "site_visit_scheduled",
-        "siteVisit_date",
+        "site_visit_delivered",
         "booked_flag",
         "calls_connected_flag",
     )
@@ -174,7 +176,7 @@ def whatsapp_engagement(
         "canonical_event",
         "event_ts_local",
         "site_visit_scheduled",
-        "siteVisit_date",
+        "site_visit_delivered",
         "booked_flag",
     )
     keys = CAMPAIGN_KEYS + ["orgId"]
