@@ -80,7 +80,7 @@ def lookup(
     """
     tag = f"__{role}__"
     keys = [d for _, d in on]
-    needed = list(dict.fromkeys(keys + list(columns)))
+    needed = list(dict.fromkeys(list(columns) + keys))  # output order = ``columns`` order
     side = bounded_broadcast(_tagged(dim, needed, tag), max_broadcast_rows, broadcast)
     cond = reduce(lambda a, b: a & b, [_as_col(f) == F.col(tag + d) for f, d in on])
     joined = fact.join(side, cond, how)
@@ -123,7 +123,7 @@ def left_join_one_to_many(
     skew-safe form is an inner join plus an anti join."""
     tag = "__r__"
     rkeys = [r for _, r in on]
-    needed = list(dict.fromkeys(rkeys + list(right_columns)))
+    needed = list(dict.fromkeys(list(right_columns) + rkeys))  # output order = ``right_columns`` order
     rside = _tagged(right, needed, tag)
     cond = reduce(lambda a, b: a & b, [F.col(f"`{lc}`") == F.col(tag + rc) for lc, rc in on])
     unused_keys = [tag + k for k in rkeys if k not in right_columns]

@@ -1,0 +1,204 @@
+"""M1-M6 on small bronze-shaped inputs: the scenario fixtures of FIXTURES.md section 4."""
+
+import datetime as dt
+import json
+
+import pytest
+from conftest import rows
+
+from leadlake.plans.comm_logs import OUTPUT_SPEC, communication_logs_flat
+from leadlake.plans.engagement import SMS_OUTPUT, WHATSAPP_OUTPUT, sms_engagement, whatsapp_engagement
+from leadlake.plans.lead_360 import OUTPUT_COLUMNS, lead_360
+from leadlake.plans.lead_flat import lead_flat
+from leadlake.plans.response import OUTPUT as RESPONSE_OUTPUT
+from leadlake.plans.response import campaign_response
+
+FIXTURES = __import__("pathlib").Path(__file__).resolve().parent.parent / "FIXTURES.md"
+
+
+def _fixture_columns(title):
+    text = FIXTURES.read_text()
+    block = text.split(title, 1)[1]
+    line = [ln for ln in block.splitlines() if ln.startswith("`")][0]
+    return [c.strip() for c in line.strip("`").split(",")]
+
+
+# ---- bronze builders ------------------------------------------------------------
+def leads(spark, recs, drop=()):
+    cols = ["_id", "orgId", "leadId", "projectId", "leadStatus", "profile", "siteVisit", "conversionPropensity"]
+    data = [tuple(r.get(c) for c in cols) for r in recs]
+    df = spark.createDataFrame(data, ", ".join(f"{c} string" for c in cols))
+    return df.drop(*drop)
+
+
+def logs(spark, recs):
+    data = [(r["_id"], r["orgId"], r["leadId"], json.dumps(r["payload"])) for r in recs]
+    return spark.createDataFrame(data, "_id string, orgId string, leadId string, payload string")
+
+
+def profile(phone, src="S2", sub="S3"):
+    return json.dumps({"fullName": "A", "whatsAppNumber": phone, "sourceOfLead": src, "subSourceOfLead": sub})
+
+
+@pytest.fixture()
+def lookups(spark):
+    projects = spark.createDataFrame(
+        [("P1", "o1", "Tower", "active", None, "2025", "pub")],
+        "_id string, orgId string, projectName string, projectStatus string, projectLogo string, "
+        "completionDate string, projectPublishStatus string")
+    labels = spark.createDataFrame(
+        [("S1", "o1", "lead", "Booked"), ("S2", "o1", "lead", "Web"), ("S3", "o1", "lead", "Ads"),
+         ("S4", "o1", "lead", "Cold")],
+        "_id string, orgId string, entityName string, labelName string")
+    return projects, labels
+
+
+# ---- M1 / M2 --------------------------------------------------------------------
+def test_lead_flat_schema_and_missing_columns(spark):
+    df = lead_flat(leads(spark, [{"_id": "1", "orgId": "o1", "profile": profile("+91 98765-43210")}],
+                         drop=("siteVisit", "conversionPropensity")))
+    assert df.columns == _fixture_columns("### M1 lead_flat")
+    assert all(t == "string" for _, t in df.dtypes)
+    r = df.collect()[0]
+    assert r.profile_whatsAppNumber == "+91 98765-43210" and r.siteVisit_date is None and r.createdAt is None
+
+
+def test_comm_logs_schema_and_absent_payload(spark):
+    src = logs(spark, [{"_id": "g1", "orgId": "o1", "leadId": "1", "payload": {
+        "projectId": "P1", "background": {"possessionDate": {"month": "5"}}, "Legs": [{"status": "ok"}],
+        "viewed": True, "profile": {"whatsappNumber": "9"}}}])
+    df = communication_logs_flat(src)
+    assert df.columns == _fixture_columns("### M2 communication logs") == [n for n, _ in OUTPUT_SPEC]
+    r = df.collect()[0]
+    assert (r.projectId, r.background_possessionDate_month, r.viewed, r.whatsAppNumber) == ("P1", "5", True, "9")
+    assert r.call_legs[0].status == "ok"
+    nop = communication_logs_flat(src.drop("payload"))
+    assert nop.collect()[0].projectId is None
+
+
+# ---- M3 -------------------------------------------------------------------------
+def _m3(spark, lookups, lead_recs, log_recs, skew_safe=True):
+    projects, labels = lookups
+    return lead_360(lead_flat(leads(spark, lead_recs)), communication_logs_flat(logs(spark, log_recs)),
+                    projects, labels, skew_safe=skew_safe)
+
+
+LEADS = [
+    {"_id": "1", "orgId": "o1", "leadId": "L1", "projectId": "P1", "leadStatus": "S1",
+     "profile": profile("+919876543210"), "siteVisit": "  ", "conversionPropensity": '{"leadIntent":"Hot"}'},
+    {"_id": "2", "orgId": "o1", "leadId": "L2", "projectId": "P1", "leadStatus": "S4", "profile": profile("98765 00000")},
+]
+LOGS = [
+    {"_id": f"g{i}", "orgId": "o1", "leadId": "1",
+     "payload": {"projectId": "P1", "prevStatus": "S2", "bookingId": "B1" if i == 0 else None,
+                 "subStatus": "SV_DONE" if i == 1 else None, "createdAt": f"2024-01-0{i + 1}"}}
+    for i in range(3)
+] + [{"_id": "g9", "orgId": "o1", "leadId": "1", "payload": {"prevStatus": "S2"}}]  # no projectId: never joins
+
+
+@pytest.mark.parametrize("skew_safe", [True, False])
+def test_lead_360_fan_out_roles_and_flags(spark, lookups, skew_safe):
+    df = _m3(spark, lookups, LEADS, LOGS, skew_safe)
+    assert df.columns == _fixture_columns("### M3 lead_360") == OUTPUT_COLUMNS
+    got = {(r.lead_flat_id, r.communication_log_id): r for r in df.collect()}
+    assert set(got) == {("1", "g0"), ("1", "g1"), ("1", "g2"), ("2", None)}
+    r0, r1, r2 = got[("1", "g0")], got[("1", "g1")], got[("2", None)]
+    assert (r0.sirrus_lead_status, r0.sirrus_source_of_lead, r0.sirrus_sub_source_of_lead, r0.previous_lead_status) == \
+        ("Booked", "Web", "Ads", "Web")
+    assert (r0.booked_flag, r0.booked_date, r1.booked_flag, r1.Site_Visit_Completed) == (1, "2024-01-01", 0, True)
+    assert r0.normalized_whatsapp_number == "9876543210" and r0.lead_temperature == "Hot"
+    assert r0.projectName == "Tower" and r0.site_visit_scheduled is False
+    assert r2.previous_lead_status is None and r2.sirrus_lead_status == "Cold" and r2.booked_flag == 0
+
+
+# ---- M4 / M5 --------------------------------------------------------------------
+def _dim(spark, recs):
+    cols = ["lead_flat_id", "leadId", "orgId", "profile_whatsAppNumber", "site_visit_scheduled", "siteVisit_date",
+            "bookingId", "sirrus_lead_status", "callDuration", "callStatus"]
+    types = {"site_visit_scheduled": "boolean"}
+    return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in recs],
+                                 ", ".join(f"{c} {types.get(c, 'string')}" for c in cols))
+
+
+CAMPAIGNS = [("c1", "o1", "Launch", "whatsapp"), ("c2", "o1", "Promo", "sms")]
+
+
+def _campaigns(spark):
+    return spark.createDataFrame(CAMPAIGNS, "_id string, organisationId string, name string, channel string")
+
+
+def _wa(spark, recs):
+    data = [(c, org, st, json.dumps({"recipient": {"to": to}, "events": {"timestamp": ms}})) for c, org, st, to, ms in recs]
+    return spark.createDataFrame(data, "campaignId string, organisationId string, status string, payload string")
+
+
+DAY1 = 1704067200000  # 2024-01-01T00:00Z -> 05:30 local
+DAY2 = DAY1 + 86_400_000
+
+
+def test_whatsapp_overlap_cohort_and_fan_out(spark):
+    dim = _dim(spark, [
+        {"leadId": "A", "orgId": "o1", "profile_whatsAppNumber": "+91 90000 00001", "site_visit_scheduled": True},
+        {"leadId": "A", "orgId": "o1", "profile_whatsAppNumber": "+91 90000 00001", "bookingId": "b", "sirrus_lead_status": "BOOKED"},
+        {"leadId": "B", "orgId": "o1", "profile_whatsAppNumber": "9000000002", "siteVisit_date": "2024-02-01"},
+        {"leadId": "C", "orgId": "o1", "profile_whatsAppNumber": "919000000003"},
+        {"leadId": "D", "orgId": "o1", "profile_whatsAppNumber": "9000000004"},
+    ])
+    wa = _wa(spark, [
+        ("c1", "o1", "Seen", "919000000001", DAY1), ("c1", "o1", "url_click", "+91 9000000001", DAY2),
+        ("c1", "o1", "read", "9000000002", DAY1),
+        ("c1", "o1", "CLICK", "9000000003", DAY2),
+        ("c1", "o1", "queued", "9000000004", DAY1),
+        (None, "o1", "read", "9000000004", DAY1),           # no campaign id: dropped
+        ("c9", "o1", "read", "9000000099", DAY1),            # unknown number: no lead
+    ])
+    out = whatsapp_engagement(wa, _campaigns(spark), dim)
+    assert out.columns == _fixture_columns("### M5 whatsapp_engagement") == WHATSAPP_OUTPUT
+    got = {r.event_date: r for r in out.collect()}
+    d1, d2 = got[dt.date(2024, 1, 1)], got[dt.date(2024, 1, 2)]
+    # A: read day 1 + click day 2 -> counted once, on day 1 (both); B read only; D neither; C click only, day 2
+    assert (d1.total_unique_leads, d1.whatsapp_both_unique, d1.whatsapp_read_only_unique,
+            d1.whatsapp_click_only_unique, d1.whatsapp_read_unique) == (3, 1, 1, 0, 2)
+    assert (d2.total_unique_leads, d2.whatsapp_click_only_unique) == (1, 1)
+    assert (d1.site_visit_scheduled_any_unique, d1.site_visit_delivered_any_unique, d1.booked_any_unique) == (1, 1, 1)
+    assert d1.campaignname == "Launch"
+
+
+def test_sms_two_orgs_one_phone(spark):
+    dim = _dim(spark, [
+        {"leadId": "X", "orgId": "o1", "profile_whatsAppNumber": "9000000001", "callDuration": "1m 20s"},
+        {"leadId": "Y", "orgId": "o2", "profile_whatsAppNumber": "+91 9000000001"},
+    ])
+    sms = spark.createDataFrame(
+        [("s1", "c2", "919000000001", '{"status":{"code":200}}', None, "2024-01-01 10:00:00", "o1")],
+        "_id string, campaignId string, to string, providerResponse string, type string, createdAt string, organisationId string")
+    without_org = sms_engagement(sms.drop("organisationId"), _campaigns(spark), dim)
+    with_org = sms_engagement(sms, _campaigns(spark), dim, org_column="organisationId")
+    assert without_org.columns == _fixture_columns("### M4 sms_engagement") == SMS_OUTPUT
+    a, b = without_org.collect()[0], with_org.collect()[0]
+    assert (a.total_unique_leads, a.sms_delivered_unique, a.calls_connected_unique) == (2, 2, 1)
+    assert (b.total_unique_leads, b.calls_connected_unique, b.event_date) == (1, 1, dt.date(2024, 1, 1))
+
+
+# ---- M6 -------------------------------------------------------------------------
+def test_campaign_response_null_vs_zero_and_dedup(spark):
+    dim = _dim(spark, [{"lead_flat_id": "p1", "leadId": "L1"}, {"lead_flat_id": "p1", "leadId": "L1"},
+                       {"lead_flat_id": "p2", "leadId": "L2"}])
+    email = spark.createDataFrame(
+        [("Opened", "2024-01-01 10:00:00", "o1", "p1"), ("deferred", "2024-01-01 11:00:00", "o1", "p2")],
+        "status string, createdAt string, organisationId string, profileId string")     # no projectId
+    sms = spark.createDataFrame([("DELIVRD", "2024-01-01 10:00:00", "o1", "P1", "p1")],
+                                "status string, updatedAt string, organisationId string, projectId string, profileId string")
+    wa = spark.createDataFrame([("seen", "2024-01-01 10:00:00", "o1", '{"projectId":"P1"}', "p1")],
+                               "status string, updatedAt string, organisationId string, payload string, profileId string")
+    out = campaign_response(sms, wa, email, dim)
+    assert out.columns == _fixture_columns("### M6 campaign_response") == RESPONSE_OUTPUT
+    got = {(r.lead_flat_id, r.projectId): r for r in out.collect()}
+    assert len(out.collect()) == 3                       # the duplicated dim row does not multiply rows
+    e = got[("p1", None)]
+    assert (e.EMAIL_OPENED, e.EMAIL_SENT, e.SMS_SENT, e.WHATSAPP_READ) == (1, 0, None, None)
+    u = got[("p2", None)]
+    assert (u.EMAIL_SENT, u.EMAIL_OPENED, u.SMS_SENT) == (0, 0, None)   # unmatched status -> 0, not NULL
+    s = got[("p1", "P1")]
+    assert (s.SMS_SENT, s.SMS_DELIVERED, s.WHATSAPP_READ, s.EMAIL_SENT) == (1, 0, 1, None)
+    assert rows(campaign_response(sms, wa, email, dim, dedupe_dim=False).groupBy().count(), "count") == [(5,)]
