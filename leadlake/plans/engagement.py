@@ -80,6 +80,22 @@ def _lead_flag_exprs(extra: dict) -> dict:
     return flags
 
 
+def preaggregate_logs(logs: DataFrame, keys: list[str], ts: str, event_flags: dict) -> DataFrame:
+    """One row per campaign x phone key (x org): first event time and the max of
+    each 0/1 event flag.
+
+    Exact, because the funnel only takes ``min`` of times and ``max`` of flags per
+    campaign x lead, and every lead reached through a phone sees all of that
+    phone's logs.  It runs with map-side partial aggregation, so a hot campaign or
+    a hot number collapses before the shuffle, and the lead join below pairs
+    leads with campaigns rather than with individual log rows."""
+    return (
+        logs.where(F.col("to_key").isNotNull())
+        .groupBy(*keys)
+        .agg(F.min(ts).alias("first_ts"), *[F.max(e).alias(n) for n, e in event_flags.items()])
+    )
+
+
 def sms_engagement(
     sms_logs: DataFrame,
     campaigns: DataFrame,
@@ -93,14 +109,20 @@ def sms_engagement(
     logs = ensure_columns(sms_logs, {"type": "string", "providerResponse": "string"})
     logs = logs.where(F.col("campaignId").isNotNull())
     ts_type = logs.schema["createdAt"].dataType
+    status = F.from_json(F.col("providerResponse").cast("string"), _PROVIDER_RESPONSE).getField("status")
     logs = logs.select(
         F.col("campaignId"),
         phone_key(F.col("to")).alias("to_key"),
-        F.from_json(F.col("providerResponse").cast("string"), _PROVIDER_RESPONSE).alias("pr"),
-        F.col("type").cast("string").alias("log_type"),
+        sms_engagement_event(
+            status.getField("code"), status.getField("desc"), F.col("type").cast("string")
+        ).alias("canonical_event"),
         local_event_time(F.col("createdAt"), ts_type, tz).alias("event_ts_local"),
         *([F.col(org_column).alias("log_org")] if org_column else []),
     )
+    keys = ["campaignId", "to_key"] + (["log_org"] if org_column else [])
+    logs = preaggregate_logs(logs, keys, "event_ts_local", {
+        "has_sms_delivered": flag_if(F.col("canonical_event") == "delivered"),
+    })
     logs = lookup(
         logs, campaigns, on=[("campaignId", "_id")],
         columns={"name": "campaignname", "channel": "campaignchannel"},
@@ -110,22 +132,11 @@ def sms_engagement(
     cond = F.col("to_key") == F.col("phone_key")
     if org_column:
         cond = cond & (F.col("log_org") == F.col("orgId"))
-    rows = logs.join(leads, cond, "inner").select(
-        "leadId",
-        F.col("campaignId").alias("campaignid"),
-        "campaignname",
-        "campaignchannel",
-        sms_engagement_event(F.col("pr.status.code"), F.col("pr.status.desc"), F.col("log_type")).alias("canonical_event"),
-        "event_ts_local",
-        "site_visit_scheduled",
-        "site_visit_delivered",
-        "booked_flag",
-        "calls_connected_flag",
-    )
+    rows = logs.join(leads, cond, "inner").withColumnRenamed("campaignId", "campaignid")
     flags = lead_flags(
-        rows, CAMPAIGN_KEYS, "leadId", "event_ts_local",
+        rows, CAMPAIGN_KEYS, "leadId", "first_ts",
         _lead_flag_exprs({
-            "has_sms_delivered": flag_if(F.col("canonical_event") == "delivered"),
+            "has_sms_delivered": F.col("has_sms_delivered"),
             "calls_connected_flag": F.col("calls_connected_flag"),
         }),
     )
@@ -147,46 +158,38 @@ def whatsapp_engagement(
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """M5: campaign lookup on id and org; lead matched on phone key and org."""
+    pl = F.from_json(F.col("payload").cast("string"), _WHATSAPP_PAYLOAD)
     logs = wa_logs.where(F.col("campaignId").isNotNull()).select(
-        "campaignId",
-        "organisationId",
-        F.col("status"),
-        F.from_json(F.col("payload").cast("string"), _WHATSAPP_PAYLOAD).alias("pl"),
-    )
-    logs = logs.select(
         "campaignId",
         "organisationId",
         canonical_event(F.col("status"), WHATSAPP_ENGAGEMENT, PASSTHROUGH).alias("canonical_event"),
-        phone_key(F.col("pl.recipient.to")).alias("to_key"),
-        local_event_time_from_epoch_ms(F.col("pl.events.timestamp"), tz).alias("event_ts_local"),
+        phone_key(pl.getField("recipient").getField("to")).alias("to_key"),
+        local_event_time_from_epoch_ms(pl.getField("events").getField("timestamp"), tz).alias("event_ts_local"),
     )
+    ev = F.col("canonical_event")
+    logs = preaggregate_logs(logs, ["campaignId", "organisationId", "to_key"], "event_ts_local", {
+        "has_whatsapp_read": flag_if(ev == "read"),
+        "has_whatsapp_click": flag_if(ev == "click"),
+        "has_whatsapp_delivered": flag_if(ev == "delivered"),
+    })
     logs = lookup(
         logs, campaigns, on=[("campaignId", "_id"), ("organisationId", "organisationId")],
         columns={"name": "campaignname", "channel": "campaignchannel"},
         role="campaign", max_broadcast_rows=max_broadcast_rows,
     )
     leads = reduce_lead_dim(lead_dim, with_org=True, with_calls=False)
-    cond = (F.col("to_key") == F.col("phone_key")) & (F.col("organisationId") == F.col("orgId"))
-    rows = logs.join(leads, cond, "inner").select(
-        "leadId",
-        F.col("campaignId").alias("campaignid"),
-        "campaignname",
-        "campaignchannel",
-        F.col("organisationId").alias("orgId"),
-        "canonical_event",
-        "event_ts_local",
-        "site_visit_scheduled",
-        "site_visit_delivered",
-        "booked_flag",
+    leads = leads.withColumnRenamed("orgId", "lead_org")
+    cond = (F.col("to_key") == F.col("phone_key")) & (F.col("organisationId") == F.col("lead_org"))
+    rows = logs.join(leads, cond, "inner").withColumnsRenamed(
+        {"campaignId": "campaignid", "organisationId": "orgId"}
     )
     keys = CAMPAIGN_KEYS + ["orgId"]
-    ev = F.col("canonical_event")
     flags = lead_flags(
-        rows, keys, "leadId", "event_ts_local",
+        rows, keys, "leadId", "first_ts",
         _lead_flag_exprs({
-            "has_whatsapp_read": flag_if(ev == "read"),
-            "has_whatsapp_click": flag_if(ev == "click"),
-            "has_whatsapp_delivered": flag_if(ev == "delivered"),
+            "has_whatsapp_read": F.col("has_whatsapp_read"),
+            "has_whatsapp_click": F.col("has_whatsapp_click"),
+            "has_whatsapp_delivered": F.col("has_whatsapp_delivered"),
         }),
     )
     one, zero = F.lit(1), F.lit(0)
