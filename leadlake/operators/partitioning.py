@@ -1,0 +1,28 @@
+"""Keep CPU-heavy row work (JSON parsing, regexes) spread over all task slots.
+
+A bronze dump of a few large single-row-group files is scanned by only a few tasks,
+however many cores there are.  ``spread`` repartitions such an input before the
+heavy projection - and does nothing when the input already has at least as many
+partitions as the cluster runs in parallel, which is the normal case at scale.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, keys: Sequence[str] = (), min_partitions: int | None = None) -> DataFrame:
+    """Repartition ``df`` to ``min_partitions`` (default: the context's default
+    parallelism) when it has fewer partitions.
+
+    Hash partitioning on ``keys`` (those present in ``df``) is deterministic, so a
+    retried task recomputes exactly its rows; without keys Spark's round-robin
+    repartition is used, which sorts its input first for the same reason.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    cols = [k for k in keys if k in df.columns]
+    return df.repartition(target, *cols) if cols else df.repartition(target)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from ..functions.schemas import payload_schema
 from ..operators.flatten import project_paths
 from ..operators.guards import parse_or_null
+from ..operators.partitioning import spread
 
 
 def _same(*names: str) -> list[tuple[str, str]]:
@@ -70,7 +71,7 @@ OUTPUT_SPEC: list[tuple[str, str]] = [
 
 def communication_logs_flat(bronze: DataFrame) -> DataFrame:
     """``_id``, ``orgId`` and ``leadId`` are required; ``payload`` is optional."""
-    df = parse_or_null(bronze, "payload", payload_schema())
+    df = parse_or_null(spread(bronze, ["_id"]), "payload", payload_schema())
     return project_paths(df, OUTPUT_SPEC)
 
 

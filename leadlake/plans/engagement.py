@@ -32,6 +32,7 @@ from ..functions.text import phone_key
 from ..functions.time import LOCAL_TZ, local_event_time, local_event_time_from_epoch_ms
 from ..operators.funnel import funnel_counts, lead_flags
 from ..operators.guards import ensure_columns
+from ..operators.partitioning import spread
 from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup
 
 CAMPAIGN_KEYS = ["campaignid", "campaignname", "campaignchannel"]
@@ -107,7 +108,7 @@ def sms_engagement(
     """M4.  ``org_column`` names the log's org column when it has one; the lead is
     then matched within that org only (two orgs sharing a number stay apart)."""
     logs = ensure_columns(sms_logs, {"type": "string", "providerResponse": "string"})
-    logs = logs.where(F.col("campaignId").isNotNull())
+    logs = spread(logs.where(F.col("campaignId").isNotNull()), ["_id"])
     ts_type = logs.schema["createdAt"].dataType
     status = F.from_json(F.col("providerResponse").cast("string"), _PROVIDER_RESPONSE).getField("status")
     logs = logs.select(
@@ -159,7 +160,7 @@ def whatsapp_engagement(
 ) -> DataFrame:
     """M5: campaign lookup on id and org; lead matched on phone key and org."""
     pl = F.from_json(F.col("payload").cast("string"), _WHATSAPP_PAYLOAD)
-    logs = wa_logs.where(F.col("campaignId").isNotNull()).select(
+    logs = spread(wa_logs.where(F.col("campaignId").isNotNull()), ["_id"]).select(
         "campaignId",
         "organisationId",
         canonical_event(F.col("status"), WHATSAPP_ENGAGEMENT, PASSTHROUGH).alias("canonical_event"),

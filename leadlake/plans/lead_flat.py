@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from ..functions import schemas as S
 from ..operators.flatten import flatten
 from ..operators.guards import safe_scalar, safe_struct
+from ..operators.partitioning import spread
 
 # ---- fixed values: output columns ------------------------------------------
 ROOT_COLUMNS = (
@@ -33,6 +34,7 @@ CONVERSION_OUT = ("probability", "leadIntent")
 def lead_flat(bronze: DataFrame) -> DataFrame:
     """Every input column is optional: an absent scalar is a NULL string (C3) and an
     absent JSON column parses to a NULL struct (C2).  Each JSON column is parsed once."""
+    bronze = spread(bronze, ["_id"])
     parsed = bronze.select(
         *[safe_scalar(bronze, c).alias(c) for c in ROOT_COLUMNS],
         *[safe_scalar(bronze, src).alias(out) for out, src in RAW_JSON_COLUMNS],
