@@ -3,8 +3,8 @@
 Broadcast policy
 ----------------
 A lookup side is broadcast only when its row count is *proven* below a bound:
-``dim.limit(bound + 1).count()`` reads at most ``bound + 1`` rows, so the check
-stays cheap however big the table is.  Above the bound no hint is given and
+``dim.offset(bound).isEmpty()`` stops after seeing ``bound + 1`` rows, so the
+check stays cheap however big the table is.  Above the bound no hint is given and
 Spark plans a shuffle join (AQE may still switch to broadcast at run time from
 real shuffle sizes, and splits skewed partitions).
 
@@ -34,8 +34,13 @@ KeyPair = tuple["str | Column", str]
 
 
 def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows; reads at most bound + 1 rows."""
-    return df.limit(bound + 1).count() <= bound
+    """True when ``df`` has at most ``bound`` rows.
+
+    ``offset(bound).isEmpty()`` runs as an incremental take of bound + 1 column-less
+    rows (``CollectLimit`` over an empty read schema): partitions are scanned only
+    until enough rows are seen, so the check on a huge table stops early, and only
+    a boolean reaches Python."""
+    return df.offset(bound).isEmpty()
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,

@@ -79,8 +79,13 @@ def phone_text(k: Column) -> Column:
 
 
 def epoch_ms(ts_ntz: Column) -> Column:
-    """Milliseconds since 1970-01-01 of a wall-clock (UTC) timestamp."""
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts_ntz)
+    """Milliseconds since 1970-01-01 of a wall-clock UTC timestamp.  The instant is
+    built with an explicit UTC zone, so the session zone plays no part."""
+    instant = F.make_timestamp(
+        F.year(ts_ntz), F.month(ts_ntz), F.dayofmonth(ts_ntz), F.hour(ts_ntz), F.minute(ts_ntz),
+        F.date_part(F.lit("SECOND"), ts_ntz), F.lit("UTC"),
+    )
+    return F.unix_millis(instant)
 
 
 # ---- leads / logs / lookups ---------------------------------------------------

@@ -30,3 +30,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns[:5] == ["campaignid", "campaignname", "campaignchannel", "orgId", "event_date"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("zone", ["Asia/Kolkata", "America/New_York"])
+@pytest.mark.parametrize("name", ["local_event_day", "epoch_ms_day", "whatsapp_funnel", "channel_pivot"])
+def test_time_queries_do_not_depend_on_session_zone(spark, con, zone, name):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        ok, msg = compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert ok, msg
