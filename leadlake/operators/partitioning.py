@@ -17,12 +17,12 @@ def spread(df: DataFrame, keys: Sequence[str] = (), min_partitions: int | None =
     """Repartition ``df`` to ``min_partitions`` (default: the context's default
     parallelism) when it has fewer partitions.
 
-    Hash partitioning on ``keys`` (those present in ``df``) is deterministic, so a
-    retried task recomputes exactly its rows; without keys Spark's round-robin
-    repartition is used, which sorts its input first for the same reason.
+    Hash partitioning is deterministic, so a retried task recomputes exactly its
+    rows.  It uses ``keys`` (those present in ``df``), else every column - cheaper
+    than a round-robin repartition, which has to sort its input to be repeatable.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    cols = [k for k in keys if k in df.columns]
-    return df.repartition(target, *cols) if cols else df.repartition(target)
+    cols = [k for k in keys if k in df.columns] or [f"`{c}`" for c in df.columns]
+    return df.repartition(target, *cols)
