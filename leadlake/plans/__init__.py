@@ -1,7 +1,6 @@
-"""The seven jobs as plans (DataFrames in, DataFrame out) and runners."""
+"""The seven jobs as plans (DataFrames in, DataFrame out) and runners.
 
-from .comm_logs import communication_logs_flat  # noqa: F401
-from .engagement import sms_engagement, whatsapp_engagement  # noqa: F401
-from .lead_360 import lead_360  # noqa: F401
-from .lead_flat import lead_flat  # noqa: F401
-from .response import campaign_response  # noqa: F401
+Import from the modules: ``lead_flat``, ``comm_logs``, ``lead_360``, ``engagement``,
+``response`` (plans), ``jobs`` (read / plan / write runners), ``testbed`` /
+``catalogue`` / ``oracle`` (the queries over the driver's test tables).
+"""

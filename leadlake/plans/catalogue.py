@@ -33,6 +33,7 @@ from ..operators.pivot import channel_pivot, union_channels
 from . import testbed as T
 from .comm_logs import communication_logs_flat
 from .engagement import sms_engagement, whatsapp_engagement
+from . import lead_360 as L360
 from .lead_360 import lead_360 as lead_360_plan
 from .lead_flat import lead_flat as lead_flat_plan
 from .response import RESPONSE_COLUMNS, campaign_response as campaign_response_plan, channel_events
@@ -425,8 +426,8 @@ def comm_logs_flat(spark, d):
 
 LEAD_360_CHECK_COLUMNS = (
     "lead_flat_id", "communication_log_id", "orgId", "projectId", "normalized_whatsapp_number",
-    "projectName", "site_visit_scheduled", "sirrus_lead_entity_name", "sirrus_lead_status",
-    "previous_lead_status", "sirrus_sub_source_of_lead", "sirrus_source_of_lead",
+    "projectName", "site_visit_scheduled", L360.LABEL_ENTITY, L360.LABEL_STATUS,
+    "previous_lead_status", L360.LABEL_SUB_SOURCE, L360.LABEL_SOURCE,
     "booked_flag", "Site_Visit_Completed", "booked_date", "lead_temperature",
 )
 

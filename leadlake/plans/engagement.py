@@ -32,8 +32,9 @@ from ..functions.text import phone_key
 from ..functions.time import LOCAL_TZ, local_event_time, local_event_time_from_epoch_ms
 from ..operators.funnel import funnel_counts, lead_flags
 from ..operators.guards import ensure_columns
-from ..operators.partitioning import spread
 from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup
+from ..operators.partitioning import spread
+from .lead_360 import LABEL_STATUS
 
 CAMPAIGN_KEYS = ["campaignid", "campaignname", "campaignchannel"]
 
@@ -53,7 +54,7 @@ def reduce_lead_dim(lead_dim: DataFrame, with_org: bool, with_calls: bool) -> Da
     """One row per lead x phone key (x org) with the max of each lead-level flag.
 
     Expects lead-360 columns: ``leadId``, ``orgId``, ``profile_whatsAppNumber``,
-    ``site_visit_scheduled``, ``siteVisit_date``, ``bookingId``, ``sirrus_lead_status``
+    ``site_visit_scheduled``, ``siteVisit_date``, ``bookingId``, the status label
     and, for calls, ``callDuration`` / ``callStatus``."""
     keys = ["leadId", "phone_key"] + (["orgId"] if with_org else [])
     aggs = [
@@ -61,7 +62,7 @@ def reduce_lead_dim(lead_dim: DataFrame, with_org: bool, with_calls: bool) -> Da
         # only "some visit date exists" is used downstream: an integer flag keeps
         # this a hash aggregate (a max over strings would force a sort aggregate)
         F.max(flag_if(F.col("siteVisit_date").isNotNull())).alias("site_visit_delivered"),
-        F.max(booked_flag(F.col("bookingId"), F.col("sirrus_lead_status"))).alias("booked_flag"),
+        F.max(booked_flag(F.col("bookingId"), F.col(LABEL_STATUS))).alias("booked_flag"),
     ]
     if with_calls:
         aggs.append(F.max(call_connected(F.col("callDuration"), F.col("callStatus"))).alias("calls_connected_flag"))

@@ -26,6 +26,12 @@ from ..operators.joins import (
 )
 
 # ---- fixed values: output columns -------------------------------------------
+# label columns, named as the tables that read the dimension expect them
+LABEL_ENTITY = "sirrus_lead_entity_name"
+LABEL_STATUS = "sirrus_lead_status"
+LABEL_SUB_SOURCE = "sirrus_sub_source_of_lead"
+LABEL_SOURCE = "sirrus_source_of_lead"
+
 # lead side, (output name, lead_flat column)
 LEAD_COLUMNS: list[tuple[str, str]] = [
     ("lead_flat_id", "_id"), ("orgId", "orgId"), ("leadId", "leadId"), ("isActive", "isActive"),
@@ -113,8 +119,8 @@ def _comm_columns() -> list[tuple[str, str]]:
 
 COMM_COLUMNS = _comm_columns()
 DERIVED_COLUMNS = (
-    "site_visit_scheduled", "sirrus_lead_entity_name", "sirrus_lead_status",
-    "previous_lead_status", "sirrus_sub_source_of_lead", "sirrus_source_of_lead",
+    "site_visit_scheduled", LABEL_ENTITY, LABEL_STATUS,
+    "previous_lead_status", LABEL_SUB_SOURCE, LABEL_SOURCE,
     "booked_flag", "Site_Visit_Completed", "booked_date", "lead_temperature",
 )
 OUTPUT_COLUMNS = (
@@ -164,11 +170,11 @@ def lead_360(
         labels,
         {
             "status": ([("leadStatus", "_id"), ("orgId", "orgId")],
-                       {"entityName": "sirrus_lead_entity_name", "labelName": "sirrus_lead_status"}),
+                       {"entityName": LABEL_ENTITY, "labelName": LABEL_STATUS}),
             "subsource": ([("profile_subSourceOfLead", "_id"), ("orgId", "orgId")],
-                          {"labelName": "sirrus_sub_source_of_lead"}),
+                          {"labelName": LABEL_SUB_SOURCE}),
             "source": ([("profile_sourceOfLead", "_id"), ("orgId", "orgId")],
-                       {"labelName": "sirrus_source_of_lead"}),
+                       {"labelName": LABEL_SOURCE}),
         },
         broadcast=labels_fit,
     )
@@ -183,7 +189,7 @@ def lead_360(
         right_columns={**dict(COMM_COLUMNS), "previous_lead_status": "previous_lead_status"},
         skew_safe=skew_safe,
     )
-    label = F.col("sirrus_lead_status")
+    label = F.col(LABEL_STATUS)
     booking = F.col("bookingId")
     derived = {
         "site_visit_scheduled": site_visit_scheduled(

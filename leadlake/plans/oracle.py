@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from ..functions import events as EV
+from . import lead_360 as L360
 from . import testbed as T
 
 LOCAL = "INTERVAL 330 MINUTE"
@@ -406,9 +407,9 @@ WITH lf AS ({LEADS_BRONZE}), lg AS ({LOGS_BRONZE}), p AS ({PROJECTS}), lab AS ({
 SELECT lf.lead_flat_id, lg.log_id AS communication_log_id, lf.orgId, lf.projectId,
        {normalize_phone('lf.phone')} AS normalized_whatsapp_number, p.projectName,
        ({present('lf.siteVisit')} OR {present('lg.nextSiteVisit')} OR lg.siteVisit_date IS NOT NULL) AS site_visit_scheduled,
-       e.entityName AS sirrus_lead_entity_name, e.labelName AS sirrus_lead_status,
-       pl.labelName AS previous_lead_status, e2.labelName AS sirrus_sub_source_of_lead,
-       e3.labelName AS sirrus_source_of_lead,
+       e.entityName AS {L360.LABEL_ENTITY}, e.labelName AS {L360.LABEL_STATUS},
+       pl.labelName AS previous_lead_status, e2.labelName AS {L360.LABEL_SUB_SOURCE},
+       e3.labelName AS {L360.LABEL_SOURCE},
        CASE WHEN {booked('lg.bookingId', 'e.labelName')} THEN 1 ELSE 0 END AS booked_flag,
        coalesce(lg.subStatus IN ('SV_DONE'), FALSE) AS Site_Visit_Completed,
        CASE WHEN {booked('lg.bookingId', 'e.labelName')} THEN lg.createdAt END AS booked_date,

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .lead_360 import LABEL_STATUS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -188,7 +190,7 @@ def lead_dim(customer: DataFrame) -> DataFrame:
         F.when(seg == "HOUSEHOLD", F.lit(None).cast("boolean")).otherwise(bal > 5000).alias("site_visit_scheduled"),
         F.when(bal > 8000, F.concat(F.lit("2024-02-"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"))).alias("siteVisit_date"),
         F.when(bal < 0, F.concat(F.lit("B"), k.cast("string"))).alias("bookingId"),
-        F.when(seg == "AUTOMOBILE", F.lit("Booked")).when(seg == "MACHINERY", F.lit("BOOKED")).otherwise(seg).alias("sirrus_lead_status"),
+        F.when(seg == "AUTOMOBILE", F.lit("Booked")).when(seg == "MACHINERY", F.lit("BOOKED")).otherwise(seg).alias(LABEL_STATUS),
         F.when(F.pmod(k, F.lit(3)) == 0, F.lit("1m 20s")).when(F.pmod(k, F.lit(3)) == 1, F.lit("0")).alias("callDuration"),
         F.when(F.pmod(k, F.lit(4)) == 0, F.lit("Answered")).when(F.pmod(k, F.lit(4)) == 1, F.lit("no-answer")).alias("callStatus"),
     )
