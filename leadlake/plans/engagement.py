@@ -1,18 +1,20 @@
 """M4 / M5: distinct-lead engagement funnels per campaign and first-event day.
 
 Plan shape (per job):
-  logs (campaignId IS NOT NULL, pushed to the scan)
+  logs (campaignId IS NOT NULL, pushed to the scan; parsed once per row)
+    -> pre-aggregate per campaign x phone key (x org): first time, max event flags
+                                                         [shuffle 1, map-side combine]
     -> campaign lookup (broadcast behind a proven row bound)
-    -> INNER join to the lead dimension on the phone key (+ org)
-       (the reference's left join + ``leadId IS NOT NULL`` filter, written as what it is)
-    -> lead_flags: one row per campaign key x lead      [shuffle 1, partial agg]
-    -> funnel_counts: per campaign key x day             [shuffle 2, partial agg]
-
-The lead dimension is first reduced to one row per lead x phone key (x org), with
-the max of every flag: the funnel takes maxima per lead anyway, and this keeps the
-lead x log fan-out of lead 360 out of the join.  Both sides are phone-keyed with
-the same ``phone_key`` rule, so formatting differences (``+91``, spaces, dashes)
-no longer decide whether a log finds its lead.
+    -> INNER join to the reduced lead dimension on phone key (+ org)
+       (the original left join + ``leadId IS NOT NULL`` filter, written as what it is)
+    -> lead_flags: one row per campaign key x lead      [shuffle, partial agg]
+    -> funnel_counts: per campaign key x day             [shuffle, partial agg]
+
+The lead dimension is reduced to one row per lead x phone key (x org) with the max
+of every flag as integers [shuffle, partial agg]: the funnel takes maxima per lead
+anyway, and this keeps lead 360's lead x log fan-out out of the join.  Both sides
+are keyed with the same ``phone_key`` rule, so formatting differences (``+91``,
+spaces, dashes) no longer decide whether a log finds its lead.
 """
 
 from __future__ import annotations
