@@ -17,6 +17,7 @@ from ..functions.flags import (
     site_visit_scheduled,
 )
 from ..functions.text import normalize_phone
+from ..session import checkpoint_dir
 from ..operators.joins import (
     DEFAULT_MAX_BROADCAST_ROWS,
     left_join_one_to_many,
@@ -159,10 +160,10 @@ def lead_360(
         *LEAD_PROFILE_COLUMNS,
         lead_temperature(F.col("conversionPropensity")).alias("lead_temperature"),
     )
+    projects_fit = max_broadcast_rows is not None and row_count_at_most(projects, max_broadcast_rows)
     leads = lookup(
         leads, projects, on=[("projectId", "_id"), ("orgId", "orgId")],
-        columns={c: c for c in PROJECT_COLUMNS}, role="project",
-        max_broadcast_rows=max_broadcast_rows,
+        columns={c: c for c in PROJECT_COLUMNS}, role="project", broadcast=projects_fit,
     )
     labels_fit = max_broadcast_rows is not None and row_count_at_most(labels, max_broadcast_rows)
     leads = role_lookups(
@@ -178,6 +179,10 @@ def lead_360(
         },
         broadcast=labels_fit,
     )
+    if skew_safe and not (projects_fit and labels_fit) and checkpoint_dir(leads.sparkSession):
+        # the lookups are shuffle joins here, and both branches of the skew-safe
+        # J1 read the leads: materialise them once in the cluster's checkpoint folder
+        leads = leads.checkpoint(eager=True)
     logs = lookup(
         logs, labels, on=[("prevStatus", "_id"), ("orgId", "orgId")],
         columns={"labelName": "previous_lead_status"}, role="prevstatus", broadcast=labels_fit,

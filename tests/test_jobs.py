@@ -202,3 +202,19 @@ def test_campaign_response_null_vs_zero_and_dedup(spark):
     s = got[("p1", "P1")]
     assert (s.SMS_SENT, s.SMS_DELIVERED, s.WHATSAPP_READ, s.EMAIL_SENT) == (1, 0, 1, None)
     assert rows(campaign_response(sms, wa, email, dim, dedupe_dim=False).groupBy().count(), "count") == [(5,)]
+
+
+def test_lead_360_without_broadcastable_lookups_checkpoints_leads(spark, lookups):
+    # row bound 0: no lookup is broadcast, so the looked-up leads are checkpointed
+    # once (the session has a checkpoint folder) and read by both J1 branches
+    projects, labels = lookups
+    args = (lead_flat(leads(spark, LEADS)), communication_logs_flat(logs(spark, LOGS)), projects, labels)
+    default = lead_360(*args)
+    unbroadcast = lead_360(*args, max_broadcast_rows=0)
+    plan = unbroadcast._jdf.queryExecution().executedPlan().toString()
+    marker = "ExistingRDD[lead_flat_id"                # the checkpointed leads, read by both branches
+    assert plan.count(marker) == 2
+    assert marker not in default._jdf.queryExecution().executedPlan().toString()
+    cols = ["lead_flat_id", "communication_log_id", "projectName", "sirrus_lead_status",
+            "sirrus_source_of_lead", "previous_lead_status", "booked_flag"]
+    assert rows(unbroadcast, *cols) == rows(default, *cols)
