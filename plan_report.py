@@ -88,7 +88,9 @@ NOTES = [
     "Reading the numbers: M1 / M2 shuffle once only because the test files are single row",
     "groups (`spread`); at scale they are map-only. M3's shuffles are J1 (inner join on both",
     "sides, anti join against the pre-aggregated log keys); in the worst case its lead-side",
-    "lookups become sort-merge joins in both J1 branches. M4 / M5: log pre-aggregation, lead",
+    "lookups become sort-merge joins, and the looked-up leads are checkpointed once to",
+    "`spark.checkpoint.dir` (when the cluster names one) so both J1 branches read them",
+    "instead of repeating the joins. M4 / M5: log pre-aggregation, lead",
     "reduction, the lead join (two sides), per-lead flags, counts - all hash aggregates with",
     "partial aggregation, no Expand. M6: pivot aggregate, dimension distinct, the join.",
 ]
