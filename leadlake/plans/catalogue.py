@@ -30,6 +30,8 @@ from ..operators.funnel import first_event_dedup, lead_flags as lead_flags_op
 from ..operators.guards import complex_to_json, ensure_column, parse_or_null, safe_scalar, safe_struct
 from ..operators.joins import left_join_one_to_many, lookup, role_lookups
 from ..operators.pivot import channel_pivot, union_channels
+from ..session import checkpoint_dir
+from ..sources.catalog import read_table, replace_table
 from . import testbed as T
 from .comm_logs import communication_logs_flat
 from .engagement import sms_engagement, whatsapp_engagement
@@ -446,6 +448,27 @@ def lead_360(spark, d):
     return lead_360_plan(*lead_360_inputs(spark, d)).select(*LEAD_360_CHECK_COLUMNS)
 
 
+# ---- S: sinks -----------------------------------------------------------------------
+ROUNDTRIP_TABLE = "leadlake_check.entity_labels"
+
+
+def table_replace_roundtrip(spark, d):
+    """[S2 S3 S4] full refresh: replace a catalog table twice (labels derived from
+    region, then from nation) and read it back; the second content must win.  The
+    table is placed under the cluster's ``spark.checkpoint.dir`` when it names one."""
+    shared = checkpoint_dir(spark)
+    path = f"{shared.rstrip('/')}/leadlake_tables/entity_labels" if shared else None
+    region_labels = T.table(spark, d, "region").select(
+        F.concat(F.lit("S"), F.col("r_regionkey").cast("string")).alias("_id"),
+        T.org_of(F.col("r_regionkey")).alias("orgId"),
+        F.lit("region").alias("entityName"),
+        F.col("r_name").alias("labelName"),
+    )
+    replace_table(region_labels, ROUNDTRIP_TABLE, path=path)
+    replace_table(T.entity_labels(T.table(spark, d, "nation")), ROUNDTRIP_TABLE, path=path)
+    return read_table(spark, ROUNDTRIP_TABLE)
+
+
 QUERIES: dict[str, Query] = {
     "json_struct_flatten": json_struct_flatten,
     "json_path_extract": json_path_extract,
@@ -479,4 +502,5 @@ QUERIES: dict[str, Query] = {
     "lead_flat": lead_flat,
     "comm_logs_flat": comm_logs_flat,
     "lead_360": lead_360,
+    "table_replace_roundtrip": table_replace_roundtrip,
 }

@@ -421,4 +421,5 @@ LEFT JOIN lab e ON lf.leadStatus = e._id AND lf.orgId = e.orgId
 LEFT JOIN lab e2 ON lf.subsrc = e2._id AND lf.orgId = e2.orgId
 LEFT JOIN lab e3 ON lf.src = e3._id AND lf.orgId = e3.orgId
 LEFT JOIN lab pl ON lg.prevStatus = pl._id AND lg.orgId = pl.orgId""",
+    "table_replace_roundtrip": LABELS,
 }

@@ -28,7 +28,9 @@ def _is_session_catalog(spark: SparkSession, name: str) -> bool:
     return parts[0] == "spark_catalog"
 
 
-def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
+def replace_table(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, path: str | None = None
+) -> None:
     """S3: create or replace ``name`` with ``df`` (full refresh), creating its
     namespace first.
 
@@ -36,7 +38,8 @@ def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = Non
     ``writeTo(name).createOrReplace()``, an atomic swap.  The built-in session
     catalog does not support that statement for file tables, so there it falls back
     to ``saveAsTable`` in overwrite mode, which is *not* atomic: readers can see
-    the table missing or partly written while the job runs.
+    the table missing or partly written while the job runs.  ``path`` places such a
+    table at an explicit (shared) location instead of the warehouse default.
     """
     spark = df.sparkSession
     ns = _namespace_of(name)
@@ -54,6 +57,8 @@ def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = Non
         except AnalysisException:
             pass
     w = df.write.mode("overwrite").format("parquet")
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
