@@ -102,7 +102,8 @@ def main() -> None:
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "16",
         "spark.sql.maxMetadataStringLength": "100000"})
     spark.sparkContext.setLogLevel("ERROR")
-    scratch = f"{tempfile.mkdtemp(prefix='leadlake-plans-')}/{uuid.uuid4().hex[:6]}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leadlake-plans-")
+    scratch = f"{root.rstrip('/')}/plans_{uuid.uuid4().hex[:6]}"
     out = ["# PLANS", "", f"Physical plans of the six data jobs over `{d}` (generated by `plan_report.py`).", "",
            *NOTES, ""]
     static = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
