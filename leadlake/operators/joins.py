@@ -61,9 +61,40 @@ def _as_col(c: "str | Column") -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _tagged(df: DataFrame, names: Sequence[str], tag: str) -> DataFrame:
-    """``names`` of ``df`` renamed to ``tag + name`` (one projection, one rename)."""
-    return df.select(*[f"`{c}`" for c in names]).toDF(*[tag + c for c in names])
+def _side(
+    dim: DataFrame, columns: Mapping[str, str], keys: Sequence[str], tag: str, taken: Sequence[str]
+) -> tuple[DataFrame, dict[str, str], list[str], dict[str, str]]:
+    """Project the lookup side for a join: value columns under their output names,
+    keys that are not also values under ``tag + key``.
+
+    Returns (side, name of each key on the side, side columns to drop after the
+    join, renames to apply after the join).  When an output name would clash with
+    a column of the other side, everything is tagged and renamed after the join.
+    Naming the side's columns up front keeps the big plan to one join and at most
+    one drop, which matters for wide plans (each DataFrame step re-analyses them).
+    """
+    outs = list(columns.values())
+    if set(outs) & set(taken) or len(set(outs)) < len(outs):
+        needed = list(dict.fromkeys(list(columns) + list(keys)))
+        side = dim.select(*[f"`{c}`" for c in needed]).toDF(*[tag + c for c in needed])
+        drop = [tag + k for k in keys if k not in columns]
+        return side, {k: tag + k for k in keys}, drop, {tag + d: o for d, o in columns.items()}
+    exprs = list(columns.items())
+    key_names: dict[str, str] = {}
+    for k in keys:
+        if k in columns:
+            key_names[k] = columns[k]
+        else:
+            key_names[k] = tag + k
+            exprs.append((k, tag + k))
+    side = dim.select(*[f"`{d}`" for d, _ in exprs]).toDF(*[o for _, o in exprs])
+    return side, key_names, [tag + k for k in keys if k not in columns], {}
+
+
+def _finish(df: DataFrame, drop: list[str], renames: dict[str, str]) -> DataFrame:
+    if drop:
+        df = df.drop(*drop)
+    return df.withColumnsRenamed(renames) if renames else df
 
 
 def lookup(
@@ -79,22 +110,19 @@ def lookup(
     """Add ``columns`` (dim column -> output name) from ``dim`` to ``fact``.
 
     ``on`` pairs a fact column name or Column expression (a computed key such as
-    the digits of a phone number) with a dim column name.  Dim columns are
-    renamed under ``role`` before joining, so one lookup table can be joined
-    several times in different roles without ambiguous references.
+    the digits of a phone number) with a dim column name.  The dim side is
+    projected under the output names (keys under ``role``-tagged names), so one
+    lookup table can be joined several times in different roles without
+    ambiguous references.
     """
-    tag = f"__{role}__"
     keys = [d for _, d in on]
-    needed = list(dict.fromkeys(list(columns) + keys))  # output order = ``columns`` order
-    side = bounded_broadcast(_tagged(dim, needed, tag), max_broadcast_rows, broadcast)
-    cond = reduce(lambda a, b: a & b, [_as_col(f) == F.col(tag + d) for f, d in on])
+    side, key_names, drop, renames = _side(dim, columns, keys, f"__{role}__", fact.columns)
+    side = bounded_broadcast(side, max_broadcast_rows, broadcast)
+    cond = reduce(lambda a, b: a & b, [_as_col(f) == F.col(key_names[d]) for f, d in on])
     joined = fact.join(side, cond, how)
     if how in ("left_semi", "left_anti"):
         return joined
-    unused_keys = [tag + k for k in keys if k not in columns]
-    if unused_keys:
-        joined = joined.drop(*unused_keys)
-    return joined.withColumnsRenamed({tag + d: out for d, out in columns.items()})
+    return _finish(joined, drop, renames)
 
 
 def role_lookups(
@@ -126,22 +154,14 @@ def left_join_one_to_many(
     with NULL right columns.  ``right_columns`` maps right column -> output name
     (the right keys may be among them).  See the module docstring for why the
     skew-safe form is an inner join plus an anti join."""
-    tag = "__r__"
     rkeys = [r for _, r in on]
-    needed = list(dict.fromkeys(list(right_columns) + rkeys))  # output order = ``right_columns`` order
-    rside = _tagged(right, needed, tag)
-    cond = reduce(lambda a, b: a & b, [F.col(f"`{lc}`") == F.col(tag + rc) for lc, rc in on])
-    unused_keys = [tag + k for k in rkeys if k not in right_columns]
-    renames = {tag + r: o for r, o in right_columns.items()}
-
-    def finish(df: DataFrame) -> DataFrame:
-        return (df.drop(*unused_keys) if unused_keys else df).withColumnsRenamed(renames)
-
+    rside, key_names, drop, renames = _side(right, right_columns, rkeys, "__r__", left.columns)
+    cond = reduce(lambda a, b: a & b, [F.col(f"`{lc}`") == F.col(key_names[rc]) for lc, rc in on])
     if not skew_safe:
-        return finish(left.join(rside, cond, "left"))
+        return _finish(left.join(rside, cond, "left"), drop, renames)
 
-    matched = finish(left.join(rside, cond, "inner"))
-    right_keys = rside.select(*[tag + r for r in rkeys]).distinct()
+    matched = _finish(left.join(rside, cond, "inner"), drop, renames)
+    right_keys = rside.select(*[key_names[r] for r in rkeys]).distinct()
     unmatched = left.join(right_keys, cond, "left_anti")
     # the right-side columns of unmatched rows are NULLs of the right types
     return matched.unionByName(unmatched, allowMissingColumns=True)
