@@ -28,7 +28,25 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# The bound comes from the session unless a caller passes one: deployments tune it
+# with --conf spark.leadlake.maxBroadcastRows=N (None or 0 never broadcasts).
+BROADCAST_ROWS_CONF = "spark.leadlake.maxBroadcastRows"
+BROADCAST_ROWS_FALLBACK = 1_000_000
+DEFAULT_MAX_BROADCAST_ROWS = -1  # "use the session setting"
+
+
+def broadcast_bound(df: DataFrame, max_rows: int | None) -> int | None:
+    """The row bound to apply: ``max_rows`` itself, or the session setting when it
+    is ``DEFAULT_MAX_BROADCAST_ROWS``; ``None`` / 0 mean never broadcast."""
+    if max_rows == DEFAULT_MAX_BROADCAST_ROWS:
+        max_rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS_FALLBACK)))
+    return max_rows or None
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` is proven to have at most the bound's rows."""
+    bound = broadcast_bound(df, max_rows)
+    return bound is not None and row_count_at_most(df, bound)
 
 KeyPair = tuple["str | Column", str]
 
@@ -52,9 +70,9 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCA
     """
     if force is True:
         return F.broadcast(dim)
-    if force is False or max_rows is None:
+    if force is False:
         return dim
-    return F.broadcast(dim) if row_count_at_most(dim, max_rows) else dim
+    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 
 
 def _as_col(c: "str | Column") -> Column:
@@ -136,7 +154,7 @@ def role_lookups(
     name to (key pairs, dim column -> output name).  The size bound is checked
     once for the table and serves every role."""
     if broadcast is None:
-        broadcast = max_broadcast_rows is not None and row_count_at_most(dim, max_broadcast_rows)
+        broadcast = fits_broadcast(dim, max_broadcast_rows)
     out = fact
     for role, (on, columns) in roles.items():
         out = lookup(out, dim, on, columns, role=role, broadcast=broadcast)

@@ -23,7 +23,7 @@ from ..operators.joins import (
     left_join_one_to_many,
     lookup,
     role_lookups,
-    row_count_at_most,
+    fits_broadcast,
 )
 
 # ---- fixed values: output columns -------------------------------------------
@@ -160,12 +160,12 @@ def lead_360(
         *LEAD_PROFILE_COLUMNS,
         lead_temperature(F.col("conversionPropensity")).alias("lead_temperature"),
     )
-    projects_fit = max_broadcast_rows is not None and row_count_at_most(projects, max_broadcast_rows)
+    projects_fit = fits_broadcast(projects, max_broadcast_rows)
     leads = lookup(
         leads, projects, on=[("projectId", "_id"), ("orgId", "orgId")],
         columns={c: c for c in PROJECT_COLUMNS}, role="project", broadcast=projects_fit,
     )
-    labels_fit = max_broadcast_rows is not None and row_count_at_most(labels, max_broadcast_rows)
+    labels_fit = fits_broadcast(labels, max_broadcast_rows)
     leads = role_lookups(
         leads,
         labels,

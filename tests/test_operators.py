@@ -209,3 +209,17 @@ def test_union_by_name_keeps_duplicates(spark):
     b = spark.createDataFrame([("x", 1)], "s string, i int")
     out = union_channels(a, b, a)
     assert out.columns == ["i", "s"] and out.count() == 3
+
+
+def test_broadcast_bound_comes_from_the_session(spark):
+    from leadlake.operators.joins import BROADCAST_ROWS_CONF, fits_broadcast
+
+    small = spark.range(10)
+    assert fits_broadcast(small)                       # default bound: 1,000,000 rows
+    spark.conf.set(BROADCAST_ROWS_CONF, "5")
+    try:
+        assert not fits_broadcast(small)               # the deployment lowered the bound
+        assert fits_broadcast(small, 10)               # an explicit bound still wins
+    finally:
+        spark.conf.unset(BROADCAST_ROWS_CONF)
+    assert not fits_broadcast(small, 0) and not fits_broadcast(small, None)
