@@ -223,3 +223,36 @@ def test_broadcast_bound_comes_from_the_session(spark):
     finally:
         spark.conf.unset(BROADCAST_ROWS_CONF)
     assert not fits_broadcast(small, 0) and not fits_broadcast(small, None)
+
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_hot_lead_is_split_by_aqe_only_in_the_skew_safe_form(spark):
+    """A lead holding a third of all logs: AQE splits it in the skew-safe J1
+    (inner join), and cannot in a plain left join (hot key on the non-preserved side)."""
+    leads = spark.range(2000).select(F.concat(F.lit("L"), F.col("id").cast("string")).alias("lid"))
+    logs = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("L7"))
+        .otherwise(F.concat(F.lit("L"), (F.col("id") % 2000).cast("string"))).alias("leadId"),
+        F.col("id").alias("log"), F.repeat(F.lit("x"), 40).alias("pad"))
+    prev = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        split = {}
+        for safe in (True, False):
+            df = left_join_one_to_many(leads, logs, [("lid", "leadId")], {"log": "log", "pad": "pad"}, skew_safe=safe)
+            assert len(df.collect()) == 60000          # runs the DataFrame's own adaptive plan
+            split[safe] = "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+        assert split == {True: True, False: False}
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
