@@ -21,8 +21,12 @@ def spread(df: DataFrame, keys: Sequence[str] = (), min_partitions: int | None =
     rows.  It uses ``keys`` (those present in ``df``), else every column - cheaper
     than a round-robin repartition, which has to sort its input to be repeatable.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except (AttributeError, NotImplementedError):
+        # a session without RDD access (Spark Connect): leave the plan as it is
         return df
     cols = [k for k in keys if k in df.columns] or [f"`{c}`" for c in df.columns]
     return df.repartition(target, *cols)

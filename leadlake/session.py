@@ -49,15 +49,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     The setting is read from the session; ``fallback`` is used only when it is
     unset (local tests), and is then installed on the context.
     """
-    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if sc.getCheckpointDir() is None:  # each call would add a new sub-folder
-            sc.setCheckpointDir(current)
-        return current
-    if fallback:
+    if not current and fallback:
         spark.conf.set("spark.checkpoint.dir", fallback)
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(fallback)
-        return fallback
-    return None
+        current = fallback
+    if current:
+        try:
+            sc = spark.sparkContext
+            if sc.getCheckpointDir() is None:  # each call would add a new sub-folder
+                sc.setCheckpointDir(current)
+        except (AttributeError, NotImplementedError):
+            pass  # Spark Connect: the server applies spark.checkpoint.dir itself
+    return current or None
