@@ -18,9 +18,11 @@ from .guards import (  # noqa: F401
 )
 from .joins import (  # noqa: F401
     bounded_broadcast,
+    fits_broadcast,
     left_join_one_to_many,
     lookup,
     role_lookups,
     row_count_at_most,
 )
+from .partitioning import spread  # noqa: F401
 from .pivot import channel_pivot, channel_pivot_native, union_channels  # noqa: F401
