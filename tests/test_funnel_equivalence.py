@@ -94,3 +94,37 @@ def test_optimised_funnel_equals_straightforward_form(spark):
     assert mine.columns == WHATSAPP_OUTPUT
     got, want = rows(mine, *WHATSAPP_OUTPUT), rows(ref, *WHATSAPP_OUTPUT)
     assert len(got) > 5 and got == want
+
+
+def test_shared_number_across_many_leads_is_split_by_aqe(spark):
+    """A third of all leads share one (placeholder) number: the lead join of the
+    funnel is an inner join, so AQE can split that hot key on the lead side."""
+    from test_operators import SKEW_CONF
+
+    n = 6000
+    dim = spark.range(n).select(
+        F.concat(F.lit("L"), F.col("id").cast("string")).alias("leadId"), F.lit("o1").alias("orgId"),
+        F.when(F.col("id") % 3 == 0, F.lit("9000000000"))
+        .otherwise((F.lit(9100000000) + F.col("id")).cast("string")).alias("profile_whatsAppNumber"),
+        F.lit(None).cast("boolean").alias("site_visit_scheduled"), F.lit(None).cast("string").alias("siteVisit_date"),
+        F.lit(None).cast("string").alias("bookingId"), F.lit(None).cast("string").alias("sirrus_lead_status"),
+        F.repeat(F.lit("x"), 60).alias("pad"))
+    logs = spark.range(n).select(
+        F.lit("c1").alias("campaignId"), F.lit("o1").alias("organisationId"), F.lit("read").alias("status"),
+        F.to_json(F.struct(
+            F.struct(F.when(F.col("id") % 3 == 0, F.lit("9000000000"))
+                     .otherwise((F.lit(9100000000) + F.col("id")).cast("string")).alias("to")).alias("recipient"),
+            F.struct(F.lit(str(T0)).alias("timestamp")).alias("events"))).alias("payload"))
+    camps = spark.createDataFrame([("c1", "o1", "A", "wa")], "_id string, organisationId string, name string, channel string")
+    prev = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        df = whatsapp_engagement(logs, camps, dim, max_broadcast_rows=0)
+        got = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert [(r.total_unique_leads, r.whatsapp_read_unique) for r in got] == [(n, n)]
+    assert "skew=true" in plan
