@@ -5,6 +5,8 @@ flags, countDistinct) on random data with hot keys, shared phones and duplicates
 import json
 import random
 
+import pytest
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -128,3 +130,85 @@ def test_shared_number_across_many_leads_is_split_by_aqe(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert [(r.total_unique_leads, r.whatsapp_read_unique) for r in got] == [(n, n)]
     assert "skew=true" in plan
+
+
+def _sms_data(spark, seed=9):
+    rnd = random.Random(seed)
+    phones = [f"90000000{i:02d}" for i in range(15)]
+    dim = []
+    for i in range(30):
+        p = phones[0] if i < 6 else rnd.choice(phones)
+        for _ in range(rnd.randrange(1, 4)):
+            dim.append((f"L{i}", f"o{i % 2}", rnd.choice([p, "+91 " + p, None]),
+                        rnd.choice([True, None]), rnd.choice(["d", None]), rnd.choice(["b", None]),
+                        rnd.choice(["BOOKED", "x"]), rnd.choice(["1m 20s", "0", None, "1.2.3"]),
+                        rnd.choice(["Answered", "busy", None])))
+    logs = []
+    for j in range(700):
+        p = phones[0] if j % 3 == 0 else rnd.choice(phones)
+        logs.append((f"s{j}", rnd.choice(["c1", "c2", None]), rnd.choice([p, "91" + p, "+91-" + p]),
+                     rnd.choice(['{"status":{"code":200}}', '{"status":{"code":"500","desc":"Accepted"}}', None]),
+                     rnd.choice(["DELIVERY", "submit", None]),
+                     f"2024-01-0{rnd.randrange(1, 4)} {rnd.randrange(24):02d}:00:00", f"o{rnd.randrange(2)}"))
+    return (
+        spark.createDataFrame(logs, "_id string, campaignId string, to string, providerResponse string, type string, "
+                                    "createdAt string, organisationId string"),
+        spark.createDataFrame([("c1", "o0", "A", "sms"), ("c2", "o1", "B", "sms")],
+                              "_id string, organisationId string, name string, channel string"),
+        spark.createDataFrame(dim, "leadId string, orgId string, profile_whatsAppNumber string, "
+                                   "site_visit_scheduled boolean, siteVisit_date string, bookingId string, "
+                                   "sirrus_lead_status string, callDuration string, callStatus string"),
+    )
+
+
+def _sms_straightforward(logs, camps, dim, with_org):
+    from leadlake.functions.events import sms_engagement_event
+    from leadlake.functions.flags import call_connected
+    from leadlake.functions.time import local_event_time
+    from pyspark.sql.types import StringType
+
+    l, c, d = logs.alias("l"), camps.alias("c"), dim.alias("d")
+    cond = phone_key(F.col("d.profile_whatsAppNumber")) == phone_key(F.col("l.to"))
+    if with_org:
+        cond = cond & (F.col("d.orgId") == F.col("l.organisationId"))
+    raw = (
+        l.join(c, F.col("l.campaignId") == F.col("c._id"), "left").join(d, cond, "left")
+        .where(F.col("l.campaignId").isNotNull())
+        .select(
+            F.col("d.leadId").alias("leadId"), F.col("l.campaignId").alias("campaignid"),
+            F.col("c.name").alias("campaignname"), F.col("c.channel").alias("campaignchannel"),
+            sms_engagement_event(F.get_json_object("l.providerResponse", "$.status.code"),
+                                 F.get_json_object("l.providerResponse", "$.status.desc"),
+                                 F.col("l.type")).alias("canonical_event"),
+            local_event_time(F.col("l.createdAt"), StringType()).alias("ts"),
+            F.coalesce(F.col("d.site_visit_scheduled"), F.lit(False)).alias("site_visit_scheduled"),
+            F.col("d.siteVisit_date").alias("siteVisit_date"),
+            booked_flag(F.col("d.bookingId"), F.col("d.sirrus_lead_status")).alias("booked_flag"),
+            call_connected(F.col("d.callDuration"), F.col("d.callStatus")).alias("calls_connected_flag"),
+        )
+        .where(F.col("leadId").isNotNull())
+    )
+    keys = ["campaignid", "campaignname", "campaignchannel"]
+    dedup = first_event_dedup(raw, keys, "leadId", "canonical_event", "ts",
+                              ["site_visit_scheduled", "siteVisit_date", "booked_flag", "calls_connected_flag"])
+    flags = lead_flags_stepwise(dedup, keys, "leadId", {
+        "dl": flag_if(F.col("canonical_event") == "delivered"), "cc": F.col("calls_connected_flag"),
+        "sv": flag_if(F.col("site_visit_scheduled") == True),  # noqa: E712
+        "svd": flag_if(F.col("siteVisit_date").isNotNull()), "b": F.col("booked_flag"),
+    })
+    return funnel_counts_distinct(flags, keys, "leadId", {
+        "sms_delivered_unique": F.col("dl") == 1, "calls_connected_unique": F.col("cc") == 1,
+        "site_visit_scheduled_any_unique": F.col("sv") == 1, "site_visit_delivered_any_unique": F.col("svd") == 1,
+        "booked_any_unique": F.col("b") == 1,
+    })
+
+
+@pytest.mark.parametrize("with_org", [False, True])
+def test_optimised_sms_funnel_equals_straightforward_form(spark, with_org):
+    from leadlake.plans.engagement import SMS_OUTPUT, sms_engagement
+
+    logs, camps, dim = _sms_data(spark)
+    mine = sms_engagement(logs, camps, dim, org_column="organisationId" if with_org else None)
+    ref = _sms_straightforward(logs, camps, dim, with_org)
+    got, want = rows(mine, *SMS_OUTPUT), rows(ref, *SMS_OUTPUT)
+    assert len(got) >= 2 and got == want
