@@ -56,3 +56,62 @@ def test_presence_matches_python(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     for r in df.select("v", is_present(F.col("v")).alias("p")).collect():
         assert r.p == py_present(r.v), repr(r.v)
+
+
+# ---- event mappings and call rule ---------------------------------------------------
+from leadlake.functions import events as EV  # noqa: E402
+from leadlake.functions.flags import call_connected  # noqa: E402
+
+MAPPINGS = [(EV.WHATSAPP_ENGAGEMENT, EV.PASSTHROUGH), (EV.SMS_RESPONSE, None),
+            (EV.SMS_RESPONSE_CORRECTED, None), (EV.WHATSAPP_RESPONSE, None), (EV.EMAIL_RESPONSE, None)]
+VOCAB = sorted({v for rules, _ in MAPPINGS for _, _, vals in rules for v in vals})
+
+
+def _variants(v):
+    return st.sampled_from([v, v.lower(), v.upper(), v.title(), v + " ", "x" + v])
+
+
+STATUS = st.one_of(st.none(), st.sampled_from(VOCAB).flatmap(_variants),
+                   st.text(alphabet="abcdeFGHIJ-_ ", max_size=8))
+
+
+def py_canonical(status, rules, default):
+    if status is None:
+        return None
+    for event, fold, values in rules:
+        if (status.upper() if fold == "upper" else status.lower()) in values:
+            return event
+    if default == EV.PASSTHROUGH:
+        return status.lower()
+    return default
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(STATUS, min_size=50, max_size=200))
+def test_event_mappings_match_python(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    cols = [EV.canonical_event(F.col("v"), rules, d).alias(f"m{i}") for i, (rules, d) in enumerate(MAPPINGS)]
+    for r in df.select("v", *cols).collect():
+        for i, (rules, d) in enumerate(MAPPINGS):
+            assert r[f"m{i}"] == py_canonical(r.v, rules, d), (i, r.v)
+
+
+def py_connected(duration, status):
+    cleaned = re.sub(r"[^0-9.]", "", duration if duration is not None else "0")
+    try:
+        by_duration = float(cleaned) > 0 if cleaned not in ("", ".") else False
+    except ValueError:
+        by_duration = False
+    return 1 if by_duration or (status or "").lower() in ("connected", "answered", "completed", "in-progress") else 0
+
+
+DURATION = st.one_of(st.none(), st.text(alphabet="0123456789.:ms ", max_size=8))
+CALL_STATUS = st.one_of(st.none(), st.sampled_from(["Answered", "COMPLETED", "in-progress", "busy", "", "connected "]))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(DURATION, CALL_STATUS), min_size=50, max_size=200))
+def test_call_connected_matches_python(spark, values):
+    df = spark.createDataFrame(values, "d string, s string")
+    for r in df.select("d", "s", call_connected(F.col("d"), F.col("s")).alias("c")).collect():
+        assert r.c == py_connected(r.d, r.s), (r.d, r.s)
