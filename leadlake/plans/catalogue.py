@@ -431,6 +431,13 @@ LEAD_360_CHECK_COLUMNS = (
     "projectName", "site_visit_scheduled", L360.LABEL_ENTITY, L360.LABEL_STATUS,
     "previous_lead_status", L360.LABEL_SUB_SOURCE, L360.LABEL_SOURCE,
     "booked_flag", "Site_Visit_Completed", "booked_date", "lead_temperature",
+    # carried and renamed columns
+    "leadId", "leadStatus", "isActive", "siteVisit", "pms_LeadId", "profile_whatsAppNumber",
+    "profile_fullName", "profile_age", "profile_sourceOfLead", "profile_subSourceOfLead",
+    "projectStatus", "projectLogo", "completionDate", "projectPublishStatus",
+    "leadId_comm", "orgId_comm", "projectId_comm", "createdAt_comm", "prevStatus_comm",
+    "nextSiteVisit_comm", "bookingId", "payload_subStatus", "siteVisit_date", "callDuration",
+    "callStatus", "viewed",
 )
 
 

@@ -183,7 +183,9 @@ SELECT CAST(o_orderkey AS VARCHAR) AS log_id, {org('o_custkey')} AS orgId, CAST(
        o_orderstatus = 'P' AS viewed
 FROM orders"""
 
-PROJECTS = f"SELECT 'P' || CAST(r_regionkey AS VARCHAR) AS _id, {org('r_regionkey')} AS orgId, r_name AS projectName FROM region"
+PROJECTS = (f"SELECT 'P' || CAST(r_regionkey AS VARCHAR) AS _id, {org('r_regionkey')} AS orgId, r_name AS projectName, "
+            f"'active' AS projectStatus, CAST(NULL AS VARCHAR) AS projectLogo, '2025-01-01' AS completionDate, "
+            f"'published' AS projectPublishStatus FROM region")
 LABELS = (f"SELECT 'S' || CAST(n_nationkey AS VARCHAR) AS _id, {org('n_nationkey')} AS orgId, 'lead_status' AS entityName, "
           f"CASE WHEN n_regionkey = 1 THEN 'Booked' ELSE n_name END AS labelName FROM nation")
 
@@ -413,7 +415,14 @@ SELECT lf.lead_flat_id, lg.log_id AS communication_log_id, lf.orgId, lf.projectI
        CASE WHEN {booked('lg.bookingId', 'e.labelName')} THEN 1 ELSE 0 END AS booked_flag,
        coalesce(lg.subStatus IN ('SV_DONE'), FALSE) AS Site_Visit_Completed,
        CASE WHEN {booked('lg.bookingId', 'e.labelName')} THEN lg.createdAt END AS booked_date,
-       lf.leadIntent AS lead_temperature
+       lf.leadIntent AS lead_temperature,
+       lf.leadId, lf.leadStatus, lf.isActive, lf.siteVisit, CAST(NULL AS VARCHAR) AS pms_LeadId,
+       lf.phone AS profile_whatsAppNumber, lf.fullName AS profile_fullName, lf.age AS profile_age,
+       lf.src AS profile_sourceOfLead, lf.subsrc AS profile_subSourceOfLead,
+       p.projectStatus, p.projectLogo, p.completionDate, p.projectPublishStatus,
+       lg.leadId AS leadId_comm, lg.orgId AS orgId_comm, lg.projectId AS projectId_comm,
+       lg.createdAt AS createdAt_comm, lg.prevStatus AS prevStatus_comm, lg.nextSiteVisit AS nextSiteVisit_comm,
+       lg.bookingId, lg.subStatus AS payload_subStatus, lg.siteVisit_date, lg.callDuration, lg.callStatus, lg.viewed
 FROM lf
 LEFT JOIN lg ON lf.lead_flat_id = lg.leadId AND lf.orgId = lg.orgId AND lf.projectId = lg.projectId
 LEFT JOIN p ON lf.projectId = p._id AND lf.orgId = p.orgId
