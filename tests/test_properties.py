@@ -115,3 +115,43 @@ def test_call_connected_matches_python(spark, values):
     df = spark.createDataFrame(values, "d string, s string")
     for r in df.select("d", "s", call_connected(F.col("d"), F.col("s")).alias("c")).collect():
         assert r.c == py_connected(r.d, r.s), (r.d, r.s)
+
+
+# ---- local time --------------------------------------------------------------------
+import datetime as dt  # noqa: E402
+from zoneinfo import ZoneInfo  # noqa: E402
+
+from pyspark.sql.types import StringType  # noqa: E402
+
+from leadlake.functions.time import local_event_time  # noqa: E402
+
+KOLKATA = ZoneInfo("Asia/Kolkata")
+WALL = st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2040, 1, 1))
+OFFSET = st.sampled_from(["Z", "+00:00", "+05:30", "-07:00", "+09:00"])
+
+
+def py_local(wall_utc: dt.datetime) -> dt.datetime:
+    return wall_utc.replace(tzinfo=dt.timezone.utc).astimezone(KOLKATA).replace(tzinfo=None)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(WALL, OFFSET), min_size=50, max_size=150))
+def test_local_time_matches_zoneinfo_in_any_session_zone(spark, values):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")   # has DST: must not matter
+    try:
+        rows = [(w.replace(microsecond=0), w.replace(microsecond=0).isoformat(sep=" "),
+                 w.replace(microsecond=0).isoformat() + off, off) for w, off in values]
+        df = spark.createDataFrame(rows, "w timestamp_ntz, plain string, zoned string, off string")
+        got = df.select(
+            "w", "off",
+            local_event_time(F.col("w"), df.schema["w"].dataType).alias("a"),
+            local_event_time(F.col("plain"), StringType()).alias("b"),
+            local_event_time(F.col("zoned"), StringType()).alias("c"),
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    for r in got:
+        assert r.a == r.b == py_local(r.w), r.w
+        instant = dt.datetime.fromisoformat(r.w.isoformat() + r.off.replace("Z", "+00:00"))
+        assert r.c == instant.astimezone(KOLKATA).replace(tzinfo=None), (r.w, r.off)
