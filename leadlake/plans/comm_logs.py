@@ -14,58 +14,117 @@ from ..operators.guards import parse_or_null
 from ..operators.partitioning import spread
 
 
-def _same(*names: str) -> list[tuple[str, str]]:
-    return [(n, f"payload.{n}") for n in names]
-
-
-def _under(prefix: str, struct: str, *names: str) -> list[tuple[str, str]]:
-    return [(f"{prefix}_{n}", f"payload.{struct}.{n}") for n in names]
-
-
 # ---- fixed values: (output column, payload path), in output order ------------
 OUTPUT_SPEC: list[tuple[str, str]] = [
-    ("_id", "_id"), ("orgId", "orgId"), ("leadId", "leadId"),
-    *_same("isActive", "createdAt", "createdBy", "projectId", "updatedAt", "updatedBy",
-           "assigneeId", "leadStatus", "prevAssigneeId", "leadStatusChangeReason",
-           "logEventType", "prevStatus"),
-    ("payload__v", "payload.__v"), ("payload_id", "payload._id"),
-    *_same("agentId"),
+    ("_id", "_id"),
+    ("orgId", "orgId"),
+    ("leadId", "leadId"),
+    ("isActive", "payload.isActive"),
+    ("createdAt", "payload.createdAt"),
+    ("createdBy", "payload.createdBy"),
+    ("projectId", "payload.projectId"),
+    ("updatedAt", "payload.updatedAt"),
+    ("updatedBy", "payload.updatedBy"),
+    ("assigneeId", "payload.assigneeId"),
+    ("leadStatus", "payload.leadStatus"),
+    ("prevAssigneeId", "payload.prevAssigneeId"),
+    ("leadStatusChangeReason", "payload.leadStatusChangeReason"),
+    ("logEventType", "payload.logEventType"),
+    ("prevStatus", "payload.prevStatus"),
+    ("payload__v", "payload.__v"),
+    ("payload_id", "payload._id"),
+    ("agentId", "payload.agentId"),
     ("payload_assigneeId", "payload.assigneeId"),
     ("payload_assignmentHistory", "payload.assignmentHistory"),
-    *_under("background", "background", "annualIncome", "assignedTo", "currentLocation",
-            "fundingIsLoaned", "occupation"),
+    ("background_annualIncome", "payload.background.annualIncome"),
+    ("background_assignedTo", "payload.background.assignedTo"),
+    ("background_currentLocation", "payload.background.currentLocation"),
+    ("background_fundingIsLoaned", "payload.background.fundingIsLoaned"),
+    ("background_occupation", "payload.background.occupation"),
     ("background_possessionDate_month", "payload.background.possessionDate.month"),
     ("background_possessionDate_year", "payload.background.possessionDate.year"),
-    *_under("background", "background", "qualification", "workLocation"),
-    *_same("bookingId", "buildingId", "buildingName", "cancelledReason", "chatHyperLink",
-           "coOwnerDetails"),
-    *_under("conversion", "conversionPropensity", "description", "interactionNumber", "probability"),
-    *_under("conversion_breakdown", "conversionPropensity.breakdown", "ability", "intent",
-            "perception", "readiness"),
-    *_under("pricing", "pricingDetails", "agreementValue", "modeOfPayment", "tokenAmount"),
-    *_under("profile", "profile", "fullName", "email", "gender", "age", "alternateNumber",
-            "countryCode", "referralSource", "sourceOfLead", "subSourceOfLead"),
+    ("background_qualification", "payload.background.qualification"),
+    ("background_workLocation", "payload.background.workLocation"),
+    ("bookingId", "payload.bookingId"),
+    ("buildingId", "payload.buildingId"),
+    ("buildingName", "payload.buildingName"),
+    ("cancelledReason", "payload.cancelledReason"),
+    ("chatHyperLink", "payload.chatHyperLink"),
+    ("coOwnerDetails", "payload.coOwnerDetails"),
+    ("conversion_description", "payload.conversionPropensity.description"),
+    ("conversion_interactionNumber", "payload.conversionPropensity.interactionNumber"),
+    ("conversion_probability", "payload.conversionPropensity.probability"),
+    ("conversion_breakdown_ability", "payload.conversionPropensity.breakdown.ability"),
+    ("conversion_breakdown_intent", "payload.conversionPropensity.breakdown.intent"),
+    ("conversion_breakdown_perception", "payload.conversionPropensity.breakdown.perception"),
+    ("conversion_breakdown_readiness", "payload.conversionPropensity.breakdown.readiness"),
+    ("pricing_agreementValue", "payload.pricingDetails.agreementValue"),
+    ("pricing_modeOfPayment", "payload.pricingDetails.modeOfPayment"),
+    ("pricing_tokenAmount", "payload.pricingDetails.tokenAmount"),
+    ("profile_fullName", "payload.profile.fullName"),
+    ("profile_email", "payload.profile.email"),
+    ("profile_gender", "payload.profile.gender"),
+    ("profile_age", "payload.profile.age"),
+    ("profile_alternateNumber", "payload.profile.alternateNumber"),
+    ("profile_countryCode", "payload.profile.countryCode"),
+    ("profile_referralSource", "payload.profile.referralSource"),
+    ("profile_sourceOfLead", "payload.profile.sourceOfLead"),
+    ("profile_subSourceOfLead", "payload.profile.subSourceOfLead"),
     ("whatsAppNumber", "payload.profile.whatsappNumber"),
-    *_under("propertyInterest", "propertyInterest", "purposeOfProperty", "budgetRange",
-            "carpetAreaSqFtRange", "otherPreferences", "preferredFloor", "preferredUnitType",
-            "propertyStatus"),
-    *_under("siteVisit", "siteVisit", "date", "modeOfVisit", "schedule", "time"),
-    *_same("siteVisitDate", "siteVisitDoneCount", "siteVisitTime"),
+    ("propertyInterest_purposeOfProperty", "payload.propertyInterest.purposeOfProperty"),
+    ("propertyInterest_budgetRange", "payload.propertyInterest.budgetRange"),
+    ("propertyInterest_carpetAreaSqFtRange", "payload.propertyInterest.carpetAreaSqFtRange"),
+    ("propertyInterest_otherPreferences", "payload.propertyInterest.otherPreferences"),
+    ("propertyInterest_preferredFloor", "payload.propertyInterest.preferredFloor"),
+    ("propertyInterest_preferredUnitType", "payload.propertyInterest.preferredUnitType"),
+    ("propertyInterest_propertyStatus", "payload.propertyInterest.propertyStatus"),
+    ("siteVisit_date", "payload.siteVisit.date"),
+    ("siteVisit_modeOfVisit", "payload.siteVisit.modeOfVisit"),
+    ("siteVisit_schedule", "payload.siteVisit.schedule"),
+    ("siteVisit_time", "payload.siteVisit.time"),
+    ("siteVisitDate", "payload.siteVisitDate"),
+    ("siteVisitDoneCount", "payload.siteVisitDoneCount"),
+    ("siteVisitTime", "payload.siteVisitTime"),
     ("siteVisitstartDateTime", "payload.startDateTime"),
     ("siteVisitendDateTime", "payload.endDateTime"),
-    *_same("latestComment", "nextFollowUp", "nextSiteVisit", "stageChangedAt", "totalMissedCalls",
-           "totalUnreadMsgs", "unitId", "unitNumber", "unitType", "remarks"),
-    ("payload_status", "payload.status"), ("payload_subStatus", "payload.subStatus"),
-    *_same("viewed", "callDuration", "agentName", "visitDate", "visitOutcome",
-           "qualificationReason", "qualifiedBy", "agentPhone", "callStatus", "comment",
-           "meetingNotes", "followUpRequired"),
-    ("call_direction", "payload.Direction"), ("call_from", "payload.CallFrom"),
-    ("dial_whom_number", "payload.DialWhomNumber"), ("call_to", "payload.CallTo"),
-    ("dial_call_status", "payload.DialCallStatus"), ("call_type", "payload.CallType"),
-    ("call_sid", "payload.CallSid"), ("call_legs", "payload.Legs"),
-    ("recording_url", "payload.RecordingUrl"), ("call_start_time", "payload.StartTime"),
-    ("call_end_time", "payload.EndTime"), ("call_event_status", "payload.callEventStatus"),
-    ("event_type", "payload.EventType"), ("call_ended", "payload.callEnded"),
+    ("latestComment", "payload.latestComment"),
+    ("nextFollowUp", "payload.nextFollowUp"),
+    ("nextSiteVisit", "payload.nextSiteVisit"),
+    ("stageChangedAt", "payload.stageChangedAt"),
+    ("totalMissedCalls", "payload.totalMissedCalls"),
+    ("totalUnreadMsgs", "payload.totalUnreadMsgs"),
+    ("unitId", "payload.unitId"),
+    ("unitNumber", "payload.unitNumber"),
+    ("unitType", "payload.unitType"),
+    ("remarks", "payload.remarks"),
+    ("payload_status", "payload.status"),
+    ("payload_subStatus", "payload.subStatus"),
+    ("viewed", "payload.viewed"),
+    ("callDuration", "payload.callDuration"),
+    ("agentName", "payload.agentName"),
+    ("visitDate", "payload.visitDate"),
+    ("visitOutcome", "payload.visitOutcome"),
+    ("qualificationReason", "payload.qualificationReason"),
+    ("qualifiedBy", "payload.qualifiedBy"),
+    ("agentPhone", "payload.agentPhone"),
+    ("callStatus", "payload.callStatus"),
+    ("comment", "payload.comment"),
+    ("meetingNotes", "payload.meetingNotes"),
+    ("followUpRequired", "payload.followUpRequired"),
+    ("call_direction", "payload.Direction"),
+    ("call_from", "payload.CallFrom"),
+    ("dial_whom_number", "payload.DialWhomNumber"),
+    ("call_to", "payload.CallTo"),
+    ("dial_call_status", "payload.DialCallStatus"),
+    ("call_type", "payload.CallType"),
+    ("call_sid", "payload.CallSid"),
+    ("call_legs", "payload.Legs"),
+    ("recording_url", "payload.RecordingUrl"),
+    ("call_start_time", "payload.StartTime"),
+    ("call_end_time", "payload.EndTime"),
+    ("call_event_status", "payload.callEventStatus"),
+    ("event_type", "payload.EventType"),
+    ("call_ended", "payload.callEnded"),
 ]
 
 

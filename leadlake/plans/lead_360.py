@@ -57,68 +57,113 @@ LEAD_PROFILE_COLUMNS = (
 )
 PROJECT_COLUMNS = ("projectName", "projectStatus", "projectLogo", "completionDate", "projectPublishStatus")
 
-# log columns that clash with lead columns (or are renamed) get the _comm suffix
-_COMM_SUFFIXED = (
-    "leadId", "orgId", "projectId", "isActive", "createdAt", "createdBy", "updatedAt",
-    "updatedBy", "assigneeId", "leadStatus", "prevStatus", "leadStatusChangeReason",
-    "latestComment", "nextFollowUp", "nextSiteVisit", "stageChangedAt", "totalMissedCalls",
-    "totalUnreadMsgs",
-)
-_COMM_PLAIN_1 = (
-    "logEventType", "prevAssigneeId", "payload__v", "payload_id", "agentId", "payload_assigneeId",
-    "payload_assignmentHistory", "background_annualIncome", "background_assignedTo",
-    "background_currentLocation", "background_fundingIsLoaned", "background_occupation",
-    "background_possessionDate_month", "background_possessionDate_year",
-    "background_qualification", "background_workLocation", "bookingId", "buildingId",
-    "buildingName", "cancelledReason", "coOwnerDetails", "conversion_description",
-    "conversion_interactionNumber", "conversion_probability", "conversion_breakdown_ability",
-    "conversion_breakdown_intent", "conversion_breakdown_perception",
-    "conversion_breakdown_readiness", "pricing_agreementValue", "pricing_modeOfPayment",
-    "pricing_tokenAmount",
-)
-_COMM_PROFILE = (
-    ("profile_fullName", True), ("profile_email", True), ("profile_gender", True),
-    ("profile_age", True), ("profile_alternateNumber", True), ("profile_countryCode", False),
-    ("profile_referralSource", True), ("profile_sourceOfLead", True),
-    ("profile_subSourceOfLead", True),
-)
-_COMM_PLAIN_2 = (
-    "propertyInterest_purposeOfProperty", "propertyInterest_budgetRange",
-    "propertyInterest_carpetAreaSqFtRange", "propertyInterest_otherPreferences",
-    "propertyInterest_preferredFloor", "propertyInterest_preferredUnitType",
-    "propertyInterest_propertyStatus", "siteVisit_date", "siteVisit_modeOfVisit",
-    "siteVisit_schedule", "siteVisit_time", "siteVisitDate",
-)
-_COMM_VISIT = (
-    ("siteVisitDoneCount", True), ("siteVisitTime", False), ("siteVisitstartDateTime", True),
-    ("siteVisitendDateTime", True),
-)
-_COMM_PLAIN_3 = (
-    "remarks", "payload_status", "payload_subStatus", "viewed", "callDuration", "agentName",
-    "visitDate", "visitOutcome", "qualificationReason", "qualifiedBy", "agentPhone",
-    "callStatus", "comment", "meetingNotes", "followUpRequired",
-)
-_COMM_CALL = (
-    "call_direction", "call_from", "dial_whom_number", "call_to", "dial_call_status",
-    "call_type", "call_sid", "call_legs", "recording_url", "call_start_time", "call_end_time",
-    "call_event_status", "event_type", "call_ended",
-)
-
-
-def _comm_columns() -> list[tuple[str, str]]:
-    """(log column, output name) in output order."""
-    out = [("_id", "communication_log_id")]
-    out += [(c, f"{c}_comm") for c in _COMM_SUFFIXED]
-    out += [(c, c) for c in _COMM_PLAIN_1]
-    out += [(c, f"{c}_comm" if s else c) for c, s in _COMM_PROFILE]
-    out += [(c, c) for c in _COMM_PLAIN_2]
-    out += [(c, f"{c}_comm" if s else c) for c, s in _COMM_VISIT]
-    out += [(c, c) for c in _COMM_PLAIN_3]
-    out += [(c, f"{c}_comm") for c in _COMM_CALL]
-    return out
-
-
-COMM_COLUMNS = _comm_columns()
+# log side, (communication-log column, output name); clashing names get _comm
+COMM_COLUMNS: list[tuple[str, str]] = [
+    ("_id", "communication_log_id"),
+    ("leadId", "leadId_comm"),
+    ("orgId", "orgId_comm"),
+    ("projectId", "projectId_comm"),
+    ("isActive", "isActive_comm"),
+    ("createdAt", "createdAt_comm"),
+    ("createdBy", "createdBy_comm"),
+    ("updatedAt", "updatedAt_comm"),
+    ("updatedBy", "updatedBy_comm"),
+    ("assigneeId", "assigneeId_comm"),
+    ("leadStatus", "leadStatus_comm"),
+    ("prevStatus", "prevStatus_comm"),
+    ("leadStatusChangeReason", "leadStatusChangeReason_comm"),
+    ("latestComment", "latestComment_comm"),
+    ("nextFollowUp", "nextFollowUp_comm"),
+    ("nextSiteVisit", "nextSiteVisit_comm"),
+    ("stageChangedAt", "stageChangedAt_comm"),
+    ("totalMissedCalls", "totalMissedCalls_comm"),
+    ("totalUnreadMsgs", "totalUnreadMsgs_comm"),
+    ("logEventType", "logEventType"),
+    ("prevAssigneeId", "prevAssigneeId"),
+    ("payload__v", "payload__v"),
+    ("payload_id", "payload_id"),
+    ("agentId", "agentId"),
+    ("payload_assigneeId", "payload_assigneeId"),
+    ("payload_assignmentHistory", "payload_assignmentHistory"),
+    ("background_annualIncome", "background_annualIncome"),
+    ("background_assignedTo", "background_assignedTo"),
+    ("background_currentLocation", "background_currentLocation"),
+    ("background_fundingIsLoaned", "background_fundingIsLoaned"),
+    ("background_occupation", "background_occupation"),
+    ("background_possessionDate_month", "background_possessionDate_month"),
+    ("background_possessionDate_year", "background_possessionDate_year"),
+    ("background_qualification", "background_qualification"),
+    ("background_workLocation", "background_workLocation"),
+    ("bookingId", "bookingId"),
+    ("buildingId", "buildingId"),
+    ("buildingName", "buildingName"),
+    ("cancelledReason", "cancelledReason"),
+    ("coOwnerDetails", "coOwnerDetails"),
+    ("conversion_description", "conversion_description"),
+    ("conversion_interactionNumber", "conversion_interactionNumber"),
+    ("conversion_probability", "conversion_probability"),
+    ("conversion_breakdown_ability", "conversion_breakdown_ability"),
+    ("conversion_breakdown_intent", "conversion_breakdown_intent"),
+    ("conversion_breakdown_perception", "conversion_breakdown_perception"),
+    ("conversion_breakdown_readiness", "conversion_breakdown_readiness"),
+    ("pricing_agreementValue", "pricing_agreementValue"),
+    ("pricing_modeOfPayment", "pricing_modeOfPayment"),
+    ("pricing_tokenAmount", "pricing_tokenAmount"),
+    ("profile_fullName", "profile_fullName_comm"),
+    ("profile_email", "profile_email_comm"),
+    ("profile_gender", "profile_gender_comm"),
+    ("profile_age", "profile_age_comm"),
+    ("profile_alternateNumber", "profile_alternateNumber_comm"),
+    ("profile_countryCode", "profile_countryCode"),
+    ("profile_referralSource", "profile_referralSource_comm"),
+    ("profile_sourceOfLead", "profile_sourceOfLead_comm"),
+    ("profile_subSourceOfLead", "profile_subSourceOfLead_comm"),
+    ("propertyInterest_purposeOfProperty", "propertyInterest_purposeOfProperty"),
+    ("propertyInterest_budgetRange", "propertyInterest_budgetRange"),
+    ("propertyInterest_carpetAreaSqFtRange", "propertyInterest_carpetAreaSqFtRange"),
+    ("propertyInterest_otherPreferences", "propertyInterest_otherPreferences"),
+    ("propertyInterest_preferredFloor", "propertyInterest_preferredFloor"),
+    ("propertyInterest_preferredUnitType", "propertyInterest_preferredUnitType"),
+    ("propertyInterest_propertyStatus", "propertyInterest_propertyStatus"),
+    ("siteVisit_date", "siteVisit_date"),
+    ("siteVisit_modeOfVisit", "siteVisit_modeOfVisit"),
+    ("siteVisit_schedule", "siteVisit_schedule"),
+    ("siteVisit_time", "siteVisit_time"),
+    ("siteVisitDate", "siteVisitDate"),
+    ("siteVisitDoneCount", "siteVisitDoneCount_comm"),
+    ("siteVisitTime", "siteVisitTime"),
+    ("siteVisitstartDateTime", "siteVisitstartDateTime_comm"),
+    ("siteVisitendDateTime", "siteVisitendDateTime_comm"),
+    ("remarks", "remarks"),
+    ("payload_status", "payload_status"),
+    ("payload_subStatus", "payload_subStatus"),
+    ("viewed", "viewed"),
+    ("callDuration", "callDuration"),
+    ("agentName", "agentName"),
+    ("visitDate", "visitDate"),
+    ("visitOutcome", "visitOutcome"),
+    ("qualificationReason", "qualificationReason"),
+    ("qualifiedBy", "qualifiedBy"),
+    ("agentPhone", "agentPhone"),
+    ("callStatus", "callStatus"),
+    ("comment", "comment"),
+    ("meetingNotes", "meetingNotes"),
+    ("followUpRequired", "followUpRequired"),
+    ("call_direction", "call_direction_comm"),
+    ("call_from", "call_from_comm"),
+    ("dial_whom_number", "dial_whom_number_comm"),
+    ("call_to", "call_to_comm"),
+    ("dial_call_status", "dial_call_status_comm"),
+    ("call_type", "call_type_comm"),
+    ("call_sid", "call_sid_comm"),
+    ("call_legs", "call_legs_comm"),
+    ("recording_url", "recording_url_comm"),
+    ("call_start_time", "call_start_time_comm"),
+    ("call_end_time", "call_end_time_comm"),
+    ("call_event_status", "call_event_status_comm"),
+    ("event_type", "event_type_comm"),
+    ("call_ended", "call_ended_comm"),
+]
 DERIVED_COLUMNS = (
     "site_visit_scheduled", LABEL_ENTITY, LABEL_STATUS,
     "previous_lead_status", LABEL_SUB_SOURCE, LABEL_SOURCE,
