@@ -476,6 +476,18 @@ def table_replace_roundtrip(spark, d):
     return read_table(spark, ROUNDTRIP_TABLE)
 
 
+def job_row_counts(spark, d):
+    """[A8] row count of each silver output before export: one distributed count
+    per table (the export job observes the same count during its write)."""
+    lf, lg, pr, lb = lead_360_inputs(spark, d)
+    outputs = {"lead_flat": lf, "comm_logs": lg, "lead_360": lead_360_plan(lf, lg, pr, lb)}
+    counts = [
+        df.groupBy().agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in outputs.items()
+    ]
+    return union_channels(*counts)
+
+
 QUERIES: dict[str, Query] = {
     "json_struct_flatten": json_struct_flatten,
     "json_path_extract": json_path_extract,
@@ -510,4 +522,5 @@ QUERIES: dict[str, Query] = {
     "comm_logs_flat": comm_logs_flat,
     "lead_360": lead_360,
     "table_replace_roundtrip": table_replace_roundtrip,
+    "job_row_counts": job_row_counts,
 }

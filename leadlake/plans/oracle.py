@@ -432,3 +432,7 @@ LEFT JOIN lab e3 ON lf.src = e3._id AND lf.orgId = e3.orgId
 LEFT JOIN lab pl ON lg.prevStatus = pl._id AND lg.orgId = pl.orgId""",
     "table_replace_roundtrip": LABELS,
 }
+ORACLE["job_row_counts"] = f"""
+SELECT 'lead_flat' AS table_name, count(*) AS row_count FROM customer
+UNION ALL SELECT 'comm_logs', count(*) FROM orders
+UNION ALL SELECT 'lead_360', count(*) FROM ({ORACLE['lead_360']})"""
