@@ -17,6 +17,11 @@ def spread(df: DataFrame, keys: Sequence[str] = (), min_partitions: int | None =
     """Repartition ``df`` to ``min_partitions`` (default: the context's default
     parallelism) when it has fewer partitions.
 
+    Meant for inputs that are scans with projections / filters (how the jobs use
+    it): their partition count comes from the file splits without running
+    anything.  On a plan that already contains shuffles, asking for the partition
+    count would make adaptive execution run those stages, so do not use it there.
+
     Hash partitioning is deterministic, so a retried task recomputes exactly its
     rows.  It uses ``keys`` (those present in ``df``), else every column - cheaper
     than a round-robin repartition, which has to sort its input to be repeatable.
