@@ -256,3 +256,22 @@ def test_hot_lead_is_split_by_aqe_only_in_the_skew_safe_form(spark):
     finally:
         for k, v in prev.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_fact_key_in_a_shuffled_lookup_is_split_by_aqe(spark):
+    """A campaign with a third of all logs, looked up without broadcast: the fact
+    side is the preserved side of the LEFT join, so AQE can split its hot partition."""
+    facts = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("c7")).otherwise(F.concat(F.lit("c"), (F.col("id") % 500).cast("string"))).alias("campaignId"),
+        F.repeat(F.lit("x"), 40).alias("pad"))
+    dim = spark.range(500).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("_id"), F.lit("n").alias("name"))
+    prev = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        df = lookup(facts, dim, [("campaignId", "_id")], {"name": "campaignname"}, broadcast=False)
+        assert len(df.collect()) == 60000
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
