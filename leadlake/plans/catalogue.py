@@ -33,10 +33,12 @@ from ..operators.pivot import channel_pivot, union_channels
 from ..session import checkpoint_dir
 from ..sources.catalog import read_table, replace_table
 from . import testbed as T
+from .comm_logs import OUTPUT_SPEC as COMM_OUTPUT_SPEC
 from .comm_logs import communication_logs_flat
 from .engagement import sms_engagement, whatsapp_engagement
 from . import lead_360 as L360
 from .lead_360 import lead_360 as lead_360_plan
+from .lead_flat import OUTPUT_COLUMNS as LEAD_FLAT_OUTPUT
 from .lead_flat import lead_flat as lead_flat_plan
 from .response import RESPONSE_COLUMNS, campaign_response as campaign_response_plan, channel_events
 
@@ -401,28 +403,21 @@ def campaign_response(spark, d):
 
 
 # ---- M: whole jobs ---------------------------------------------------------------
-LEAD_FLAT_CHECK_COLUMNS = (
-    "_id", "orgId", "leadId", "projectId", "leadStatus", "isActive", "createdAt",
-    "original_siteVisit_json", "profile_fullName", "profile_age", "profile_whatsAppNumber",
-    "profile_sourceOfLead", "profile_subSourceOfLead", "propertyInterest_budgetRange",
-    "conversionPropensity_leadIntent", "siteVisit_date", "siteVisit_modeOfVisit",
-)
+# every output column of M1, and of M2 all but the two array columns (carried as
+# they are; array values hash differently across engines)
+LEAD_FLAT_CHECK_COLUMNS = tuple(LEAD_FLAT_OUTPUT)
 
 
 def lead_flat(spark, d):
-    """[M1 C2 C3 P1 P3] leads bronze -> flat columns (key subset of the 56)."""
+    """[M1 C2 C3 P1 P3] leads bronze -> all 56 flat columns."""
     return lead_flat_plan(T.leads_bronze(T.table(spark, d, "customer"))).select(*LEAD_FLAT_CHECK_COLUMNS)
 
 
-COMM_LOGS_CHECK_COLUMNS = (
-    "_id", "orgId", "leadId", "projectId", "prevStatus", "bookingId", "payload_subStatus",
-    "createdAt", "nextSiteVisit", "siteVisit_date", "callDuration", "callStatus", "viewed",
-    "background_possessionDate_month",
-)
+COMM_LOGS_CHECK_COLUMNS = tuple(n for n, _ in COMM_OUTPUT_SPEC if n not in ("payload_assignmentHistory", "call_legs"))
 
 
 def comm_logs_flat(spark, d):
-    """[M2 C5 P1 P2 P8] log payload JSON -> flat columns (key subset of the 109)."""
+    """[M2 C5 P1 P2 P8] log payload JSON -> the 107 scalar columns of the 109."""
     return communication_logs_flat(T.comm_logs_bronze(T.table(spark, d, "orders"))).select(*COMM_LOGS_CHECK_COLUMNS)
 
 

@@ -29,6 +29,14 @@ PROFILE_OUT = (
     "sourceOfLead", "subSourceOfLead", "referralSource", "agentName",
 )
 CONVERSION_OUT = ("probability", "leadIntent")
+OUTPUT_COLUMNS = (
+    list(ROOT_COLUMNS)
+    + [out for out, _ in RAW_JSON_COLUMNS]
+    + [f"profile_{f}" for f in PROFILE_OUT]
+    + [f"propertyInterest_{f}" for f in S.PROPERTY_INTEREST_FIELDS]
+    + [f"conversionPropensity_{f}" for f in CONVERSION_OUT]
+    + [f"siteVisit_{f}" for f in S.SITE_VISIT_FIELDS]
+)
 
 
 def lead_flat(bronze: DataFrame) -> DataFrame:

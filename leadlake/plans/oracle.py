@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from ..functions import events as EV
 from . import lead_360 as L360
+from .comm_logs import OUTPUT_SPEC as COMM_OUTPUT_SPEC
+from .lead_flat import OUTPUT_COLUMNS as LEAD_FLAT_OUTPUT
 from . import testbed as T
 
 LOCAL = "INTERVAL 330 MINUTE"
@@ -392,18 +394,6 @@ WHERE channel IS NOT NULL""",
 SELECT d.leadId, d.lead_flat_id, a.event_date, a.orgId, a.projectId,
        {", ".join("a." + o for o, _, _ in PIVOT_COLUMNS)}
 FROM ({PIVOT}) a JOIN (SELECT DISTINCT lead_flat_id, leadId FROM ({LEAD_DIM})) d ON a.profileId = d.lead_flat_id""",
-    "lead_flat": f"""
-SELECT lead_flat_id AS _id, orgId, leadId, projectId, leadStatus, isActive, CAST(NULL AS VARCHAR) AS createdAt,
-       siteVisit AS original_siteVisit_json, fullName AS profile_fullName, age AS profile_age,
-       phone AS profile_whatsAppNumber, src AS profile_sourceOfLead, subsrc AS profile_subSourceOfLead,
-       CAST(NULL AS VARCHAR) AS propertyInterest_budgetRange, leadIntent AS conversionPropensity_leadIntent,
-       siteVisit_date, siteVisit_modeOfVisit
-FROM ({LEADS_BRONZE})""",
-    "comm_logs_flat": f"""
-SELECT log_id AS _id, orgId, leadId, projectId, prevStatus, bookingId, subStatus AS payload_subStatus, createdAt,
-       nextSiteVisit, siteVisit_date, callDuration, callStatus, viewed,
-       CAST(NULL AS VARCHAR) AS background_possessionDate_month
-FROM ({LOGS_BRONZE})""",
     "lead_360": f"""
 WITH lf AS ({LEADS_BRONZE}), lg AS ({LOGS_BRONZE}), p AS ({PROJECTS}), lab AS ({LABELS})
 SELECT lf.lead_flat_id, lg.log_id AS communication_log_id, lf.orgId, lf.projectId,
@@ -436,3 +426,41 @@ ORACLE["job_row_counts"] = f"""
 SELECT 'lead_flat' AS table_name, count(*) AS row_count FROM customer
 UNION ALL SELECT 'comm_logs', count(*) FROM orders
 UNION ALL SELECT 'lead_360', count(*) FROM ({ORACLE['lead_360']})"""
+
+
+# ---- M1 / M2: every column; those the adapters never set are NULL --------------------
+_PROFILE_JSON = (
+    "'{\"fullName\":\"' || fullName || '\",\"age\":' || age"
+    " || CASE WHEN phone IS NULL THEN '' ELSE ',\"whatsAppNumber\":\"' || phone || '\"' END"
+    " || ',\"sourceOfLead\":\"' || src || '\",\"subSourceOfLead\":\"' || subsrc || '\"}'"
+)
+_LEAD_FLAT_SET = {
+    "_id": "lead_flat_id", "orgId": "orgId", "leadId": "leadId", "projectId": "projectId",
+    "leadStatus": "leadStatus", "isActive": "isActive", "original_siteVisit_json": "siteVisit",
+    "conversionPropensity": "'{\"leadIntent\":\"' || leadIntent || '\"}'", "profile": _PROFILE_JSON,
+    "profile_fullName": "fullName", "profile_age": "age", "profile_whatsAppNumber": "phone",
+    "profile_sourceOfLead": "src", "profile_subSourceOfLead": "subsrc",
+    "conversionPropensity_leadIntent": "leadIntent", "siteVisit_date": "siteVisit_date",
+    "siteVisit_modeOfVisit": "siteVisit_modeOfVisit",
+}
+_COMM_SET = {
+    "_id": "log_id", "orgId": "orgId", "leadId": "leadId", "projectId": "projectId",
+    "prevStatus": "prevStatus", "bookingId": "bookingId", "payload_subStatus": "subStatus",
+    "createdAt": "createdAt", "nextSiteVisit": "nextSiteVisit", "siteVisit_date": "siteVisit_date",
+    "callDuration": "callDuration", "callStatus": "callStatus", "viewed": "viewed",
+}
+_BOOLEAN = {"viewed", "call_ended"}
+
+
+def _select(names, known):
+    return ",\n       ".join(
+        f"{known[n]} AS {n}" if n in known else f"CAST(NULL AS {'BOOLEAN' if n in _BOOLEAN else 'VARCHAR'}) AS {n}"
+        for n in names
+    )
+
+
+ORACLE["lead_flat"] = f"SELECT {_select(LEAD_FLAT_OUTPUT, _LEAD_FLAT_SET)}\nFROM ({LEADS_BRONZE})"
+ORACLE["comm_logs_flat"] = (
+    f"SELECT {_select([n for n, _ in COMM_OUTPUT_SPEC if n not in ('payload_assignmentHistory', 'call_legs')], _COMM_SET)}"
+    f"\nFROM ({LOGS_BRONZE})"
+)
