@@ -14,6 +14,7 @@ from ..functions import events as EV
 from . import lead_360 as L360
 from .comm_logs import OUTPUT_SPEC as COMM_OUTPUT_SPEC
 from .lead_flat import OUTPUT_COLUMNS as LEAD_FLAT_OUTPUT
+from .lead_360 import OUTPUT_COLUMNS as LEAD_360_OUTPUT
 from . import testbed as T
 
 LOCAL = "INTERVAL 330 MINUTE"
@@ -394,40 +395,9 @@ WHERE channel IS NOT NULL""",
 SELECT d.leadId, d.lead_flat_id, a.event_date, a.orgId, a.projectId,
        {", ".join("a." + o for o, _, _ in PIVOT_COLUMNS)}
 FROM ({PIVOT}) a JOIN (SELECT DISTINCT lead_flat_id, leadId FROM ({LEAD_DIM})) d ON a.profileId = d.lead_flat_id""",
-    "lead_360": f"""
-WITH lf AS ({LEADS_BRONZE}), lg AS ({LOGS_BRONZE}), p AS ({PROJECTS}), lab AS ({LABELS})
-SELECT lf.lead_flat_id, lg.log_id AS communication_log_id, lf.orgId, lf.projectId,
-       {normalize_phone('lf.phone')} AS normalized_whatsapp_number, p.projectName,
-       ({present('lf.siteVisit')} OR {present('lg.nextSiteVisit')} OR lg.siteVisit_date IS NOT NULL) AS site_visit_scheduled,
-       e.entityName AS {L360.LABEL_ENTITY}, e.labelName AS {L360.LABEL_STATUS},
-       pl.labelName AS previous_lead_status, e2.labelName AS {L360.LABEL_SUB_SOURCE},
-       e3.labelName AS {L360.LABEL_SOURCE},
-       CASE WHEN {booked('lg.bookingId', 'e.labelName')} THEN 1 ELSE 0 END AS booked_flag,
-       coalesce(lg.subStatus IN ('SV_DONE'), FALSE) AS Site_Visit_Completed,
-       CASE WHEN {booked('lg.bookingId', 'e.labelName')} THEN lg.createdAt END AS booked_date,
-       lf.leadIntent AS lead_temperature,
-       lf.leadId, lf.leadStatus, lf.isActive, lf.siteVisit, CAST(NULL AS VARCHAR) AS pms_LeadId,
-       lf.phone AS profile_whatsAppNumber, lf.fullName AS profile_fullName, lf.age AS profile_age,
-       lf.src AS profile_sourceOfLead, lf.subsrc AS profile_subSourceOfLead,
-       p.projectStatus, p.projectLogo, p.completionDate, p.projectPublishStatus,
-       lg.leadId AS leadId_comm, lg.orgId AS orgId_comm, lg.projectId AS projectId_comm,
-       lg.createdAt AS createdAt_comm, lg.prevStatus AS prevStatus_comm, lg.nextSiteVisit AS nextSiteVisit_comm,
-       lg.bookingId, lg.subStatus AS payload_subStatus, lg.siteVisit_date, lg.callDuration, lg.callStatus, lg.viewed
-FROM lf
-LEFT JOIN lg ON lf.lead_flat_id = lg.leadId AND lf.orgId = lg.orgId AND lf.projectId = lg.projectId
-LEFT JOIN p ON lf.projectId = p._id AND lf.orgId = p.orgId
-LEFT JOIN lab e ON lf.leadStatus = e._id AND lf.orgId = e.orgId
-LEFT JOIN lab e2 ON lf.subsrc = e2._id AND lf.orgId = e2.orgId
-LEFT JOIN lab e3 ON lf.src = e3._id AND lf.orgId = e3.orgId
-LEFT JOIN lab pl ON lg.prevStatus = pl._id AND lg.orgId = pl.orgId""",
+
     "table_replace_roundtrip": LABELS,
 }
-ORACLE["job_row_counts"] = f"""
-SELECT 'lead_flat' AS table_name, count(*) AS row_count FROM customer
-UNION ALL SELECT 'comm_logs', count(*) FROM orders
-UNION ALL SELECT 'lead_360', count(*) FROM ({ORACLE['lead_360']})"""
-
-
 # ---- M1 / M2: every column; those the adapters never set are NULL --------------------
 _PROFILE_JSON = (
     "'{\"fullName\":\"' || fullName || '\",\"age\":' || age"
@@ -464,3 +434,50 @@ ORACLE["comm_logs_flat"] = (
     f"SELECT {_select([n for n, _ in COMM_OUTPUT_SPEC if n not in ('payload_assignmentHistory', 'call_legs')], _COMM_SET)}"
     f"\nFROM ({LOGS_BRONZE})"
 )
+
+
+# ---- M3: every scalar column of the 163 ------------------------------------------------
+_LEAD_360_ARRAYS = ("payload_assignmentHistory", "call_legs_comm")
+_LEAD_360_SET = {
+    "lead_flat_id": "lf.lead_flat_id", "orgId": "lf.orgId", "leadId": "lf.leadId", "isActive": "lf.isActive",
+    "projectId": "lf.projectId", "siteVisit": "lf.siteVisit", "leadStatus": "lf.leadStatus",
+    "conversionPropensity": "'{\"leadIntent\":\"' || lf.leadIntent || '\"}'",
+    "profile_whatsAppNumber": "lf.phone", "normalized_whatsapp_number": normalize_phone("lf.phone"),
+    "profile_sourceOfLead": "lf.src", "profile_subSourceOfLead": "lf.subsrc",
+    "profile_fullName": "lf.fullName", "profile_age": "lf.age",
+    "projectName": "p.projectName", "projectStatus": "p.projectStatus", "projectLogo": "p.projectLogo",
+    "completionDate": "p.completionDate", "projectPublishStatus": "p.projectPublishStatus",
+    "communication_log_id": "lg.log_id", "leadId_comm": "lg.leadId", "orgId_comm": "lg.orgId",
+    "projectId_comm": "lg.projectId", "createdAt_comm": "lg.createdAt", "prevStatus_comm": "lg.prevStatus",
+    "nextSiteVisit_comm": "lg.nextSiteVisit", "bookingId": "lg.bookingId", "payload_subStatus": "lg.subStatus",
+    "siteVisit_date": "lg.siteVisit_date", "callDuration": "lg.callDuration", "callStatus": "lg.callStatus",
+    "viewed": "lg.viewed",
+    "site_visit_scheduled": f"({present('lf.siteVisit')} OR {present('lg.nextSiteVisit')} OR lg.siteVisit_date IS NOT NULL)",
+    L360.LABEL_ENTITY: "e.entityName", L360.LABEL_STATUS: "e.labelName", "previous_lead_status": "pl.labelName",
+    L360.LABEL_SUB_SOURCE: "e2.labelName", L360.LABEL_SOURCE: "e3.labelName",
+    "booked_flag": f"CASE WHEN {booked('lg.bookingId', 'e.labelName')} THEN 1 ELSE 0 END",
+    "Site_Visit_Completed": "coalesce(lg.subStatus IN ('SV_DONE'), FALSE)",
+    "booked_date": f"CASE WHEN {booked('lg.bookingId', 'e.labelName')} THEN lg.createdAt END",
+    "lead_temperature": "lf.leadIntent",
+}
+_BOOLEAN_360 = {"call_ended_comm"}
+LEAD_360_CHECK = [c for c in LEAD_360_OUTPUT if c not in _LEAD_360_ARRAYS]
+_L360_SELECT = ",\n       ".join(
+    f"{_LEAD_360_SET[c]} AS {c}" if c in _LEAD_360_SET
+    else f"CAST(NULL AS {'BOOLEAN' if c in _BOOLEAN_360 else 'VARCHAR'}) AS {c}"
+    for c in LEAD_360_CHECK
+)
+ORACLE["lead_360"] = f"""
+WITH lf AS ({LEADS_BRONZE}), lg AS ({LOGS_BRONZE}), p AS ({PROJECTS}), lab AS ({LABELS})
+SELECT {_L360_SELECT}
+FROM lf
+LEFT JOIN lg ON lf.lead_flat_id = lg.leadId AND lf.orgId = lg.orgId AND lf.projectId = lg.projectId
+LEFT JOIN p ON lf.projectId = p._id AND lf.orgId = p.orgId
+LEFT JOIN lab e ON lf.leadStatus = e._id AND lf.orgId = e.orgId
+LEFT JOIN lab e2 ON lf.subsrc = e2._id AND lf.orgId = e2.orgId
+LEFT JOIN lab e3 ON lf.src = e3._id AND lf.orgId = e3.orgId
+LEFT JOIN lab pl ON lg.prevStatus = pl._id AND lg.orgId = pl.orgId"""
+ORACLE["job_row_counts"] = f"""
+SELECT 'lead_flat' AS table_name, count(*) AS row_count FROM customer
+UNION ALL SELECT 'comm_logs', count(*) FROM orders
+UNION ALL SELECT 'lead_360', count(*) FROM ({ORACLE['lead_360']})"""
