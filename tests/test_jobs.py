@@ -218,3 +218,18 @@ def test_lead_360_without_broadcastable_lookups_checkpoints_leads(spark, lookups
     cols = ["lead_flat_id", "communication_log_id", "projectName", "sirrus_lead_status",
             "sirrus_source_of_lead", "previous_lead_status", "booked_flag"]
     assert rows(unbroadcast, *cols) == rows(default, *cols)
+
+
+def test_missing_columns_scenario(spark):
+    """FIXTURES 4.7: leads without ``profile``; email logs without ``projectId`` and ``profileId``."""
+    flat = lead_flat(leads(spark, [{"_id": "1", "orgId": "o1"}], drop=("profile",)))
+    r = flat.collect()[0]
+    assert r.profile is None and r.profile_whatsAppNumber is None and r.profile_fullName is None
+    dim = _dim(spark, [{"lead_flat_id": "p1", "leadId": "L1"}])
+    email = spark.createDataFrame([("open", "2024-01-01 10:00:00", "o1")], "status string, createdAt string, organisationId string")
+    sms = spark.createDataFrame([("SENT", "2024-01-01 10:00:00", "o1", "p1")],
+                                "status string, updatedAt string, organisationId string, profileId string")
+    wa = spark.createDataFrame([], "status string, updatedAt string, organisationId string, payload string, profileId string")
+    out = campaign_response(sms, wa, email, dim).collect()
+    # the email row has no profile, so it cannot reach a lead; the SMS row can
+    assert [(r.lead_flat_id, r.projectId, r.SMS_SENT, r.EMAIL_OPENED) for r in out] == [("p1", None, 1, None)]
