@@ -233,3 +233,12 @@ def test_missing_columns_scenario(spark):
     out = campaign_response(sms, wa, email, dim).collect()
     # the email row has no profile, so it cannot reach a lead; the SMS row can
     assert [(r.lead_flat_id, r.projectId, r.SMS_SENT, r.EMAIL_OPENED) for r in out] == [("p1", None, 1, None)]
+
+
+def test_unknown_campaign_keeps_null_name(spark):
+    """FIXTURES 4.8: an event whose campaign id is not in the campaigns table still
+    counts its lead, under a NULL campaign name and channel."""
+    dim = _dim(spark, [{"leadId": "A", "orgId": "o1", "profile_whatsAppNumber": "9000000001"}])
+    wa = _wa(spark, [("c404", "o1", "read", "9000000001", DAY1)])
+    r = whatsapp_engagement(wa, _campaigns(spark), dim).collect()
+    assert [(x.campaignid, x.campaignname, x.campaignchannel, x.total_unique_leads) for x in r] == [("c404", None, None, 1)]
