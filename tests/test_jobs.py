@@ -242,3 +242,19 @@ def test_unknown_campaign_keeps_null_name(spark):
     wa = _wa(spark, [("c404", "o1", "read", "9000000001", DAY1)])
     r = whatsapp_engagement(wa, _campaigns(spark), dim).collect()
     assert [(x.campaignid, x.campaignname, x.campaignchannel, x.total_unique_leads) for x in r] == [("c404", None, None, 1)]
+
+
+def test_skew_safe_join_follows_the_session_setting(spark, lookups):
+    from leadlake.plans.lead_360 import SKEW_SAFE_CONF
+
+    projects, labels = lookups
+    args = (lead_flat(leads(spark, LEADS)), communication_logs_flat(logs(spark, LOGS)), projects, labels)
+    safe_plan = lead_360(*args)._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set(SKEW_SAFE_CONF, "false")
+    try:
+        plain = lead_360(*args)
+        plain_plan = plain._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(plain, "lead_flat_id", "communication_log_id") == rows(lead_360(*args, skew_safe=True), "lead_flat_id", "communication_log_id")
+    finally:
+        spark.conf.unset(SKEW_SAFE_CONF)
+    assert "LeftAnti" in safe_plan and "LeftAnti" not in plain_plan
