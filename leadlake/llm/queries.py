@@ -3,9 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leadlake.llm import entropy_scan, line_frequency
-from leadlake.llm.common import read_table
+from leadlake.llm import anchor_pii, entropy_scan, hyperdimensional, line_frequency
+from leadlake.llm.common import held_out, read_table
+
+
+def op1_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
+    prototypes = hyperdimensional.learn(docs.where(~F.col("held_out")))
+    return hyperdimensional.predict(docs, prototypes, ["doc_id", "held_out"])
+
+
+def op3_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchor_pii.digest(anchor_pii.scan(read_table(spark, sf_dir, "documents")))
 
 
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +28,8 @@ def op6_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_hyperdimensional,
+    op3_anchor_pii,
     op5_line_frequency,
     op6_entropy_secrets,
 )}
