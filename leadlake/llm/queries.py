@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import anchor_pii, entropy_scan, hyperdimensional, line_frequency
+from leadlake.llm import anchor_pii, entropy_scan, hyperdimensional, imatch, line_frequency
 from leadlake.llm.common import held_out, read_table
 
 
@@ -15,6 +15,11 @@ def op1_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperdimensional.predict(docs, prototypes, ["doc_id", "held_out"])
 
 
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return imatch.compare_edited(docs, imatch.lexicon(docs))
+
+
 def op3_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchor_pii.digest(anchor_pii.scan(read_table(spark, sf_dir, "documents")))
 
@@ -29,6 +34,7 @@ def op6_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_hyperdimensional,
+    op2_imatch,
     op3_anchor_pii,
     op5_line_frequency,
     op6_entropy_secrets,
