@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import anchor_pii, entropy_scan, hyperdimensional, imatch, line_frequency
+from leadlake.llm import anchor_pii, byte_cnn, entropy_scan, hyperdimensional, imatch, line_frequency
 from leadlake.llm.common import held_out, read_table
 
 
@@ -32,10 +32,18 @@ def op6_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entropy_scan.digest(entropy_scan.scan(read_table(spark, sf_dir, "documents")))
 
 
+def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
+    labels = read_table(spark, sf_dir, "labels")
+    network = byte_cnn.learn(docs.where(~F.col("held_out")), labels.where(~held_out(F.col("doc_id"))))
+    return byte_cnn.score(docs, network, ["doc_id", "held_out"])
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hyperdimensional,
     op2_imatch,
     op3_anchor_pii,
     op5_line_frequency,
     op6_entropy_secrets,
+    op10_byte_cnn,
 )}
