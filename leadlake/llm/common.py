@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +51,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BITMAP_BITS = 1 << 24
+
+
+def bitmap_filter(values: DataFrame, column: str):
+    """A filter ``f(column) -> bool`` that is true for every long in ``values`` and for
+    few others.  The bitmap has a fixed size (2 MB) whatever the number of values; with
+    very many values it lets more through, so an exact join must follow."""
+    place = F.pmod(F.col(column), F.lit(BITMAP_BITS)) + 1  # these functions count from 1
+    parts = values.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    part_bytes = 1 << 12  # Spark's bitmaps hold 32,768 bits
+    bits = np.zeros(BITMAP_BITS // 8 + part_bytes, dtype=np.uint8)
+    for r in parts:
+        at = (r["bucket"] - 1) * part_bytes
+        bits[at:at + len(r["bits"])] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    shared = values.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def holds(keys: pd.Series) -> pd.Series:
+        at = keys.to_numpy(dtype=np.int64) % BITMAP_BITS
+        return pd.Series((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    return holds

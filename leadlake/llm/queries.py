@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import anchor_pii, byte_cnn, entropy_scan, hyperdimensional, imatch, line_frequency
+from leadlake.llm import anchor_pii, byte_cnn, entropy_scan, hyperdimensional, imatch, line_frequency, setsketch
 from leadlake.llm.common import held_out, read_table
 
 
@@ -32,6 +32,12 @@ def op6_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entropy_scan.digest(entropy_scan.scan(read_table(spark, sf_dir, "documents")))
 
 
+def op7_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = setsketch.near_duplicates(docs, setsketch.Near(shingle_words=2))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
     labels = read_table(spark, sf_dir, "labels")
@@ -45,5 +51,6 @@ QUERIES = {f.__name__: f for f in (
     op3_anchor_pii,
     op5_line_frequency,
     op6_entropy_secrets,
+    op7_setsketch,
     op10_byte_cnn,
 )}

@@ -45,6 +45,46 @@ SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
 FROM m
 """
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x : x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n, sum(hash(g)) AS content FROM s GROUP BY doc_id
+), reps AS (
+  SELECT content, n, min(doc_id) AS rep FROM n GROUP BY content, n
+), t AS (
+  SELECT s.doc_id, s.g, reps.n FROM s JOIN reps ON s.doc_id = reps.rep
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id
+   AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(x, y) AS (
+  SELECT rep, rep FROM reps
+  UNION
+  SELECT reach.x, both_ways.b FROM reach JOIN both_ways ON reach.y = both_ways.a
+), component AS (
+  SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+       coalesce(c.component_id, d.doc_id) AS component_id,
+       coalesce(c.component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id)
+LEFT JOIN reps r ON n.content = r.content AND n.n = r.n
+LEFT JOIN component c ON r.rep = c.x
+"""
+
 ORACLE = {
+    "op7_setsketch": NEAR_DUPLICATES,
     "op5_line_frequency": LINE_FREQUENCY,
 }
