@@ -56,19 +56,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
 BITMAP_BITS = 1 << 24
 
 
-def bitmap_filter(values: DataFrame, column: str):
-    """A filter ``f(column) -> bool`` that is true for every long in ``values`` and for
-    few others.  The bitmap has a fixed size (2 MB) whatever the number of values; with
-    very many values it lets more through, so an exact join must follow."""
-    place = F.pmod(F.col(column), F.lit(BITMAP_BITS)) + 1  # these functions count from 1
+def bitmap_of(values: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """Bitmap of the longs in ``column``, by their value modulo ``bits``.  Its size is
+    fixed (``bits`` / 8 bytes) whatever the number of values."""
+    place = F.pmod(F.col(column), F.lit(bits)) + 1  # these functions count from 1
     parts = values.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
     part_bytes = 1 << 12  # Spark's bitmaps hold 32,768 bits
-    bits = np.zeros(BITMAP_BITS // 8 + part_bytes, dtype=np.uint8)
+    out = np.zeros(max(bits // 8, part_bytes), dtype=np.uint8)
     for r in parts:
         at = (r["bucket"] - 1) * part_bytes
-        bits[at:at + len(r["bits"])] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
-    shared = values.sparkSession.sparkContext.broadcast(bits)
+        out[at:at + len(r["bits"])] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    return out
+
+
+def bitmap_filter(values: DataFrame, column: str):
+    """A filter ``f(column) -> bool`` that is true for every long in ``values`` and for
+    few others.  With very many values it lets more through, so an exact join must
+    follow."""
+    shared = values.sparkSession.sparkContext.broadcast(bitmap_of(values, column))
 
     @F.pandas_udf("boolean")
     def holds(keys: pd.Series) -> pd.Series:

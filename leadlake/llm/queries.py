@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import anchor_pii, byte_cnn, entropy_scan, hyperdimensional, imatch, line_frequency, setsketch
+from leadlake.llm import anchor_pii, byte_cnn, entropy_scan, hyperdimensional, imatch, line_frequency, segment_lines, setsketch
 from leadlake.llm.common import held_out, read_table
 
 
@@ -38,6 +38,10 @@ def op7_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_segment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_lines.deduplicate(read_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
     labels = read_table(spark, sf_dir, "labels")
@@ -52,5 +56,6 @@ QUERIES = {f.__name__: f for f in (
     op5_line_frequency,
     op6_entropy_secrets,
     op7_setsketch,
+    op8_segment_lines,
     op10_byte_cnn,
 )}
