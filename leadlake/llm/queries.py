@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import anchor_pii, byte_cnn, entropy_scan, hyperdimensional, imatch, line_frequency, segment_lines, setsketch
+from leadlake.llm import (
+    anchor_pii,
+    byte_cnn,
+    entropy_scan,
+    hyperdimensional,
+    imatch,
+    line_frequency,
+    pfair,
+    piece_arrays,
+    segment_lines,
+    setsketch,
+)
 from leadlake.llm.common import held_out, read_table
 
 
@@ -24,6 +35,11 @@ def op3_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchor_pii.digest(anchor_pii.scan(read_table(spark, sf_dir, "documents")))
 
 
+def op4_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    return pfair.mix(docs)
+
+
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.line_quality(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +58,10 @@ def op8_segment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_lines.deduplicate(read_table(spark, sf_dir, "documents"))
 
 
+def op9_piece_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_arrays.encode(read_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
     labels = read_table(spark, sf_dir, "labels")
@@ -53,9 +73,11 @@ QUERIES = {f.__name__: f for f in (
     op1_hyperdimensional,
     op2_imatch,
     op3_anchor_pii,
+    op4_pfair,
     op5_line_frequency,
     op6_entropy_secrets,
     op7_setsketch,
     op8_segment_lines,
+    op9_piece_arrays,
     op10_byte_cnn,
 )}
