@@ -2,28 +2,56 @@
 to target weights, tokenisation.
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame; its result is written as
-Parquet and read again as the next stage's documents.
+Parquet and read again as the next stage's documents.  All but the last return the
+columns of their input.  The cases that need a rule (NULLs, empty and repeated rows,
+empty tables, extra columns) are defined in the operators' modules.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import line_frequency
+from leadlake.llm import line_frequency, pfair, piece_arrays, segment_lines, setsketch
 from leadlake.llm.common import read_table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; lines above the limits leave the texts of the others."""
+    """Rejected documents go; lines above a host's limit leave the texts of the others."""
     return line_frequency.clean_documents(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every line but the first of its class leaves its document; documents that are
+    mostly such lines are copies as a whole and left to the next stage."""
+    return segment_lines.without_duplicates(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five-word shingles, similarity 0.8 or more) the
+    document with the smallest doc_id stays."""
+    return setsketch.without_near_duplicates(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mix: consecutive files are consecutive stretches."""
+    return pfair.in_mixed_order(docs)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, n_tokens, ids and round_trip of every document."""
+    return piece_arrays.encode(docs, ["doc_id", "source"])
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("tokenise", tokenise),
 ]
 
-# Near-duplicate groups and tokenisation are beyond SQL; tests/llm holds the pipeline
-# against a brute-force version.
+# Near-duplicate groups, edit distances and tokens are beyond SQL; tests/llm holds the
+# pipeline against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -179,8 +179,10 @@ def _verdict(out: DataFrame, rules: LineRules) -> DataFrame:
         "base_failed": (F.col("n_words") < rules.min_words)
         | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")),
     })
-    depleted = F.col("removed_chars") > rules.max_removed * F.col("line_chars")
-    return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
+    # one comparison that needs both sides of the join: a filter on ``kept`` stays above
+    # it, where the statistics are columns and are not computed again
+    may_lose = F.when(F.col("base_failed"), F.lit(-1.0)).otherwise(rules.max_removed * F.col("line_chars"))
+    return out.withColumn("kept", F.col("removed_chars") <= may_lose)
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

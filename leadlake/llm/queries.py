@@ -50,8 +50,7 @@ def op6_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    found = setsketch.near_duplicates(docs, setsketch.Near(shingle_words=2))
-    return found.select("doc_id", "n_shingles", "component_id", "kept")
+    return setsketch.near_duplicates(docs, setsketch.Near(shingle_words=2))
 
 
 def op8_segment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

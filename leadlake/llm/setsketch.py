@@ -40,7 +40,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.llm.common import bitmap_filter, written
@@ -189,15 +189,19 @@ def _verifier(candidates: DataFrame, near: Near):
     return verify
 
 
-def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, tkey (hash of the text), n_shingles,
-    component_id and kept."""
+def _node(doc_id: Column, tkey: Column) -> Column:
+    """Rows without doc_id get a node above all doc_ids, by their text."""
+    return F.coalesce(doc_id.cast("long"), F.lit(NO_ID) + F.pmod(tkey, F.lit(NO_ID)))
+
+
+def labels(docs: DataFrame, near: Near = Near()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, tkey (hash of the text), n (shingles) and
+    label: the smallest node of the component, NULL for an empty set."""
     rows = written(sketch(docs, near), "sketch")
-    # rows without doc_id get a node above all doc_ids
-    node = F.coalesce(F.col("doc_id"), F.lit(NO_ID) + F.pmod("tkey", F.lit(NO_ID)))
     classes = written(
         rows.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct(
-            node.alias("node"), "doc_id", "tkey", "n", "regs")).alias("c")).select("h1", "h2", "c.*"), "classes")
+            _node(F.col("doc_id"), F.col("tkey")).alias("node"), "doc_id", "tkey", "n", "regs"
+        )).alias("c")).select("h1", "h2", "c.*"), "classes")
 
     width = near.rows * 2
     bands = F.transform(
@@ -219,8 +223,29 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     components = linked_components(shared, _verifier(candidates, near)).select(
         F.col("node").alias("__node"), "component")
     label = classes.select("h1", "h2", "node").join(components, F.col("node") == F.col("__node"), "left").select(
-        F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.coalesce("component", "node").alias("__label"))
+        F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.coalesce("component", "node").alias("label"))
     out = rows.join(label, (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")), "left")
-    component = F.when(F.col("__label").isNull(), F.col("doc_id")).when(F.col("__label") < NO_ID, F.col("__label"))
-    return out.select("doc_id", "tkey", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "tkey", "n", "label")
+
+
+def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id and kept."""
+    component = F.when(F.col("label").isNull(), F.col("doc_id")).when(F.col("label") < NO_ID, F.col("label"))
+    return labels(docs, near).select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
+    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id, and all
+    documents without a word.  Same columns as ``docs``; rows equal in doc_id and text
+    become one."""
+    stay = labels(docs, near).select(
+        _node(F.col("doc_id"), F.col("tkey")).alias("__node"), F.col("tkey").alias("__tkey"), "label"
+    ).where(F.col("label").isNull() | (F.col("label") == F.col("__node"))).select("__node", "__tkey").distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    tkey = F.xxhash64("text")
+    keyed = docs.select(_node(F.col("doc_id"), tkey).alias("__n"), tkey.alias("__t"), row)
+    kept = keyed.join(stay, (F.col("__n") == F.col("__node")) & (F.col("__t") == F.col("__tkey")), "left_semi")
+    # the join has brought equal rows together already
+    return kept.dropDuplicates(["__n", "__t"]).select("__row.*")
