@@ -6,7 +6,6 @@ functions/  Column -> Column business expressions, declared JSON schemas, event
 operators/  DataFrame -> DataFrame building blocks (guards, flatten, joins, funnel, pivot)
 sources/    parquet / catalog / JDBC readers and full-refresh sinks
 plans/      the seven jobs composed from the blocks, plus the catalogue run on the test tables
-streaming/  intentionally empty: the jobs are batch, full-refresh
 """
 
 __version__ = "0.1.0"

@@ -1,9 +1,9 @@
 """Command line: run one job, e.g. from spark-submit.
 
-  python -m leadlake lead_flat --bronze s3a://b/leads --target silver.crm.lead_flat
-  spark-submit leadlake/__main__.py lead_360 --lead-flat silver.crm.lead_flat \\
-      --logs silver.crm.comm_logs --projects s3a://b/projects --labels s3a://b/labels \\
-      --target silver.mart.dim_lead_360 --conf spark.sql.catalog.silver=...
+  python -m leadlake lead_flat --bronze s3a://b/leads --target lake.sales.leads
+  spark-submit leadlake/__main__.py lead_360 --lead-flat lake.sales.leads \\
+      --logs lake.sales.logs --projects s3a://b/projects --labels s3a://b/labels \\
+      --target lake.marts.lead_dim --conf spark.sql.catalog.lake=...
 
 ``--conf key=value`` (repeatable) is passed to the session, so catalogs and table
 formats are configured by the deployment, not in code.  JDBC credentials for
@@ -18,11 +18,16 @@ import json
 import os
 import sys
 
+from pyspark.sql import SparkSession
+
 if __package__ in (None, ""):  # run as a script by spark-submit
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from leadlake.functions.time import LOCAL_TZ  # noqa: E402
 from leadlake.plans import jobs  # noqa: E402
+from leadlake.plans.engagement import PHONE_RULES  # noqa: E402
 from leadlake.session import create_session  # noqa: E402
+from leadlake.sources.jdbc import DEFAULT_CONNECTIONS  # noqa: E402
 
 
 def _pairs(items: list[str]) -> dict[str, str]:
@@ -35,6 +40,12 @@ def _pairs(items: list[str]) -> dict[str, str]:
     return out
 
 
+def _engagement_options(s: argparse.ArgumentParser) -> None:
+    s.add_argument("--tz", default=LOCAL_TZ, help="time zone of the days")
+    s.add_argument("--phone-rule", choices=sorted(PHONE_RULES), default="digits",
+                   help="how a log's number finds its lead")
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="leadlake", description=__doc__.splitlines()[0])
     p.add_argument("--conf", action="append", default=[], help="Spark setting key=value (repeatable)")
@@ -57,14 +68,20 @@ def build_parser() -> argparse.ArgumentParser:
     for a in ("--sms", "--campaigns", "--lead-360", "--target"):
         s.add_argument(a, required=True)
     s.add_argument("--org-column", default=None)
+    _engagement_options(s)
 
     s = sub.add_parser("whatsapp_engagement", help="M5")
     for a in ("--whatsapp", "--campaigns", "--lead-360", "--target"):
         s.add_argument(a, required=True)
+    _engagement_options(s)
 
     s = sub.add_parser("campaign_response", help="M6")
     for a in ("--sms", "--whatsapp", "--email", "--lead-360", "--target"):
         s.add_argument(a, required=True)
+    s.add_argument("--tz", default=LOCAL_TZ, help="time zone of the days")
+    s.add_argument("--sms-rules", choices=sorted(jobs.SMS_RULES), default="shipped")
+    s.add_argument("--keep-dim-duplicates", action="store_true",
+                   help="join every row of the lead dimension, not one per lead")
 
     s = sub.add_parser("sync", help="M7: copy tables to a database (full refresh)")
     s.add_argument("--table", action="append", required=True, help="source=target (repeatable)")
@@ -73,13 +90,16 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--jdbc-user-env", default=None)
     s.add_argument("--jdbc-password-env", default=None)
     s.add_argument("--truncate", action="store_true")
-    s.add_argument("--num-partitions", type=int, default=None)
+    s.add_argument("--num-partitions", type=int, default=DEFAULT_CONNECTIONS, help="connections at once")
     return p
 
 
-def run(argv: list[str] | None = None) -> None:
+def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    """Run one job; with ``spark`` in that session, which is left open."""
     args = build_parser().parse_args(argv)
-    spark = create_session(f"leadlake-{args.job}", master=args.master, conf=_pairs(args.conf))
+    own = spark is None
+    if spark is None:
+        spark = create_session(f"leadlake-{args.job}", master=args.master, conf=_pairs(args.conf))
     try:
         if args.job == "lead_flat":
             jobs.run_lead_flat(spark, args.bronze, args.target)
@@ -89,11 +109,14 @@ def run(argv: list[str] | None = None) -> None:
             jobs.run_lead_360(spark, args.lead_flat, args.logs, args.projects, args.labels, args.target)
         elif args.job == "sms_engagement":
             jobs.run_sms_engagement(spark, args.sms, args.campaigns, args.lead_360, args.target,
-                                    org_column=args.org_column)
+                                    org_column=args.org_column, tz=args.tz, phone_rule=args.phone_rule)
         elif args.job == "whatsapp_engagement":
-            jobs.run_whatsapp_engagement(spark, args.whatsapp, args.campaigns, args.lead_360, args.target)
+            jobs.run_whatsapp_engagement(spark, args.whatsapp, args.campaigns, args.lead_360, args.target,
+                                         tz=args.tz, phone_rule=args.phone_rule)
         elif args.job == "campaign_response":
-            jobs.run_campaign_response(spark, args.sms, args.whatsapp, args.email, args.lead_360, args.target)
+            jobs.run_campaign_response(spark, args.sms, args.whatsapp, args.email, args.lead_360, args.target,
+                                       tz=args.tz, sms_rules=args.sms_rules,
+                                       dedupe_dim=not args.keep_dim_duplicates)
         elif args.job == "sync":
             props = _pairs(args.jdbc_property)
             if args.jdbc_user_env:
@@ -104,7 +127,8 @@ def run(argv: list[str] | None = None) -> None:
                                             truncate=args.truncate, num_partitions=args.num_partitions)
             print(json.dumps(counts))
     finally:
-        spark.stop()
+        if own:
+            spark.stop()
 
 
 if __name__ == "__main__":

@@ -21,6 +21,5 @@ from .flags import (  # noqa: F401
     site_visit_scheduled,
     sms_raw_status,
 )
-from .json import json_path, parse_json, to_json_text  # noqa: F401
 from .text import digits, is_present, normalize_phone, phone_key  # noqa: F401
-from .time import LOCAL_TZ, local_day, local_event_time, local_event_time_from_epoch_ms  # noqa: F401
+from .time import LOCAL_TZ, local_event_time, local_event_time_from_epoch_ms  # noqa: F401

@@ -19,7 +19,7 @@ def is_present(c: Column) -> Column:
     return c.isNotNull() & (F.regexp_replace(c, r"\s+", "") != "") & (c != "None")
 
 
-def normalize_phone(raw: Column, cc: str = "91", keep: int = 20) -> Column:
+def normalize_phone(raw: Column, cc: str = "91") -> Column:
     """The number as the lead dimension stores it (``normalized_whatsapp_number``).
 
     Rules, first match wins:
@@ -30,16 +30,19 @@ def normalize_phone(raw: Column, cc: str = "91", keep: int = 20) -> Column:
       otherwise                              -> raw unchanged
     "long" is measured on the raw text (so a dash counts).  A raw text that
     starts with cc also has digits that start with cc, so a separate
-    "raw starts with cc" rule could never fire and is not written.
-    At most ``keep`` characters are returned.
+    "raw starts with cc" rule could never fire and is not written.  The rest of the
+    text is kept to its end, however long.
     """
     clean = digits(raw)
-    n = len(cc)
+
+    def after(c: Column, n: int) -> Column:
+        return c.substr(F.lit(n + 1), F.length(c))
+
     return (
         F.when(raw.isNull(), F.lit(None).cast("string"))
-        .when(clean.startswith(cc) & (F.length(raw) > 10), F.substring(clean, n + 1, keep))
-        .when(raw.startswith("+" + cc), F.substring(raw, n + 2, keep))
-        .when(raw.startswith("+"), F.substring(raw, 2, keep))
+        .when(clean.startswith(cc) & (F.length(raw) > 10), after(clean, len(cc)))
+        .when(raw.startswith("+" + cc), after(raw, len(cc) + 1))
+        .when(raw.startswith("+"), after(raw, 1))
         .otherwise(raw)
     )
 

@@ -4,8 +4,9 @@ Results are TIMESTAMP_NTZ wall-clock values in ``tz``; ``F.to_date`` of them is
 local day.  Inputs of every kind are shifted exactly once:
 
 * TIMESTAMP_NTZ and zone-less text are read as wall time in ``assume_zone`` (UTC);
-* TIMESTAMP (an instant) and text with an offset or ``Z`` are instants;
-* epoch milliseconds are instants.
+* date-only text is midnight in ``assume_zone``;
+* TIMESTAMP (an instant) and text with a time and an offset or ``Z`` are instants;
+* epoch milliseconds are instants; a fraction of a millisecond is cut off.
 Unparseable text gives NULL (``try_cast``), never an error under ANSI mode.
 """
 
@@ -22,7 +23,8 @@ from pyspark.sql.types import (
 )
 
 LOCAL_TZ = "Asia/Kolkata"
-_ZONED_TEXT = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+# an offset can only follow a time: in 2024-01-01 the last "-01" is the day
+_ZONED_TEXT = r"[T ][0-9]{1,2}(:[0-9.:]*)?\s*(Z|[+-][0-9]{1,2}(:?[0-9]{2})?)$"
 
 
 def local_event_time(
@@ -51,9 +53,7 @@ def local_event_time(
 
 
 def local_event_time_from_epoch_ms(ms: Column, tz: str = LOCAL_TZ) -> Column:
-    """Epoch milliseconds (number or numeric text) -> local wall time."""
-    return F.convert_timezone(None, F.lit(tz), F.timestamp_millis(ms.try_cast("bigint")))
+    """Epoch milliseconds (number or numeric text, decimals too) -> local wall time."""
+    whole = ms.try_cast("decimal(38,6)").try_cast("bigint")
+    return F.convert_timezone(None, F.lit(tz), F.timestamp_millis(whole))
 
-
-def local_day(ts_local: Column) -> Column:
-    return F.to_date(ts_local)

@@ -1,13 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
-from .flatten import flatten, flatten_schema, project_paths  # noqa: F401
-from .funnel import (  # noqa: F401
-    first_event_dedup,
-    funnel_counts,
-    funnel_counts_distinct,
-    lead_flags,
-    lead_flags_stepwise,
-)
+from .flatten import flatten, project_paths  # noqa: F401
+from .funnel import first_event_dedup, funnel_counts, lead_flags  # noqa: F401
 from .guards import (  # noqa: F401
     complex_to_json,
     ensure_column,
@@ -16,13 +10,5 @@ from .guards import (  # noqa: F401
     safe_scalar,
     safe_struct,
 )
-from .joins import (  # noqa: F401
-    bounded_broadcast,
-    fits_broadcast,
-    left_join_one_to_many,
-    lookup,
-    role_lookups,
-    row_count_at_most,
-)
-from .partitioning import spread  # noqa: F401
-from .pivot import channel_pivot, channel_pivot_native, union_channels  # noqa: F401
+from .joins import left_join_one_to_many, lookup, role_lookups  # noqa: F401
+from .pivot import channel_pivot, union_channels  # noqa: F401

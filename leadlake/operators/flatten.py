@@ -6,7 +6,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 def flatten(struct_col: str, prefix: str, fields: Iterable[str]) -> list[Column]:
@@ -14,23 +13,6 @@ def flatten(struct_col: str, prefix: str, fields: Iterable[str]) -> list[Column]
     return [F.col(f"{struct_col}.{f}").alias(f"{prefix}_{f}") for f in fields]
 
 
-def flatten_schema(struct_col: str, schema: StructType, prefix: str | None = None, sep: str = "_") -> list[Column]:
-    """P1 over a whole (possibly nested) struct: every leaf becomes
-    ``prefix_a_b``; arrays are leaves and are carried as they are (P8)."""
-    out: list[Column] = []
-
-    def walk(path: str, name: str, st: StructType) -> None:
-        for f in st.fields:
-            p, n = f"{path}.{f.name}", f"{name}{sep}{f.name}" if name else f.name
-            if isinstance(f.dataType, StructType):
-                walk(p, n, f.dataType)
-            else:
-                out.append(F.col(p).alias(n))
-
-    walk(struct_col, prefix if prefix is not None else struct_col, schema)
-    return out
-
-
 def project_paths(df: DataFrame, spec: Sequence[tuple[str, str]]) -> DataFrame:
     """P1/P2/P8 driven by data: ``spec`` is a list of (output name, dotted path).
     Paths can be any depth; complex values are carried unchanged."""

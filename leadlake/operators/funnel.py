@@ -8,8 +8,8 @@ exactly one row per campaign key and lead after the first aggregate, the distinc
 count of leads with a flag equals ``count_if(flag = 1)``: two shuffles, both with
 map-side partial aggregation, and no ``Expand``.
 
-The three-step form (``first_event_dedup`` -> ``lead_flags_stepwise`` ->
-``funnel_counts_distinct``) is kept for equivalence tests.
+``first_event_dedup`` is the per-event rule on its own, for callers that want one row
+per lead and event; no job needs it.
 """
 
 from __future__ import annotations
@@ -51,7 +51,6 @@ def funnel_counts(
     )
 
 
-# ---- three-step form, as the original jobs compute it --------------------------
 def first_event_dedup(
     events: DataFrame,
     group_keys: Sequence[str],
@@ -65,25 +64,3 @@ def first_event_dedup(
         F.min(ts).alias("first_event_ts"), *[F.max(a).alias(a) for a in attrs]
     )
 
-
-def lead_flags_stepwise(dedup: DataFrame, group_keys: Sequence[str], lead: str, flags: Mapping[str, Column]) -> DataFrame:
-    """A2 over ``first_event_dedup``."""
-    return dedup.groupBy(*group_keys, lead).agg(
-        F.min("first_event_ts").alias("first_event_ts"),
-        F.to_date(F.min("first_event_ts")).alias("event_date"),
-        *[F.max(expr).alias(name) for name, expr in flags.items()],
-    )
-
-
-def funnel_counts_distinct(
-    flags_df: DataFrame,
-    group_keys: Sequence[str],
-    lead: str,
-    counts: Mapping[str, Column],
-    total_name: str = "total_unique_leads",
-) -> DataFrame:
-    """A3/A4 with ``countDistinct(when(cond, lead))``."""
-    return flags_df.groupBy(*group_keys, "event_date").agg(
-        F.countDistinct(lead).alias(total_name),
-        *[F.countDistinct(F.when(cond, F.col(lead))).alias(name) for name, cond in counts.items()],
-    )

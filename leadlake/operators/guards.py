@@ -8,17 +8,34 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, NullType, StringType, StructType
 
 
 def has_column(df: DataFrame, name: str) -> bool:
     return name in df.columns
 
 
+def _is_complex(dtype: DataType) -> bool:
+    return isinstance(dtype, (StructType, ArrayType, MapType))
+
+
+def json_text(df: DataFrame, name: str) -> Column:
+    """JSON text of column ``name``: text as it is, a struct, map or array serialised;
+    a NULL string when the column is absent.  Other types are an error."""
+    if not has_column(df, name):
+        return F.lit(None).cast("string")
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, (StringType, NullType)):
+        return F.col(name).cast("string")
+    if _is_complex(dtype):
+        return F.to_json(F.col(name))
+    raise TypeError(f"column {name} is {dtype.simpleString()}; JSON text or a struct is needed")
+
+
 def safe_struct(df: DataFrame, name: str, schema: StructType) -> Column:
-    """Parse JSON column ``name`` with ``schema``; a NULL struct when it is absent."""
-    src = F.col(name).cast("string") if has_column(df, name) else F.lit(None).cast("string")
-    return F.from_json(src, schema)
+    """Column ``name`` (JSON text, or a native struct) read with ``schema``; a NULL
+    struct when it is absent."""
+    return F.from_json(json_text(df, name), schema)
 
 
 def safe_scalar(df: DataFrame, name: str, dtype: DataType | str = "string") -> Column:
@@ -39,17 +56,13 @@ def ensure_columns(df: DataFrame, names: dict[str, DataType | str]) -> DataFrame
 
 
 def parse_or_null(df: DataFrame, name: str, schema: StructType) -> DataFrame:
-    """Replace JSON column ``name`` by its parsed struct in place; when the
-    column is absent, add it as a NULL of the struct type."""
+    """Replace column ``name`` (JSON text, or a native struct) by its struct of
+    ``schema`` in place; when the column is absent, add it as a NULL of that type."""
     if has_column(df, name):
-        return df.withColumn(name, F.from_json(F.col(name).cast("string"), schema))
+        return df.withColumn(name, safe_struct(df, name, schema))
     return df.withColumn(name, F.lit(None).cast(schema))
 
 
-def _is_complex(dtype: DataType) -> bool:
-    return isinstance(dtype, (StructType, ArrayType, MapType))
-
-
 def complex_to_json(df: DataFrame) -> DataFrame:
     """Struct, array and map columns -> JSON text; other columns untouched.
     One projection, column order kept."""

@@ -2,11 +2,11 @@
 
 Broadcast policy
 ----------------
-A lookup side is broadcast only when its row count is *proven* below a bound:
-``dim.offset(bound).isEmpty()`` stops after seeing ``bound + 1`` rows, so the
-check stays cheap however big the table is.  Above the bound no hint is given and
-Spark plans a shuffle join (AQE may still switch to broadcast at run time from
-real shuffle sizes, and splits skewed partitions).
+Lookups carry no size check and no hint: Spark broadcasts a side below
+``spark.sql.autoBroadcastJoinThreshold`` bytes by its statistics, adaptive execution
+does the same at run time from real shuffle sizes, and anything larger is a shuffle
+join.  Building a plan therefore starts no job.  ``broadcast=True`` is for fixed
+vocabularies, whose size does not depend on the data.
 
 Skew
 ----
@@ -28,53 +28,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The bound comes from the session unless a caller passes one: deployments tune it
-# with --conf spark.leadlake.maxBroadcastRows=N (None or 0 never broadcasts).
-BROADCAST_ROWS_CONF = "spark.leadlake.maxBroadcastRows"
-BROADCAST_ROWS_FALLBACK = 1_000_000
-DEFAULT_MAX_BROADCAST_ROWS = -1  # "use the session setting"
-
-
-def broadcast_bound(df: DataFrame, max_rows: int | None) -> int | None:
-    """The row bound to apply: ``max_rows`` itself, or the session setting when it
-    is ``DEFAULT_MAX_BROADCAST_ROWS``; ``None`` / 0 mean never broadcast."""
-    if max_rows == DEFAULT_MAX_BROADCAST_ROWS:
-        max_rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS_FALLBACK)))
-    return max_rows or None
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` is proven to have at most the bound's rows."""
-    bound = broadcast_bound(df, max_rows)
-    return bound is not None and row_count_at_most(df, bound)
-
 KeyPair = tuple["str | Column", str]
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows.
-
-    ``offset(bound).isEmpty()`` runs as an incremental take of bound + 1 column-less
-    rows (``CollectLimit`` over an empty read schema): partitions are scanned only
-    until enough rows are seen, so the check on a huge table stops early, and only
-    a boolean reaches Python."""
-    return df.offset(bound).isEmpty()
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                      force: bool | None = None) -> DataFrame:
-    """Hint broadcast for ``dim`` only behind a proven row bound.
-
-    ``force=True`` skips the check (the caller asserts the bound, e.g. a fixed
-    vocabulary); ``force=False`` or ``max_rows=None`` never hints.
-    """
-    if force is True:
-        return F.broadcast(dim)
-    if force is False:
-        return dim
-    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-
-
 def _as_col(c: "str | Column") -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -122,8 +78,7 @@ def lookup(
     columns: Mapping[str, str],
     how: str = "left",
     role: str = "lk",
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-    broadcast: bool | None = None,
+    broadcast: bool = False,
 ) -> DataFrame:
     """Add ``columns`` (dim column -> output name) from ``dim`` to ``fact``.
 
@@ -135,7 +90,8 @@ def lookup(
     """
     keys = [d for _, d in on]
     side, key_names, drop, renames = _side(dim, columns, keys, f"__{role}__", fact.columns)
-    side = bounded_broadcast(side, max_broadcast_rows, broadcast)
+    if broadcast:
+        side = F.broadcast(side)
     cond = reduce(lambda a, b: a & b, [_as_col(f) == F.col(key_names[d]) for f, d in on])
     joined = fact.join(side, cond, how)
     if how in ("left_semi", "left_anti"):
@@ -147,14 +103,10 @@ def role_lookups(
     fact: DataFrame,
     dim: DataFrame,
     roles: Mapping[str, tuple[Sequence[KeyPair], Mapping[str, str]]],
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-    broadcast: bool | None = None,
+    broadcast: bool = False,
 ) -> DataFrame:
     """The same lookup table joined once per role: ``roles`` maps a role
-    name to (key pairs, dim column -> output name).  The size bound is checked
-    once for the table and serves every role."""
-    if broadcast is None:
-        broadcast = fits_broadcast(dim, max_broadcast_rows)
+    name to (key pairs, dim column -> output name)."""
     out = fact
     for role, (on, columns) in roles.items():
         out = lookup(out, dim, on, columns, role=role, broadcast=broadcast)

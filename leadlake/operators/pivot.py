@@ -38,21 +38,3 @@ def channel_pivot(
         ]
     )
 
-
-def channel_pivot_native(
-    df: DataFrame,
-    keys: Sequence[str],
-    channel: str,
-    event: str,
-    channels: Sequence[str],
-    metrics: Sequence[tuple[str, str]],
-) -> DataFrame:
-    """A5 as the original job writes it: ``pivot`` with explicit values and one
-    ``sum(when(event == x, 1).otherwise(0))`` per metric; columns come out as
-    ``<channel>_<METRIC>``.  Kept for equivalence tests."""
-    ev = F.col(event)
-    return (
-        df.groupBy(*keys)
-        .pivot(channel, list(channels))
-        .agg(*[F.sum(F.when(ev == e, 1).otherwise(0)).alias(name) for name, e in metrics])
-    )

@@ -5,6 +5,7 @@ over the *whole* input tables; ``plans.oracle`` has the matching SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,15 +31,12 @@ from ..operators.funnel import first_event_dedup, lead_flags as lead_flags_op
 from ..operators.guards import complex_to_json, ensure_column, parse_or_null, safe_scalar, safe_struct
 from ..operators.joins import left_join_one_to_many, lookup, role_lookups
 from ..operators.pivot import channel_pivot, union_channels
-from ..session import checkpoint_dir
+from ..session import scratch_dir
 from ..sources.catalog import read_table, replace_table
 from . import testbed as T
-from .comm_logs import OUTPUT_SPEC as COMM_OUTPUT_SPEC
 from .comm_logs import communication_logs_flat
 from .engagement import sms_engagement, whatsapp_engagement
-from . import lead_360 as L360
 from .lead_360 import lead_360 as lead_360_plan
-from .lead_flat import OUTPUT_COLUMNS as LEAD_FLAT_OUTPUT
 from .lead_flat import lead_flat as lead_flat_plan
 from .response import RESPONSE_COLUMNS, campaign_response as campaign_response_plan, channel_events
 
@@ -67,32 +65,53 @@ def json_path_extract(spark, d):
 
 def missing_column_guard(spark, d):
     """[C3 C4 C5] absent columns become typed NULLs; present ones are cast."""
-    n = T.table(spark, d, "nation")
+    o = T.table(spark, d, "orders")
     payload = StructType([StructField("status", StringType())])
-    df = ensure_column(n, "n_priority", IntegerType())
-    df = ensure_column(df, "n_name", IntegerType())  # present: left untouched
+    df = ensure_column(o, "o_rank", IntegerType())
+    df = ensure_column(df, "o_orderstatus", IntegerType())  # present: left untouched
     df = parse_or_null(df, "payload", payload)
     return df.select(
-        "n_nationkey",
-        safe_scalar(n, "n_name").alias("n_name"),
-        safe_scalar(n, "n_regionkey").alias("n_regionkey_str"),
-        safe_scalar(n, "n_comment").alias("n_comment"),
-        F.col("n_priority"),
+        "o_orderkey",
+        "o_orderstatus",
+        safe_scalar(o, "o_custkey").alias("o_custkey_str"),
+        safe_scalar(o, "o_remark").alias("o_remark"),
+        F.col("o_rank"),
         F.col("payload.status").alias("payload_status"),
     )
 
 
 def complex_to_json_query(spark, d):
-    """[C6 X11] array and struct columns -> JSON text, scalars untouched."""
-    n = T.table(spark, d, "nation")
-    df = n.select(
-        "n_nationkey",
-        F.array("n_nationkey", "n_regionkey").alias("keys_json"),
-        F.struct("n_name", "n_regionkey").alias("name_json"),
+    """[C6 X11] array, map and struct columns -> JSON text, scalars untouched."""
+    o = T.table(spark, d, "orders")
+    df = o.select(
+        "o_orderkey",
+        F.array("o_orderkey", "o_custkey").alias("keys_json"),
+        F.create_map(F.col("o_orderstatus"), F.col("o_custkey")).alias("map_json"),
+        F.struct("o_orderpriority", "o_custkey").alias("order_json"),
     )
     return complex_to_json(df)
 
 
+def struct_input_flatten(spark, d):
+    """[C2 C5 P1] native struct columns where JSON text is usual: same result."""
+    ev = _events(spark, d).select("event_id", F.struct(
+        F.col("event_type").alias("status"),
+        F.struct(F.col("user_id").alias("to")).alias("recipient"),
+        F.array("event_type").alias("tags"),
+    ).alias("payload"))
+    schema = StructType([
+        StructField("status", StringType()),
+        StructField("recipient", StructType([StructField("to", StringType())])),
+        StructField("absent", StringType()),
+    ])
+    by_select = ev.select("event_id", safe_struct(ev, "payload", schema).alias("__p")).select(
+        "event_id", F.col("__p.status").alias("status"), F.col("__p.recipient.to").alias("to_number"),
+        F.col("__p.absent").alias("absent"))
+    in_place = parse_or_null(ev, "payload", schema).select(
+        F.col("event_id").alias("__id"), F.upper("payload.status").alias("in_place_status"))
+    return by_select.join(in_place, F.col("event_id") == F.col("__id")).drop("__id")
+
+
 # ---- J: joins -----------------------------------------------------------------
 def left_join_composite(spark, d):
     """[J1] user turn x the assistant turn that follows it (conv id, turn + 1);
@@ -316,6 +335,33 @@ def epoch_ms_day(spark, d):
     )
 
 
+def epoch_ms_decimal_day(spark, d):
+    """[E15] epoch milliseconds as text with decimals, as a double and as a decimal."""
+    ev = _events(spark, d)
+    ms = T.epoch_ms(F.col("ts"))
+    text = F.concat(ms.cast("string"), F.when(F.col("event_id") % 2 == 0, F.lit(".0")).otherwise(F.lit(".75")))
+    return ev.select(
+        "event_id",
+        local_event_time_from_epoch_ms(text).alias("from_text"),
+        F.to_date(local_event_time_from_epoch_ms(ms.cast("double"))).alias("from_double"),
+        F.to_date(local_event_time_from_epoch_ms(ms.cast("decimal(20,3)"))).alias("from_decimal"),
+    )
+
+
+def date_text_day(spark, d):
+    """[E14] date-only text is midnight UTC in any session zone; with a time and an
+    offset it is an instant."""
+    ev = _events(spark, d)
+    day = F.date_format(F.col("ts").cast("date"), "yyyy-MM-dd")
+    text = StringType()
+    return ev.select(
+        "event_id",
+        local_event_time(day, text).alias("from_day"),
+        local_event_time(F.concat(day, F.lit("T20:15:00-07:00")), text).alias("from_offset"),
+        local_event_time(F.concat(day, F.lit(" 20:15:00")), text).alias("from_plain"),
+    )
+
+
 # ---- A / U: aggregations -------------------------------------------------------
 def _wa_rows(spark, d):
     ev = _events(spark, d)
@@ -352,7 +398,7 @@ def whatsapp_funnel(spark, d):
     """[M5 A3 A4 J6 J8 J10 E9 E15 E16] the WhatsApp funnel end to end."""
     ev = _events(spark, d)
     return whatsapp_engagement(
-        T.whatsapp_logs(ev), T.campaigns(T.table(spark, d, "part")), T.lead_dim(T.table(spark, d, "customer"))
+        T.whatsapp_logs(ev), T.campaigns(T.table(spark, d, "part")), T.lead_dim(T.table(spark, d, "customer"), T.table(spark, d, "orders"))
     )
 
 
@@ -360,10 +406,21 @@ def sms_funnel(spark, d):
     """[M4 A3 J5 J7 J10 E3 E8 E13 E14 E16] the SMS funnel end to end."""
     ev = _events(spark, d)
     return sms_engagement(
-        T.sms_logs(ev), T.campaigns(T.table(spark, d, "part")), T.lead_dim(T.table(spark, d, "customer"))
+        T.sms_logs(ev), T.campaigns(T.table(spark, d, "part")), T.lead_dim(T.table(spark, d, "customer"), T.table(spark, d, "orders"))
     )
 
 
+def funnels_as_stored(spark, d):
+    """[J7 J8] both funnels with the numbers compared as the tables hold them."""
+    ev, dim = _events(spark, d), T.lead_dim(T.table(spark, d, "customer"), T.table(spark, d, "orders"))
+    camps = T.campaigns(T.table(spark, d, "part"))
+    columns = ["campaignid", "event_date", "total_unique_leads", "site_visit_scheduled_any_unique", "booked_any_unique"]
+    sms = sms_engagement(T.sms_logs(ev), camps, dim, phone_rule="as_stored")
+    return union_channels(
+        sms.select(F.lit("sms").alias("channel"), *columns),
+        whatsapp_engagement(T.whatsapp_logs(ev), camps, dim, phone_rule="as_stored").select(F.lit("whatsapp").alias("channel"), *columns))
+
+
 def union_channels_query(spark, d):
     """[U1 P5] three channel frames with different column orders, union by name."""
     ev = _events(spark, d)
@@ -398,31 +455,20 @@ def campaign_response(spark, d):
     ev = _events(spark, d)
     return campaign_response_plan(
         T.sms_webhooks(ev), T.whatsapp_webhooks(ev), T.email_webhooks(ev),
-        T.lead_dim(T.table(spark, d, "customer")),
+        T.lead_dim(T.table(spark, d, "customer"), T.table(spark, d, "orders")),
     )
 
 
 # ---- M: whole jobs ---------------------------------------------------------------
-# every output column of M1, and of M2 all but the two array columns (carried as
-# they are; array values hash differently across engines)
-LEAD_FLAT_CHECK_COLUMNS = tuple(LEAD_FLAT_OUTPUT)
-
-
+# arrays (carried as they are by the jobs) are compared as their JSON text
 def lead_flat(spark, d):
     """[M1 C2 C3 P1 P3] leads bronze -> all 56 flat columns."""
-    return lead_flat_plan(T.leads_bronze(T.table(spark, d, "customer"))).select(*LEAD_FLAT_CHECK_COLUMNS)
-
-
-COMM_LOGS_CHECK_COLUMNS = tuple(n for n, _ in COMM_OUTPUT_SPEC if n not in ("payload_assignmentHistory", "call_legs"))
+    return lead_flat_plan(T.leads_bronze(T.table(spark, d, "customer")))
 
 
 def comm_logs_flat(spark, d):
-    """[M2 C5 P1 P2 P8] log payload JSON -> the 107 scalar columns of the 109."""
-    return communication_logs_flat(T.comm_logs_bronze(T.table(spark, d, "orders"))).select(*COMM_LOGS_CHECK_COLUMNS)
-
-
-# every column but the two carried arrays (array values hash differently across engines)
-LEAD_360_CHECK_COLUMNS = tuple(c for c in L360.OUTPUT_COLUMNS if c not in ("payload_assignmentHistory", "call_legs_comm"))
+    """[M2 C5 C6 P1 P2 P8] log payload JSON -> all 109 columns."""
+    return complex_to_json(communication_logs_flat(T.comm_logs_bronze(T.table(spark, d, "orders"))))
 
 
 def lead_360_inputs(spark, d):
@@ -435,29 +481,26 @@ def lead_360_inputs(spark, d):
 
 
 def lead_360(spark, d):
-    """[M3 J1-J4 P4 P7 E1-E6] the wide lead dimension: 161 of its 163 columns."""
-    return lead_360_plan(*lead_360_inputs(spark, d)).select(*LEAD_360_CHECK_COLUMNS)
+    """[M3 J1-J4 P4 P7 P8 E1-E6] the wide lead dimension: all 163 columns."""
+    return complex_to_json(lead_360_plan(*lead_360_inputs(spark, d)))
 
 
 # ---- S: sinks -----------------------------------------------------------------------
-ROUNDTRIP_TABLE = "leadlake_check.entity_labels"
-
-
 def table_replace_roundtrip(spark, d):
-    """[S2 S3 S4] full refresh: replace a catalog table twice (labels derived from
-    region, then from nation) and read it back; the second content must win.  The
-    table is placed under the cluster's ``spark.checkpoint.dir`` when it names one."""
-    shared = checkpoint_dir(spark)
-    path = f"{shared.rstrip('/')}/leadlake_tables/entity_labels" if shared else None
-    region_labels = T.table(spark, d, "region").select(
-        F.concat(F.lit("S"), F.col("r_regionkey").cast("string")).alias("_id"),
-        T.org_of(F.col("r_regionkey")).alias("orgId"),
-        F.lit("region").alias("entityName"),
-        F.col("r_name").alias("labelName"),
+    """[S2 S3 S4] full refresh: replace a catalog table twice (order labels, then labels
+    derived from parts) and read it back; the second content must win.  The table has a
+    name of its own per run and lies under the cluster's ``spark.checkpoint.dir``."""
+    run = uuid.uuid4().hex
+    name = f"leadlake_check.entity_labels_{run}"
+    path = f"{scratch_dir(spark)}/leadlake_tables/{run}"
+    orders = T.table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("_id"),
+        T.org_of(F.col("o_orderkey")).alias("orgId"),
+        F.col("o_orderpriority").alias("labelName"),
     )
-    replace_table(region_labels, ROUNDTRIP_TABLE, path=path)
-    replace_table(T.entity_labels(T.table(spark, d, "nation")), ROUNDTRIP_TABLE, path=path)
-    return read_table(spark, ROUNDTRIP_TABLE)
+    replace_table(orders, name, path=path)
+    replace_table(T.campaigns(T.table(spark, d, "part")), name, path=path)
+    return read_table(spark, name)
 
 
 def job_row_counts(spark, d):
@@ -495,10 +538,14 @@ QUERIES: dict[str, Query] = {
     "call_connected": call_connected_query,
     "local_event_day": local_event_day,
     "epoch_ms_day": epoch_ms_day,
+    "struct_input_flatten": struct_input_flatten,
+    "epoch_ms_decimal_day": epoch_ms_decimal_day,
+    "date_text_day": date_text_day,
     "first_event_dedup": first_event_dedup_query,
     "lead_flags": lead_flags_query,
     "whatsapp_funnel": whatsapp_funnel,
     "sms_funnel": sms_funnel,
+    "funnels_as_stored": funnels_as_stored,
     "union_channels": union_channels_query,
     "channel_pivot": channel_pivot_query,
     "campaign_response": campaign_response,

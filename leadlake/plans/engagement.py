@@ -4,7 +4,7 @@ Plan shape (per job):
   logs (campaignId IS NOT NULL, pushed to the scan; parsed once per row)
     -> pre-aggregate per campaign x phone key (x org): first time, max event flags
                                                          [shuffle 1, map-side combine]
-    -> campaign lookup (broadcast behind a proven row bound)
+    -> campaign lookup (Spark broadcasts it when it is small)
     -> INNER join to the reduced lead dimension on phone key (+ org)
        (the original left join + ``leadId IS NOT NULL`` filter, written as what it is)
     -> lead_flags: one row per campaign key x lead      [shuffle, partial agg]
@@ -19,7 +19,9 @@ spaces, dashes) no longer decide whether a log finds its lead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -30,16 +32,31 @@ from ..functions.events import (
     sms_engagement_event,
 )
 from ..functions.flags import booked_flag, call_connected, flag_if, null_to_false
-from ..functions.text import phone_key
+from ..functions.text import digits, normalize_phone, phone_key
 from ..functions.time import LOCAL_TZ, local_event_time, local_event_time_from_epoch_ms
 from ..operators.funnel import funnel_counts, lead_flags
-from ..operators.guards import ensure_columns
-from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup
-from ..operators.partitioning import spread
+from ..operators.guards import ensure_columns, safe_struct
+from ..operators.joins import lookup
 from .lead_360 import LABEL_STATUS
 
 CAMPAIGN_KEYS = ["campaignid", "campaignname", "campaignchannel"]
 
+PhoneKey = Callable[[Column], Column]
+
+
+def _unchanged(number: Column) -> Column:
+    return number
+
+
+# How a log finds its lead: (key of the log's number, key of the lead's number).
+# "digits" compares national numbers however they are written.  "as_stored" compares the
+# log's plain digits with the number as the dimension stores it (SMS: its normalised
+# form, WhatsApp: the raw text), for reconciling counts with tables built that way.
+PHONE_RULES: dict[str, dict[str, tuple[PhoneKey, PhoneKey]]] = {
+    "digits": {"sms": (phone_key, phone_key), "whatsapp": (phone_key, phone_key)},
+    "as_stored": {"sms": (digits, normalize_phone), "whatsapp": (digits, _unchanged)},
+}
+
 _PROVIDER_RESPONSE = StructType([
     StructField("status", StructType([
         StructField("code", StringType()), StructField("desc", StringType()),
@@ -52,8 +69,11 @@ _WHATSAPP_PAYLOAD = StructType([
 ])
 
 
-def reduce_lead_dim(lead_dim: DataFrame, with_org: bool, with_calls: bool) -> DataFrame:
-    """One row per lead x phone key (x org) with the max of each lead-level flag.
+def reduce_lead_dim(
+    lead_dim: DataFrame, with_org: bool, with_calls: bool, lead_key: PhoneKey = phone_key
+) -> DataFrame:
+    """One row per lead x phone key (x org) with the max of each lead-level flag;
+    ``lead_key`` makes the key from the lead's number.
 
     Expects lead-360 columns: ``leadId``, ``orgId``, ``profile_whatsAppNumber``,
     ``site_visit_scheduled``, ``siteVisit_date``, ``bookingId``, the status label
@@ -69,7 +89,7 @@ def reduce_lead_dim(lead_dim: DataFrame, with_org: bool, with_calls: bool) -> Da
     if with_calls:
         aggs.append(F.max(call_connected(F.col("callDuration"), F.col("callStatus"))).alias("calls_connected_flag"))
     return (
-        lead_dim.select("*", phone_key(F.col("profile_whatsAppNumber")).alias("phone_key"))
+        lead_dim.select("*", lead_key(F.col("profile_whatsAppNumber")).alias("phone_key"))
         .where(F.col("leadId").isNotNull() & F.col("phone_key").isNotNull())
         .groupBy(*keys)
         .agg(*aggs)
@@ -106,17 +126,19 @@ def sms_engagement(
     lead_dim: DataFrame,
     tz: str = LOCAL_TZ,
     org_column: str | None = None,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    phone_rule: str = "digits",
 ) -> DataFrame:
     """M4.  ``org_column`` names the log's org column when it has one; the lead is
-    then matched within that org only (two orgs sharing a number stay apart)."""
+    then matched within that org only (two orgs sharing a number stay apart).
+    ``phone_rule`` is one of ``PHONE_RULES``."""
+    log_key, lead_key = PHONE_RULES[phone_rule]["sms"]
     logs = ensure_columns(sms_logs, {"type": "string", "providerResponse": "string"})
-    logs = spread(logs.where(F.col("campaignId").isNotNull()), ["_id"])
+    logs = logs.where(F.col("campaignId").isNotNull())
     ts_type = logs.schema["createdAt"].dataType
-    status = F.from_json(F.col("providerResponse").cast("string"), _PROVIDER_RESPONSE).getField("status")
+    status = safe_struct(logs, "providerResponse", _PROVIDER_RESPONSE).getField("status")
     logs = logs.select(
         F.col("campaignId"),
-        phone_key(F.col("to")).alias("to_key"),
+        log_key(F.col("to")).alias("to_key"),
         sms_engagement_event(
             status.getField("code"), status.getField("desc"), F.col("type").cast("string")
         ).alias("canonical_event"),
@@ -130,9 +152,9 @@ def sms_engagement(
     logs = lookup(
         logs, campaigns, on=[("campaignId", "_id")],
         columns={"name": "campaignname", "channel": "campaignchannel"},
-        role="campaign", max_broadcast_rows=max_broadcast_rows,
+        role="campaign",
     )
-    leads = reduce_lead_dim(lead_dim, with_org=org_column is not None, with_calls=True)
+    leads = reduce_lead_dim(lead_dim, org_column is not None, True, lead_key)
     cond = F.col("to_key") == F.col("phone_key")
     if org_column:
         cond = cond & (F.col("log_org") == F.col("orgId"))
@@ -159,15 +181,16 @@ def whatsapp_engagement(
     campaigns: DataFrame,
     lead_dim: DataFrame,
     tz: str = LOCAL_TZ,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    phone_rule: str = "digits",
 ) -> DataFrame:
     """M5: campaign lookup on id and org; lead matched on phone key and org."""
-    pl = F.from_json(F.col("payload").cast("string"), _WHATSAPP_PAYLOAD)
-    logs = spread(wa_logs.where(F.col("campaignId").isNotNull()), ["_id"]).select(
+    log_key, lead_key = PHONE_RULES[phone_rule]["whatsapp"]
+    pl = safe_struct(wa_logs, "payload", _WHATSAPP_PAYLOAD)
+    logs = wa_logs.where(F.col("campaignId").isNotNull()).select(
         "campaignId",
         "organisationId",
         canonical_event(F.col("status"), WHATSAPP_ENGAGEMENT, PASSTHROUGH).alias("canonical_event"),
-        phone_key(pl.getField("recipient").getField("to")).alias("to_key"),
+        log_key(pl.getField("recipient").getField("to")).alias("to_key"),
         local_event_time_from_epoch_ms(pl.getField("events").getField("timestamp"), tz).alias("event_ts_local"),
     )
     ev = F.col("canonical_event")
@@ -179,9 +202,9 @@ def whatsapp_engagement(
     logs = lookup(
         logs, campaigns, on=[("campaignId", "_id"), ("organisationId", "organisationId")],
         columns={"name": "campaignname", "channel": "campaignchannel"},
-        role="campaign", max_broadcast_rows=max_broadcast_rows,
+        role="campaign",
     )
-    leads = reduce_lead_dim(lead_dim, with_org=True, with_calls=False)
+    leads = reduce_lead_dim(lead_dim, True, False, lead_key)
     leads = leads.withColumnRenamed("orgId", "lead_org")
     cond = (F.col("to_key") == F.col("phone_key")) & (F.col("organisationId") == F.col("lead_org"))
     rows = logs.join(leads, cond, "inner").withColumnsRenamed(

@@ -12,12 +12,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-from ..sources.catalog import read_table, replace_table
+from ..functions.events import SMS_RESPONSE, SMS_RESPONSE_CORRECTED
+from ..functions.time import LOCAL_TZ
+from ..sources.catalog import drop_table, read_table, replace_table
 from ..sources.files import read_bronze
-from ..sources.jdbc import sync_tables
+from ..sources.jdbc import DEFAULT_CONNECTIONS, sync_tables
 from .comm_logs import communication_logs_flat
 from .engagement import sms_engagement, whatsapp_engagement
-from .lead_360 import lead_360
+from .lead_360 import join_sides, lead_side, log_side
 from .lead_flat import lead_flat
 from .response import campaign_response
 
@@ -32,6 +34,10 @@ def run_communication_logs(spark: SparkSession, bronze_path: str, target: str) -
     replace_table(communication_logs_flat(read_bronze(spark, bronze_path)), target)
 
 
+SKEW_SAFE_CONF = "spark.leadlake.skewSafeJoin"
+SMS_RULES = {"shipped": SMS_RESPONSE, "corrected": SMS_RESPONSE_CORRECTED}
+
+
 def run_lead_360(
     spark: SparkSession,
     lead_flat_table: str,
@@ -39,55 +45,67 @@ def run_lead_360(
     projects_path: str,
     labels_path: str,
     target: str,
+    skew_safe: bool | None = None,
 ) -> None:
-    """M3."""
-    df = lead_360(
-        read_table(spark, lead_flat_table),
-        read_table(spark, logs_table),
-        read_bronze(spark, projects_path),
-        read_bronze(spark, labels_path),
-    )
-    replace_table(df, target)
+    """M3.  In the skew-safe form (the default; ``spark.leadlake.skewSafeJoin=false``
+    turns it off) the leads with their lookups are first written as the table
+    ``<target>__leads``: both branches of the join read it, and no lookup is done twice.
+    The staged table is dropped at the end."""
+    if skew_safe is None:
+        skew_safe = spark.conf.get(SKEW_SAFE_CONF, "true").lower() == "true"
+    labels = read_bronze(spark, labels_path)
+    leads = lead_side(read_table(spark, lead_flat_table), read_bronze(spark, projects_path), labels)
+    logs = log_side(read_table(spark, logs_table), labels)
+    if not skew_safe:
+        replace_table(join_sides(leads, logs), target)
+        return
+    staged = f"{target}__leads"
+    replace_table(leads, staged)
+    replace_table(join_sides(read_table(spark, staged), logs, skew_safe=True), target)
+    drop_table(spark, staged)
 
 
 def run_sms_engagement(
     spark: SparkSession, sms_path: str, campaigns_path: str, lead_360_table: str, target: str,
-    org_column: str | None = None,
+    org_column: str | None = None, tz: str = LOCAL_TZ, phone_rule: str = "digits",
 ) -> None:
     """M4."""
     df = sms_engagement(
         read_bronze(spark, sms_path), read_bronze(spark, campaigns_path),
-        read_table(spark, lead_360_table), org_column=org_column,
+        read_table(spark, lead_360_table), tz=tz, org_column=org_column, phone_rule=phone_rule,
     )
     replace_table(df, target)
 
 
 def run_whatsapp_engagement(
     spark: SparkSession, whatsapp_path: str, campaigns_path: str, lead_360_table: str, target: str,
+    tz: str = LOCAL_TZ, phone_rule: str = "digits",
 ) -> None:
     """M5."""
     df = whatsapp_engagement(
         read_bronze(spark, whatsapp_path), read_bronze(spark, campaigns_path),
-        read_table(spark, lead_360_table),
+        read_table(spark, lead_360_table), tz=tz, phone_rule=phone_rule,
     )
     replace_table(df, target)
 
 
 def run_campaign_response(
     spark: SparkSession, sms_path: str, whatsapp_path: str, email_path: str,
-    lead_360_table: str, target: str,
+    lead_360_table: str, target: str, tz: str = LOCAL_TZ, sms_rules: str = "shipped",
+    dedupe_dim: bool = True,
 ) -> None:
-    """M6."""
+    """M6.  ``sms_rules`` names a preset of ``SMS_RULES``."""
     df = campaign_response(
         read_bronze(spark, sms_path), read_bronze(spark, whatsapp_path),
         read_bronze(spark, email_path), read_table(spark, lead_360_table),
+        tz=tz, sms_rules=SMS_RULES[sms_rules], dedupe_dim=dedupe_dim,
     )
     replace_table(df, target)
 
 
 def run_sync_to_rdbms(
     spark: SparkSession, mapping: Mapping[str, str], url: str, properties: Mapping[str, str],
-    truncate: bool = False, num_partitions: int | None = None,
+    truncate: bool = False, num_partitions: int = DEFAULT_CONNECTIONS,
 ) -> dict[str, int]:
     """M7: copy each silver table to the database (full refresh); returns row counts."""
     return sync_tables(spark, mapping, url, properties, truncate=truncate, num_partitions=num_partitions)

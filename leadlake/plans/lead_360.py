@@ -17,16 +17,7 @@ from ..functions.flags import (
     site_visit_scheduled,
 )
 from ..functions.text import normalize_phone
-from ..session import checkpoint_dir
-from ..operators.joins import (
-    DEFAULT_MAX_BROADCAST_ROWS,
-    left_join_one_to_many,
-    lookup,
-    role_lookups,
-    fits_broadcast,
-)
-
-SKEW_SAFE_CONF = "spark.leadlake.skewSafeJoin"
+from ..operators.joins import left_join_one_to_many, lookup, role_lookups
 
 # ---- fixed values: output columns -------------------------------------------
 # label columns, named as the tables that read the dimension expect them
@@ -181,27 +172,9 @@ OUTPUT_COLUMNS = (
 )
 
 
-def lead_360(
-    lead_flat: DataFrame,
-    logs: DataFrame,
-    projects: DataFrame,
-    labels: DataFrame,
-    skew_safe: bool | None = None,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """J1 (leads x logs on lead id, org and project), J2 (project), J3 (status,
-    sub-source and source labels), J4 (previous-status label keyed from the log
-    side), then E1-E6 and the 163-column projection.
-
-    Every lookup is keyed by columns of one side only, so it is applied to that
-    side *before* the one-to-many join: once per lead or per log instead of once
-    per lead x log row, and on a narrow plan.  Left lookups commute with the left
-    join, so the rows are the same as joining everything first.
-    """
-    if skew_safe is None:
-        # on by default; a deployment whose leads are known not to be hot can turn
-        # it off with --conf spark.leadlake.skewSafeJoin=false (~20% cheaper then)
-        skew_safe = lead_flat.sparkSession.conf.get(SKEW_SAFE_CONF, "true").lower() == "true"
+def lead_side(lead_flat: DataFrame, projects: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lead columns with their lookups: J2 (project) and J3 (status, sub-source and
+    source labels), once per lead and not once per lead x log row."""
     phone = F.col("profile_whatsAppNumber")
     leads = lead_flat.select(
         *[F.col(src).alias(out) for out, src in LEAD_COLUMNS],
@@ -211,13 +184,11 @@ def lead_360(
         *LEAD_PROFILE_COLUMNS,
         lead_temperature(F.col("conversionPropensity")).alias("lead_temperature"),
     )
-    projects_fit = fits_broadcast(projects, max_broadcast_rows)
     leads = lookup(
         leads, projects, on=[("projectId", "_id"), ("orgId", "orgId")],
-        columns={c: c for c in PROJECT_COLUMNS}, role="project", broadcast=projects_fit,
+        columns={c: c for c in PROJECT_COLUMNS}, role="project",
     )
-    labels_fit = fits_broadcast(labels, max_broadcast_rows)
-    leads = role_lookups(
+    return role_lookups(
         leads,
         labels,
         {
@@ -228,16 +199,36 @@ def lead_360(
             "source": ([("profile_sourceOfLead", "_id"), ("orgId", "orgId")],
                        {"labelName": LABEL_SOURCE}),
         },
-        broadcast=labels_fit,
     )
-    if skew_safe and not (projects_fit and labels_fit) and checkpoint_dir(leads.sparkSession):
-        # the lookups are shuffle joins here, and both branches of the skew-safe
-        # J1 read the leads: materialise them once in the cluster's checkpoint folder
-        leads = leads.checkpoint(eager=True)
-    logs = lookup(
+
+
+def log_side(logs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The logs with J4, the label of their previous status."""
+    return lookup(
         logs, labels, on=[("prevStatus", "_id"), ("orgId", "orgId")],
-        columns={"labelName": "previous_lead_status"}, role="prevstatus", broadcast=labels_fit,
+        columns={"labelName": "previous_lead_status"}, role="prevstatus",
     )
+
+
+def lead_360(
+    lead_flat: DataFrame,
+    logs: DataFrame,
+    projects: DataFrame,
+    labels: DataFrame,
+) -> DataFrame:
+    """M3 as one lazy plan: the lookups of both sides, then J1 as a left join.
+
+    Every lookup is keyed by columns of one side only, so it is applied to that side
+    before the one-to-many join; left lookups commute with the left join.  For leads
+    with very many logs use ``lead_side`` written as a table and
+    ``join_sides(..., skew_safe=True)``, as ``plans.jobs.run_lead_360`` does."""
+    return join_sides(lead_side(lead_flat, projects, labels), log_side(logs, labels))
+
+
+def join_sides(leads: DataFrame, logs: DataFrame, skew_safe: bool = False) -> DataFrame:
+    """J1 (``lead_side`` x ``log_side`` on lead id, org and project), then E1-E5 and the
+    163-column projection.  The skew-safe form reads ``leads`` twice, so they should be
+    a table by then."""
     df = left_join_one_to_many(
         leads,
         logs,

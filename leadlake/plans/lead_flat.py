@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 
 from ..functions import schemas as S
 from ..operators.flatten import flatten
-from ..operators.guards import safe_scalar, safe_struct
-from ..operators.partitioning import spread
+from ..operators.guards import json_text, safe_scalar, safe_struct
 
 # ---- fixed values: output columns ------------------------------------------
 ROOT_COLUMNS = (
@@ -41,11 +40,11 @@ OUTPUT_COLUMNS = (
 
 def lead_flat(bronze: DataFrame) -> DataFrame:
     """Every input column is optional: an absent scalar is a NULL string (C3) and an
-    absent JSON column parses to a NULL struct (C2).  Each JSON column is parsed once."""
-    bronze = spread(bronze, ["_id"])
+    absent JSON column parses to a NULL struct (C2).  JSON columns may be text or native
+    structs.  Each is parsed once, and the job is map-only."""
     parsed = bronze.select(
         *[safe_scalar(bronze, c).alias(c) for c in ROOT_COLUMNS],
-        *[safe_scalar(bronze, src).alias(out) for out, src in RAW_JSON_COLUMNS],
+        *[json_text(bronze, src).alias(out) for out, src in RAW_JSON_COLUMNS],
         safe_struct(bronze, "profile", S.profile_schema()).alias("__profile"),
         safe_struct(bronze, "propertyInterest", S.property_interest_schema()).alias("__prop"),
         safe_struct(bronze, "conversionPropensity", S.conversion_propensity_schema()).alias("__conv"),

@@ -10,15 +10,189 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from ..functions import events as EV
-from . import lead_360 as L360
-from .comm_logs import OUTPUT_SPEC as COMM_OUTPUT_SPEC
-from .lead_flat import OUTPUT_COLUMNS as LEAD_FLAT_OUTPUT
-from .lead_360 import OUTPUT_COLUMNS as LEAD_360_OUTPUT
 from . import testbed as T
 
 LOCAL = "INTERVAL 330 MINUTE"
 
+# ---- fixed values, restated here so that a wrong list in the library shows up ---------
+# (event, case folding, statuses); first match wins
+Rules = list[tuple[str, str, tuple[str, ...]]]
+WHATSAPP_ENGAGEMENT: Rules = [
+    ("read", "lower", ("read", "seen", "message_read")),
+    ("click", "lower", ("click", "url_click")),
+    ("delivered", "lower", ("delivered", "deliv")),
+]
+WHATSAPP_RESPONSE: Rules = [
+    ("sent", "upper", ("QUEUED", "SENT")),
+    ("delivered", "lower", ("delivered", "deliv")),
+    ("read", "lower", ("read", "seen", "message_read")),
+    ("click", "lower", ("click", "url_click")),
+    ("failed", "lower", ("failed",)),
+    ("reply", "lower", ("reply", "replied")),
+]
+SMS_RESPONSE: Rules = [
+    ("sent", "upper", ("SENT", "SUBMITD", "DELIVRD", "DLT HEADER FILTER", "DLT TEMPLATE FILTER", "DLT VL FAILURE",
+                       "EXP-ABS-SUB", "EXP-NW-FAIL", "EXPIRED", "FAILED", "INVALID REQUEST")),
+    ("failed", "upper", ("FAILED", "UNDELIV")),
+    ("click", "lower", ("click",)),
+]
+SMS_RESPONSE_CORRECTED: Rules = [
+    ("delivered", "upper", ("DELIVRD",)),
+    ("failed", "upper", ("FAILED", "UNDELIV")),
+    ("sent", "upper", ("SENT", "SUBMITD", "DLT HEADER FILTER", "DLT TEMPLATE FILTER", "DLT VL FAILURE",
+                       "EXP-ABS-SUB", "EXP-NW-FAIL", "EXPIRED", "INVALID REQUEST")),
+    ("click", "lower", ("click",)),
+]
+EMAIL_RESPONSE: Rules = [
+    ("sent", "upper", ("PROCESSED", "DROPPED", "BOUNCED", "REJECTED", "SENT")),
+    ("delivered", "lower", ("delivered",)),
+    ("open", "lower", ("open", "opened")),
+    ("click", "lower", ("click", "clicked")),
+    ("spam", "lower", ("spam",)),
+    ("unsubscribe", "lower", ("unsubscribe", "unsubscribed")),
+]
+PASSTHROUGH = "lower-cased status"
+# M1, output columns
+LEAD_FLAT = """
+_id orgId leadId isActive createdAt createdBy creatorId projectId updatedAt updatedBy assigneeId
+leadStatus leadStatusChangeReason background followUpDate followUpTime nextFollowUp callHyperLink
+chatHyperLink latestComment nextSiteVisit stageChangedAt totalUnreadMsgs totalMissedCalls
+assignmentHistory dispositionCallSid leadCreationSource siteVisitDoneCount original_siteVisit_json
+propertyInterest conversionPropensity profile profile_fullName profile_email profile_age
+profile_gender profile_currentLocation profile_alternateNumber profile_whatsAppNumber
+profile_sourceOfLead profile_subSourceOfLead profile_referralSource profile_agentName
+propertyInterest_budgetRange propertyInterest_carpetAreaSqFtRange propertyInterest_preferredFloor
+propertyInterest_preferredUnitType propertyInterest_purposeOfProperty
+propertyInterest_propertyStatus propertyInterest_otherPreferences conversionPropensity_probability
+conversionPropensity_leadIntent siteVisit_date siteVisit_time siteVisit_schedule
+siteVisit_modeOfVisit
+""".split()
+# M2, output column = payload path where the two differ (@ column: outside the payload)
+COMM_LOGS = """
+_id=@_id orgId=@orgId leadId=@leadId isActive createdAt createdBy projectId updatedAt updatedBy
+assigneeId leadStatus prevAssigneeId leadStatusChangeReason logEventType prevStatus payload__v=__v
+payload_id=_id agentId payload_assigneeId=assigneeId payload_assignmentHistory=assignmentHistory
+background_annualIncome=background.annualIncome background_assignedTo=background.assignedTo
+background_currentLocation=background.currentLocation
+background_fundingIsLoaned=background.fundingIsLoaned background_occupation=background.occupation
+background_possessionDate_month=background.possessionDate.month
+background_possessionDate_year=background.possessionDate.year
+background_qualification=background.qualification background_workLocation=background.workLocation
+bookingId buildingId buildingName cancelledReason chatHyperLink coOwnerDetails
+conversion_description=conversionPropensity.description
+conversion_interactionNumber=conversionPropensity.interactionNumber
+conversion_probability=conversionPropensity.probability
+conversion_breakdown_ability=conversionPropensity.breakdown.ability
+conversion_breakdown_intent=conversionPropensity.breakdown.intent
+conversion_breakdown_perception=conversionPropensity.breakdown.perception
+conversion_breakdown_readiness=conversionPropensity.breakdown.readiness
+pricing_agreementValue=pricingDetails.agreementValue
+pricing_modeOfPayment=pricingDetails.modeOfPayment pricing_tokenAmount=pricingDetails.tokenAmount
+profile_fullName=profile.fullName profile_email=profile.email profile_gender=profile.gender
+profile_age=profile.age profile_alternateNumber=profile.alternateNumber
+profile_countryCode=profile.countryCode profile_referralSource=profile.referralSource
+profile_sourceOfLead=profile.sourceOfLead profile_subSourceOfLead=profile.subSourceOfLead
+whatsAppNumber=profile.whatsappNumber
+propertyInterest_purposeOfProperty=propertyInterest.purposeOfProperty
+propertyInterest_budgetRange=propertyInterest.budgetRange
+propertyInterest_carpetAreaSqFtRange=propertyInterest.carpetAreaSqFtRange
+propertyInterest_otherPreferences=propertyInterest.otherPreferences
+propertyInterest_preferredFloor=propertyInterest.preferredFloor
+propertyInterest_preferredUnitType=propertyInterest.preferredUnitType
+propertyInterest_propertyStatus=propertyInterest.propertyStatus siteVisit_date=siteVisit.date
+siteVisit_modeOfVisit=siteVisit.modeOfVisit siteVisit_schedule=siteVisit.schedule
+siteVisit_time=siteVisit.time siteVisitDate siteVisitDoneCount siteVisitTime
+siteVisitstartDateTime=startDateTime siteVisitendDateTime=endDateTime latestComment nextFollowUp
+nextSiteVisit stageChangedAt totalMissedCalls totalUnreadMsgs unitId unitNumber unitType remarks
+payload_status=status payload_subStatus=subStatus viewed callDuration agentName visitDate
+visitOutcome qualificationReason qualifiedBy agentPhone callStatus comment meetingNotes
+followUpRequired call_direction=Direction call_from=CallFrom dial_whom_number=DialWhomNumber
+call_to=CallTo dial_call_status=DialCallStatus call_type=CallType call_sid=CallSid call_legs=Legs
+recording_url=RecordingUrl call_start_time=StartTime call_end_time=EndTime
+call_event_status=callEventStatus event_type=EventType call_ended=callEnded
+""".split()
+# M3, output column = side.column; the columns without a side are written out below
+LEAD_360 = """
+lead_flat_id=lf._id orgId=lf.orgId leadId=lf.leadId isActive=lf.isActive createdAt=lf.createdAt
+createdBy=lf.createdBy creatorId=lf.creatorId projectId=lf.projectId
+siteVisit=lf.original_siteVisit_json updatedAt=lf.updatedAt updatedBy=lf.updatedBy
+assigneeId=lf.assigneeId background=lf.background leadStatus=lf.leadStatus
+followUpDate=lf.followUpDate followUpTime=lf.followUpTime nextFollowUp=lf.nextFollowUp
+callHyperLink=lf.callHyperLink chatHyperLink=lf.chatHyperLink latestComment=lf.latestComment
+nextSiteVisit=lf.nextSiteVisit stageChangedAt=lf.stageChangedAt totalUnreadMsgs=lf.totalUnreadMsgs
+propertyInterest=lf.propertyInterest totalMissedCalls=lf.totalMissedCalls
+assignmentHistory=lf.assignmentHistory dispositionCallSid=lf.dispositionCallSid
+leadCreationSource=lf.leadCreationSource siteVisitDoneCount=lf.siteVisitDoneCount
+conversionPropensity=lf.conversionPropensity leadStatusChangeReason=lf.leadStatusChangeReason
+pms_LeadId profile_whatsAppNumber=lf.profile_whatsAppNumber normalized_whatsapp_number
+profile_sourceOfLead=lf.profile_sourceOfLead profile_subSourceOfLead=lf.profile_subSourceOfLead
+profile_fullName=lf.profile_fullName profile_age=lf.profile_age profile_gender=lf.profile_gender
+profile_currentLocation=lf.profile_currentLocation
+profile_alternateNumber=lf.profile_alternateNumber profile_email=lf.profile_email
+profile_referralSource=lf.profile_referralSource profile_agentName=lf.profile_agentName
+projectName=p.projectName projectStatus=p.projectStatus projectLogo=p.projectLogo
+completionDate=p.completionDate projectPublishStatus=p.projectPublishStatus
+communication_log_id=lg._id leadId_comm=lg.leadId orgId_comm=lg.orgId projectId_comm=lg.projectId
+isActive_comm=lg.isActive createdAt_comm=lg.createdAt createdBy_comm=lg.createdBy
+updatedAt_comm=lg.updatedAt updatedBy_comm=lg.updatedBy assigneeId_comm=lg.assigneeId
+leadStatus_comm=lg.leadStatus prevStatus_comm=lg.prevStatus
+leadStatusChangeReason_comm=lg.leadStatusChangeReason latestComment_comm=lg.latestComment
+nextFollowUp_comm=lg.nextFollowUp nextSiteVisit_comm=lg.nextSiteVisit
+stageChangedAt_comm=lg.stageChangedAt totalMissedCalls_comm=lg.totalMissedCalls
+totalUnreadMsgs_comm=lg.totalUnreadMsgs logEventType=lg.logEventType
+prevAssigneeId=lg.prevAssigneeId payload__v=lg.payload__v payload_id=lg.payload_id
+agentId=lg.agentId payload_assigneeId=lg.payload_assigneeId
+payload_assignmentHistory=lg.payload_assignmentHistory
+background_annualIncome=lg.background_annualIncome background_assignedTo=lg.background_assignedTo
+background_currentLocation=lg.background_currentLocation
+background_fundingIsLoaned=lg.background_fundingIsLoaned
+background_occupation=lg.background_occupation
+background_possessionDate_month=lg.background_possessionDate_month
+background_possessionDate_year=lg.background_possessionDate_year
+background_qualification=lg.background_qualification
+background_workLocation=lg.background_workLocation bookingId=lg.bookingId buildingId=lg.buildingId
+buildingName=lg.buildingName cancelledReason=lg.cancelledReason coOwnerDetails=lg.coOwnerDetails
+conversion_description=lg.conversion_description
+conversion_interactionNumber=lg.conversion_interactionNumber
+conversion_probability=lg.conversion_probability
+conversion_breakdown_ability=lg.conversion_breakdown_ability
+conversion_breakdown_intent=lg.conversion_breakdown_intent
+conversion_breakdown_perception=lg.conversion_breakdown_perception
+conversion_breakdown_readiness=lg.conversion_breakdown_readiness
+pricing_agreementValue=lg.pricing_agreementValue pricing_modeOfPayment=lg.pricing_modeOfPayment
+pricing_tokenAmount=lg.pricing_tokenAmount profile_fullName_comm=lg.profile_fullName
+profile_email_comm=lg.profile_email profile_gender_comm=lg.profile_gender
+profile_age_comm=lg.profile_age profile_alternateNumber_comm=lg.profile_alternateNumber
+profile_countryCode=lg.profile_countryCode profile_referralSource_comm=lg.profile_referralSource
+profile_sourceOfLead_comm=lg.profile_sourceOfLead
+profile_subSourceOfLead_comm=lg.profile_subSourceOfLead
+propertyInterest_purposeOfProperty=lg.propertyInterest_purposeOfProperty
+propertyInterest_budgetRange=lg.propertyInterest_budgetRange
+propertyInterest_carpetAreaSqFtRange=lg.propertyInterest_carpetAreaSqFtRange
+propertyInterest_otherPreferences=lg.propertyInterest_otherPreferences
+propertyInterest_preferredFloor=lg.propertyInterest_preferredFloor
+propertyInterest_preferredUnitType=lg.propertyInterest_preferredUnitType
+propertyInterest_propertyStatus=lg.propertyInterest_propertyStatus siteVisit_date=lg.siteVisit_date
+siteVisit_modeOfVisit=lg.siteVisit_modeOfVisit siteVisit_schedule=lg.siteVisit_schedule
+siteVisit_time=lg.siteVisit_time siteVisitDate=lg.siteVisitDate
+siteVisitDoneCount_comm=lg.siteVisitDoneCount siteVisitTime=lg.siteVisitTime
+siteVisitstartDateTime_comm=lg.siteVisitstartDateTime
+siteVisitendDateTime_comm=lg.siteVisitendDateTime remarks=lg.remarks
+payload_status=lg.payload_status payload_subStatus=lg.payload_subStatus viewed=lg.viewed
+callDuration=lg.callDuration agentName=lg.agentName visitDate=lg.visitDate
+visitOutcome=lg.visitOutcome qualificationReason=lg.qualificationReason qualifiedBy=lg.qualifiedBy
+agentPhone=lg.agentPhone callStatus=lg.callStatus comment=lg.comment meetingNotes=lg.meetingNotes
+followUpRequired=lg.followUpRequired call_direction_comm=lg.call_direction
+call_from_comm=lg.call_from dial_whom_number_comm=lg.dial_whom_number call_to_comm=lg.call_to
+dial_call_status_comm=lg.dial_call_status call_type_comm=lg.call_type call_sid_comm=lg.call_sid
+call_legs_comm=lg.call_legs recording_url_comm=lg.recording_url
+call_start_time_comm=lg.call_start_time call_end_time_comm=lg.call_end_time
+call_event_status_comm=lg.call_event_status event_type_comm=lg.event_type
+call_ended_comm=lg.call_ended site_visit_scheduled sirrus_lead_entity_name sirrus_lead_status
+previous_lead_status sirrus_sub_source_of_lead sirrus_source_of_lead booked_flag
+Site_Visit_Completed booked_date lead_temperature
+""".split()
+
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -61,9 +235,9 @@ def phone_key(x: str) -> str:
 def normalize_phone(x: str) -> str:
     d = digits(x)
     return (f"(CASE WHEN {x} IS NULL THEN NULL "
-            f"WHEN starts_with({d}, '91') AND length({x}) > 10 THEN substring({d}, 3, 20) "
-            f"WHEN starts_with({x}, '+91') THEN substring({x}, 4, 20) "
-            f"WHEN starts_with({x}, '+') THEN substring({x}, 2, 20) ELSE {x} END)")
+            f"WHEN starts_with({d}, '91') AND length({x}) > 10 THEN substring({d}, 3) "
+            f"WHEN starts_with({x}, '+91') THEN substring({x}, 4) "
+            f"WHEN starts_with({x}, '+') THEN substring({x}, 2) ELSE {x} END)")
 
 
 def present(x: str) -> str:
@@ -74,12 +248,12 @@ def pick(vocab: Sequence[str], k: str) -> str:
     return f"list_value({', '.join(_q(v) for v in vocab)})[(({k}) % {len(vocab)}) + 1]"
 
 
-def case_map(x: str, rules: Sequence[EV.Rule], default: str | None = None) -> str:
+def case_map(x: str, rules: Rules, default: str | None = None) -> str:
     parts = []
     for event, fold, values in rules:
         parts.append(f"WHEN {fold}({x}) IN ({', '.join(_q(v) for v in values)}) THEN {_q(event)}")
     tail = ""
-    if default == EV.PASSTHROUGH:
+    if default == PASSTHROUGH:
         tail = f" ELSE lower({x})"
     elif default is not None:
         tail = f" ELSE {_q(default)}"
@@ -94,13 +268,15 @@ def booked(booking: str, label: str) -> str:
 LEAD_DIM = f"""
 SELECT CAST(c_custkey AS VARCHAR) AS lead_flat_id, 'L' || CAST(c_custkey AS VARCHAR) AS leadId,
        {org('c_custkey')} AS orgId, {phone_text('c_custkey')} AS phone,
-       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_acctbal > 5000 END AS site_visit_scheduled,
-       CASE WHEN c_acctbal > 8000 THEN '2024-02-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') END AS siteVisit_date,
-       CASE WHEN c_acctbal < 0 THEN 'B' || CAST(c_custkey AS VARCHAR) END AS bookingId,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN TRUE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL
+            ELSE c_acctbal > 8000 END AS site_visit_scheduled,
+       CASE WHEN o_orderstatus = 'F' AND c_acctbal > 5000
+            THEN '2024-02-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') END AS siteVisit_date,
+       CASE WHEN o_orderstatus = 'O' THEN 'B' || CAST(o_orderkey AS VARCHAR) END AS bookingId,
        CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Booked' WHEN 'MACHINERY' THEN 'BOOKED' ELSE c_mktsegment END AS label,
-       CASE c_custkey % 3 WHEN 0 THEN '1m 20s' WHEN 1 THEN '0' END AS callDuration,
-       CASE c_custkey % 4 WHEN 0 THEN 'Answered' WHEN 1 THEN 'no-answer' END AS callStatus
-FROM customer"""
+       CASE WHEN o_orderkey % 9 = 0 THEN '1m 20s' WHEN o_orderkey % 3 = 1 THEN '0' END AS callDuration,
+       CASE WHEN o_orderkey % 32 = 0 THEN 'Answered' WHEN o_orderkey % 4 = 1 THEN 'no-answer' END AS callStatus
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey"""
 
 
 def connected(duration: str, status: str) -> str:
@@ -121,15 +297,15 @@ def _in(values: Sequence[str]) -> str:
 
 RESPONSE_EVENTS = f"""
 SELECT CAST(ts + {LOCAL} AS DATE) AS event_date, {org('user_id')} AS orgId, {project('user_id')} AS projectId,
-       CAST(user_id AS VARCHAR) AS profileId, {case_map(pick(T.SMS_STATUSES, 'event_id'), EV.SMS_RESPONSE)} AS ev, 'sms' AS channel
+       CAST(user_id AS VARCHAR) AS profileId, {case_map(pick(T.SMS_STATUSES, 'event_id'), SMS_RESPONSE)} AS ev, 'sms' AS channel
 FROM events WHERE event_type IN ({_in(T.SMS_EVENT_TYPES)})
 UNION ALL
 SELECT CAST(ts + {LOCAL} AS DATE), {org('user_id')}, {project('user_id')}, CAST(user_id AS VARCHAR),
-       {case_map(pick(T.WHATSAPP_STATUSES, 'event_id'), EV.WHATSAPP_RESPONSE)}, 'whatsapp'
+       {case_map(pick(T.WHATSAPP_STATUSES, 'event_id'), WHATSAPP_RESPONSE)}, 'whatsapp'
 FROM events WHERE event_type IN ({_in(T.WHATSAPP_EVENT_TYPES)})
 UNION ALL
 SELECT CAST(ts + {LOCAL} AS DATE), {org('user_id')}, CAST(NULL AS VARCHAR), CAST(user_id AS VARCHAR),
-       {case_map(pick(T.EMAIL_STATUSES, 'event_id'), EV.EMAIL_RESPONSE)}, 'email'
+       {case_map(pick(T.EMAIL_STATUSES, 'event_id'), EMAIL_RESPONSE)}, 'email'
 FROM events WHERE event_type IN ({_in(T.EMAIL_EVENT_TYPES)})"""
 
 # (output, channel, event) - restated, not imported, so a wrong column list shows up
@@ -154,53 +330,104 @@ FROM ({RESPONSE_EVENTS}) GROUP BY event_date, orgId, projectId, profileId"""
 
 WA_ROWS = f"""
 SELECT user_id, json_extract_string(props, '$.k') AS campaignid,
-       {case_map(pick(T.WHATSAPP_STATUSES, 'event_id'), EV.WHATSAPP_ENGAGEMENT, EV.PASSTHROUGH)} AS canonical_event,
+       {case_map(pick(T.WHATSAPP_STATUSES, 'event_id'), WHATSAPP_ENGAGEMENT, PASSTHROUGH)} AS canonical_event,
        ts + {LOCAL} AS event_ts_local, value > 50 AS high_value, event_type
 FROM events"""
 
-LEADS_BRONZE = f"""
-SELECT CAST(c_custkey AS VARCHAR) AS lead_flat_id, {org('c_custkey')} AS orgId,
-       'L' || CAST(c_custkey AS VARCHAR) AS leadId, {project('c_custkey')} AS projectId,
-       'S' || CAST(c_nationkey AS VARCHAR) AS leadStatus, CAST(c_acctbal > 0 AS VARCHAR) AS isActive,
-       CASE c_custkey % 4 WHEN 1 THEN '  '
-            WHEN 2 THEN '{{"date":"2024-02-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') || '","modeOfVisit":"' || c_mktsegment || '"}}'
-            WHEN 3 THEN 'None' END AS siteVisit,
-       CASE WHEN c_custkey % 4 = 2 THEN '2024-02-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') END AS siteVisit_date,
-       CASE WHEN c_custkey % 4 = 2 THEN c_mktsegment END AS siteVisit_modeOfVisit,
-       c_name AS fullName, CAST(c_custkey % 60 + 20 AS VARCHAR) AS age, {phone_text('c_custkey')} AS phone,
-       'S' || CAST((c_nationkey + 1) % 25 AS VARCHAR) AS src, 'S' || CAST((c_nationkey + 3) % 25 AS VARCHAR) AS subsrc,
-       c_mktsegment AS leadIntent
-FROM customer"""
-
-LOGS_BRONZE = f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS log_id, {org('o_custkey')} AS orgId, CAST(o_custkey AS VARCHAR) AS leadId,
-       CASE WHEN o_orderpriority <> '5-LOW' THEN {project('o_custkey')} END AS projectId,
-       'S' || CAST(o_orderkey % 25 AS VARCHAR) AS prevStatus,
-       CASE WHEN o_orderstatus = 'F' THEN 'B' || CAST(o_orderkey AS VARCHAR) END AS bookingId,
-       CASE WHEN o_orderpriority = '1-URGENT' THEN 'SV_DONE' END AS subStatus,
-       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS createdAt,
-       CASE o_orderkey % 3 WHEN 0 THEN 'None' WHEN 1 THEN '2024-03-01' END AS nextSiteVisit,
-       CASE WHEN o_orderstatus = 'O' THEN '2024-04-01' END AS siteVisit_date,
-       CASE o_orderkey % 3 WHEN 0 THEN '1m 20s' WHEN 1 THEN '0' END AS callDuration,
-       CASE WHEN o_orderpriority = '2-HIGH' THEN 'answered' END AS callStatus,
-       o_orderstatus = 'P' AS viewed
-FROM orders"""
+def filler(name: str, k: str) -> str:
+    return f"('{name}:' || CAST({k} % 11 AS VARCHAR))"
+
+
+def json_object(fields: dict[str, str]) -> str:
+    """JSON text of string fields; a NULL field is left out."""
+    parts = [f"coalesce('\"{name}\":\"' || {value} || '\",', '')" for name, value in fields.items()]
+    return "('{' || rtrim(" + " || ".join(parts) + ", ',') || '}')"
+
+
+_K = "c_custkey"
+_VISIT = {
+    "date": "('2024-02-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0'))", "time": filler("time", _K),
+    "schedule": filler("schedule", _K), "modeOfVisit": "c_mktsegment",
+}
+_PROFILE = {
+    "fullName": "c_name", "email": filler("email", _K), "age": "CAST(c_custkey % 60 + 20 AS VARCHAR)",
+    "gender": filler("gender", _K), "currentLocation": filler("currentLocation", _K),
+    "alternateNumber": filler("alternateNumber", _K), "whatsAppNumber": phone_text(_K),
+    "sourceOfLead": "('S' || CAST((c_nationkey + 1) % 25 AS VARCHAR))",
+    "subSourceOfLead": "('S' || CAST((c_nationkey + 3) % 25 AS VARCHAR))",
+    "referralSource": filler("referralSource", _K), "agentName": filler("agentName", _K),
+    "additionalInfo": filler("additionalInfo", _K),
+}
+_INTEREST = {f: filler(f, _K) for f in (
+    "budgetRange", "carpetAreaSqFtRange", "preferredFloor", "preferredUnitType", "purposeOfProperty",
+    "propertyStatus", "otherPreferences")}
+_CONVERSION = {
+    "description": filler("description", _K), "probability": filler("probability", _K),
+    "interactionNumber": filler("interactionNumber", _K), "leadIntent": "c_mktsegment",
+}
+# the age is a JSON number
+_PROFILE_JSON = f"regexp_replace({json_object(_PROFILE)}, '\"age\":\"([0-9]+)\"', '\"age\":\\1')"
+_LEAD = {
+    "_id": "CAST(c_custkey AS VARCHAR)", "orgId": org(_K), "leadId": "('L' || CAST(c_custkey AS VARCHAR))",
+    "projectId": project(_K), "leadStatus": "('S' || CAST(c_nationkey AS VARCHAR))",
+    "isActive": "CAST(c_acctbal > 0 AS VARCHAR)",
+    "original_siteVisit_json": f"(CASE c_custkey % 4 WHEN 1 THEN '  ' WHEN 2 THEN {json_object(_VISIT)} WHEN 3 THEN 'None' END)",
+    "propertyInterest": json_object(_INTEREST), "conversionPropensity": json_object(_CONVERSION),
+    "profile": _PROFILE_JSON,
+    **{f"profile_{f}": v for f, v in _PROFILE.items()},
+    **{f"propertyInterest_{f}": v for f, v in _INTEREST.items()},
+    **{f"conversionPropensity_{f}": v for f, v in _CONVERSION.items()},
+    **{f"siteVisit_{f}": f"(CASE WHEN c_custkey % 4 = 2 THEN {v} END)" for f, v in _VISIT.items()},
+}
+LEADS_FLAT = "SELECT " + ",\n       ".join(
+    f"{_LEAD.get(c, filler(c, _K))} AS {c}" for c in LEAD_FLAT) + "\nFROM customer"
+
+_O = "o_orderkey"
+_PAYLOAD = {
+    "projectId": f"(CASE WHEN o_orderpriority <> '5-LOW' THEN {project('o_custkey')} END)",
+    "prevStatus": "('S' || CAST(o_orderkey % 25 AS VARCHAR))",
+    "bookingId": "(CASE WHEN o_orderstatus = 'F' THEN 'B' || CAST(o_orderkey AS VARCHAR) END)",
+    "subStatus": "(CASE WHEN o_orderpriority = '1-URGENT' THEN 'SV_DONE' END)",
+    "createdAt": "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)",
+    "nextSiteVisit": "(CASE o_orderkey % 3 WHEN 0 THEN 'None' WHEN 1 THEN '2024-03-01' END)",
+    "siteVisit.date": "(CASE WHEN o_orderstatus = 'O' THEN '2024-04-01' END)",
+    **{f: f"(CASE WHEN o_orderkey % 4 = 3 THEN {filler(f, _O)} END)"
+       for f in ("siteVisit.time", "siteVisit.schedule", "siteVisitDate", "siteVisitTime")},
+    "callDuration": "(CASE o_orderkey % 3 WHEN 0 THEN '1m 20s' WHEN 1 THEN '0' END)",
+    "callStatus": "(CASE WHEN o_orderpriority = '2-HIGH' THEN 'answered' END)",
+    "viewed": "(o_orderstatus = 'P')",
+    "callEnded": "(o_orderkey % 2 = 0)",
+    "assignmentHistory": f"('[\"' || {filler('first', _O)} || '\",\"' || {filler('then', 'o_custkey')} || '\"]')",
+    "Legs": "('[' || " + json_object({"onCallDuration": filler("duration", _O), "status": filler("leg", _O)}) + " || ']')",
+    "@_id": "CAST(o_orderkey AS VARCHAR)", "@orgId": org("o_custkey"), "@leadId": "CAST(o_custkey AS VARCHAR)",
+}
+
+
+def _pair(item: str) -> tuple[str, str]:
+    name, _, source = item.partition("=")
+    return name, source or name
+
+
+LOGS_FLAT = "SELECT " + ",\n       ".join(
+    f"{_PAYLOAD.get(path, filler(path, _O))} AS {name}" for name, path in map(_pair, COMM_LOGS)) + "\nFROM orders"
 
 PROJECTS = (f"SELECT 'P' || CAST(r_regionkey AS VARCHAR) AS _id, {org('r_regionkey')} AS orgId, r_name AS projectName, "
-            f"'active' AS projectStatus, CAST(NULL AS VARCHAR) AS projectLogo, '2025-01-01' AS completionDate, "
+            f"'active' AS projectStatus, 'logo' || CAST(r_regionkey AS VARCHAR) AS projectLogo, '2025-01-01' AS completionDate, "
             f"'published' AS projectPublishStatus FROM region")
 LABELS = (f"SELECT 'S' || CAST(n_nationkey AS VARCHAR) AS _id, {org('n_nationkey')} AS orgId, 'lead_status' AS entityName, "
           f"CASE WHEN n_regionkey = 1 THEN 'Booked' ELSE n_name END AS labelName FROM nation")
 
 
-def _funnel_sql(channel: str) -> str:
+def _funnel_sql(channel: str, as_stored: bool = False) -> str:
     """Reference-shaped funnel: left joins, per-event dedup, per-lead flags,
     COUNT(DISTINCT CASE ...)."""
+    log_key = digits if as_stored else phone_key
+    lead_key = phone_key("phone") if not as_stored else normalize_phone("phone") if channel == "sms" else "phone"
     if channel == "whatsapp":
         logs = f"""
 SELECT json_extract_string(props, '$.k') AS campaignId, {org('user_id')} AS organisationId,
-       {case_map(pick(T.WHATSAPP_STATUSES, 'event_id'), EV.WHATSAPP_ENGAGEMENT, EV.PASSTHROUGH)} AS canonical_event,
-       {phone_key("'+91 ' || " + base('user_id'))} AS to_key, ts + {LOCAL} AS event_ts_local
+       {case_map(pick(T.WHATSAPP_STATUSES, 'event_id'), WHATSAPP_ENGAGEMENT, PASSTHROUGH)} AS canonical_event,
+       {log_key("('+91 ' || " + base('user_id') + ")")} AS to_key, ts + {LOCAL} AS event_ts_local
 FROM events"""
         camp_on = "g.campaignId = c._id AND g.organisationId = c.organisationId"
         lead_on = "g.to_key = l.pkey AND g.organisationId = l.orgId"
@@ -221,7 +448,7 @@ FROM events"""
               f"ELSE '91' || {base('user_id')} END")
         logs = f"""
 SELECT json_extract_string(props, '$.k') AS campaignId, {SMS_ENGAGEMENT} AS canonical_event,
-       {phone_key(to)} AS to_key, ts + {LOCAL} AS event_ts_local
+       {log_key(to)} AS to_key, ts + {LOCAL} AS event_ts_local
 FROM events"""
         camp_on = "g.campaignId = c._id"
         lead_on = "g.to_key = l.pkey"
@@ -236,7 +463,7 @@ FROM events"""
     return f"""
 WITH logs AS ({logs}),
 camp AS (SELECT CAST(p_partkey AS VARCHAR) AS _id, {org('p_partkey')} AS organisationId, p_name AS name, p_type AS channel FROM part),
-dim AS (SELECT *, {phone_key('phone')} AS pkey FROM ({LEAD_DIM})),
+dim AS (SELECT *, {lead_key} AS pkey FROM ({LEAD_DIM})),
 raw AS (
   SELECT l.leadId, {key_sel}, g.canonical_event, g.event_ts_local,
          coalesce(l.site_visit_scheduled, FALSE) AS site_visit_scheduled, l.siteVisit_date,
@@ -263,10 +490,6 @@ SELECT {keys}, event_date, count(DISTINCT leadId) AS total_unique_leads,
 FROM flags GROUP BY {keys}, event_date"""
 
 
-def _sms_log_rows() -> str:
-    return "SELECT event_id, event_type FROM events"
-
-
 ORACLE: dict[str, str] = {
     "json_struct_flatten": """
 SELECT event_id, props, json_extract_string(props, '$.k') AS props_k, CAST(NULL AS VARCHAR) AS props_missing
@@ -274,13 +497,27 @@ FROM events""",
     "json_path_extract": """
 SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
     "missing_column_guard": """
-SELECT n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey_str, CAST(NULL AS VARCHAR) AS n_comment,
-       CAST(NULL AS INTEGER) AS n_priority, CAST(NULL AS VARCHAR) AS payload_status
-FROM nation""",
+SELECT o_orderkey, o_orderstatus, CAST(o_custkey AS VARCHAR) AS o_custkey_str, CAST(NULL AS VARCHAR) AS o_remark,
+       CAST(NULL AS INTEGER) AS o_rank, CAST(NULL AS VARCHAR) AS payload_status
+FROM orders""",
     "complex_to_json": """
-SELECT n_nationkey, CAST(to_json([n_nationkey, n_regionkey]) AS VARCHAR) AS keys_json,
-       CAST(to_json({'n_name': n_name, 'n_regionkey': n_regionkey}) AS VARCHAR) AS name_json
-FROM nation""",
+SELECT o_orderkey, CAST(to_json([o_orderkey, o_custkey]) AS VARCHAR) AS keys_json,
+       '{"' || o_orderstatus || '":' || CAST(o_custkey AS VARCHAR) || '}' AS map_json,
+       CAST(to_json({'o_orderpriority': o_orderpriority, 'o_custkey': o_custkey}) AS VARCHAR) AS order_json
+FROM orders""",
+    "struct_input_flatten": """
+SELECT event_id, event_type AS status, CAST(user_id AS VARCHAR) AS to_number, CAST(NULL AS VARCHAR) AS absent,
+       upper(event_type) AS in_place_status
+FROM events""",
+    "epoch_ms_decimal_day": f"""
+SELECT event_id, date_trunc('millisecond', ts) + {LOCAL} AS from_text,
+       CAST(ts + {LOCAL} AS DATE) AS from_double, CAST(ts + {LOCAL} AS DATE) AS from_decimal
+FROM events""",
+    "date_text_day": f"""
+SELECT event_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) + {LOCAL} AS from_day,
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1215 MINUTE + INTERVAL 420 MINUTE + {LOCAL} AS from_offset,
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1215 MINUTE + {LOCAL} AS from_plain
+FROM events""",
     "left_join_composite": """
 SELECT u.conv_id, u.turn, a.turn AS reply_turn, CAST(length(a.text) AS INTEGER) AS reply_chars
 FROM conversations u
@@ -343,16 +580,16 @@ SELECT o_orderkey, CASE WHEN {booked('booking_id', 'label')} THEN 1 ELSE 0 END A
 FROM x""",
     "json_temperature": "SELECT event_id, event_type AS lead_temperature FROM events",
     "canonical_event_sms": f"""
-SELECT event_id, status, {case_map('status', EV.SMS_RESPONSE)} AS response_event,
-       {case_map('status', EV.SMS_RESPONSE_CORRECTED)} AS response_event_corrected,
+SELECT event_id, status, {case_map('status', SMS_RESPONSE)} AS response_event,
+       {case_map('status', SMS_RESPONSE_CORRECTED)} AS response_event_corrected,
        engagement_event
 FROM (SELECT event_id, {pick(T.SMS_STATUSES, 'event_id')} AS status, {SMS_ENGAGEMENT} AS engagement_event FROM events)""",
     "canonical_event_whatsapp": f"""
-SELECT event_id, status, {case_map('status', EV.WHATSAPP_ENGAGEMENT, EV.PASSTHROUGH)} AS engagement_event,
-       {case_map('status', EV.WHATSAPP_RESPONSE)} AS response_event
+SELECT event_id, status, {case_map('status', WHATSAPP_ENGAGEMENT, PASSTHROUGH)} AS engagement_event,
+       {case_map('status', WHATSAPP_RESPONSE)} AS response_event
 FROM (SELECT event_id, {pick(T.WHATSAPP_STATUSES, 'event_id')} AS status FROM events)""",
     "canonical_event_email": f"""
-SELECT event_id, status, {case_map('status', EV.EMAIL_RESPONSE)} AS response_event
+SELECT event_id, status, {case_map('status', EMAIL_RESPONSE)} AS response_event
 FROM (SELECT event_id, {pick(T.EMAIL_STATUSES, 'event_id')} AS status FROM events)""",
     "raw_status_fallback": f"""
 SELECT 'sms' || CAST(event_id AS VARCHAR) AS _id,
@@ -378,6 +615,9 @@ SELECT campaignid, user_id, min(event_ts_local) AS first_event_ts, CAST(min(even
 FROM ({WA_ROWS}) GROUP BY campaignid, user_id""",
     "whatsapp_funnel": _funnel_sql("whatsapp"),
     "sms_funnel": _funnel_sql("sms"),
+    "funnels_as_stored": " UNION ALL ".join(
+        f"SELECT '{c}' AS channel, campaignid, event_date, total_unique_leads, site_visit_scheduled_any_unique, "
+        f"booked_any_unique FROM ({_funnel_sql(c, True)})" for c in ("sms", "whatsapp")),
     "union_channels": f"""
 SELECT event_id, channel,
        CASE channel WHEN 'sms' THEN {pick(T.SMS_STATUSES, 'event_id')}
@@ -396,86 +636,39 @@ SELECT d.leadId, d.lead_flat_id, a.event_date, a.orgId, a.projectId,
        {", ".join("a." + o for o, _, _ in PIVOT_COLUMNS)}
 FROM ({PIVOT}) a JOIN (SELECT DISTINCT lead_flat_id, leadId FROM ({LEAD_DIM})) d ON a.profileId = d.lead_flat_id""",
 
-    "table_replace_roundtrip": LABELS,
-}
-# ---- M1 / M2: every column; those the adapters never set are NULL --------------------
-_PROFILE_JSON = (
-    "'{\"fullName\":\"' || fullName || '\",\"age\":' || age"
-    " || CASE WHEN phone IS NULL THEN '' ELSE ',\"whatsAppNumber\":\"' || phone || '\"' END"
-    " || ',\"sourceOfLead\":\"' || src || '\",\"subSourceOfLead\":\"' || subsrc || '\"}'"
-)
-_LEAD_FLAT_SET = {
-    "_id": "lead_flat_id", "orgId": "orgId", "leadId": "leadId", "projectId": "projectId",
-    "leadStatus": "leadStatus", "isActive": "isActive", "original_siteVisit_json": "siteVisit",
-    "conversionPropensity": "'{\"leadIntent\":\"' || leadIntent || '\"}'", "profile": _PROFILE_JSON,
-    "profile_fullName": "fullName", "profile_age": "age", "profile_whatsAppNumber": "phone",
-    "profile_sourceOfLead": "src", "profile_subSourceOfLead": "subsrc",
-    "conversionPropensity_leadIntent": "leadIntent", "siteVisit_date": "siteVisit_date",
-    "siteVisit_modeOfVisit": "siteVisit_modeOfVisit",
-}
-_COMM_SET = {
-    "_id": "log_id", "orgId": "orgId", "leadId": "leadId", "projectId": "projectId",
-    "prevStatus": "prevStatus", "bookingId": "bookingId", "payload_subStatus": "subStatus",
-    "createdAt": "createdAt", "nextSiteVisit": "nextSiteVisit", "siteVisit_date": "siteVisit_date",
-    "callDuration": "callDuration", "callStatus": "callStatus", "viewed": "viewed",
+    "table_replace_roundtrip": f"""
+SELECT CAST(p_partkey AS VARCHAR) AS _id, {org('p_partkey')} AS organisationId, p_name AS name, p_type AS channel
+FROM part""",
 }
-_BOOLEAN = {"viewed", "call_ended"}
-
-
-def _select(names, known):
-    return ",\n       ".join(
-        f"{known[n]} AS {n}" if n in known else f"CAST(NULL AS {'BOOLEAN' if n in _BOOLEAN else 'VARCHAR'}) AS {n}"
-        for n in names
-    )
-
-
-ORACLE["lead_flat"] = f"SELECT {_select(LEAD_FLAT_OUTPUT, _LEAD_FLAT_SET)}\nFROM ({LEADS_BRONZE})"
-ORACLE["comm_logs_flat"] = (
-    f"SELECT {_select([n for n, _ in COMM_OUTPUT_SPEC if n not in ('payload_assignmentHistory', 'call_legs')], _COMM_SET)}"
-    f"\nFROM ({LOGS_BRONZE})"
-)
-
-
-# ---- M3: every scalar column of the 163 ------------------------------------------------
-_LEAD_360_ARRAYS = ("payload_assignmentHistory", "call_legs_comm")
-_LEAD_360_SET = {
-    "lead_flat_id": "lf.lead_flat_id", "orgId": "lf.orgId", "leadId": "lf.leadId", "isActive": "lf.isActive",
-    "projectId": "lf.projectId", "siteVisit": "lf.siteVisit", "leadStatus": "lf.leadStatus",
-    "conversionPropensity": "'{\"leadIntent\":\"' || lf.leadIntent || '\"}'",
-    "profile_whatsAppNumber": "lf.phone", "normalized_whatsapp_number": normalize_phone("lf.phone"),
-    "profile_sourceOfLead": "lf.src", "profile_subSourceOfLead": "lf.subsrc",
-    "profile_fullName": "lf.fullName", "profile_age": "lf.age",
-    "projectName": "p.projectName", "projectStatus": "p.projectStatus", "projectLogo": "p.projectLogo",
-    "completionDate": "p.completionDate", "projectPublishStatus": "p.projectPublishStatus",
-    "communication_log_id": "lg.log_id", "leadId_comm": "lg.leadId", "orgId_comm": "lg.orgId",
-    "projectId_comm": "lg.projectId", "createdAt_comm": "lg.createdAt", "prevStatus_comm": "lg.prevStatus",
-    "nextSiteVisit_comm": "lg.nextSiteVisit", "bookingId": "lg.bookingId", "payload_subStatus": "lg.subStatus",
-    "siteVisit_date": "lg.siteVisit_date", "callDuration": "lg.callDuration", "callStatus": "lg.callStatus",
-    "viewed": "lg.viewed",
-    "site_visit_scheduled": f"({present('lf.siteVisit')} OR {present('lg.nextSiteVisit')} OR lg.siteVisit_date IS NOT NULL)",
-    L360.LABEL_ENTITY: "e.entityName", L360.LABEL_STATUS: "e.labelName", "previous_lead_status": "pl.labelName",
-    L360.LABEL_SUB_SOURCE: "e2.labelName", L360.LABEL_SOURCE: "e3.labelName",
+# ---- M1 - M3: every column ----------------------------------------------------------
+ORACLE["lead_flat"] = LEADS_FLAT
+ORACLE["comm_logs_flat"] = LOGS_FLAT
+_DERIVED = {
+    "pms_LeadId": "CAST(NULL AS VARCHAR)",
+    "normalized_whatsapp_number": normalize_phone("lf.profile_whatsAppNumber"),
+    "site_visit_scheduled": f"({present('lf.original_siteVisit_json')} OR {present('lg.nextSiteVisit')} "
+                            "OR lg.siteVisit_date IS NOT NULL OR lg.siteVisit_schedule IS NOT NULL "
+                            "OR lg.siteVisit_time IS NOT NULL OR lg.siteVisitDate IS NOT NULL "
+                            "OR lg.siteVisitTime IS NOT NULL)",
+    "sirrus_lead_entity_name": "e.entityName", "sirrus_lead_status": "e.labelName",
+    "previous_lead_status": "pl.labelName", "sirrus_sub_source_of_lead": "e2.labelName",
+    "sirrus_source_of_lead": "e3.labelName",
     "booked_flag": f"CASE WHEN {booked('lg.bookingId', 'e.labelName')} THEN 1 ELSE 0 END",
-    "Site_Visit_Completed": "coalesce(lg.subStatus IN ('SV_DONE'), FALSE)",
+    "Site_Visit_Completed": "coalesce(lg.payload_subStatus IN ('SV_DONE'), FALSE)",
     "booked_date": f"CASE WHEN {booked('lg.bookingId', 'e.labelName')} THEN lg.createdAt END",
-    "lead_temperature": "lf.leadIntent",
+    "lead_temperature": "lf.conversionPropensity_leadIntent",
 }
-_BOOLEAN_360 = {"call_ended_comm"}
-LEAD_360_CHECK = [c for c in LEAD_360_OUTPUT if c not in _LEAD_360_ARRAYS]
 _L360_SELECT = ",\n       ".join(
-    f"{_LEAD_360_SET[c]} AS {c}" if c in _LEAD_360_SET
-    else f"CAST(NULL AS {'BOOLEAN' if c in _BOOLEAN_360 else 'VARCHAR'}) AS {c}"
-    for c in LEAD_360_CHECK
-)
+    f"{_DERIVED.get(name, source)} AS {name}" for name, source in map(_pair, LEAD_360))
 ORACLE["lead_360"] = f"""
-WITH lf AS ({LEADS_BRONZE}), lg AS ({LOGS_BRONZE}), p AS ({PROJECTS}), lab AS ({LABELS})
+WITH lf AS ({LEADS_FLAT}), lg AS ({LOGS_FLAT}), p AS ({PROJECTS}), lab AS ({LABELS})
 SELECT {_L360_SELECT}
 FROM lf
-LEFT JOIN lg ON lf.lead_flat_id = lg.leadId AND lf.orgId = lg.orgId AND lf.projectId = lg.projectId
+LEFT JOIN lg ON lf._id = lg.leadId AND lf.orgId = lg.orgId AND lf.projectId = lg.projectId
 LEFT JOIN p ON lf.projectId = p._id AND lf.orgId = p.orgId
 LEFT JOIN lab e ON lf.leadStatus = e._id AND lf.orgId = e.orgId
-LEFT JOIN lab e2 ON lf.subsrc = e2._id AND lf.orgId = e2.orgId
-LEFT JOIN lab e3 ON lf.src = e3._id AND lf.orgId = e3.orgId
+LEFT JOIN lab e2 ON lf.profile_subSourceOfLead = e2._id AND lf.orgId = e2.orgId
+LEFT JOIN lab e3 ON lf.profile_sourceOfLead = e3._id AND lf.orgId = e3.orgId
 LEFT JOIN lab pl ON lg.prevStatus = pl._id AND lg.orgId = pl.orgId"""
 ORACLE["job_row_counts"] = f"""
 SELECT 'lead_flat' AS table_name, count(*) AS row_count FROM customer

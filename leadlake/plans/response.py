@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.events import EMAIL_RESPONSE, SMS_RESPONSE, WHATSAPP_RESPONSE, Rule, canonical_event
 from ..functions.time import LOCAL_TZ, local_event_time
-from ..operators.guards import ensure_column
+from ..operators.guards import ensure_column, json_text
 from ..operators.pivot import PivotColumn, channel_pivot, union_channels
 
 KEYS = ["event_date", "orgId", "projectId", "profileId"]
@@ -56,7 +56,7 @@ def channel_events(
     if not project_from_payload:
         df = ensure_column(df, "projectId")
     project = (
-        F.get_json_object(F.col("payload").cast("string"), "$.projectId")
+        F.get_json_object(json_text(df, "payload"), "$.projectId")
         if project_from_payload else F.col("projectId")
     )
     ts_type = df.schema[ts_column].dataType

@@ -14,12 +14,15 @@ tables they come from.  ``plans.oracle`` restates the same rules in SQL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions import schemas as S
 from .lead_360 import LABEL_STATUS
+from .lead_flat import ROOT_COLUMNS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,15 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---- fixed values: test vocabularies (raw statuses as providers send them) ----
 WHATSAPP_STATUSES = (
     "read", "Seen", "MESSAGE_READ", "click", "URL_CLICK", "delivered", "Deliv",
-    "queued", "SENT", "failed", "Replied", "unknown_status",
+    "queued", "SENT", "failed", "Replied", "reply", "unknown_status",
 )
 SMS_STATUSES = (
-    "SENT", "submitd", "DELIVRD", "DLT HEADER FILTER", "Expired", "FAILED", "UNDELIV",
-    "Click", "xyz",
+    "SENT", "submitd", "DELIVRD", "DLT HEADER FILTER", "Dlt Template Filter", "DLT VL FAILURE",
+    "exp-abs-sub", "EXP-NW-FAIL", "Expired", "FAILED", "Invalid Request", "UNDELIV", "Click", "xyz",
 )
 EMAIL_STATUSES = (
-    "processed", "Bounced", "delivered", "open", "OPENED", "click", "Clicked", "spam",
-    "unsubscribe", "Unsubscribed", "deferred",
+    "processed", "Dropped", "Bounced", "REJECTED", "sent", "delivered", "open", "OPENED", "click",
+    "Clicked", "spam", "unsubscribe", "Unsubscribed", "deferred",
 )
 # event_type -> channel, for the three-channel response feed
 SMS_EVENT_TYPES = ("click", "error")
@@ -90,59 +93,87 @@ def epoch_ms(ts_ntz: Column) -> Column:
     return F.unix_millis(instant)
 
 
+def filler(name: str, k: Column) -> Column:
+    """A value that tells which field and which row it belongs to: ``name:<k mod 11>``."""
+    return F.concat(F.lit(f"{name}:"), F.pmod(k, F.lit(11)).cast("string"))
+
+
+def document(schema: StructType, k: Column, values: Mapping[str, Column], path: str = "") -> Column:
+    """A struct of ``schema``'s fields: ``values`` by dotted path, fillers elsewhere."""
+    fields = []
+    for f in schema.fields:
+        at = f"{path}{f.name}"
+        if at in values:
+            value = values[at]
+        elif isinstance(f.dataType, StructType):
+            value = document(f.dataType, k, values, f"{at}.")
+        else:
+            value = filler(at, k)
+        fields.append(value.alias(f.name))
+    return F.struct(*fields)
+
+
 # ---- leads / logs / lookups ---------------------------------------------------
 def leads_bronze(customer: DataFrame) -> DataFrame:
+    """Every root column and every field of the JSON documents has values."""
     k = F.col("c_custkey")
-    site_visit = (
-        F.when(F.pmod(k, F.lit(4)) == 1, F.lit("  "))
-        .when(F.pmod(k, F.lit(4)) == 2, F.to_json(F.struct(
-            F.concat(F.lit("2024-02-"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0")).alias("date"),
-            F.col("c_mktsegment").alias("modeOfVisit"))))
-        .when(F.pmod(k, F.lit(4)) == 3, F.lit("None"))
-    )
-    profile = F.to_json(F.struct(
-        F.col("c_name").alias("fullName"),
-        (F.pmod(k, F.lit(60)) + 20).alias("age"),
-        phone_text(k).alias("whatsAppNumber"),
-        F.concat(F.lit("S"), F.pmod(F.col("c_nationkey") + 1, F.lit(25)).cast("string")).alias("sourceOfLead"),
-        F.concat(F.lit("S"), F.pmod(F.col("c_nationkey") + 3, F.lit(25)).cast("string")).alias("subSourceOfLead"),
-    ))
+    visit = document(S.site_visit_schema(), k, {
+        "date": F.concat(F.lit("2024-02-"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0")),
+        "modeOfVisit": F.col("c_mktsegment"),
+    })
+    form = F.pmod(k, F.lit(4))
+    profile = document(S.profile_schema(), k, {
+        "fullName": F.col("c_name"),
+        "age": F.pmod(k, F.lit(60)) + 20,
+        "whatsAppNumber": phone_text(k),
+        "sourceOfLead": F.concat(F.lit("S"), F.pmod(F.col("c_nationkey") + 1, F.lit(25)).cast("string")),
+        "subSourceOfLead": F.concat(F.lit("S"), F.pmod(F.col("c_nationkey") + 3, F.lit(25)).cast("string")),
+    })
+    known = {
+        "_id": k.cast("string"),
+        "orgId": org_of(k),
+        "leadId": F.concat(F.lit("L"), k.cast("string")),
+        "projectId": project_of(k),
+        "leadStatus": F.concat(F.lit("S"), F.col("c_nationkey").cast("string")),
+        "isActive": F.col("c_acctbal") > 0,
+    }
     return customer.select(
-        k.cast("string").alias("_id"),
-        org_of(k).alias("orgId"),
-        F.concat(F.lit("L"), k.cast("string")).alias("leadId"),
-        project_of(k).alias("projectId"),
-        F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("leadStatus"),
-        (F.col("c_acctbal") > 0).alias("isActive"),
-        profile.alias("profile"),
-        site_visit.alias("siteVisit"),
-        F.to_json(F.struct(F.col("c_mktsegment").alias("leadIntent"))).alias("conversionPropensity"),
+        *[known.get(c, filler(c, k)).alias(c) for c in ROOT_COLUMNS],
+        F.to_json(profile).alias("profile"),
+        F.when(form == 1, F.lit("  ")).when(form == 2, F.to_json(visit)).when(form == 3, F.lit("None")).alias("siteVisit"),
+        F.to_json(document(S.property_interest_schema(), k, {})).alias("propertyInterest"),
+        F.to_json(document(S.conversion_propensity_schema(), k, {"leadIntent": F.col("c_mktsegment")}))
+        .alias("conversionPropensity"),
     )
 
 
 def comm_logs_bronze(orders: DataFrame) -> DataFrame:
+    """Every field of the payload has values; the site-visit fields only in some rows."""
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     status, prio = F.col("o_orderstatus"), F.col("o_orderpriority")
-    payload = F.to_json(F.struct(
-        F.when(prio != "5-LOW", project_of(ck)).alias("projectId"),
-        F.concat(F.lit("S"), F.pmod(ok, F.lit(25)).cast("string")).alias("prevStatus"),
-        F.when(status == "F", F.concat(F.lit("B"), ok.cast("string"))).alias("bookingId"),
-        F.when(prio == "1-URGENT", F.lit("SV_DONE")).alias("subStatus"),
-        F.to_date(F.col("o_orderdate")).cast("string").alias("createdAt"),
-        F.when(F.pmod(ok, F.lit(3)) == 0, F.lit("None"))
-        .when(F.pmod(ok, F.lit(3)) == 1, F.lit("2024-03-01")).alias("nextSiteVisit"),
-        F.struct(F.when(status == "O", F.lit("2024-04-01")).alias("date")).alias("siteVisit"),
-        F.when(F.pmod(ok, F.lit(3)) == 0, F.lit("1m 20s"))
-        .when(F.pmod(ok, F.lit(3)) == 1, F.lit("0")).alias("callDuration"),
-        F.when(prio == "2-HIGH", F.lit("answered")).alias("callStatus"),
-        (status == "P").alias("viewed"),
-        F.array(F.concat(F.lit("a"), F.pmod(ok, F.lit(2)).cast("string"))).alias("assignmentHistory"),
-    ))
+    third, fourth = F.pmod(ok, F.lit(3)), F.pmod(ok, F.lit(4))
+    payload = document(S.payload_schema(), ok, {
+        "projectId": F.when(prio != "5-LOW", project_of(ck)),
+        "prevStatus": F.concat(F.lit("S"), F.pmod(ok, F.lit(25)).cast("string")),
+        "bookingId": F.when(status == "F", F.concat(F.lit("B"), ok.cast("string"))),
+        "subStatus": F.when(prio == "1-URGENT", F.lit("SV_DONE")),
+        "createdAt": F.to_date(F.col("o_orderdate")).cast("string"),
+        "nextSiteVisit": F.when(third == 0, F.lit("None")).when(third == 1, F.lit("2024-03-01")),
+        "siteVisit.date": F.when(status == "O", F.lit("2024-04-01")),
+        **{f: F.when(fourth == 3, filler(f, ok))
+           for f in ("siteVisit.time", "siteVisit.schedule", "siteVisitDate", "siteVisitTime")},
+        "callDuration": F.when(third == 0, F.lit("1m 20s")).when(third == 1, F.lit("0")),
+        "callStatus": F.when(prio == "2-HIGH", F.lit("answered")),
+        "viewed": status == "P",
+        "callEnded": F.pmod(ok, F.lit(2)) == 0,
+        "assignmentHistory": F.array(filler("first", ok), filler("then", ck)),
+        "Legs": F.array(F.struct(filler("duration", ok).alias("onCallDuration"), filler("leg", ok).alias("status"))),
+    })
     return orders.select(
         ok.cast("string").alias("_id"),
         org_of(ck).alias("orgId"),
         ck.cast("string").alias("leadId"),
-        payload.alias("payload"),
+        F.to_json(payload).alias("payload"),
     )
 
 
@@ -153,7 +184,7 @@ def projects(region: DataFrame) -> DataFrame:
         org_of(r).alias("orgId"),
         F.col("r_name").alias("projectName"),
         F.lit("active").alias("projectStatus"),
-        F.lit(None).cast("string").alias("projectLogo"),
+        F.concat(F.lit("logo"), r.cast("string")).alias("projectLogo"),
         F.lit("2025-01-01").alias("completionDate"),
         F.lit("published").alias("projectPublishStatus"),
     )
@@ -179,20 +210,27 @@ def campaigns(part: DataFrame) -> DataFrame:
     )
 
 
-def lead_dim(customer: DataFrame) -> DataFrame:
-    """A lead-360-shaped dimension (the columns the funnels and responses read)."""
-    k, bal, seg = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_mktsegment")
-    return customer.select(
+def lead_dim(customer: DataFrame, orders: DataFrame) -> DataFrame:
+    """A lead-360-shaped dimension (the columns the funnels and responses read): a row
+    per lead x log with flags that differ between the rows of a lead; leads without a
+    log keep one row."""
+    k, o, bal, seg = F.col("c_custkey"), F.col("o_orderkey"), F.col("c_acctbal"), F.col("c_mktsegment")
+    rows = customer.join(
+        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"),
+        k == F.col("o_custkey"), "left")
+    return rows.select(
         k.cast("string").alias("lead_flat_id"),
         F.concat(F.lit("L"), k.cast("string")).alias("leadId"),
         org_of(k).alias("orgId"),
         phone_text(k).alias("profile_whatsAppNumber"),
-        F.when(seg == "HOUSEHOLD", F.lit(None).cast("boolean")).otherwise(bal > 5000).alias("site_visit_scheduled"),
-        F.when(bal > 8000, F.concat(F.lit("2024-02-"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"))).alias("siteVisit_date"),
-        F.when(bal < 0, F.concat(F.lit("B"), k.cast("string"))).alias("bookingId"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(True))
+        .when(seg == "HOUSEHOLD", F.lit(None).cast("boolean")).otherwise(bal > 8000).alias("site_visit_scheduled"),
+        F.when((F.col("o_orderstatus") == "F") & (bal > 5000),
+               F.concat(F.lit("2024-02-"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"))).alias("siteVisit_date"),
+        F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("B"), o.cast("string"))).alias("bookingId"),
         F.when(seg == "AUTOMOBILE", F.lit("Booked")).when(seg == "MACHINERY", F.lit("BOOKED")).otherwise(seg).alias(LABEL_STATUS),
-        F.when(F.pmod(k, F.lit(3)) == 0, F.lit("1m 20s")).when(F.pmod(k, F.lit(3)) == 1, F.lit("0")).alias("callDuration"),
-        F.when(F.pmod(k, F.lit(4)) == 0, F.lit("Answered")).when(F.pmod(k, F.lit(4)) == 1, F.lit("no-answer")).alias("callStatus"),
+        F.when(F.pmod(o, F.lit(9)) == 0, F.lit("1m 20s")).when(F.pmod(o, F.lit(3)) == 1, F.lit("0")).alias("callDuration"),
+        F.when(F.pmod(o, F.lit(32)) == 0, F.lit("Answered")).when(F.pmod(o, F.lit(4)) == 1, F.lit("no-answer")).alias("callStatus"),
     )
 
 

@@ -7,6 +7,8 @@ jobs show local time twice.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -61,3 +63,16 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
         except (AttributeError, NotImplementedError):
             pass  # Spark Connect: the server applies spark.checkpoint.dir itself
     return current or None
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder for intermediate tables: ``spark.checkpoint.dir``.  Only a local master may
+    go without the setting and then gets a temporary folder; on a cluster it is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="leadlake-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder

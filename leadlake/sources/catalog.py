@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -21,11 +21,15 @@ def ensure_namespace(spark: SparkSession, namespace: str) -> None:
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
 
 
-def _is_session_catalog(spark: SparkSession, name: str) -> bool:
+SESSION_CATALOG = "spark_catalog"
+
+
+def _is_file_catalog(spark: SparkSession, name: str) -> bool:
+    """True for the built-in session catalog, whose file tables know no atomic replace.
+    A deployment may put a v2 table format in its place (``spark.sql.catalog.spark_catalog``)."""
     parts = name.split(".")
-    if len(parts) < 3:
-        return spark.catalog.currentCatalog() == "spark_catalog"
-    return parts[0] == "spark_catalog"
+    catalog = parts[0] if len(parts) > 2 else spark.catalog.currentCatalog()
+    return catalog == SESSION_CATALOG and not spark.conf.get(f"spark.sql.catalog.{SESSION_CATALOG}", None)
 
 
 def replace_table(
@@ -34,31 +38,35 @@ def replace_table(
     """S3: create or replace ``name`` with ``df`` (full refresh), creating its
     namespace first.
 
-    On a v2 catalog (e.g. a table-format catalog configured on the session) this is
-    ``writeTo(name).createOrReplace()``, an atomic swap.  The built-in session
-    catalog does not support that statement for file tables, so there it falls back
-    to ``saveAsTable`` in overwrite mode, which is *not* atomic: readers can see
-    the table missing or partly written while the job runs.  ``path`` places such a
-    table at an explicit (shared) location instead of the warehouse default.
+    On a v2 catalog (also one that replaces the session catalog) this is
+    ``writeTo(name).createOrReplace()``, an atomic swap; any error is raised and the old
+    table stays.  The built-in session catalog does not support that statement for file
+    tables; there it is ``saveAsTable`` in overwrite mode, which is *not* atomic: readers
+    can see the table missing or partly written while the job runs.  ``path`` places such
+    a file table at an explicit (shared) location; v2 catalogs place tables themselves,
+    so it is an error there.
     """
     spark = df.sparkSession
     ns = _namespace_of(name)
-    if ns:
-        ensure_namespace(spark, ns)
-    if not _is_session_catalog(spark, name):
+    if not _is_file_catalog(spark, name):
+        if path:
+            raise ValueError("path is for file tables of the built-in session catalog only")
+        if ns:
+            ensure_namespace(spark, ns)
         writer = df.writeTo(name)
         if partition_by:
-            from pyspark.sql import functions as F
-
             writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
-        try:
-            writer.createOrReplace()
-            return
-        except AnalysisException:
-            pass
+        writer.createOrReplace()
+        return
+    if ns:
+        ensure_namespace(spark, ns)
     w = df.write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")

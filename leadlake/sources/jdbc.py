@@ -11,13 +11,17 @@ from ..operators.guards import complex_to_json
 from .catalog import read_table
 
 
+# connections open at once; a table of more partitions is coalesced for the write
+DEFAULT_CONNECTIONS = 16
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,
     table: str,
     properties: Mapping[str, str],
     truncate: bool = False,
-    num_partitions: int | None = None,
+    num_partitions: int = DEFAULT_CONNECTIONS,
     batch_size: int | None = None,
 ) -> None:
     """Overwrite ``table`` with ``df``.  Complex columns become JSON text.
@@ -25,16 +29,15 @@ def write_jdbc(
     Overwrite drops and recreates the target (or truncates it when
     ``truncate=True``, keeping its definition); each task writes its partition in
     its own transaction, so there is no transaction across partitions.
-    ``num_partitions`` caps concurrent connections to the database.
+    ``num_partitions`` caps concurrent connections to the database (the writer's own
+    option of that name would plan the table twice and spoil an observed row count).
     """
     props = dict(properties)
     if truncate:
         props["truncate"] = "true"
-    if num_partitions:
-        props["numPartitions"] = str(num_partitions)
     if batch_size:
         props["batchsize"] = str(batch_size)
-    complex_to_json(df).write.jdbc(url=url, table=table, mode="overwrite", properties=props)
+    complex_to_json(df).coalesce(num_partitions).write.jdbc(url=url, table=table, mode="overwrite", properties=props)
 
 
 def sync_tables(
@@ -43,7 +46,7 @@ def sync_tables(
     url: str,
     properties: Mapping[str, str],
     truncate: bool = False,
-    num_partitions: int | None = None,
+    num_partitions: int = DEFAULT_CONNECTIONS,
 ) -> dict[str, int]:
     """Copy each source table to its target.  The row count is observed
     during the write itself (one pass per table, no separate ``count()`` job).

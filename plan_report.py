@@ -1,11 +1,8 @@
 """Write PLANS.md: the physical plan shape of each job.
 
-Three settings per job:
-  local      - this machine's defaults (AQE on; lookups under the row bound broadcast)
-  large      - the static plan at scale: AQE off and automatic broadcast off, so only
-               lookups proven small by the row bound are broadcast; every join between
-               data-sized sides shuffles
-  worst case - as large, with the row bound at 0: no lookup is broadcast
+Two settings per job:
+  local - this machine's defaults (AQE on; Spark broadcasts small lookups)
+  large - the static plan when nothing is small: AQE off and automatic broadcast off
 
 For each plan: shuffles (hash exchanges), join strategies, aggregate kinds,
 Expand nodes, and every parquet scan with its read-schema width and pushed filters.
@@ -17,7 +14,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -26,10 +22,10 @@ from leadlake.plans import testbed as T  # noqa: E402
 from leadlake.plans.catalogue import lead_360_inputs  # noqa: E402
 from leadlake.plans.comm_logs import communication_logs_flat  # noqa: E402
 from leadlake.plans.engagement import sms_engagement, whatsapp_engagement  # noqa: E402
-from leadlake.plans.lead_360 import lead_360  # noqa: E402
+from leadlake.plans.lead_360 import join_sides, lead_360, lead_side, log_side  # noqa: E402
 from leadlake.plans.lead_flat import lead_flat  # noqa: E402
 from leadlake.plans.response import campaign_response  # noqa: E402
-from leadlake.session import create_session  # noqa: E402
+from leadlake.session import create_session, scratch_dir  # noqa: E402
 
 
 def summarize(df) -> dict:
@@ -57,42 +53,38 @@ def summarize(df) -> dict:
     }
 
 
-def jobs(spark, d: str, scratch: str, bound):
+def jobs(spark, d: str, scratch: str):
     lf_path, lg_path, l3_path = (f"{scratch}/{n}" for n in ("lead_flat", "comm_logs", "lead_360"))
     lf, lg, pr, lb = lead_360_inputs(spark, d)
     if not os.path.exists(l3_path):
         lf.write.parquet(lf_path)
         lg.write.parquet(lg_path)
+        lead_side(spark.read.parquet(lf_path), pr, lb).write.parquet(f"{scratch}/leads")
         lead_360(spark.read.parquet(lf_path), spark.read.parquet(lg_path), pr, lb).write.parquet(l3_path)
     dim = spark.read.parquet(l3_path)
     ev = T.table(spark, d, "events")
     camp = T.campaigns(T.table(spark, d, "part"))
-    kw = {"max_broadcast_rows": bound}
     return {
         "M1 lead_flat": lead_flat(T.leads_bronze(T.table(spark, d, "customer"))),
         "M2 comm_logs": communication_logs_flat(T.comm_logs_bronze(T.table(spark, d, "orders"))),
-        "M3 lead_360 (from the M1/M2 tables)": lead_360(spark.read.parquet(lf_path), spark.read.parquet(lg_path), pr, lb, **kw),
-        "M4 sms_engagement": sms_engagement(T.sms_logs(ev), camp, dim, **kw),
-        "M5 whatsapp_engagement": whatsapp_engagement(T.whatsapp_logs(ev), camp, dim, **kw),
+        "M3 lead sides": lead_side(spark.read.parquet(lf_path), pr, lb),
+        "M3 lead_360 (from the staged leads)": join_sides(
+            spark.read.parquet(f"{scratch}/leads"), log_side(spark.read.parquet(lg_path), lb), skew_safe=True),
+        "M4 sms_engagement": sms_engagement(T.sms_logs(ev), camp, dim),
+        "M5 whatsapp_engagement": whatsapp_engagement(T.whatsapp_logs(ev), camp, dim),
         "M6 campaign_response": campaign_response(T.sms_webhooks(ev), T.whatsapp_webhooks(ev), T.email_webhooks(ev), dim),
     }
 
 
 NOTES = [
-    "* **local** - this machine's defaults (AQE on; lookups under the row bound broadcast).",
-    "* **large** - the static plan at scale: AQE off, automatic broadcast off; only lookups",
-    "  proven small by the row bound (labels, projects, campaigns) are broadcast, and joins",
-    "  between data-sized sides shuffle.",
-    "* **worst case** - as large with the row bound at 0: no lookup is broadcast.",
+    "* **local** - this machine's defaults (AQE on; small lookups are broadcast by Spark).",
+    "* **large** - the static plan when nothing is small: AQE off, automatic broadcast off.",
     "",
-    "Reading the numbers: M1 / M2 shuffle once only because the test files are single row",
-    "groups (`spread`); at scale they are map-only. M3's shuffles are J1 (inner join on both",
-    "sides, anti join against the pre-aggregated log keys); in the worst case its lead-side",
-    "lookups become sort-merge joins, and the looked-up leads are checkpointed once to",
-    "`spark.checkpoint.dir` (when the cluster names one) so both J1 branches read them",
-    "instead of repeating the joins. M4 / M5: log pre-aggregation, lead",
-    "reduction, the lead join (two sides), per-lead flags, counts - all hash aggregates with",
-    "partial aggregation, no Expand. M6: pivot aggregate, dimension distinct, the join.",
+    "M1 / M2 are map-only. M3 is shown as the job runs it: its input is the staged table of",
+    "looked-up leads, joined inner on both sides plus an anti join against the distinct log",
+    "keys. M4 / M5: log pre-aggregation, lead reduction, the lead join (two sides), per-lead",
+    "flags, counts - all hash aggregates with partial aggregation, no Expand. M6: pivot",
+    "aggregate, dimension distinct, the join.",
 ]
 
 
@@ -102,16 +94,15 @@ def main() -> None:
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "16",
         "spark.sql.maxMetadataStringLength": "100000"})
     spark.sparkContext.setLogLevel("ERROR")
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leadlake-plans-")
-    scratch = f"{root.rstrip('/')}/plans_{uuid.uuid4().hex[:6]}"
+    scratch = f"{scratch_dir(spark)}/plans_{uuid.uuid4().hex[:6]}"
     out = ["# PLANS", "", f"Physical plans of the six data jobs over `{d}` (generated by `plan_report.py`).", "",
            *NOTES, ""]
     static = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    settings = [("local", {}, 1_000_000), ("large", static, 1_000_000), ("worst case", static, 0)]
-    for label, conf, bound in settings:
+    settings = [("local", {}), ("large", static)]
+    for label, conf in settings:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        for name, df in jobs(spark, d, scratch, bound).items():
+        for name, df in jobs(spark, d, scratch).items():
             if label == "local":
                 df.write.format("noop").mode("overwrite").save()  # final adaptive plan
             s = summarize(df)

@@ -8,7 +8,7 @@ from conftest import rows
 
 from leadlake.plans.comm_logs import OUTPUT_SPEC, communication_logs_flat
 from leadlake.plans.engagement import SMS_OUTPUT, WHATSAPP_OUTPUT, sms_engagement, whatsapp_engagement
-from leadlake.plans.lead_360 import OUTPUT_COLUMNS, lead_360
+from leadlake.plans.lead_360 import OUTPUT_COLUMNS, join_sides, lead_360, lead_side, log_side
 from leadlake.plans.lead_flat import lead_flat
 from leadlake.plans.response import OUTPUT as RESPONSE_OUTPUT
 from leadlake.plans.response import campaign_response
@@ -79,8 +79,8 @@ def test_comm_logs_schema_and_absent_payload(spark):
 # ---- M3 -------------------------------------------------------------------------
 def _m3(spark, lookups, lead_recs, log_recs, skew_safe=True):
     projects, labels = lookups
-    return lead_360(lead_flat(leads(spark, lead_recs)), communication_logs_flat(logs(spark, log_recs)),
-                    projects, labels, skew_safe=skew_safe)
+    return join_sides(lead_side(lead_flat(leads(spark, lead_recs)), projects, labels),
+                      log_side(communication_logs_flat(logs(spark, log_recs)), labels), skew_safe=skew_safe)
 
 
 LEADS = [
@@ -204,20 +204,22 @@ def test_campaign_response_null_vs_zero_and_dedup(spark):
     assert rows(campaign_response(sms, wa, email, dim, dedupe_dim=False).groupBy().count(), "count") == [(5,)]
 
 
-def test_lead_360_without_broadcastable_lookups_checkpoints_leads(spark, lookups):
-    # row bound 0: no lookup is broadcast, so the looked-up leads are checkpointed
-    # once (the session has a checkpoint folder) and read by both J1 branches
+def test_lead_360_in_sides_equals_one_plan_and_repeats_no_lookup(spark, lookups, tmp_path):
+    # the job writes the looked-up leads first: both branches of the skew-safe join read them
     projects, labels = lookups
-    args = (lead_flat(leads(spark, LEADS)), communication_logs_flat(logs(spark, LOGS)), projects, labels)
-    default = lead_360(*args)
-    unbroadcast = lead_360(*args, max_broadcast_rows=0)
-    plan = unbroadcast._jdf.queryExecution().executedPlan().toString()
-    marker = "ExistingRDD[lead_flat_id"                # the checkpointed leads, read by both branches
-    assert plan.count(marker) == 2
-    assert marker not in default._jdf.queryExecution().executedPlan().toString()
-    cols = ["lead_flat_id", "communication_log_id", "projectName", "sirrus_lead_status",
-            "sirrus_source_of_lead", "previous_lead_status", "booked_flag"]
-    assert rows(unbroadcast, *cols) == rows(default, *cols)
+    flat, logs_flat = lead_flat(leads(spark, LEADS)), communication_logs_flat(logs(spark, LOGS))
+    lead_side(flat, projects, labels).write.parquet(str(tmp_path / "leads"))
+    staged = spark.read.parquet(str(tmp_path / "leads"))
+    safe = join_sides(staged, log_side(logs_flat, labels), skew_safe=True)
+    one = lead_360(flat, logs_flat, projects, labels)
+    safe_plan, one_plan = (df._jdf.queryExecution().optimizedPlan().toString() for df in (safe, one))
+    assert "LeftAnti" in safe_plan and "LeftAnti" not in one_plan
+    # lookups: none on the lead side of the final plan, J4 on the log side; five in the lazy plan
+    # (J1 itself is the inner join and the anti join, or one left join)
+    assert safe_plan.count("Join LeftOuter") == 1
+    assert one_plan.count("Join LeftOuter") == 6
+    assert safe.columns == one.columns
+    assert rows(safe) == rows(one)
 
 
 def test_missing_columns_scenario(spark):
@@ -242,19 +244,3 @@ def test_unknown_campaign_keeps_null_name(spark):
     wa = _wa(spark, [("c404", "o1", "read", "9000000001", DAY1)])
     r = whatsapp_engagement(wa, _campaigns(spark), dim).collect()
     assert [(x.campaignid, x.campaignname, x.campaignchannel, x.total_unique_leads) for x in r] == [("c404", None, None, 1)]
-
-
-def test_skew_safe_join_follows_the_session_setting(spark, lookups):
-    from leadlake.plans.lead_360 import SKEW_SAFE_CONF
-
-    projects, labels = lookups
-    args = (lead_flat(leads(spark, LEADS)), communication_logs_flat(logs(spark, LOGS)), projects, labels)
-    safe_plan = lead_360(*args)._jdf.queryExecution().optimizedPlan().toString()
-    spark.conf.set(SKEW_SAFE_CONF, "false")
-    try:
-        plain = lead_360(*args)
-        plain_plan = plain._jdf.queryExecution().optimizedPlan().toString()
-        assert rows(plain, "lead_flat_id", "communication_log_id") == rows(lead_360(*args, skew_safe=True), "lead_flat_id", "communication_log_id")
-    finally:
-        spark.conf.unset(SKEW_SAFE_CONF)
-    assert "LeftAnti" in safe_plan and "LeftAnti" not in plain_plan

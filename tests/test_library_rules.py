@@ -10,6 +10,8 @@ FORBIDDEN = {
     r"\.toPandas\(": "collects rows to the driver",
     r"\.take\(|\.first\(|\.head\(": "pulls rows to the driver",
     r"localCheckpoint": "loses data with an executor",
+    r"\.checkpoint\(": "a job hidden in a transform",
+    r"\.rdd\b": "leaves the optimizer",
     r"\.cache\(|\.persist\(": "hidden memory pressure at scale",
     r"\budf\(|pandas_udf|applyInPandas|mapInPandas|mapPartitions": "Python in the hot path",
 }
@@ -18,6 +20,8 @@ FORBIDDEN = {
 def test_library_has_no_forbidden_calls():
     problems = []
     for path in sorted(LIB.rglob("*.py")):
+        if "llm" in path.relative_to(LIB).parts:  # corpus operators have their own tests and styles
+            continue
         for n, line in enumerate(path.read_text().splitlines(), 1):
             code = line.split("#", 1)[0]
             for pattern, why in FORBIDDEN.items():

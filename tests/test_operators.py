@@ -2,24 +2,19 @@
 
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from leadlake.functions.flags import flag_if
 from leadlake.operators import (
-    bounded_broadcast,
     channel_pivot,
-    channel_pivot_native,
     complex_to_json,
     ensure_column,
-    first_event_dedup,
     flatten,
-    flatten_schema,
     funnel_counts,
-    funnel_counts_distinct,
     lead_flags,
-    lead_flags_stepwise,
     left_join_one_to_many,
     lookup,
     parse_or_null,
@@ -29,7 +24,6 @@ from leadlake.operators import (
     safe_struct,
     union_channels,
 )
-from leadlake.operators.joins import row_count_at_most
 
 SCHEMA = StructType([StructField("x", StringType()), StructField("y", StringType())])
 
@@ -73,7 +67,6 @@ def test_complex_to_json(spark):
 def test_flatten_and_paths(spark):
     df = spark.createDataFrame([(("a", ("m", "y")),)], "s struct<f:string, d:struct<month:string, year:string>>")
     assert df.select(*flatten("s", "pre", ["f"])).columns == ["pre_f"]
-    assert df.select(*flatten_schema("s", df.schema["s"].dataType, "p")).columns == ["p_f", "p_d_month", "p_d_year"]
     out = project_paths(df, [("deep", "s.d.month"), ("f", "s.f")]).collect()[0]
     assert (out.deep, out.f) == ("m", "a")
 
@@ -99,20 +92,46 @@ def test_lookup_computed_key_and_duplicates_fan_out(spark):
     assert rows(out, "n", "v") == [(1, "a"), (1, "b"), (2, None)]
 
 
-def test_bounded_broadcast_respects_bound(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k2")
-    assert row_count_at_most(small, 10) and not row_count_at_most(small, 9)
+def test_building_lookups_starts_no_job(spark, tmp_path):
+    """No size check runs while a plan is built; small sides are broadcast by Spark."""
+    big, small = str(tmp_path / "big"), str(tmp_path / "small")
+    spark.range(1000).withColumnRenamed("id", "k").write.parquet(big)
+    spark.range(10).selectExpr("id as k2", "id as v").write.parquet(small)
+    facts, dim = spark.read.parquet(big), spark.read.parquet(small)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        out = role_lookups(lookup(facts, dim, [("k", "k2")], {"v": "a"}), dim,
+                           {"r": ([("k", "k2")], {"v": "b"})})
+        plan = _plan(out)
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert plan.count("BroadcastHashJoin") == 2
+
+
+def test_lookup_broadcasts_fixed_vocabularies_only_on_request(spark):
+    small = spark.range(10).withColumnRenamed("id", "k2")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        hinted = big.join(bounded_broadcast(small, 100), big.k2 == F.col("k"))
-        assert "BroadcastHashJoin" in _plan(hinted)
-        unhinted = big.join(bounded_broadcast(small, 5), big.k2 == F.col("k"))
-        assert "BroadcastHashJoin" not in _plan(unhinted)
+        assert "BroadcastHashJoin" in _plan(lookup(big, small, [("k", "k2")], {"k2": "v"}, broadcast=True))
+        assert "BroadcastHashJoin" not in _plan(lookup(big, small, [("k", "k2")], {"k2": "v"}))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_struct_columns_are_read_like_json_text(spark):
+    text = spark.createDataFrame([(1, '{"x":"a","y":"b"}')], "id int, j string")
+    native = spark.createDataFrame([(1, ("a", 5))], "id int, j struct<x:string,y:int>")
+    assert text.select(safe_struct(text, "j", SCHEMA).alias("s")).collect()[0].s.x == "a"
+    s = native.select(safe_struct(native, "j", SCHEMA).alias("s")).collect()[0].s
+    assert (s.x, s.y) == ("a", "5")
+    assert parse_or_null(native, "j", SCHEMA).collect()[0].j.x == "a"
+    wrong = spark.createDataFrame([(1, 2.5)], "id int, j double")
+    with pytest.raises(TypeError):
+        safe_struct(wrong, "j", SCHEMA)
 
 
 def test_left_join_one_to_many_matches_plain_left_join(spark):
@@ -147,34 +166,25 @@ def _random_events(spark, n=400, seed=11):
         .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-def test_collapsed_funnel_equals_three_step_form(spark):
+def test_funnel_counts_leads_by_their_first_day(spark):
     ev = _random_events(spark)
     keys = ["cid", "cname"]
     e = F.col("ev")
-    row_flags = {
-        "r": flag_if(e == "read"), "k": flag_if(e == "click"),
-        "sv_f": flag_if(F.col("sv") == True), "svd_f": flag_if(F.col("svd").isNotNull()),  # noqa: E712
-        "b": F.col("bk"),
-    }
-    counts = {
-        "read_u": F.col("r") == 1, "click_u": F.col("k") == 1,
-        "both_u": (F.col("r") == 1) & (F.col("k") == 1), "read_only_u": (F.col("r") == 1) & (F.col("k") == 0),
-        "sv_u": F.col("sv_f") == 1, "svd_u": F.col("svd_f") == 1, "b_u": F.col("b") == 1,
-    }
-    collapsed = funnel_counts(lead_flags(ev, keys, "lead", "ts", row_flags), keys, counts)
-    dedup = first_event_dedup(ev, keys, "lead", "ev", "ts", ["sv", "svd", "bk"])
-    step_flags = {
-        "r": flag_if(e == "read"), "k": flag_if(e == "click"),
-        "sv_f": flag_if(F.col("sv") == True), "svd_f": flag_if(F.col("svd").isNotNull()),  # noqa: E712
-        "b": F.col("bk"),
-    }
-    stepwise = funnel_counts_distinct(lead_flags_stepwise(dedup, keys, "lead", step_flags), keys, "lead", counts)
-    assert sorted(collapsed.columns) == sorted(stepwise.columns)
-    cols = sorted(collapsed.columns)
-    assert rows(collapsed, *cols) == rows(stepwise, *cols)
-    # the collapsed plan has no Expand and two shuffles
-    plan = _plan(collapsed)
-    assert "Expand" not in plan
+    flags = {"r": flag_if(e == "read"), "k": flag_if(e == "click"), "b": F.col("bk")}
+    out = funnel_counts(lead_flags(ev, keys, "lead", "ts", flags), keys, {
+        "read_u": F.col("r") == 1, "both_u": (F.col("r") == 1) & (F.col("k") == 1), "b_u": F.col("b") == 1})
+    by_lead = {}
+    for x in ev.collect():
+        by_lead.setdefault((x.cid, x.cname, x.lead), []).append(x)
+    want = {}
+    for (cid, cname, _), mine in by_lead.items():
+        events = {x.ev for x in mine}
+        cell = want.setdefault((cid, cname, min(x.ts for x in mine).date()), [0, 0, 0, 0])
+        for k, met in enumerate((True, "read" in events, {"read", "click"} <= events, any(x.bk for x in mine))):
+            cell[k] += met
+    cols = ("cid", "cname", "event_date", "total_unique_leads", "read_u", "both_u", "b_u")
+    assert rows(out, *cols) == sorted((k + tuple(v) for k, v in want.items()), key=repr)
+    assert "Expand" not in _plan(out)
 
 
 def test_cohort_day_is_first_event_day(spark):
@@ -186,22 +196,22 @@ def test_cohort_day_is_first_event_day(spark):
         (__import__("datetime").date(2024, 1, 1), 1), (__import__("datetime").date(2024, 1, 2), 1)]
 
 
-def test_pivot_conditional_sums_equal_native_pivot(spark):
+def test_pivot_gives_null_without_rows_and_zero_without_matches(spark):
     rnd = random.Random(3)
     data = [(f"k{rnd.randrange(6)}", rnd.choice(["email", "sms", "whatsapp"]), rnd.choice(["sent", "open", None, "zzz"]))
             for _ in range(200)]
     data += [("only_email", "email", "zzz"), ("only_sms", "sms", "sent")]
     df = spark.createDataFrame(data, "g string, channel string, ev string")
-    metrics = [("SENT", "sent"), ("OPENED", "open")]
-    channels = ["email", "whatsapp", "sms"]
-    native = channel_pivot_native(df, ["g"], "channel", "ev", channels, metrics)
-    cols = [(f"{c}_{m}", c, e) for c in channels for m, e in metrics]
+    cols = [(f"{c}_{e}", c, e) for c in ("email", "whatsapp", "sms") for e in ("sent", "open")]
+    want = []
+    for g in {x[0] for x in data}:
+        cell = []
+        for _, c, e in cols:
+            mine = [x[2] for x in data if x[0] == g and x[1] == c]
+            cell.append(sum(x == e for x in mine) if mine else None)
+        want.append((g, *cell))
     mine = channel_pivot(df, ["g"], "channel", "ev", cols)
-    order = ["g"] + [c for c, _, _ in cols]
-    assert rows(mine, *order) == rows(native, *order)
-    r = {x.g: x for x in mine.collect()}
-    assert r["only_email"].email_SENT == 0 and r["only_email"].sms_SENT is None
-    assert r["only_sms"].sms_SENT == 1 and r["only_sms"].whatsapp_OPENED is None
+    assert rows(mine, "g", *[c for c, _, _ in cols]) == sorted(want, key=repr)
 
 
 def test_union_by_name_keeps_duplicates(spark):
@@ -211,20 +221,6 @@ def test_union_by_name_keeps_duplicates(spark):
     assert out.columns == ["i", "s"] and out.count() == 3
 
 
-def test_broadcast_bound_comes_from_the_session(spark):
-    from leadlake.operators.joins import BROADCAST_ROWS_CONF, fits_broadcast
-
-    small = spark.range(10)
-    assert fits_broadcast(small)                       # default bound: 1,000,000 rows
-    spark.conf.set(BROADCAST_ROWS_CONF, "5")
-    try:
-        assert not fits_broadcast(small)               # the deployment lowered the bound
-        assert fits_broadcast(small, 10)               # an explicit bound still wins
-    finally:
-        spark.conf.unset(BROADCAST_ROWS_CONF)
-    assert not fits_broadcast(small, 0) and not fits_broadcast(small, None)
-
-
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",

@@ -62,3 +62,33 @@ def test_funnels_prune_the_wide_dimension(plans):
 def test_lookups_are_broadcast_when_small(plans):
     for job in ("m3", "m4", "m5"):
         assert "BroadcastHashJoin" in plans[job] or "BroadcastExchange" in plans[job]
+
+
+def test_flattening_jobs_are_map_only(plans):
+    for job in ("m1", "m2"):
+        assert "Exchange" not in plans[job]
+
+
+def test_funnel_scans_read_only_used_columns(plans):
+    for job, unused in (("m4", "event_type"), ("m5", "value")):
+        scan = [ln for ln in plans[job].splitlines() if "FileScan parquet" in ln and "/events" in ln][0]
+        assert unused + ":" not in re.search(r"ReadSchema: struct<(.*)>", scan).group(1)
+        for exchange in (ln for ln in plans[job].splitlines() if "Exchange hashpartitioning" in ln):
+            assert "updatedAt" not in exchange and "profileId" not in exchange
+
+
+def test_check_data_fills_every_column(spark):
+    from leadlake.plans import catalogue
+    from pyspark.sql import functions as F
+
+    for query, empty in (("lead_flat", []), ("comm_logs_flat", []), ("lead_360", ["pms_LeadId"])):
+        df = catalogue.QUERIES[query](spark, SF)
+        filled = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).collect()[0].asDict()
+        assert [c for c in df.columns if not filled[c]] == empty, query
+
+
+def test_lead_dimension_of_the_checks_has_several_rows_per_lead(spark):
+    dim = T.lead_dim(T.table(spark, SF, "customer"), T.table(spark, SF, "orders"))
+    assert dim.count() > 2 * dim.select("leadId").distinct().count()
+    assert dim.groupBy("leadId").agg({"bookingId": "count", "*": "count"}).where(
+        "`count(bookingId)` > 0 AND `count(bookingId)` < `count(1)`").count() > 0

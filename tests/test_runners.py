@@ -2,6 +2,7 @@
 
 import json
 
+from leadlake.__main__ import run
 from leadlake.plans import jobs
 from leadlake.sources import read_table
 
@@ -46,6 +47,10 @@ def test_job_chain_through_tables(spark, tmp_path):
 
     l360 = {(r.lead_flat_id, r.communication_log_id): r for r in read_table(spark, "chain.lead_360").collect()}
     assert set(l360) == {("1", "g1"), ("1", "g2"), ("2", "g3")}
+    assert not spark.catalog.tableExists("chain.lead_360__leads")      # the staged table is gone
+    jobs.run_lead_360(spark, "chain.lead_flat", "chain.comm_logs", str(b / "projects"), str(b / "labels"),
+                      "chain.lead_360_plain", skew_safe=False)
+    assert sorted(map(str, read_table(spark, "chain.lead_360_plain").collect())) == sorted(map(str, l360.values()))
     assert l360[("1", "g1")].booked_flag == 1 and l360[("1", "g1")].previous_lead_status == "New"
     wa_out = read_table(spark, "chain.wa").collect()
     assert [(r.total_unique_leads, r.whatsapp_read_only_unique, r.whatsapp_click_only_unique, r.booked_any_unique)
@@ -57,3 +62,17 @@ def test_job_chain_through_tables(spark, tmp_path):
     assert resp[("1", "P1")].SMS_SENT == 1 and resp[("1", "P1")].WHATSAPP_READ == 1
     assert resp[("2", None)].EMAIL_OPENED == 1 and resp[("2", None)].WHATSAPP_CLICKED is None
     assert resp[("2", "P1")].WHATSAPP_CLICKED == 1
+
+    # options of the jobs, through the command line
+    base = ["--lead-360", "chain.lead_360", "--target"]
+    run(["campaign_response", "--sms", str(b / "sms"), "--whatsapp", str(b / "wa"), "--email", str(b / "email"), *base,
+         "chain.resp_corrected", "--sms-rules", "corrected"], spark)
+    corrected = {(r.lead_flat_id, r.projectId): r for r in read_table(spark, "chain.resp_corrected").collect()}
+    assert resp[("1", "P1")].SMS_DELIVERED == 0 and corrected[("1", "P1")].SMS_DELIVERED > 0
+    run(["campaign_response", "--sms", str(b / "sms"), "--whatsapp", str(b / "wa"), "--email", str(b / "email"), *base,
+         "chain.resp_fanned", "--keep-dim-duplicates"], spark)
+    assert read_table(spark, "chain.resp_fanned").count() > len(resp)
+    run(["whatsapp_engagement", "--whatsapp", str(b / "wa"), "--campaigns", str(b / "campaigns"), *base,
+         "chain.wa_stored", "--phone-rule", "as_stored", "--tz", "America/New_York"], spark)
+    stored = read_table(spark, "chain.wa_stored").collect()
+    assert [(r.total_unique_leads, str(r.event_date)) for r in stored] == [(1, "2023-12-31")]

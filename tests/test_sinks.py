@@ -5,6 +5,7 @@ port); on a cluster only the driver would see such a database, so this is a
 local test of the sink code, not a way to run the export.
 """
 
+import pytest
 from pyspark.sql import functions as F
 
 from leadlake.plans.jobs import run_sync_to_rdbms
@@ -22,6 +23,21 @@ def test_replace_table_twice_and_read_back(spark):
     assert sorted(r.k for r in back.collect()) == [2, 3]
 
 
+def test_failing_v2_write_raises_and_leaves_the_old_table(spark):
+    name = "silver_test.kept"
+    replace_table(spark.range(3).toDF("k"), name)
+    with pytest.raises(Exception, match="(?i)nosuchcatalog"):
+        replace_table(spark.range(9).toDF("k"), f"nosuchcatalog.{name}")
+    # a session catalog replaced by a v2 table format: no quiet fallback to a file table
+    other = spark.newSession()
+    other.conf.set("spark.sql.catalog.spark_catalog", "org.example.MissingCatalog")
+    with pytest.raises(Exception, match="MissingCatalog"):
+        replace_table(other.range(9).toDF("k"), name)
+    with pytest.raises(ValueError):
+        replace_table(other.range(9).toDF("k"), name, path="/elsewhere")
+    assert read_table(spark, name).count() == 3
+
+
 def test_jdbc_sync_counts_rows_and_serialises_complex_columns(spark):
     url = "jdbc:derby:memory:leadlake_test;create=true"
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
