@@ -7,12 +7,13 @@ components that all true links among nodes sharing a key would give:
 1. every node is tried with the smallest node it shares a key with (its star);
 2. then with the smallest nodes of its other keys, unless they are already in one
    component;
-3. then, in keys whose members still lie in several components, with the remaining
-   nodes of other components.
+3. keys whose members still lie in several components get a pivot, the smallest node of
+   the component most of them are in.  Members of one pivot's keys in different
+   components are the pairs left; the caller, who knows the sets or lines, says which of
+   them are possible at all (``prefix_pairs`` does that without listing the others).
 
-Round 1 and 2 make at most one pair per membership.  In a group of copies they join
-nearly all members, so round 3 sees what is left: nodes that look alike but are not
-linked.  No candidate is dropped in any round.
+Rounds 1 and 2 make at most one pair per membership, and in a group of copies they join
+nearly all members.  No pair that can be linked is dropped in any round.
 
 Every round starts from written tables, so a lost executor costs a re-read.
 """
@@ -21,12 +22,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlake.llm.common import written
 
 Verify = Callable[[DataFrame], DataFrame]
+Narrow = Callable[[DataFrame], DataFrame]
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -74,9 +76,12 @@ def shared_memberships(members: DataFrame) -> DataFrame:
     return members.join(keys, F.col("key") == F.col("__key")).select("key", "node", "rep").distinct()
 
 
-def linked_components(shared: DataFrame, verify: Verify) -> DataFrame:
+def linked_components(shared: DataFrame, verify: Verify, narrow: Narrow) -> DataFrame:
     """(node, component) for all nodes with a link; ``shared`` comes from
-    ``shared_memberships`` and should be a written table."""
+    ``shared_memberships`` and should be a written table.  ``narrow`` gets the groups left
+    for round 3, (pivot, node, c, apart): members, their components and whether that is
+    another one than the pivot's; it returns pairs (a, b) that include every possible
+    link between members of different components."""
     stars = written(shared.where("node <> rep").select(
         F.col("node").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
     first = stars.groupBy("a").agg(F.min("b").alias("b"))
@@ -92,23 +97,60 @@ def linked_components(shared: DataFrame, verify: Verify) -> DataFrame:
             links = links.union(more)
             components = connected_components(links)
 
-    own = components.select(F.col("node").alias("__n"), "component")
-    labelled = shared.join(own, F.col("node") == F.col("__n"), "left").select(
-        "key", "node", "rep", F.coalesce("component", "node").alias("c"))
-    open_keys = labelled.groupBy("key").agg(F.min("c").alias("__lo"), F.max("c").alias("__hi")).where(
-        "__lo <> __hi").select(F.col("key").alias("__key"))
-    # the smallest node of a key has been tried with all others
-    left = labelled.where("node <> rep").join(open_keys, F.col("key") == F.col("__key"), "left_semi")
-    left = written(left.select("key", "node", "c"), "open")
-    other = left.select(F.col("key").alias("__key"), F.col("node").alias("b"), F.col("c").alias("__c"))
-    cross = left.withColumnRenamed("node", "a").join(
-        other, (F.col("key") == F.col("__key")) & (F.col("a") > F.col("b")) & (F.col("c") != F.col("__c"))
-    ).select("a", "b").distinct()
+    groups = _open_groups(shared, components)
+    if groups.isEmpty():
+        return components
     seen = stars.select(F.col("a").alias("__a"), F.col("b").alias("__b"))
-    cross = written(cross.join(
+    ordered = narrow(groups).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    cross = written(ordered.join(
         seen, (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b")), "left_anti"), "cross")
     if not cross.isEmpty():
         more = written(verify(cross).select("a", "b"), "links")
         if not more.isEmpty():
             components = connected_components(links.union(more))
     return components
+
+
+def _open_groups(shared: DataFrame, components: DataFrame) -> DataFrame:
+    """(pivot, node, c, apart) for the keys with members in several components."""
+    own = components.select(F.col("node").alias("__n"), "component")
+    labelled = shared.join(own, F.col("node") == F.col("__n"), "left").select(
+        "key", "node", F.coalesce("component", "node").alias("c"))
+    keys = labelled.groupBy("key", "c").count().groupBy("key").agg(
+        F.max(F.struct("count", (-F.col("c")).alias("c"))).alias("top"), F.count("*").alias("several")
+    ).where("several > 1").select(F.col("key").alias("__key"), (-F.col("top.c")).alias("pivot"))
+    members = labelled.join(keys, F.col("key") == F.col("__key"))
+    return written(members.select(
+        "pivot", "node", "c", (F.col("c") != F.col("pivot")).alias("apart")).distinct(), "open")
+
+
+def prefix_pairs(tokens: DataFrame, close: Callable[[Column, Column], Column]) -> DataFrame:
+    """Pairs (a, b) of a pivot's members, in different components, that share a token
+    among the first ones of both.
+
+    ``tokens`` has (pivot, node, c, token, n, reach, apart_reach): each member's distinct
+    tokens, and how many of them, rarest in the group first, a possible partner must
+    share one of: ``apart_reach`` (0: not asked) when the member looks for partners,
+    ``reach`` when it is found.  ``close`` says whether two members' ``n`` may be linked.
+    Tokens that only one member has take the first places and match nothing."""
+    held = tokens.groupBy("pivot", "token").agg(F.count("*").alias("held")).where("held > 1").select(
+        F.col("pivot").alias("__pivot"), F.col("token").alias("__token"), "held")
+    counted = tokens.join(
+        held, (F.col("pivot") == F.col("__pivot")) & (F.col("token") == F.col("__token")), "left")
+    alone = F.col("held").isNull()
+    own = counted.groupBy("pivot", "node").agg(F.count_if(alone).alias("alone")).select(
+        F.col("pivot").alias("__opivot"), F.col("node").alias("__onode"), "alone")
+    common = counted.where(~alone).join(
+        own, (F.col("pivot") == F.col("__opivot")) & (F.col("node") == F.col("__onode"))).where(
+        F.col("alone") < F.greatest("reach", "apart_reach"))
+    place = F.row_number().over(Window.partitionBy("pivot", "node").orderBy("held", "token")) + F.col("alone")
+    placed = written(common.withColumn("place", place).where(
+        F.col("place") <= F.greatest("reach", "apart_reach")).select(
+        "pivot", "node", "c", "token", "n", "place", "reach", "apart_reach"), "prefixes")
+    one = placed.where("place <= apart_reach").select(
+        "pivot", "token", F.col("node").alias("a"), F.col("c").alias("__ca"), F.col("n").alias("__na"))
+    other = placed.where("place <= reach").select(
+        F.col("pivot").alias("__pivot"), F.col("token").alias("__token"), F.col("node").alias("b"),
+        F.col("c").alias("__cb"), F.col("n").alias("__nb"))
+    return one.join(other, (F.col("pivot") == F.col("__pivot")) & (F.col("token") == F.col("__token"))
+                    & (F.col("__ca") != F.col("__cb")) & close(F.col("__na"), F.col("__nb"))).select("a", "b")

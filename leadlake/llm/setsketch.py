@@ -10,16 +10,26 @@ sets is at least ``percent`` / 100; components of links are the duplicate groups
    function i gives any shingle, truncated to 0..Q+1.  The minimum commutes with that
    decreasing map, so sketches of parts merge by their maximum.
 2. Equal sets are one class; its smallest doc_id stands for it.
-3. The registers of a class are cut into bands; classes that agree in a band are
-   candidates (``links`` turns them into pairs without all pairs of a band).
+3. The registers of a class are cut into bands.  Classes that agree in a band are
+   sketched again with more registers, cut into longer bands; classes that agree in one
+   of those are candidates.  Shared passages make many unlike texts agree in a short band
+   and few in a long one, but long bands for all texts would cost too many registers.
+   ``links`` turns bands into pairs without all pairs of a band.
 4. For a candidate pair the numbers of registers that are larger, smaller and equal
    give the maximum-likelihood estimate of the similarity (the set sizes are known).
    Pairs estimated more than ``margin`` below the threshold are dropped; the others
    are confirmed on the full sets.
-
-A pair at the threshold 0.8 shares a band with probability 1 - (1 - 0.8^rows)^bands,
-1 - 5e-6 for the production values, and more above it; the margin is more than five
-standard deviations of the estimate.
+5. In loose families (near copies of one text that are not near each other) a pair
+   (a, b) with the pivot R is possible only if a and b differ from R in the same way
+   often enough.  With b not linked to R, and T(x) the symmetric difference of x and R,
+   |T(a) & T(b)| must exceed 4/9 |a| - |a & R| + 5/9 |R| and reach 4/9 |b| - |b & R|
+   + 4/9 |R| (for 80 %); so a and b must share a token among the first |T| - need + 1
+   tokens of each, rarest in the group first (prefix filter).  Edits that nobody else
+   made come first there, and most members have no partner left to try.
+
+A pair at the threshold 0.8 is missed by the bands of a step with probability
+(1 - 0.8^rows)^bands, 5e-6 for the production values, and less above it; the margin is
+more than five standard deviations of the estimate.
 
 Only texts of classes that share a band are read a second time: a bitmap of fixed size
 filters them, an exact join follows.  Shuffled are sketches, bands, candidate texts and
@@ -44,7 +54,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.llm.common import bitmap_filter, written
-from leadlake.llm.links import linked_components, shared_memberships
+from leadlake.llm.links import linked_components, prefix_pairs, shared_memberships
 
 BASE = 1.02        # spacing of the registers
 Q = 2000           # registers are 0..Q+1
@@ -59,6 +69,8 @@ class Near:
     percent: int = 80
     bands: int = 40
     rows: int = 6
+    long_bands: int = 108
+    long_rows: int = 10
     margin: float = 0.15
 
     @property
@@ -87,8 +99,8 @@ def shingles(text: str | None, words: int) -> np.ndarray:
 
 
 class Sketcher:
-    def __init__(self, registers: int):
-        random = np.random.default_rng(SEED)
+    def __init__(self, registers: int, seed: int = SEED):
+        random = np.random.default_rng(seed)
         self.factor = random.integers(0, 1 << 31, registers, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
         self.offset = random.integers(0, 1 << 32, registers, dtype=np.uint64).astype(np.uint32)[:, None]
 
@@ -189,6 +201,79 @@ def _verifier(candidates: DataFrame, near: Near):
     return verify
 
 
+def _narrower(candidates: DataFrame, near: Near):
+    """Possible pairs within the groups of unlinked members (step 5 above)."""
+    words, percent = near.shingle_words, near.percent
+
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share = percent / (100 + percent)        # 4/9 for 80 %
+        names = ["pivot", "node", "c", "token", "n", "reach", "apart_reach", "linked"]
+        for batch in batches:
+            known: dict[int, np.ndarray] = {}
+            out: list[list[np.ndarray]] = [[] for _ in names]
+            for pivot, node, c, apart, text_node, text_pivot in zip(*(x.to_pylist() for x in batch.columns)):
+                centre = known.get(pivot)
+                if centre is None:
+                    if len(known) > 256:
+                        known.clear()
+                    centre = known[pivot] = shingles(text_pivot, words)
+                mine = shingles(text_node, words)
+                tokens = np.setxor1d(mine, centre, assume_unique=True)
+                common = (len(mine) + len(centre) - len(tokens)) // 2
+                linked = 100 * common >= percent * (len(tokens) + common)
+                weight = share * len(mine) - common
+                # the bounds are fractions with small denominators
+                as_any = max(1, int(np.floor(weight + (1 - share) * len(centre) + 1e-9)) + 1)
+                as_apart = max(1, int(np.ceil(weight + share * len(centre) - 1e-9)))
+                reach = len(tokens) - as_any + 1
+                apart_reach = len(tokens) - as_apart + 1 if apart and not linked else 0
+                if apart and linked:             # a row of its own says so
+                    tokens = np.append(tokens, np.uint64(0))
+                size = len(tokens)
+                flags = np.zeros(size, dtype=bool)
+                flags[size - 1:] = apart and linked
+                for column, value in zip(out, (pivot, node, c, None, len(mine), reach, apart_reach, flags)):
+                    column.append(tokens.view(np.int64) if value is None else
+                                  value if value is flags else np.full(size, value, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x or [np.empty(0, dtype=bool if k == 7 else np.int64)]))
+                 for k, x in enumerate(out)], names=names)
+
+    def narrow(groups: DataFrame) -> DataFrame:
+        text_node = candidates.select(F.col("node").alias("__n"), F.col("text").alias("tn"))
+        text_pivot = candidates.select(F.col("node").alias("__p"), F.col("text").alias("tp"))
+        joined = groups.where("node <> pivot").join(text_node, F.col("node") == F.col("__n")).join(
+            text_pivot, F.col("pivot") == F.col("__p"))
+        tokens = written(joined.select("pivot", "node", "c", "apart", "tn", "tp").mapInArrow(
+            differences, "pivot long, node long, c long, token long, n long, reach long, apart_reach long, "
+                         "linked boolean"), "differences")
+        with_pivot = tokens.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+        pairs = prefix_pairs(
+            tokens.where("NOT linked"), lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y))
+        return pairs.union(with_pivot)
+
+    return narrow
+
+
+def _long_bands(candidates: DataFrame, near: Near) -> DataFrame:
+    """(key, node): the long bands of the candidates' second sketch."""
+    words, rows, bands = near.shingle_words, near.long_rows, near.long_bands
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketcher = Sketcher(rows * bands, SEED + 1)
+        for batch in batches:
+            keys = []
+            for text in batch.column(1).to_pylist():
+                regs = sketcher.registers(shingles(text, words)).reshape(bands, rows)
+                keys.append([xxhash.xxh3_64_intdigest(r.tobytes(), seed=k) - (1 << 63) for k, r in enumerate(regs)])
+            flat = np.array(keys, dtype=np.int64).reshape(-1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat), batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), bands)))],
+                names=["key", "node"])
+
+    return candidates.select("node", "text").mapInArrow(compute, "key long, node long")
+
+
 def _node(doc_id: Column, tkey: Column) -> Column:
     """Rows without doc_id get a node above all doc_ids, by their text."""
     return F.coalesce(doc_id.cast("long"), F.lit(NO_ID) + F.pmod(tkey, F.lit(NO_ID)))
@@ -220,7 +305,10 @@ def labels(docs: DataFrame, near: Near = Near()) -> DataFrame:
         wanted.join(found, (F.col("__tkey") == F.col("tkey")) & F.col("__doc").eqNullSafe(F.col("doc_id")))
         .select("node", "n", "regs", "text").dropDuplicates(["node", "n", "regs"]), "candidates")
 
-    components = linked_components(shared, _verifier(candidates, near)).select(
+    candidates = candidates.where(F.col("text").isNotNull())
+    shared = written(shared_memberships(_long_bands(candidates, near)), "shared")
+    components = linked_components(
+        shared, _verifier(candidates, near), _narrower(candidates, near)).select(
         F.col("node").alias("__node"), "component")
     label = classes.select("h1", "h2", "node").join(components, F.col("node") == F.col("__node"), "left").select(
         F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.coalesce("component", "node").alias("label"))
