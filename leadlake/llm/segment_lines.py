@@ -60,21 +60,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class PrefixHashes:
-    """Substring hashes of one long text: polynomial modulo 2^64 over mixed characters."""
+    """Substring hashes of long texts: polynomial modulo 2^64 over mixed characters.
+    The powers are computed once and serve every text."""
 
     FACTOR = U64(0xD1342543DE82EF95)  # odd, so it has an inverse
     INVERSE = U64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 
-    def __init__(self, points: np.ndarray):
+    def __init__(self):
+        self.mixed = _mix(np.arange(1, 0x110001, dtype=U64))
+        self.power = self.back = np.ones(1, dtype=U64)
+        self.sums = np.zeros(1, dtype=U64)
+
+    def read(self, points: np.ndarray) -> None:
         n = len(points)
-        power = np.full(n + 1, self.FACTOR, dtype=U64)
-        power[0] = 1
-        self.back = np.full(n + 1, self.INVERSE, dtype=U64)
-        self.back[0] = 1
-        np.cumprod(power, out=power)
-        np.cumprod(self.back, out=self.back)
+        if n >= len(self.power):
+            self.power = np.full(2 * n + 1, self.FACTOR, dtype=U64)
+            self.back = np.full(2 * n + 1, self.INVERSE, dtype=U64)
+            self.power[0] = self.back[0] = 1
+            np.cumprod(self.power, out=self.power)
+            np.cumprod(self.back, out=self.back)
         self.sums = np.zeros(n + 1, dtype=U64)
-        np.cumsum(_mix(points.astype(U64) + U64(1)) * power[:n], out=self.sums[1:])
+        np.cumsum(self.mixed[points] * self.power[:n], out=self.sums[1:])
 
     def of(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         return (self.sums[start + size] - self.sums[start]) * self.back[start]
@@ -88,13 +94,16 @@ def segment(length: np.ndarray, edits: int, k: int) -> tuple[np.ndarray, np.ndar
     return k * base + np.maximum(0, k - first_longer), base + (k >= first_longer)
 
 
-def line_keys(lines: list[str], nodes: np.ndarray, join: LineJoin) -> tuple[np.ndarray, np.ndarray]:
+def line_keys(
+    lines: list[str], nodes: np.ndarray, join: LineJoin, hashes: PrefixHashes | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(keys, nodes): the index rows and probes of ``lines``."""
     edits = join.edits
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     size = np.array([len(x) for x in lines], dtype=np.int64)
     at = np.cumsum(size) - size
-    hashes = PrefixHashes(points)
+    hashes = hashes or PrefixHashes()
+    hashes.read(points)
     keys, owners = [], []
     for less in range(edits + 1):
         other = size - less                      # length of the indexed line
@@ -127,9 +136,38 @@ def _lines(text: str | None, least: int) -> Iterator[tuple[int, str]]:
                 yield number, line
 
 
-def _hash(line: str) -> tuple[int, int]:
-    value = xxhash.xxh3_128_intdigest(line.encode("utf-8", "surrogatepass"))
-    return (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63)
+@dataclass
+class _Group:
+    """Some consecutive lines: row of the batch, number in the text, line, hash halves."""
+
+    rows: list[int]
+    numbers: list[int]
+    lines: list[str]
+
+    def hashes(self) -> np.ndarray:
+        digests = b"".join([xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in self.lines])
+        return np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
+
+
+def _groups(texts: list[str | None], least: int) -> Iterator[_Group]:
+    """The lines of ``texts``, GROUP_CHARS characters or a little more at a time."""
+    group, size = _Group([], [], []), 0
+    for row, text in enumerate(texts):
+        for number, line in _lines(text, least):
+            group.rows.append(row)
+            group.numbers.append(number)
+            group.lines.append(line)
+            size += len(line)
+            if size >= GROUP_CHARS:
+                yield group
+                group, size = _Group([], [], []), 0
+    if group.rows:
+        yield group
+
+
+def _held(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    place = values % (len(bits) * 8)
+    return (bits[place >> 3] >> (place & 7) & 1).astype(bool)
 
 
 def line_rows(docs: DataFrame, join: LineJoin) -> DataFrame:
@@ -138,57 +176,35 @@ def line_rows(docs: DataFrame, join: LineJoin) -> DataFrame:
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, number, h1, h2 = [], [], [], []
-            for k, text in enumerate(batch.column(2).to_pylist()):
-                for n, line in _lines(text, least):
-                    a, b = _hash(line)
-                    row.append(k)
-                    number.append(n)
-                    h1.append(a)
-                    h2.append(b)
-            at = pa.array(row, type=pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(number, type=pa.int32()),
-                 pa.array(h1, type=pa.int64()), pa.array(h2, type=pa.int64())],
-                names=["doc_id", "tkey", "line", "h1", "h2"])
+            for group in _groups(batch.column(2).to_pylist(), least):
+                h = group.hashes()
+                at = pa.array(group.rows, type=pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(group.numbers, type=pa.int32()),
+                     pa.array(h[:, 0]), pa.array(h[:, 1])],
+                    names=["doc_id", "tkey", "line", "h1", "h2"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"),
                        F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(compute, "doc_id long, tkey long, line int, h1 long, h2 long")
 
 
-def _distinct_groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[dict[int, str]]:
-    """Distinct lines (by first hash half) in groups of about GROUP_CHARS characters."""
-    group: dict[int, str] = {}
-    size = 0
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            for _, line in _lines(text, least):
-                node = _hash(line)[0]
-                if node not in group:
-                    group[node] = line
-                    size += len(line)
-                    if size >= GROUP_CHARS:
-                        yield group
-                        group, size = {}, 0
-    if group:
-        yield group
-
-
 def memberships(docs: DataFrame, join: LineJoin, shared: "np.ndarray | None" = None) -> DataFrame:
     """(key, node) of all lines; with a bitmap, only of keys it holds."""
     bits = None if shared is None else docs.sparkSession.sparkContext.broadcast(shared)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _distinct_groups(batches, join.min_chars):
-            keys, owners = line_keys(list(group.values()), np.fromiter(group, dtype=np.int64, count=len(group)), join)
-            if bits is not None:
-                place = keys % KEY_BITS
-                held = (bits.value[place >> 3] >> (place & 7) & 1).astype(bool)
-                keys, owners = keys[held], owners[held]
-            for k in range(0, len(keys), 1 << 16):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[k:k + (1 << 16)]), pa.array(owners[k:k + (1 << 16)])], names=["key", "node"])
+        hashes = PrefixHashes()
+        for batch in batches:
+            for group in _groups(batch.column(0).to_pylist(), join.min_chars):
+                nodes, first = np.unique(group.hashes()[:, 0], return_index=True)
+                keys, owners = line_keys([group.lines[k] for k in first.tolist()], nodes, join, hashes)
+                if bits is not None:
+                    held = _held(bits.value, keys)
+                    keys, owners = keys[held], owners[held]
+                for k in range(0, len(keys), 1 << 16):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys[k:k + (1 << 16)]), pa.array(owners[k:k + (1 << 16)])], names=["key", "node"])
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(compute, "key long, node long")
 
@@ -228,7 +244,7 @@ def _banded(a: list[str], b: list[str], edits: int) -> np.ndarray:
     n = len(a)
     vp = np.full(n, (0xFFFFFFFFFFFFFFFF << (63 - edits)) & 0xFFFFFFFFFFFFFFFF, dtype=U64)
     vn = np.zeros(n, dtype=U64)
-    distance = np.full(n, edits, dtype=np.int64)
+    distance = np.minimum(la, edits)             # of the edge row (or the last) before any column
     one = U64(1)
     for j in range(columns):
         x = np.zeros(n, dtype=U64)
@@ -239,7 +255,7 @@ def _banded(a: list[str], b: list[str], edits: int) -> np.ndarray:
         hn = d0 & vp
         edge = j < la - edits                    # the band's lower edge is above the last row
         # on the last row its bit moves down by one place per column
-        bit = np.clip(62 - (j - np.maximum(la - edits, 0)), 0, 63).astype(U64)
+        bit = np.clip(62 - (j - (la - edits)), 0, 63).astype(U64)
         change = np.where(edge, 1 - (d0 >> U64(63)).astype(np.int64),
                           (hp >> bit & one).astype(np.int64) - (hn >> bit & one).astype(np.int64))
         distance += np.where(j < lb, change, 0)
@@ -273,19 +289,73 @@ def _texts(docs: DataFrame, nodes: DataFrame, join: LineJoin) -> DataFrame:
     least = join.min_chars
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bits.value
-        size = len(held) * 8
-        for group in _distinct_groups(batches, least):
-            keep = [h for h in group if held[h % size >> 3] >> (h % size & 7) & 1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keep, type=pa.int64()), pa.array([group[h] for h in keep], type=pa.string())],
-                names=["node", "text"])
+        for batch in batches:
+            for group in _groups(batch.column(0).to_pylist(), least):
+                found, first = np.unique(group.hashes()[:, 0], return_index=True)
+                held = _held(bits.value, found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found[held]), pa.array([group.lines[k] for k in first[held].tolist()], type=pa.string())],
+                    names=["node", "text"])
 
     found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(compute, "node long, text string")
     wanted = nodes.select(F.col("node").alias("__node"))
     return found.join(wanted, F.col("node") == F.col("__node"), "left_semi").dropDuplicates()
 
 
+CLASSES = 16
+COUNTS = [f"g{k}" for k in range(CLASSES)]
+
+
+def character_counts(texts: DataFrame) -> DataFrame:
+    """(node, n, g0 ...): length of a line and the counts of its characters by class."""
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = np.zeros((batch.num_rows, CLASSES), dtype=np.int32)
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+                counts[k] = np.bincount(
+                    (_mix(points.astype(U64) + U64(1)) >> U64(40)) % U64(CLASSES), minlength=CLASSES)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts.sum(axis=1)), *(pa.array(counts[:, k]) for k in range(CLASSES))],
+                names=["node", "n", *COUNTS])
+
+    fields = ", ".join(f"{g} int" for g in COUNTS)
+    return texts.select("node", "text").mapInArrow(compute, f"node long, n long, {fields}")
+
+
+def _narrower(texts: DataFrame, join: LineJoin):
+    """Possible pairs within the groups of round 3.  Each edit changes one count of the
+    characters by class, or two by one each: the counts of lines within the distance
+    differ by at most 2 * edits together, and by at most ``edits`` in the sum over any
+    set of classes.  Two such sums place the lines in cells of ``edits`` + 1; only
+    neighbouring cells are joined."""
+    edits = join.edits
+    width = edits + 1
+
+    def narrow(groups: DataFrame) -> DataFrame:
+        counts = character_counts(texts)
+        cells = [
+            F.floor(sum((F.col(g) for g in COUNTS[:CLASSES // 2]), F.lit(0)) / width).cast("long"),
+            F.floor(sum((F.col(g) for g in COUNTS[::2]), F.lit(0)) / width).cast("long"),
+        ]
+        counts = written(counts.withColumns({"x": cells[0], "y": cells[1]}).withColumnRenamed("node", "__n"), "counts")
+        members = groups.join(counts, F.col("node") == F.col("__n"))
+        other = members.select(
+            F.col("pivot").alias("__p"), F.col("node").alias("b"), F.col("c").alias("__cb"), F.col("n").alias("__n_b"),
+            F.col("x").alias("__x"), F.col("y").alias("__y"), *[F.col(g).alias(f"__{g}") for g in COUNTS])
+        around = F.array(*[F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
+                           for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+        one = members.where("apart").withColumn("__cell", F.explode(around))
+        apart = sum((F.abs(F.col(g) - F.col(f"__{g}")) for g in COUNTS), F.lit(0))
+        return one.join(
+            other,
+            (F.col("pivot") == F.col("__p")) & (F.col("__cell.x") == F.col("__x")) & (F.col("__cell.y") == F.col("__y"))
+            & (F.col("c") != F.col("__cb")) & (F.abs(F.col("n") - F.col("__n_b")) <= edits) & (apart <= 2 * edits),
+        ).select(F.col("node").alias("a"), "b")
+
+    return narrow
+
+
 def line_components(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
     """(node, component) of all lines with another line within the distance."""
     doubled = memberships(docs, join).groupBy("key").agg(
@@ -293,7 +363,7 @@ def line_components(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
     bits = bitmap_of(doubled, "key", KEY_BITS)
     shared = written(shared_memberships(memberships(docs, join, bits)), "line-keys")
     texts = written(_texts(docs, shared.select("node").distinct(), join), "line-texts")
-    return linked_components(shared, _verifier(texts, join))
+    return linked_components(shared, _verifier(texts, join), _narrower(texts, join))
 
 
 def duplicate_lines(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
