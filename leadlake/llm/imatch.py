@@ -92,7 +92,7 @@ class Fingerprinter:
         self.place = {t: k for k, t in enumerate(terms)}
         digests = [hashlib.shake_128(t.encode("utf-8", "surrogatepass")).digest(8 + 2 * SUBSETS)
                    for t in terms]
-        raw = np.frombuffer(b"".join(digests), dtype=np.uint8).reshape(len(terms), -1)
+        raw = np.frombuffer(b"".join(digests), dtype=np.uint8).reshape(len(terms), 8 + 2 * SUBSETS)
         self.hashes = np.ascontiguousarray(raw[:, :8]).view(np.uint64).reshape(-1)
         draws = np.ascontiguousarray(raw[:, 8:]).view(np.uint16).reshape(len(terms), SUBSETS)
         self.member = (draws < np.array([r * 65536 for r in RATES])).T.copy()
