@@ -306,7 +306,8 @@ def labels(docs: DataFrame, near: Near = Near()) -> DataFrame:
         .select("node", "n", "regs", "text").dropDuplicates(["node", "n", "regs"]), "candidates")
 
     candidates = candidates.where(F.col("text").isNotNull())
-    shared = written(shared_memberships(_long_bands(candidates, near)), "shared")
+    long_bands = written(_long_bands(candidates, near), "long-bands")
+    shared = written(shared_memberships(long_bands), "shared")
     components = linked_components(
         shared, _verifier(candidates, near), _narrower(candidates, near)).select(
         F.col("node").alias("__node"), "component")
