@@ -71,7 +71,8 @@ def scratch_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local["):
+    master = spark.conf.get("spark.master", "local")
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="leadlake-")
     spark.conf.set("spark.checkpoint.dir", folder)
