@@ -1,8 +1,7 @@
-"""Shared helpers: input columns, words, the shared folder, training split."""
+"""Shared helpers: input columns, words, intermediate tables, bitmaps, training split."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -11,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadlake.session import scratch_dir
+
 # White space of every word definition here: space, tab, LF, VT, FF, CR.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 NON_WORD_BREAK = r"[^\x20\x09-\x0D]"
@@ -31,24 +32,12 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables: ``spark.checkpoint.dir``.  Only a local
-    master may go without the setting; it then gets a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.conf.get("spark.master", "local").startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="leadlake-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a new Parquet table in the shared folder and read it back:
+    """Write ``df`` to a new Parquet table in the cluster's shared folder and read it back:
     later plans start from files, so a lost executor costs a re-read and not a
     recomputation, and nothing is computed twice."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
