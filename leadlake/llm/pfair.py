@@ -104,10 +104,11 @@ def mix(docs: DataFrame, weights: Mapping | None = None, mix: Mix = Mix()) -> Da
 
     def with_chunk(df: DataFrame) -> DataFrame:
         # both small tables are bounded by the number of sources
-        out = df.withColumn("__hash", F.xxhash64(F.lit(mix.seed), "doc_id", "source")).join(
+        named = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "source")]
+        out = df.withColumn("__hash", F.md5(F.concat_ws("|", F.lit(str(mix.seed)), *named))).join(
             F.broadcast(sources), F.col("source").cast("string").eqNullSafe(F.col("__of"))).drop("__of")
-        return out.withColumn("__chunk", F.when(F.col("__bits") == 0, F.lit(0).cast("long")).otherwise(
-            F.expr("shiftrightunsigned(__hash, 64 - __bits)")))
+        leading = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("long")
+        return out.withColumn("__chunk", F.floor(leading / F.pow(F.lit(2.0), 32 - F.col("__bits"))).cast("long"))
 
     row = with_chunk(docs)
     ties = ["doc_id"] + (["text"] if "text" in docs.columns else [])

@@ -84,7 +84,102 @@ LEFT JOIN reps r ON n.content = r.content AND n.n = r.n
 LEFT JOIN component c ON r.rep = c.x
 """
 
+SECRETS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), pattern(k, kind, re) AS (VALUES
+  (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'),
+  (1, 'access', 'AKIA[A-Z0-9]+'),
+  (2, 'hex', '[0-9a-f]{24,}'),
+  (3, 'run', '[A-Za-z0-9+/_=-]{20,}')
+), found AS (
+  SELECT r, k, i, m[i] AS t, len(gap[i]) AS g
+  FROM (SELECT r, k, m, gap, unnest(generate_series(1, len(m))) AS i
+        FROM (SELECT r, k, regexp_extract_all(text, re) AS m, string_split_regex(text, re) AS gap
+              FROM d, pattern WHERE regexp_matches(text, re)))
+), spans AS (
+  SELECT r, k, t, sum(g + len(t)) OVER (PARTITION BY r, k ORDER BY i) - len(t) AS s,
+         sum(g + len(t)) OVER (PARTITION BY r, k ORDER BY i) AS e
+  FROM found
+), base AS (
+  SELECT r, k, s, e FROM spans
+  WHERE (k = 0 AND len(regexp_extract(t, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1)) >= 6)
+     OR (k = 1 AND len(t) >= 20) OR k = 2
+), candidate AS (
+  SELECT row_number() OVER () AS c, r, s, t,
+         CASE WHEN regexp_full_match(t, '[0-9a-fA-F]+') THEN 3.0 ELSE 3.7 END AS bits
+  FROM spans
+  WHERE k = 3 AND regexp_matches(t, '[0-9]') AND regexp_matches(t, '[A-Za-z]')
+    AND NOT regexp_matches(t, '(?i)example|placeholder|changeme|dummy|redacted|lorem')
+    AND NOT regexp_full_match(t, '(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}')
+), windows AS (
+  SELECT c, r, s, bits, i, substring(t, i + 1, 20) AS w
+  FROM (SELECT *, unnest(range(0, len(t) - 19)) AS i FROM candidate)
+), hot AS (
+  SELECT c, r, s, i FROM (
+    SELECT c, r, s, bits, i, ch, count(*) AS n
+    FROM (SELECT c, r, s, bits, i, unnest(string_split(w, '')) AS ch FROM windows) GROUP BY ALL)
+  GROUP BY c, r, s, bits, i HAVING -sum(n / 20.0 * log2(n / 20.0)) >= bits - 1e-9
+), entropy AS (
+  SELECT r, 3 AS k, s + min(i) AS s, s + max(i) + 20 AS e FROM hot GROUP BY c, r, s
+), listed AS (
+  SELECT r, k, s, e, CASE k WHEN 3 THEN 'entropy' ELSE kind END || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT) AS span
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM entropy) JOIN pattern USING (k)
+), per_row AS (
+  SELECT r, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
+         count(*) FILTER (WHERE k = 2) AS n_hex, count(*) FILTER (WHERE k = 3) AS n_entropy,
+         string_agg(span, ',' ORDER BY s, k) FILTER (WHERE k < 3) AS base,
+         string_agg(span, ',' ORDER BY s, k) AS spans
+  FROM listed GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       coalesce(n_entropy, 0) AS n_entropy, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per_row USING (r)
+"""
+
+MIXING = r"""
+WITH RECURSIVE counted AS (
+  SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS LAST) AS i FROM documents GROUP BY source
+), settings AS (
+  SELECT count(*) AS s, greatest(1024, 16 * count(*)) AS q, sum(sqrt(n)) AS total FROM counted
+), exact AS (
+  SELECT source, i, sqrt(n) / total * (q - s) AS x, q, s FROM counted, settings
+), ranked AS (
+  SELECT *, floor(x)::BIGINT AS whole, row_number() OVER (ORDER BY floor(x) - x, i) AS place,
+         (q - s) - sum(floor(x)::BIGINT) OVER () AS spare
+  FROM exact
+), share AS (
+  SELECT source, i, q, whole + 1 + CASE WHEN place <= spare THEN 1 ELSE 0 END AS a FROM ranked
+), lists AS (
+  SELECT list(a ORDER BY i) AS a, any_value(q) AS q, list_transform(range(count(*)), lambda x : 0::BIGINT) AS none FROM share
+), slots(t, given, pick) AS (
+  SELECT -1::BIGINT, none, 0::BIGINT FROM lists
+  UNION ALL
+  SELECT t + 1, list_transform(given, lambda c, k : CASE WHEN k = chosen THEN c + 1 ELSE c END), chosen
+  FROM (
+    SELECT t, given, list_min(list_filter(list_transform(range(1, len(a) + 1), lambda k :
+             CASE WHEN given[k] < a[k] AND (given[k] * q) // a[k] <= t + 1
+                  THEN (((given[k] + 1) * q + a[k] - 1) // a[k]) * 1000000 + k END),
+             lambda v : v IS NOT NULL)) % 1000000 AS chosen
+    FROM slots, lists WHERE t + 1 < q)
+), scheduled AS (
+  SELECT pick AS i, given[pick] - 1 AS j, t AS slot FROM slots WHERE t >= 0
+), placed AS (
+  SELECT doc_id, d.source, sh.i, a, q, row_number() OVER (PARTITION BY d.source ORDER BY
+           md5(concat('5|', coalesce(CAST(doc_id AS VARCHAR), ''), '|', coalesce(d.source, ''))), doc_id) - 1 AS k
+  FROM documents d JOIN share sh ON d.source IS NOT DISTINCT FROM sh.source
+), blocks AS (
+  SELECT *, k // 16 AS block, ((k // 16) // a) * q AS round, (k // 16) % a AS j FROM placed
+)
+SELECT doc_id, source, block, (round + (b.j * q) // a)::BIGINT AS release,
+       (round + ((b.j + 1) * q + a - 1) // a)::BIGINT AS deadline, (round + slot)::BIGINT AS slot,
+       ((round + slot) * 16 + k % 16)::BIGINT AS position
+FROM blocks b JOIN scheduled s ON b.i = s.i AND b.j = s.j
+"""
+
 ORACLE = {
+    "op4_pfair": MIXING,
+    "op6_entropy_secrets": SECRETS,
     "op7_setsketch": NEAR_DUPLICATES,
     "op5_line_frequency": LINE_FREQUENCY,
 }

@@ -89,7 +89,7 @@ def test_every_operator_has_one_query():
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
-@pytest.mark.parametrize("name", ["op5_line_frequency", "op7_setsketch"])
+@pytest.mark.parametrize("name", ["op4_pfair", "op5_line_frequency", "op6_entropy_secrets", "op7_setsketch"])
 def test_query_matches_its_sql(spark, name):
     ok, message = compare(entry.queries()[name](spark, SF), duck(SF), entry.oracle_sql()[name])
     assert ok, message
