@@ -1,7 +1,8 @@
-"""Document fingerprints: I-Match with several randomised lexicons.
+r"""Document fingerprints: I-Match with several randomised lexicons.
 
-The lexicon holds the terms (lower-cased ``\\w+``) whose share of documents lies in a
-band, i.e. whose inverse document frequency does.  It is thinned at random, by a hash
+The lexicon holds the terms (lower-cased ``\w+``, kept as 64-bit hashes, whose order is
+the terms' order) whose share of documents lies in a band, i.e. whose inverse document
+frequency does.  It is thinned at random, by a hash
 of the term, to SUBSETS smaller lexicons of geometrically falling rates.  A document's
 fingerprint holds, for every smaller lexicon, a hash of its distinct terms in it, in
 sorted order, and the number of its terms in the whole lexicon.  Small lexicons keep
@@ -35,6 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,7 @@ PER_RATE = 4
 RATES = tuple(2.0 ** -k for k in range(1, 13) for _ in range(PER_RATE))
 SUBSETS = len(RATES)
 FLUSH_TERMS = 400_000  # partial counts are passed on beyond so many terms
+REMEMBERED_TERMS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -55,12 +58,17 @@ def terms_of(text: str) -> set[str]:
     return set(TERM.findall(text.lower()))
 
 
+def term_hash(term: str) -> int:
+    return xxhash.xxh3_64_intdigest(term.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def document_frequency(docs: DataFrame) -> DataFrame:
-    """(term, df) over all documents; counts are added up per task before the shuffle."""
+    """(term, df) over all documents, terms as hashes; counts are added up per task
+    before the shuffle."""
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def table(counts: Counter) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), type=pa.string()), pa.array(list(counts.values()), type=pa.int64())],
+                [pa.array(map(term_hash, counts), type=pa.int64()), pa.array(list(counts.values()), type=pa.int64())],
                 names=["term", "n"])
 
         counts: Counter = Counter()
@@ -73,11 +81,11 @@ def document_frequency(docs: DataFrame) -> DataFrame:
         yield table(counts)
 
     texts = docs.where(F.col("text").isNotNull()).select("text")
-    return texts.mapInArrow(partial, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("df"))
+    return texts.mapInArrow(partial, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("df"))
 
 
-def lexicon(docs: DataFrame, band: Band = Band()) -> list[str]:
-    """The terms of the band, sorted."""
+def lexicon(docs: DataFrame, band: Band = Band()) -> list[int]:
+    """The terms of the band (as hashes), sorted."""
     n = docs.count()
     rows = document_frequency(docs).where(
         (F.col("df") >= band.min_share * n) & (F.col("df") <= band.max_share * n)
@@ -85,16 +93,28 @@ def lexicon(docs: DataFrame, band: Band = Band()) -> list[str]:
     return sorted(r["term"] for r in rows)
 
 
+class _Places(dict):
+    """Term -> its place in the lexicon, -1 outside; remembered up to a bound."""
+
+    def __init__(self, lexicon: list[int]):
+        super().__init__()
+        self.place = {h: k for k, h in enumerate(lexicon)}
+
+    def __missing__(self, term: str) -> int:
+        if len(self) >= REMEMBERED_TERMS:
+            self.clear()
+        place = self[term] = self.place.get(term_hash(term), -1)
+        return place
+
+
 class Fingerprinter:
     """Fingerprints (uint32 per subset, then the term count) under one lexicon."""
 
-    def __init__(self, terms: list[str]):
-        self.place = {t: k for k, t in enumerate(terms)}
-        digests = [hashlib.shake_128(t.encode("utf-8", "surrogatepass")).digest(8 + 2 * SUBSETS)
-                   for t in terms]
-        raw = np.frombuffer(b"".join(digests), dtype=np.uint8).reshape(len(terms), 8 + 2 * SUBSETS)
-        self.hashes = np.ascontiguousarray(raw[:, :8]).view(np.uint64).reshape(-1)
-        draws = np.ascontiguousarray(raw[:, 8:]).view(np.uint16).reshape(len(terms), SUBSETS)
+    def __init__(self, terms: list[int]):
+        self.places = _Places(terms)
+        self.hashes = np.array(terms, dtype=np.int64)
+        drawn = b"".join([hashlib.shake_128(h.tobytes()).digest(2 * SUBSETS) for h in self.hashes])
+        draws = np.frombuffer(drawn, dtype=np.uint16).reshape(len(terms), SUBSETS)
         self.member = (draws < np.array([r * 65536 for r in RATES])).T.copy()
 
     @staticmethod
@@ -103,8 +123,7 @@ class Fingerprinter:
 
     def of(self, text: str) -> np.ndarray:
         terms = terms_of(text)
-        place = self.place
-        known = np.array(sorted(place[t] for t in terms if t in place), dtype=np.int64)
+        known = np.array(sorted(k for k in map(self.places.__getitem__, terms) if k >= 0), dtype=np.int64)
         out = np.zeros(SUBSETS + 1, dtype=np.uint32)
         if known.size == 0:
             whole = "\n".join(sorted(terms)) if terms else text
@@ -181,7 +200,7 @@ def in_order(docs: DataFrame, buckets: int) -> DataFrame:
     ).repartition("__bucket").sortWithinPartitions("__bucket", "__peek", "doc_id", "text")
 
 
-def fingerprints(docs: DataFrame, terms: list[str]) -> DataFrame:
+def fingerprints(docs: DataFrame, terms: list[int]) -> DataFrame:
     """doc_id and fingerprint of every document."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(terms)
@@ -201,7 +220,7 @@ EDITED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
           "edited_fingerprint string, near_edited double, near_next double")
 
 
-def compare_edited(docs: DataFrame, terms: list[str], buckets: int | None = None) -> DataFrame:
+def compare_edited(docs: DataFrame, terms: list[int], buckets: int | None = None) -> DataFrame:
     """Every document against its edited text (the last quarter replaced by the start
     of the next document in doc_id order) and against the next document."""
     spark = docs.sparkSession

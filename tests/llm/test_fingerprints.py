@@ -50,7 +50,7 @@ def test_document_frequency_and_band_equal_counting(spark, monkeypatch):
     rnd = random.Random(6)
     rows = [(k, text(rnd, 40, vocabulary=120)) for k in range(50)] + [(99, None)]
     monkeypatch.setattr(imatch, "FLUSH_TERMS", 50)
-    df = Counter(t for _, x in rows if x for t in imatch.terms_of(x))
+    df = Counter(imatch.term_hash(t) for _, x in rows if x for t in imatch.terms_of(x))
     got = {r.term: r.df for r in imatch.document_frequency(frame(spark, rows)).collect()}
     assert got == df
     band = imatch.Band(min_share=0.1, max_share=0.4)
@@ -61,7 +61,7 @@ def test_document_frequency_and_band_equal_counting(spark, monkeypatch):
 def test_likeness_estimates_the_jaccard_similarity():
     rnd = random.Random(7)
     vocabulary = [f"t{k}" for k in range(5000)]
-    printer = imatch.Fingerprinter(sorted(vocabulary))
+    printer = imatch.Fingerprinter(sorted(map(imatch.term_hash, vocabulary)))
     errors = []
     for _ in range(60):
         base = rnd.sample(vocabulary, rnd.randint(40, 900))
@@ -76,7 +76,7 @@ def test_likeness_estimates_the_jaccard_similarity():
 
 
 def test_texts_without_lexicon_terms_differ_unless_equal():
-    printer = imatch.Fingerprinter(["known"])
+    printer = imatch.Fingerprinter([imatch.term_hash("known")])
     a, b, c, d = (printer.of(x) for x in ("some words", "words some", "other", ""))
     assert np.array_equal(a, b) and not np.array_equal(a, c) and not np.array_equal(a, d)
     assert imatch.likeness(a[None], c[None])[0] == 0.0
