@@ -361,7 +361,8 @@ def line_components(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
     doubled = memberships(docs, join).groupBy("key").agg(
         F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     bits = bitmap_of(doubled, "key", KEY_BITS)
-    shared = written(shared_memberships(memberships(docs, join, bits)), "line-keys")
+    members = written(memberships(docs, join, bits), "line-members")
+    shared = written(shared_memberships(members), "line-keys")
     texts = written(_texts(docs, shared.select("node").distinct(), join), "line-texts")
     return linked_components(shared, _verifier(texts, join), _narrower(texts, join))
 
