@@ -124,33 +124,45 @@ def _open_groups(shared: DataFrame, components: DataFrame) -> DataFrame:
         "pivot", "node", "c", (F.col("c") != F.col("pivot")).alias("apart")).distinct(), "open")
 
 
-def prefix_pairs(tokens: DataFrame, close: Callable[[Column, Column], Column]) -> DataFrame:
+def prefix_pairs(
+    tokens: DataFrame, members: DataFrame, close: Callable[[Column, Column], Column]
+) -> DataFrame:
     """Pairs (a, b) of a pivot's members, in different components, that share a token
     among the first ones of both.
 
-    ``tokens`` has (pivot, node, c, token, n, reach, apart_reach): each member's distinct
-    tokens, and how many of them, rarest in the group first, a possible partner must
-    share one of: ``apart_reach`` (0: not asked) when the member looks for partners,
-    ``reach`` when it is found.  ``close`` says whether two members' ``n`` may be linked.
-    Tokens that only one member has take the first places and match nothing."""
+    ``tokens`` has the distinct tokens (pivot, node, token) of the ``members`` (pivot,
+    node, c, n, level, reach, apart_reach), which say how many of a member's tokens,
+    rarest in the group first, a possible partner must share one of: ``reach`` when the
+    member is found, and when it looks for partners of level k, ``apart_reach[k]`` (0: it
+    does not).  ``close`` says whether two members' ``n`` may be linked.  Tokens that only
+    one member has take the first places and match nothing."""
     held = tokens.groupBy("pivot", "token").agg(F.count("*").alias("held")).where("held > 1").select(
         F.col("pivot").alias("__pivot"), F.col("token").alias("__token"), "held")
-    counted = tokens.join(
-        held, (F.col("pivot") == F.col("__pivot")) & (F.col("token") == F.col("__token")), "left")
-    alone = F.col("held").isNull()
-    own = counted.groupBy("pivot", "node").agg(F.count_if(alone).alias("alone")).select(
-        F.col("pivot").alias("__opivot"), F.col("node").alias("__onode"), "alone")
-    common = counted.where(~alone).join(
-        own, (F.col("pivot") == F.col("__opivot")) & (F.col("node") == F.col("__onode"))).where(
-        F.col("alone") < F.greatest("reach", "apart_reach"))
-    place = F.row_number().over(Window.partitionBy("pivot", "node").orderBy("held", "token")) + F.col("alone")
-    placed = written(common.withColumn("place", place).where(
-        F.col("place") <= F.greatest("reach", "apart_reach")).select(
-        "pivot", "node", "c", "token", "n", "place", "reach", "apart_reach"), "prefixes")
-    one = placed.where("place <= apart_reach").select(
-        "pivot", "token", F.col("node").alias("a"), F.col("c").alias("__ca"), F.col("n").alias("__na"))
+    common = tokens.join(held, (F.col("pivot") == F.col("__pivot")) & (F.col("token") == F.col("__token"))).select(
+        "pivot", "node", "token", "held")
+    shared = common.groupBy("pivot", "node").agg(F.count("*").alias("shared"))
+    every = tokens.groupBy("pivot", "node").agg(F.count("*").alias("every"))
+
+    def keyed(df: DataFrame, tag: str) -> DataFrame:
+        return df.withColumnsRenamed({"pivot": f"__p{tag}", "node": f"__n{tag}"})
+
+    def on(tag: str) -> Column:
+        return (F.col("pivot") == F.col(f"__p{tag}")) & (F.col("node") == F.col(f"__n{tag}"))
+
+    # members with a place left behind the tokens that are theirs alone
+    most = F.greatest("reach", F.array_max("apart_reach"))
+    asked = members.join(keyed(every, "e"), on("e")).join(keyed(shared, "s"), on("s")).select(
+        *members.columns, (F.col("every") - F.col("shared")).alias("alone")).where(F.col("alone") < most)
+    placed = common.join(keyed(asked, "m"), on("m")).withColumn(
+        "place", F.row_number().over(Window.partitionBy("pivot", "node").orderBy("held", "token")) + F.col("alone"))
+    placed = written(placed.where(F.col("place") <= most).select(
+        "pivot", "node", "c", "token", "n", "level", "place", "reach", "apart_reach"), "prefixes")
+    one = placed.select(
+        "pivot", "token", F.col("node").alias("a"), F.col("c").alias("__ca"), F.col("n").alias("__na"), "place",
+        F.posexplode("apart_reach").alias("__level", "__reach")).where("place <= __reach").drop("place", "__reach")
     other = placed.where("place <= reach").select(
         F.col("pivot").alias("__pivot"), F.col("token").alias("__token"), F.col("node").alias("b"),
-        F.col("c").alias("__cb"), F.col("n").alias("__nb"))
+        F.col("c").alias("__cb"), F.col("n").alias("__nb"), "level")
     return one.join(other, (F.col("pivot") == F.col("__pivot")) & (F.col("token") == F.col("__token"))
+                    & (F.col("__level") == F.col("level"))
                     & (F.col("__ca") != F.col("__cb")) & close(F.col("__na"), F.col("__nb"))).select("a", "b")

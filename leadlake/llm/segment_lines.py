@@ -42,7 +42,7 @@ from leadlake.llm.common import bitmap_of, written
 from leadlake.llm.links import linked_components, shared_memberships
 
 EDGE = " \t\x0b\x0c\r"
-GROUP_CHARS = 1 << 20     # characters of lines handled at once
+GROUP_CHARS = 1 << 19     # characters of lines handled at once
 PAIR_CELLS = 1 << 21      # pairs times line length compared at once
 KEY_BITS = 1 << 26        # bitmap of shared keys: 8 MB
 U64 = np.uint64
@@ -74,8 +74,8 @@ class PrefixHashes:
     def read(self, points: np.ndarray) -> None:
         n = len(points)
         if n >= len(self.power):
-            self.power = np.full(2 * n + 1, self.FACTOR, dtype=U64)
-            self.back = np.full(2 * n + 1, self.INVERSE, dtype=U64)
+            self.power = np.full(n + n // 4 + 1, self.FACTOR, dtype=U64)
+            self.back = np.full(n + n // 4 + 1, self.INVERSE, dtype=U64)
             self.power[0] = self.back[0] = 1
             np.cumprod(self.power, out=self.power)
             np.cumprod(self.back, out=self.back)

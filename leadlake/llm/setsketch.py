@@ -24,8 +24,9 @@ sets is at least ``percent`` / 100; components of links are the duplicate groups
    often enough.  With b not linked to R, and T(x) the symmetric difference of x and R,
    |T(a) & T(b)| must exceed 4/9 |a| - |a & R| + 5/9 |R| and reach 4/9 |b| - |b & R|
    + 4/9 |R| (for 80 %); so a and b must share a token among the first |T| - need + 1
-   tokens of each, rarest in the group first (prefix filter).  Edits that nobody else
-   made come first there, and most members have no partner left to try.
+   tokens of each, rarest in the group first (prefix filter).  The first bound grows with
+   a's distance from R, so b looks among a's of each level of it with a prefix of its own.
+   Edits that nobody else made come first, and most members have no partner left to try.
 
 A pair at the threshold 0.8 is missed by the bands of a step with probability
 (1 - 0.8^rows)^bands, 5e-6 for the production values, and less above it; the margin is
@@ -49,6 +50,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +62,7 @@ BASE = 1.02        # spacing of the registers
 Q = 2000           # registers are 0..Q+1
 SEED = 11
 BLOCK = 2048       # shingles hashed at once
+PAIRS = 1024       # pairs compared at once
 NO_ID = 1 << 62    # nodes from here on stand for rows without doc_id
 
 
@@ -163,11 +166,9 @@ def _verifier(candidates: DataFrame, near: Near):
     words, percent, least, registers = near.shingle_words, near.percent, near.percent / 100 - near.margin, near.registers
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, PAIRS) for whole in batches for k in range(0, whole.num_rows, PAIRS)):
             cols = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
             size = batch.num_rows
-            if not size:
-                continue
             regs = [np.frombuffer(b"".join(cols[c].to_pylist()), dtype=np.uint16).reshape(size, registers)
                     for c in ("regs_a", "regs_b")]
             na, nb = (cols[c].to_numpy().astype(np.float64) for c in ("n_a", "n_b"))
@@ -201,43 +202,64 @@ def _verifier(candidates: DataFrame, near: Near):
     return verify
 
 
+#: levels of a member's distance from the pivot, by the least of 4/9 |a| - |a & R| + 5/9 |R|
+LEVELS = np.array([0, 4, 8, 16, 32, 64, 128, 256, 512])
+MEMBERS = 256      # members whose differences are put out at once
+
+
 def _narrower(candidates: DataFrame, near: Near):
     """Possible pairs within the groups of unlinked members (step 5 above)."""
     words, percent = near.shingle_words, near.percent
+    fields = ("pivot long, node long, c long, token long, n long, level int, reach long, "
+              "apart_reach array<long>, linked boolean")
 
-    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def member(mine: np.ndarray, centre: np.ndarray, apart: bool):
+        """(tokens, level, reach, apart_reach, linked) of a member with the set ``mine``."""
         share = percent / (100 + percent)        # 4/9 for 80 %
-        names = ["pivot", "node", "c", "token", "n", "reach", "apart_reach", "linked"]
-        for batch in batches:
-            known: dict[int, np.ndarray] = {}
-            out: list[list[np.ndarray]] = [[] for _ in names]
-            for pivot, node, c, apart, text_node, text_pivot in zip(*(x.to_pylist() for x in batch.columns)):
-                centre = known.get(pivot)
-                if centre is None:
-                    if len(known) > 256:
-                        known.clear()
-                    centre = known[pivot] = shingles(text_pivot, words)
-                mine = shingles(text_node, words)
-                tokens = np.setxor1d(mine, centre, assume_unique=True)
-                common = (len(mine) + len(centre) - len(tokens)) // 2
-                linked = 100 * common >= percent * (len(tokens) + common)
-                weight = share * len(mine) - common
-                # the bounds are fractions with small denominators
-                as_any = max(1, int(np.floor(weight + (1 - share) * len(centre) + 1e-9)) + 1)
-                as_apart = max(1, int(np.ceil(weight + share * len(centre) - 1e-9)))
-                reach = len(tokens) - as_any + 1
-                apart_reach = len(tokens) - as_apart + 1 if apart and not linked else 0
-                if apart and linked:             # a row of its own says so
-                    tokens = np.append(tokens, np.uint64(0))
-                size = len(tokens)
-                flags = np.zeros(size, dtype=bool)
-                flags[size - 1:] = apart and linked
-                for column, value in zip(out, (pivot, node, c, None, len(mine), reach, apart_reach, flags)):
-                    column.append(tokens.view(np.int64) if value is None else
-                                  value if value is flags else np.full(size, value, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x or [np.empty(0, dtype=bool if k == 7 else np.int64)]))
-                 for k, x in enumerate(out)], names=names)
+        tokens = np.setxor1d(mine, centre, assume_unique=True)
+        common = (len(mine) + len(centre) - len(tokens)) // 2
+        linked = 100 * common >= percent * (len(tokens) + common)
+        weight = share * len(mine) - common
+        # the bounds are fractions with small denominators, hence the tolerance
+        away = int(np.floor(weight + (1 - share) * len(centre) + 1e-9))
+        level = max(0, int(np.searchsorted(LEVELS, away, side="right")) - 1)
+        need = np.maximum(1, np.ceil(weight + share * len(centre) + LEVELS - 1e-9))
+        reaches = np.maximum(0, len(tokens) - need + 1).astype(np.int64)
+        if linked or not apart:
+            reaches[:] = 0
+        return tokens, level, len(tokens) - max(1, away + 1) + 1, reaches, bool(apart and linked)
+
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
+        for whole in batches:
+            for start in range(0, whole.num_rows, MEMBERS):
+                batch = whole.slice(start, MEMBERS)
+                rows, found, heads = [], [], []
+                for k, (pivot, apart, text_node, text_pivot) in enumerate(zip(*(
+                        batch.column(x).to_pylist() for x in (0, 3, 4, 5)))):
+                    if pivot not in known:
+                        if len(known) > 64:
+                            known.clear()
+                        known[pivot] = shingles(text_pivot, words)
+                    mine = shingles(text_node, words)
+                    tokens, *bounds = member(mine, known[pivot], apart)
+                    rows.append(np.full(len(tokens), k, dtype=np.int64))
+                    found.append(tokens)
+                    heads.append((len(mine), *bounds))
+                # one row per member with its bounds, then its tokens
+                none = len(heads)
+                at = np.concatenate([np.arange(none), *rows])
+                head = pa.array(np.concatenate([np.arange(none), np.full(len(at) - none, -1)]))
+                head = pc.if_else(pc.less(head, 0), None, head)
+                n, level, reach, apart_reach, linked = zip(*heads)
+                token = pa.array(np.concatenate([np.zeros(none, dtype=np.uint64), *found]).view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(x).take(pa.array(at)) for x in (0, 1, 2)), token,
+                     pa.array(n, type=pa.int64()).take(head), pa.array(level, type=pa.int32()).take(head),
+                     pa.array(reach, type=pa.int64()).take(head),
+                     pa.array([x.tolist() for x in apart_reach], type=pa.list_(pa.int64())).take(head),
+                     pa.array(linked, type=pa.bool_()).take(head)],
+                    names=["pivot", "node", "c", "token", "n", "level", "reach", "apart_reach", "linked"])
 
     def narrow(groups: DataFrame) -> DataFrame:
         text_node = candidates.select(F.col("node").alias("__n"), F.col("text").alias("tn"))
@@ -245,11 +267,12 @@ def _narrower(candidates: DataFrame, near: Near):
         joined = groups.where("node <> pivot").join(text_node, F.col("node") == F.col("__n")).join(
             text_pivot, F.col("pivot") == F.col("__p"))
         tokens = written(joined.select("pivot", "node", "c", "apart", "tn", "tp").mapInArrow(
-            differences, "pivot long, node long, c long, token long, n long, reach long, apart_reach long, "
-                         "linked boolean"), "differences")
-        with_pivot = tokens.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+            differences, fields), "differences")
+        members = tokens.where("n IS NOT NULL")
+        with_pivot = members.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         pairs = prefix_pairs(
-            tokens.where("NOT linked"), lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y))
+            tokens.where("n IS NULL").select("pivot", "node", "token"), members.drop("token", "linked"),
+            lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y))
         return pairs.union(with_pivot)
 
     return narrow
@@ -261,15 +284,18 @@ def _long_bands(candidates: DataFrame, near: Near) -> DataFrame:
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher(rows * bands, SEED + 1)
-        for batch in batches:
-            keys = []
-            for text in batch.column(1).to_pylist():
-                regs = sketcher.registers(shingles(text, words)).reshape(bands, rows)
-                keys.append([xxhash.xxh3_64_intdigest(r.tobytes(), seed=k) - (1 << 63) for k, r in enumerate(regs)])
-            flat = np.array(keys, dtype=np.int64).reshape(-1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat), batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), bands)))],
-                names=["key", "node"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, MEMBERS):
+                batch = whole.slice(start, MEMBERS)
+                keys = []
+                for text in batch.column(1).to_pylist():
+                    regs = sketcher.registers(shingles(text, words)).reshape(bands, rows)
+                    keys.append([xxhash.xxh3_64_intdigest(r.tobytes(), seed=k) - (1 << 63)
+                                 for k, r in enumerate(regs)])
+                flat = np.array(keys, dtype=np.int64).reshape(-1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(flat), batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), bands)))],
+                    names=["key", "node"])
 
     return candidates.select("node", "text").mapInArrow(compute, "key long, node long")
 
