@@ -108,19 +108,21 @@ def mix(docs: DataFrame, weights: Mapping | None = None, mix: Mix = Mix()) -> Da
         out = df.withColumn("__hash", F.md5(F.concat_ws("|", F.lit(str(mix.seed)), *named))).join(
             F.broadcast(sources), F.col("source").cast("string").eqNullSafe(F.col("__of"))).drop("__of")
         leading = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("long")
+        # never NULL: the window and the join below then share one partitioning
+        out = out.withColumn("__skey", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
         return out.withColumn("__chunk", F.floor(leading / F.pow(F.lit(2.0), 32 - F.col("__bits"))).cast("long"))
 
     row = with_chunk(docs)
     ties = ["doc_id"] + (["text"] if "text" in docs.columns else [])
-    inside = Window.partitionBy("source", "__chunk").orderBy("__hash", *ties)
+    inside = Window.partitionBy("__skey", "__chunk").orderBy("__hash", *ties)
     row = row.withColumn("__in_chunk", F.row_number().over(inside) - 1)
 
-    running = Window.partitionBy("source").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = with_chunk(docs.select("doc_id", "source")).groupBy("source", "__chunk").count().select(
-        F.col("source").alias("__csource"), F.col("__chunk").alias("__cchunk"),
+    running = Window.partitionBy("__skey").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = with_chunk(docs.select("doc_id", "source")).groupBy("__skey", "__chunk").count().select(
+        F.col("__skey").alias("__cskey"), F.col("__chunk").alias("__cchunk"),
         F.coalesce(F.sum("count").over(running), F.lit(0)).alias("__before"))
     row = row.join(
-        before, F.col("source").eqNullSafe(F.col("__csource")) & (F.col("__chunk") == F.col("__cchunk")))
+        before, (F.col("__skey") == F.col("__cskey")) & (F.col("__chunk") == F.col("__cchunk")))
 
     rank = F.col("__before") + F.col("__in_chunk")
     row = row.withColumn("__block", F.expr(f"(__before + __in_chunk) div {mix.block_docs}"))
