@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every line but the first of its class leaves its document; documents that are
-    mostly such lines are copies as a whole and left to the next stage."""
+    """Every line but the first of its class leaves its document; confirmed copies of
+    another document are left to the next stage."""
     return segment_lines.without_duplicates(docs)
 
 

@@ -35,10 +35,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import bitmap_of, written
+from leadlake.llm import setsketch
+from leadlake.llm.common import NON_WORD_BREAK, bitmap_filter, bitmap_of, written
 from leadlake.llm.links import linked_components, shared_memberships
 
 EDGE = " \t\x0b\x0c\r"
@@ -171,22 +172,30 @@ def _held(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def line_rows(docs: DataFrame, join: LineJoin) -> DataFrame:
-    """(doc_id, tkey, line, h1, h2) of every line that is compared."""
+    """(doc_id, tkey, line, h1, h2, again) of every line that is compared; ``again`` says
+    that the document has an equal line before it."""
     least = join.min_chars
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            row, seen = -1, set()
             for group in _groups(batch.column(2).to_pylist(), least):
                 h = group.hashes()
+                again = []
+                for k, line in zip(group.rows, map(bytes, h)):
+                    if k != row:
+                        row, seen = k, set()
+                    again.append(line in seen)
+                    seen.add(line)
                 at = pa.array(group.rows, type=pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(group.numbers, type=pa.int32()),
-                     pa.array(h[:, 0]), pa.array(h[:, 1])],
-                    names=["doc_id", "tkey", "line", "h1", "h2"])
+                     pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(again, type=pa.bool_())],
+                    names=["doc_id", "tkey", "line", "h1", "h2", "again"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"),
                        F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(compute, "doc_id long, tkey long, line int, h1 long, h2 long")
+    return rows.mapInArrow(compute, "doc_id long, tkey long, line int, h1 long, h2 long, again boolean")
 
 
 def memberships(docs: DataFrame, join: LineJoin, shared: "np.ndarray | None" = None) -> DataFrame:
@@ -367,29 +376,47 @@ def line_components(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
     return linked_components(shared, _verifier(texts, join), _narrower(texts, join))
 
 
-def duplicate_lines(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
-    """(doc_id, tkey, dropped, n_near): for every document with a duplicate line, the
-    numbers of these lines (from 0, ascending) and how many of them differ from the
-    line that stays.  ``tkey`` is a hash of the text."""
+def _classed_lines(docs: DataFrame, join: LineJoin) -> DataFrame:
+    """The rows of ``line_rows`` with their class (k1, k2)."""
     lines = written(line_rows(docs, join), "lines")
     components = line_components(docs, join).select(F.col("node").alias("__node"), "component")
-    classed = lines.join(components, F.col("h1") == F.col("__node"), "left").select(
-        "doc_id", "tkey", "line", "h1", "h2",
+    return lines.join(components, F.col("h1") == F.col("__node"), "left").select(
+        "doc_id", "tkey", "line", "h1", "h2", "again",
         F.coalesce("component", "h1").alias("k1"),
         F.when(F.col("component").isNull(), F.col("h2")).otherwise(F.lit(0)).alias("k2"))
+
+
+def _later_lines(classed: DataFrame) -> DataFrame:
+    """(doc_id, tkey, line, near, own, k1, k2, fid, ftkey), a row per duplicate line:
+    whether it differs from the line that stays, whether it repeats a line of its own
+    document (an equal one, or the one that stays), its class, and the document that keeps
+    the class."""
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tkey", "line", "h1", "h2")
     first = classed.groupBy("k1", "k2").agg(
         F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "first")
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tkey") == F.col("first.tkey"))
     later = classed.join(first, (F.col("k1") == F.col("__k1")) & (F.col("k2") == F.col("__k2"))).where(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tkey") == F.col("first.tkey"))
-          & (F.col("line") == F.col("first.line"))))
+        ~(same & (F.col("line") == F.col("first.line"))))
     near = (F.col("h1") != F.col("first.h1")) | (F.col("h2") != F.col("first.h2"))
-    per_line = later.groupBy("doc_id", "tkey", "line").agg(F.max(near.cast("int")).alias("near"))
-    return per_line.groupBy("doc_id", "tkey").agg(
+    return later.groupBy("doc_id", "tkey", "line").agg(
+        F.max(near.cast("int")).alias("near"), F.max(F.col("again") | same).alias("own"),
+        F.min("k1").alias("k1"), F.min("k2").alias("k2"),
+        F.min("first.doc_id").alias("fid"), F.min("first.tkey").alias("ftkey"))
+
+
+def _dropped(later: DataFrame) -> DataFrame:
+    return later.groupBy("doc_id", "tkey").agg(
         F.array_sort(F.collect_list("line")).alias("dropped"), F.sum("near").alias("n_near"))
 
 
+def duplicate_lines(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
+    """(doc_id, tkey, dropped, n_near): for every document with a duplicate line, the
+    numbers of these lines (from 0, ascending) and how many of them differ from the
+    line that stays.  ``tkey`` is a hash of the text."""
+    return _dropped(_later_lines(_classed_lines(docs, join)))
+
+
 def _with_dropped(docs: DataFrame, found: DataFrame) -> DataFrame:
     other = found.select(F.col("doc_id").alias("__fid"), F.col("tkey").alias("__ftkey"), "dropped", "n_near")
     return docs.join(
@@ -412,24 +439,110 @@ def deduplicate(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
         F.coalesce("dropped", none).alias("dropped"))
 
 
+def _same(left: tuple[str, str], right: tuple[str, str]) -> Column:
+    """Both name the same document, by (doc_id, tkey)."""
+    return F.col(left[0]).eqNullSafe(F.col(right[0])) & (F.col(left[1]) == F.col(right[1]))
+
+
+def _mostly_later(docs: DataFrame, later: DataFrame, whole_copy: float) -> DataFrame:
+    """(xid, xtkey, least, line, chars, k1, k2, fid, ftkey): the lines kept by other
+    documents of those documents in which they have more than ``least`` characters,
+    ``whole_copy`` of the text without its own repeats."""
+    listed = later.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct(
+        "line", "own", "k1", "k2", "fid", "ftkey")).alias("later")).select(
+        F.col("doc_id").alias("xid"), F.col("tkey").alias("xtkey"), "later")
+    lengths = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"),
+        F.length("text").alias("size"), F.transform(F.split("text", "\n", -1), F.length).alias("lengths"))
+    rows = listed.join(lengths, _same(("xid", "xtkey"), ("doc_id", "tkey"))).dropDuplicates(["xid", "xtkey"])
+
+    def chars(own: bool) -> Column:
+        lines = F.filter("later", lambda x: x["own"] == F.lit(own))
+        return F.aggregate(lines, F.lit(0), lambda a, x: a + F.get(F.col("lengths"), x["line"]))
+
+    rows = rows.withColumn("least", whole_copy * (F.col("size") - chars(True))).where(chars(False) > F.col("least"))
+    return rows.select("xid", "xtkey", "least", "lengths", F.explode("later").alias("x")).where("not x.own").select(
+        "xid", "xtkey", "least", F.get("lengths", F.col("x.line")).alias("chars"), "x.*").drop("own")
+
+
+def _held_by_one(mostly: DataFrame, classed: DataFrame) -> DataFrame:
+    """(xid, xtkey) of documents with more than ``least`` characters in lines that one
+    other document holds, of those that keep a line of theirs."""
+    holders = mostly.select(
+        F.col("xid").alias("__x"), F.col("xtkey").alias("__t"), F.col("fid").alias("eid"),
+        F.col("ftkey").alias("etkey")).distinct()
+    asked = mostly.join(holders, _same(("xid", "xtkey"), ("__x", "__t")))
+    lines = classed.select("doc_id", "tkey", F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
+    held = asked.join(lines, _same(("eid", "etkey"), ("doc_id", "tkey"))
+                      & (F.col("k1") == F.col("__k1")) & (F.col("k2") == F.col("__k2")), "left_semi")
+    return held.groupBy("xid", "xtkey", "eid", "etkey").agg(
+        F.sum("chars").alias("held"), F.max("least").alias("least")
+    ).where("held > least").select("xid", "xtkey").distinct()
+
+
+def _nearly_equal(docs: DataFrame, some: DataFrame, near: setsketch.Near) -> DataFrame:
+    """(xid, xtkey) of the documents ``some`` (xid, xtkey) that are near duplicates of
+    another document.  Such a document has ``percent`` or more of its shingles in common
+    with one of ``some``, so only documents with as many in a bitmap of theirs are compared."""
+    words = near.shingle_words
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found = setsketch.shingles(text, words).view(np.int64)
+                for k in range(0, len(found), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(found[k:k + (1 << 16)])], names=["shingle"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"),
+                       F.col("text").cast("string").alias("text"))
+    theirs = rows.where(bitmap_filter(some, "xtkey")("tkey")).select("text").mapInArrow(shingled, "shingle long")
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap_of(theirs, "shingle", KEY_BITS))
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for text in batch.column(1).to_pylist():
+                found = setsketch.shingles(text, words).view(np.int64)
+                kept.append(len(found) > 0 and 100 * int(_held(bits.value, found).sum()) >= near.percent * len(found))
+            yield batch.filter(pa.array(kept, type=pa.bool_()))
+
+    compared = written(rows.select("doc_id", "text").mapInArrow(partners, "doc_id long, text string"), "partners")
+    labelled = written(setsketch.labels(compared, near).where("label is not null").select(
+        "doc_id", "tkey", "label").distinct(), "partner-labels")
+    groups = labelled.groupBy("label").count().where("count > 1").select(F.col("label").alias("__label"))
+    found = labelled.join(groups, F.col("label") == F.col("__label"), "left_semi")
+    return some.join(found, _same(("xid", "xtkey"), ("doc_id", "tkey")), "left_semi")
+
+
 def without_duplicates(docs: DataFrame, join: LineJoin = LineJoin(), whole_copy: float = 0.5) -> DataFrame:
     """``docs`` without their duplicate lines (``n_chars``, where there is one, follows
-    the text).  A document with more than ``whole_copy`` of its characters in duplicate
-    lines is a copy as a whole: it is left as it is for document deduplication, which
-    needs the text to recognise it."""
+    the text).  Lines that repeat one of their own document always go.  A document with
+    more than ``whole_copy`` of its other characters in lines that other documents keep
+    is left to document deduplication, which needs the text to recognise it, if it is a
+    confirmed copy: one of those documents holds more than ``whole_copy`` of it, or it is
+    a near duplicate of any other (five words, 0.8).  Else its lines go as well, and a
+    document with nothing left goes with them."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__tkey"), row)
-    out = _with_dropped(keyed, duplicate_lines(docs, join))
+    classed = written(_classed_lines(docs, join), "classed")
+    later = written(_later_lines(classed), "later")
+    mostly = written(_mostly_later(docs, later, whole_copy), "mostly-later")
+    whole = written(_held_by_one(mostly, classed), "whole")
+    held = whole.select(F.col("xid").alias("__x"), F.col("xtkey").alias("__t"))
+    rest = written(mostly.select("xid", "xtkey").distinct().join(
+        held, _same(("xid", "xtkey"), ("__x", "__t")), "left_anti"), "unheld")
+    if not rest.isEmpty():
+        whole = whole.union(written(_nearly_equal(docs, rest, setsketch.Near()), "whole"))
+    others = later.where("not own").join(whole, _same(("doc_id", "tkey"), ("xid", "xtkey")), "left_anti")
+    out = _with_dropped(keyed, _dropped(later.where("own").union(others)))
     text = F.col("__row")["text"]
-    lines = F.split(text, "\n", -1)
-    out = out.withColumn("__lines", F.when(F.col("dropped").isNotNull(), lines))
-    lost = F.aggregate(
-        F.transform("dropped", lambda k: F.length(F.get(F.col("__lines"), k))), F.lit(0), lambda a, x: a + x)
+    out = out.withColumn("__lines", F.when(F.col("dropped").isNotNull(), F.split(text, "\n", -1)))
     staying = F.transform(
         F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "dropped"),
         lambda k: F.get(F.col("__lines"), k))
-    cut = F.col("dropped").isNotNull() & (lost <= whole_copy * F.length(text))
+    cut = F.col("dropped").isNotNull()
     out = out.withColumn("__text", F.when(cut, F.array_join(staying, "\n")).otherwise(text))
+    out = out.where(~cut | F.col("__text").rlike(NON_WORD_BREAK))
     new = {"text": F.col("__text"), "n_chars": F.length("__text").cast("long")}
     return out.select(*[new.get(c, F.col("__row")[c]).alias(c) for c in docs.columns])

@@ -193,6 +193,28 @@ def test_duplicate_lines_leave_texts_that_are_no_whole_copies(spark):
     assert out == {1: (rows[0][1], len(rows[0][1])), 2: (rest, len(rest)), 3: (rows[2][1], len(rows[2][1]))}
 
 
+def test_only_confirmed_copies_keep_their_duplicate_lines(spark):
+    rnd = random.Random(32)
+    lines = [text(rnd, 14, per_line=99) for _ in range(16)]
+    two = lines[8:10]
+    scattered = lines[:8]                       # each kept by another document
+    rows = [(k, f"{line}\n{text(rnd, 40)}") for k, line in enumerate(scattered)]
+    rewrapped = " ".join(lines[12:16]).split(" ")
+    rows += [(20, "\n".join(two * 3)),          # repeats only itself
+             (21, "\n".join(two * 3)),          # and a copy of that
+             (30, "\n".join(scattered[:4])),    # nothing left
+             (31, "\n".join([*scattered[4:], "its own end"])),
+             *((40 + k, f"{line}\n{text(rnd, 40)}") for k, line in enumerate(lines[12:16])),
+             (50, "\n".join(lines[12:16])),     # a near duplicate of 51, which shares no line
+             (51, "\n".join(" ".join(rewrapped[k:k + 9]) for k in range(0, len(rewrapped), 9)))]
+    docs = frame(spark, rows)
+    out = segment_lines.without_duplicates(docs, JOIN)
+    assert out.columns == docs.columns
+    want = {**dict(rows), 20: "\n".join(two), 21: "\n".join(two), 31: "its own end"}
+    del want[30]
+    assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {i: (t, len(t)) for i, t in want.items()}
+
+
 @pytest.mark.parametrize("edits", [1, 2, 3])
 def test_banded_distance_and_segments(edits):
     rnd = random.Random(17)
