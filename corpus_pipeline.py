@@ -10,11 +10,15 @@ empty tables, extra columns) are defined in the operators' modules.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leadlake.llm import line_frequency, pfair, piece_arrays, segment_lines, setsketch
 from leadlake.llm.common import read_table, written
 
 
+WEIGHTS = None      # of the mix, by source; None: the square root of its documents
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; lines above a host's limit leave the texts of the others."""
     return line_frequency.clean_documents(docs)
@@ -34,12 +38,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: consecutive files are consecutive stretches."""
-    return pfair.in_mixed_order(docs)
+    return pfair.in_mixed_order(docs, WEIGHTS)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, ids and round_trip of every document."""
-    return piece_arrays.encode(docs, ["doc_id", "source"])
+    """doc_id, source, n_tokens, ids and round_trip of every document, and its block, slot
+    and position in the mix: files read again have no order, so it is in the rows."""
+    keyed = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("tkey"))
+    # encoded once: the mix reads its input several times
+    coded = written(piece_arrays.encode(keyed, ["doc_id", "source", "tkey"]), "tokens")
+    placed = pfair.mix(coded.withColumnRenamed("tkey", "text"), WEIGHTS)  # the text settles ties only
+    return placed.select("doc_id", "source", "n_tokens", "ids", "round_trip", "block", "slot", "position")
 
 
 STAGES = [

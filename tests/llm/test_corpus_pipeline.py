@@ -70,6 +70,21 @@ def test_pipeline_equals_the_brute_force_version(spark, tmp_path):
         (i, source[i], tuple(library.encode(t)), True) for i, t in third.items())
 
 
+def test_prefixes_of_the_result_follow_the_weights(spark, tmp_path, monkeypatch):
+    rnd = random.Random(33)
+    rows = [(k, text(rnd, 12), "en", "ab"[k % 2]) for k in range(240)] + [(7, text(rnd, 12), "en", "b")]
+    docs = frame(spark, rows)
+    for weights in ({"a": 0.75, "b": 0.25}, {"a": 0.2, "b": 0.8}):
+        monkeypatch.setattr(corpus_pipeline, "WEIGHTS", weights)
+        got = sorted(corpus_pipeline.tokenise(spark, docs, str(tmp_path)).collect(), key=lambda r: r.position)
+        assert len(got) == len(rows) and len({r.position for r in got}) == len(rows)
+        for n in (48, 80, 128):
+            share = sum(r.source == "a" for r in got[:n]) / n
+            assert abs(share - weights["a"]) <= 2 * 16 / n
+    again = corpus_pipeline.tokenise(spark, docs.repartition(5), str(tmp_path)).collect()
+    assert {(r.position, tuple(r.ids)) for r in again} == {(r.position, tuple(r.ids)) for r in got}
+
+
 def test_every_stage_takes_odd_rows_and_empty_tables(spark, tmp_path):
     odd = frame(spark, odd_rows(random.Random(31)))
     empty = spark.createDataFrame([], SCHEMA).selectExpr("*", *[f"{v} as {c}" for c, v in CLASHING.items()])
