@@ -16,12 +16,13 @@ from leadlake.llm import line_frequency, pfair, piece_arrays, segment_lines, set
 from leadlake.llm.common import read_table, written
 
 
+RULES = line_frequency.LineRules(root_limit=True)
 WEIGHTS = None      # of the mix, by source; None: the square root of its documents
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; lines above a host's limit leave the texts of the others."""
-    return line_frequency.clean_documents(docs)
+    return line_frequency.clean_documents(docs, RULES)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,9 @@ hashed.  For every host and line hash the distinct documents holding the line ar
 counted; *distinct* means different texts, so that exact copies (which a later
 deduplication settles) do not make the lines of a good document look like
 boilerplate.  A line is above the limit on a host when more than
-``max(min_docs, max_share * distinct documents of the host)`` documents hold it.
+``max(min_docs, max_share * distinct documents of the host)`` documents hold it; with
+``root_limit``, more than ``max(min_docs, square root of the distinct documents)``, so that
+a hot host's boilerplate is found as well (the pipeline's rule; op5's SQL has the share).
 Such a line is removed from every document but the one with the host's smallest
 doc_id among its holders.  A document that loses more than ``max_removed`` of the
 characters of its lines is depleted and rejected.
@@ -17,7 +19,8 @@ characters of its lines is depleted and rejected.
 Size and skew
 -------------
 * A host has at most (lines of its documents) / (max_share * its documents) lines
-  above the limit, i.e. mean lines per document / max_share, whatever its size.
+  above the limit, i.e. mean lines per document / max_share, whatever its size; with
+  ``root_limit``, mean lines per document * square root of its documents.
 * Counting is a two-step aggregation (distinct first) with map-side partials, so
   neither a host with a third of all rows nor one line in every document meets in
   one task.  Only hashes and lengths are shuffled, never text.
@@ -50,6 +53,7 @@ class LineRules:
     min_docs: int = 20             # a line in at most so many documents of a host is fine
     max_share: float = 0.05        # ... or in at most this share of them
     max_removed: float = 0.7       # share of line characters a document may lose
+    root_limit: bool = False       # the square root of a host's documents instead of the share
 
 
 def _windows(word_array: Column) -> Column:
@@ -131,8 +135,9 @@ def lines_above_limit(docs: DataFrame, rules: LineRules = LineRules()) -> DataFr
         F.count_distinct(F.xxhash64("text")).alias("__docs")
     ).where(F.col("__docs") > rules.min_docs)
     hosts = hosts.withColumnRenamed("__host", "__of")
+    limit = F.sqrt("__docs") if rules.root_limit else rules.max_share * F.col("__docs")
     return counted.join(hosts, F.col("__host").eqNullSafe(F.col("__of"))).where(
-        F.col("__n") > rules.max_share * F.col("__docs")
+        F.col("__n") > limit
     ).select("__host", "__h", "__first")
 
 

@@ -70,6 +70,15 @@ def test_pipeline_equals_the_brute_force_version(spark, tmp_path):
         (i, source[i], tuple(library.encode(t)), True) for i, t in third.items())
 
 
+def test_boilerplate_of_a_large_host_goes(spark, tmp_path):
+    """30 of 700 texts hold the line: less than 5 %, more than the square root."""
+    rnd = random.Random(34)
+    line = "a line that many texts of this host have"
+    rows = [(k, (f"{line}\n" if k < 30 else "") + text(rnd, 60), "en", "hot") for k in range(700)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, frame(spark, rows), str(tmp_path)).collect()}
+    assert got == {i: t if i == 0 else t.removeprefix(f"{line}\n") for i, t, *_ in rows}
+
+
 def test_prefixes_of_the_result_follow_the_weights(spark, tmp_path, monkeypatch):
     rnd = random.Random(33)
     rows = [(k, text(rnd, 12), "en", "ab"[k % 2]) for k in range(240)] + [(7, text(rnd, 12), "en", "b")]
