@@ -21,8 +21,8 @@ Texts without a lexicon term are fingerprinted by all their terms (or, without a
 by the text itself), so that equal texts, and mostly only those, agree.
 
 Defined cases: NULL text counts as ''.  Repeated rows and equal doc_ids are ordered by
-their texts.  A row without doc_id stands outside the order and is its own next
-document.  An empty table gives an empty result.
+their texts.  A row without doc_id stands outside the order, is its own next
+document and is not shuffled.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -172,20 +172,17 @@ def _bounds(docs: DataFrame, buckets: int) -> list[int]:
 def in_order(docs: DataFrame, buckets: int) -> DataFrame:
     """(doc_id, text, __bucket, __peek), in order within each partition: every bucket
     holds a stretch of the doc_id order and, marked as a peek, the document behind its
-    last one.  Each text is shuffled once."""
+    last one.  Each text is shuffled once.  ``docs`` have a doc_id."""
     bounds = np.array(_bounds(docs, buckets), dtype=np.int64)
 
     @F.pandas_udf("array<int>")
     def places(ids: pd.Series) -> pd.Series:
-        known = ids.notna().to_numpy()
-        values = ids.fillna(0).astype("int64").to_numpy()
+        values = ids.astype("int64").to_numpy()
         at = np.searchsorted(bounds, values, side="right")
         first = (at > 0) & (bounds[at - 1] == values) if bounds.size else np.zeros(len(ids), bool)
         out = []
-        for k, b, opens in zip(known, at, first):
-            if not k:
-                out.append([0])
-            elif opens:  # code 2 * bucket, plus 1 for a peek; the first follows the last
+        for b, opens in zip(at, first):
+            if opens:  # code 2 * bucket, plus 1 for a peek; the first follows the last
                 out.append([2 * int(b), 2 * (int(b) - 1 if b > 1 else len(bounds)) + 1])
             else:
                 out.append([2 * int(b)])
@@ -263,5 +260,9 @@ def compare_edited(docs: DataFrame, terms: list[int], buckets: int | None = None
                 waiting = None if peek else (bucket, doc_id, text, own)
             yield table()
 
-    ordered = in_order(docs, buckets)
-    return ordered.mapInArrow(compute, EDITED)
+    ordered = in_order(docs.where(F.col("doc_id").isNotNull()), buckets)
+    # their own next documents: they stay where they are read
+    unnamed = docs.where(F.col("doc_id").isNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        F.lit(0).alias("__bucket"), F.lit(False).alias("__peek"))
+    return ordered.mapInArrow(compute, EDITED).union(unnamed.mapInArrow(compute, EDITED))

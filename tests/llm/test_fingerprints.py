@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 from corpora import edited, frame, odd_rows, text
 
 from leadlake.llm import imatch
@@ -46,6 +47,15 @@ def test_edited_texts_and_fingerprints(spark):
     assert np.mean([r.near_edited > r.near_next for r in long]) > 0.95
 
 
+def test_rows_without_id_are_not_gathered(spark):
+    rows = [(None if k % 3 else k, f"text {k % 2}", "en", "s") for k in range(120)]
+    docs = frame(spark, rows).repartition(6)
+    got = imatch.compare_edited(docs, [], 4)
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got.collect()), key=repr) == _want(rows)
+    held = got.where("doc_id is null").groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) == 6 and sum(r["count"] for r in held) == 80
+
+
 def test_document_frequency_and_band_equal_counting(spark, monkeypatch):
     rnd = random.Random(6)
     rows = [(k, text(rnd, 40, vocabulary=120)) for k in range(50)] + [(99, None)]
