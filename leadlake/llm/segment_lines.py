@@ -516,7 +516,8 @@ def _nearly_equal(docs: DataFrame, some: DataFrame, near: setsketch.Near) -> Dat
 
 def without_duplicates(docs: DataFrame, join: LineJoin = LineJoin(), whole_copy: float = 0.5) -> DataFrame:
     """``docs`` without their duplicate lines (``n_chars``, where there is one, follows
-    the text).  Lines that repeat one of their own document always go.  A document with
+    the text).  Lines equal to one before them in their document, or in a class that their
+    document keeps, always go.  A document with
     more than ``whole_copy`` of its other characters in lines that other documents keep
     is left to document deduplication, which needs the text to recognise it, if it is a
     confirmed copy: one of those documents holds more than ``whole_copy`` of it, or it is
