@@ -9,13 +9,16 @@ from leadlake.llm import (
     anchor_pii,
     byte_cnn,
     entropy_scan,
+    hat_trie,
     hyperdimensional,
     imatch,
     line_frequency,
     pfair,
     piece_arrays,
+    prefix_trie,
     segment_lines,
     setsketch,
+    warc,
 )
 from leadlake.llm.common import held_out, read_table
 
@@ -68,6 +71,18 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.score(docs, network, ["doc_id", "held_out"])
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(read_table(spark, sf_dir, "pages"))
+
+
+def op12_hat_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hat_trie.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hyperdimensional,
     op2_imatch,
@@ -79,4 +94,7 @@ QUERIES = {f.__name__: f for f in (
     op8_segment_lines,
     op9_piece_arrays,
     op10_byte_cnn,
+    op11_warc,
+    op12_hat_trie,
+    op13_prefix_trie,
 )}

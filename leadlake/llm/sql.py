@@ -177,9 +177,100 @@ SELECT doc_id, source, block, (round + (b.j * q) // a)::BIGINT AS release,
 FROM blocks b JOIN scheduled s ON b.i = s.i AND b.j = s.j
 """
 
+ARCHIVES = r"""
+WITH d AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS g FROM pages
+), f AS (
+  SELECT g, b, max(page_id) AS m FROM d WHERE b >= 1000 GROUP BY g, b
+)
+SELECT page_id, b::BIGINT AS payload_bytes, d.g AS payload_digest,
+       CASE WHEN f.g IS NOT NULL AND page_id IS DISTINCT FROM m THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to
+FROM d LEFT JOIN f USING (g, b)
+"""
+
+COLLOCATIONS = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x : x <> '') AS w FROM p
+), f AS (
+  SELECT lang, k, w[i:i + k - 1] AS words, count(*) AS a
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k))
+  GROUP BY ALL
+), n AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT * FROM f WHERE k > 1 AND a >= 10
+), cut AS (
+  SELECT c.lang, c.words, c.a, c.j, l.a AS l, r.a AS r,
+         (1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.words = c.words[:c.j]
+  JOIN f r ON r.lang = c.lang AND r.words = c.words[c.j + 1:]
+), least AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, j) = 1
+), inside AS (
+  SELECT lang, words, max(a) AS longer
+  FROM (SELECT lang, words[s:s + 1] AS words, a FROM c, (SELECT unnest([1, 2]) AS s) WHERE k = 3)
+  GROUP BY lang, words
+), kept AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, least.a, l, r, score
+  FROM least LEFT JOIN inside USING (lang, words)
+  WHERE longer IS NULL OR 100 * longer < 50 * least.a
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+PREFIXES = r"""
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT c, list(sha256(length(role) || ':' || role || text) ORDER BY turn NULLS FIRST, role, text) AS ids,
+         list(strlen(text) ORDER BY turn NULLS FIRST, role, text) AS sizes,
+         -- CRC-32 bit by bit: a byte comes in at every eighth step
+         xor(4294967295, list_reduce(range(-1, 8 * length(c::VARCHAR)), lambda acc, k :
+           CASE WHEN xor(CASE WHEN acc = -1 THEN 4294967295 ELSE acc END, CASE WHEN k % 8 = 0 THEN ascii(substr(c::VARCHAR, (k // 8 + 1)::INT, 1)) ELSE 0 END) & 1 = 1
+                THEN xor(xor(CASE WHEN acc = -1 THEN 4294967295 ELSE acc END, CASE WHEN k % 8 = 0 THEN ascii(substr(c::VARCHAR, (k // 8 + 1)::INT, 1)) ELSE 0 END) >> 1, 3988292384)
+                ELSE xor(CASE WHEN acc = -1 THEN 4294967295 ELSE acc END, CASE WHEN k % 8 = 0 THEN ascii(substr(c::VARCHAR, (k // 8 + 1)::INT, 1)) ELSE 0 END) >> 1 END)) % 9 AS h
+  FROM t GROUP BY c
+), full_ AS (
+  SELECT o.c, list_concat(coalesce(b.ids, [])[:o.h], o.ids[o.h + 1:]) AS ids,
+         list_concat(coalesce(b.sizes, [])[:o.h], o.sizes[o.h + 1:]) AS sizes
+  FROM o LEFT JOIN o b ON b.c = o.c - o.c % 5
+), member AS (
+  SELECT c, ids, len(ids) AS size, d, array_to_string(ids[:d], ',') AS node,
+         CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS bytes
+  FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM full_)
+), node AS (
+  SELECT node, d, min(c) AS c, count(*) AS n, any_value(ids[:d]) AS ids, (count(*) - 1) * any_value(bytes) AS saved,
+         CASE WHEN d > 0 THEN array_to_string(any_value(ids[:d - 1]), ',') END AS parent,
+         coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE size = d), '') AS ends
+  FROM member GROUP BY node, d
+), children AS (
+  SELECT parent AS node, count(*) AS k FROM node WHERE d > 0 GROUP BY parent
+), share AS (
+  SELECT ids, d, saved, CASE WHEN k IS NULL THEN 1 ELSE 0 END AS leaf FROM node LEFT JOIN children USING (node)
+), total AS (
+  SELECT array_to_string(ids[:e], ',') AS node, sum(leaf) AS leaves, sum(saved) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM share) GROUP BY array_to_string(ids[:e], ',')
+)
+SELECT n.c AS conv_id, n.d AS depth, p.c AS parent_conv_id, n.n AS n_convs, coalesce(k, 0) AS n_children,
+       leaves::BIGINT AS n_leaves, total.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM node n LEFT JOIN node p ON n.parent = p.node LEFT JOIN children ch ON ch.node = n.node JOIN total ON total.node = n.node
+"""
+
 ORACLE = {
     "op4_pfair": MIXING,
     "op6_entropy_secrets": SECRETS,
     "op7_setsketch": NEAR_DUPLICATES,
     "op5_line_frequency": LINE_FREQUENCY,
+    "op11_warc": ARCHIVES,
+    "op12_hat_trie": COLLOCATIONS,
+    "op13_prefix_trie": PREFIXES,
 }
