@@ -8,7 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, NullType, StringType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    MapType,
+    NullType,
+    NumericType,
+    StringType,
+    StructType,
+    VariantType,
+)
 
 
 def has_column(df: DataFrame, name: str) -> bool:
@@ -20,21 +30,59 @@ def _is_complex(dtype: DataType) -> bool:
 
 
 def json_text(df: DataFrame, name: str) -> Column:
-    """JSON text of column ``name``: text as it is, a struct, map or array serialised;
+    """JSON text of column ``name``: text as it is, a struct, map, array or VARIANT serialised;
     a NULL string when the column is absent.  Other types are an error."""
     if not has_column(df, name):
         return F.lit(None).cast("string")
     dtype = df.schema[name].dataType
     if isinstance(dtype, (StringType, NullType)):
         return F.col(name).cast("string")
-    if _is_complex(dtype):
+    if _is_complex(dtype) or isinstance(dtype, VariantType):
         return F.to_json(F.col(name))
-    raise TypeError(f"column {name} is {dtype.simpleString()}; JSON text or a struct is needed")
+    raise TypeError(f"column {name} is {dtype.simpleString()}; JSON text, a struct or a VARIANT is needed")
+
+
+def _leaf_text(value: Column, dtype: DataType) -> Column:
+    """A value as the text it has in JSON (dates and times in ISO form)."""
+    if isinstance(dtype, (StringType, BooleanType, NumericType, NullType)):
+        return value.cast("string")
+    if _is_complex(dtype) or isinstance(dtype, VariantType):
+        return F.to_json(value)
+    return F.get_json_object(F.to_json(F.struct(value.alias("v"))), "$.v")
+
+
+def conform(value: Column, dtype: DataType, wanted: DataType) -> Column:
+    """``value`` of type ``dtype`` projected onto ``wanted``, field by field: structs by field
+    name (NULL where a field is absent), arrays element by element, leaves cast.  What does
+    not fit is NULL, as when JSON is parsed.  No detour through JSON text."""
+    if isinstance(wanted, StructType):
+        if not isinstance(dtype, StructType):
+            return F.lit(None).cast(wanted)
+        have = {f.name: f.dataType for f in dtype.fields}
+        fields = [
+            (conform(value.getField(f.name), have[f.name], f.dataType) if f.name in have
+             else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(wanted, ArrayType):
+        if not isinstance(dtype, ArrayType):
+            return F.lit(None).cast(wanted)
+        return F.transform(value, lambda x: conform(x, dtype.elementType, wanted.elementType))
+    if isinstance(wanted, StringType):
+        return _leaf_text(value, dtype)
+    if isinstance(wanted, MapType) or _is_complex(dtype):
+        return F.from_json(F.to_json(value), wanted) if isinstance(dtype, (MapType, StructType)) and isinstance(
+            wanted, MapType) else F.lit(None).cast(wanted)
+    return value.try_cast(wanted)
 
 
 def safe_struct(df: DataFrame, name: str, schema: StructType) -> Column:
-    """Column ``name`` (JSON text, or a native struct) read with ``schema``; a NULL
-    struct when it is absent."""
+    """Column ``name`` (JSON text, a native struct or a VARIANT) read with ``schema``; a
+    NULL struct when it is absent."""
+    dtype = df.schema[name].dataType if has_column(df, name) else None
+    if isinstance(dtype, StructType):
+        return conform(F.col(name), dtype, schema)
+    if isinstance(dtype, VariantType):
+        return F.try_variant_get(F.col(name), "$", schema.simpleString())
     return F.from_json(json_text(df, name), schema)
 
 
@@ -56,7 +104,7 @@ def ensure_columns(df: DataFrame, names: dict[str, DataType | str]) -> DataFrame
 
 
 def parse_or_null(df: DataFrame, name: str, schema: StructType) -> DataFrame:
-    """Replace column ``name`` (JSON text, or a native struct) by its struct of
+    """Replace column ``name`` (JSON text, a native struct or a VARIANT) by its struct of
     ``schema`` in place; when the column is absent, add it as a NULL of that type."""
     if has_column(df, name):
         return df.withColumn(name, safe_struct(df, name, schema))

@@ -18,6 +18,10 @@ Skew
   before the shuffle) plus the unmatched rows found with an anti join against the
   *distinct* keys of the many side (map-side pre-aggregated, so a hot key is one
   row per map task before shuffling).
+* Where the hot keys are known, ``left_join_salted`` needs neither the second scan of the
+  left side nor that of the right keys: rows of those keys are dealt to ``salts`` places.
+* ``role_lookups_once`` is ``role_lookups`` for lookup tables too large to broadcast: all
+  roles in one join of narrow rows, and one shuffle of the wide ones.
 """
 
 from __future__ import annotations
@@ -135,3 +139,90 @@ def left_join_one_to_many(
     unmatched = left.join(right_keys, cond, "left_anti")
     # the right-side columns of unmatched rows are NULLs of the right types
     return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def _is_one_of(columns: Sequence[Column], keys: Sequence[tuple]) -> Column:
+    """Whether the tuple of ``columns`` is one of ``keys`` (no NULLs in them)."""
+    if not keys:
+        return F.lit(False)
+    names = [f"k{n}" for n in range(len(columns))]
+    row = F.struct(*[c.alias(n) for c, n in zip(columns, names)])
+    whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in columns])
+    return F.coalesce(whole & row.isin(*[
+        F.struct(*[F.lit(v).alias(n) for v, n in zip(key, names)]) for key in keys]), F.lit(False))
+
+
+def left_join_salted(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    right_columns: Mapping[str, str],
+    hot: Sequence[tuple],
+    salts: int = 32,
+) -> DataFrame:
+    """J1 in one pass, with keys that hold a large share of the right rows.
+
+    ``hot`` lists such keys (at most some hundred, each *with a row on the right*; see
+    ``sources.catalog.hot_key_summary``).  Right rows of a hot key get one of ``salts`` numbers
+    by a hash of the row; left rows of a hot key are repeated for every number, all others
+    join under number 0.  A repeated left row that meets no right row is not an unmatched
+    row - its key does have rows - and is left out.  Each side is read and shuffled once.
+    """
+    lkeys, rkeys = [F.col(f"`{lc}`") for lc, _ in on], [F.col(f"`{rc}`") for _, rc in on]
+    if not hot:
+        return left_join_one_to_many(left, right, on, right_columns, skew_safe=False)
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in right_columns]), F.lit(salts)).cast("int")
+    salted = right.withColumn("__salt", F.when(_is_one_of(rkeys, hot), spread).otherwise(F.lit(0)))
+    salted = salted.withColumn("__there", F.lit(True))
+    left_hot = _is_one_of(lkeys, hot)
+    repeated = left.withColumn("__hot", left_hot).withColumn("__lsalt", F.explode(
+        F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    joined = left_join_one_to_many(
+        repeated, salted, [*on, ("__lsalt", "__salt")], {**right_columns, "__there": "__there"}, skew_safe=False)
+    return joined.where(~F.col("__hot") | F.col("__there")).drop("__hot", "__lsalt", "__there")
+
+
+def role_lookups_once(
+    fact: DataFrame,
+    dim: DataFrame,
+    roles: Mapping[str, tuple[Sequence[KeyPair], Mapping[str, str]]],
+) -> DataFrame:
+    """J3 / J4 with one shuffle of the wide rows, for a ``dim`` that no broadcast fits.
+
+    The distinct combinations of all roles' keys are made into narrow rows (combination,
+    role, key), joined to ``dim`` once, and gathered again as a map from role to the values
+    found.  The wide rows then meet that map in one join, on their combination (NULL-safe).
+    Same rows as ``role_lookups``: without a match NULLs, with several a row for each.
+    """
+    dim_keys = [d for _, d in next(iter(roles.values()))[0]]
+    if any([d for _, d in on] != dim_keys for on, _ in roles.values()):
+        raise ValueError("all roles must use the same key columns of the lookup table")
+    wanted = list(dict.fromkeys(c for _, columns in roles.values() for c in columns))
+    names = {(role, d): f"__{role}__{d}" for role in roles for d in dim_keys}
+    key = {names[role, d]: _as_col(f) for role, (on, _) in roles.items() for f, d in on}
+    # the same column in several roles (an organisation, say) is one column of a combination
+    alike: dict[str, str] = {}
+    for name, column in key.items():
+        alike.setdefault(str(column), name)
+    place = {name: alike[str(column)] for name, column in key.items()}
+    parts = sorted(set(place.values()))
+    tagged = fact.withColumns({p: key[p] for p in parts})
+    combos = tagged.select(*parts).distinct()
+    narrow = combos.select(*parts, F.explode(F.array(*[
+        F.struct(F.lit(role).alias("role"), *[F.col(place[names[role, d]]).alias(d) for d in dim_keys])
+        for role in roles])).alias("__need")).where(
+            reduce(lambda a, b: a & b, [F.col(f"__need.{d}").isNotNull() for d in dim_keys]))
+    side = dim.select(*[F.col(f"`{d}`").alias(f"__d__{d}") for d in dim_keys],
+                      F.struct(*[F.col(f"`{c}`").alias(c) for c in wanted]).alias("__value"))
+    met = narrow.join(side, reduce(lambda a, b: a & b, [
+        F.col(f"__need.{d}") == F.col(f"__d__{d}") for d in dim_keys]), "inner")
+    per_role = met.groupBy(*parts, F.col("__need.role").alias("__role")).agg(F.collect_list("__value").alias("__values"))
+    maps = per_role.groupBy(*[F.col(p).alias(f"__m{p}") for p in parts]).agg(
+        F.map_from_entries(F.collect_list(F.struct("__role", "__values"))).alias("__found"))
+    out = tagged.join(maps, reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__m{p}")) for p in parts]), "left")
+    out = out.select(*[F.col(f"`{c}`") for c in fact.columns], "__found")
+    for role, (_, columns) in roles.items():
+        kept = out.columns
+        out = out.select(*[F.col(f"`{c}`") for c in kept], F.explode_outer(F.col("__found")[role]).alias("__at"))
+        out = out.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"__at.{d}").alias(o) for d, o in columns.items()])
+    return out.drop("__found")
