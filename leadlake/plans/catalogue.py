@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ..functions import events as EV
 from ..functions.flags import (
@@ -29,14 +29,15 @@ from ..functions.time import local_event_time, local_event_time_from_epoch_ms
 from ..operators.flatten import flatten
 from ..operators.funnel import first_event_dedup, lead_flags as lead_flags_op
 from ..operators.guards import complex_to_json, ensure_column, parse_or_null, safe_scalar, safe_struct
-from ..operators.joins import left_join_one_to_many, lookup, role_lookups
+from ..operators.joins import left_join_one_to_many, left_join_salted, lookup, role_lookups, role_lookups_once
 from ..operators.pivot import channel_pivot, union_channels
 from ..session import scratch_dir
-from ..sources.catalog import read_table, replace_table
+from ..sources.catalog import count_hot_keys, ensure_namespace, read_table, replace_table
+from ..sources.files import read_bronze
+from . import jobs
 from . import testbed as T
 from .comm_logs import communication_logs_flat
 from .engagement import sms_engagement, whatsapp_engagement
-from .lead_360 import lead_360 as lead_360_plan
 from .lead_flat import lead_flat as lead_flat_plan
 from .response import RESPONSE_COLUMNS, campaign_response as campaign_response_plan, channel_events
 
@@ -112,6 +113,38 @@ def struct_input_flatten(spark, d):
     return by_select.join(in_place, F.col("event_id") == F.col("__id")).drop("__id")
 
 
+def variant_flatten(spark, d):
+    """[C2 P1] a VARIANT column where JSON text is usual: nested fields by path, absent ones
+    NULL."""
+    ev = _events(spark, d)
+    doc = F.to_json(F.struct(
+        F.col("event_type").alias("status"),
+        F.struct(F.col("user_id").alias("to"), F.array("event_type", "event_type").alias("tags")).alias("recipient"),
+        F.col("props").alias("props")))
+    ev = ev.select("event_id", F.parse_json(doc).alias("payload"))
+    schema = StructType([
+        StructField("status", StringType()),
+        StructField("recipient", StructType([
+            StructField("to", StringType()), StructField("tags", ArrayType(StringType())), StructField("absent", StringType())])),
+        StructField("missing", StringType()),
+    ])
+    return ev.select("event_id", safe_struct(ev, "payload", schema).alias("__p")).select(
+        "event_id", F.col("__p.status").alias("status"), F.col("__p.recipient.to").alias("to_number"),
+        F.col("__p.recipient.tags")[1].alias("second_tag"), F.col("__p.recipient.absent").alias("absent"),
+        F.col("__p.missing").alias("missing"))
+
+
+def bronze_drift(spark, d):
+    """[S1 C4] a folder whose older files lack a column and whose newer ones lack another:
+    both are read where they are, and are NULL elsewhere."""
+    path = f"{scratch_dir(spark)}/bronze_drift_{uuid.uuid4().hex}"
+    o = T.table(spark, d, "orders").withColumn("old", F.col("o_orderkey") % 2 == 0)
+    o.where("old").select("o_orderkey", "o_orderstatus").write.parquet(path)
+    o.where("not old").select("o_orderkey", "o_orderpriority").write.mode("append").parquet(path)
+    return read_bronze(spark, path, ["o_orderstatus", "o_orderpriority", "o_remark"]).select(
+        "o_orderkey", "o_orderstatus", "o_orderpriority", "o_remark")
+
+
 # ---- J: joins -----------------------------------------------------------------
 def left_join_composite(spark, d):
     """[J1] user turn x the assistant turn that follows it (conv id, turn + 1);
@@ -128,6 +161,30 @@ def left_join_composite(spark, d):
     return out.select("conv_id", "turn", "reply_turn", "reply_chars")
 
 
+def left_join_hot_keys(spark, d):
+    """[J1] customers x events where one customer has a third of the events and some events
+    have no customer: one pass, the hot key found by a bounded summary."""
+    e = F.col("event_id")
+    events = _events(spark, d).select(
+        "event_id", F.when(e % 11 == 0, None).when(e % 3 == 0, 7).otherwise(F.col("user_id")).alias("user_id"))
+    hot = count_hot_keys(events, ["user_id"])
+    customers = T.table(spark, d, "customer").select("c_custkey", "c_name")
+    return left_join_salted(
+        customers, events, [("c_custkey", "user_id")], {"event_id": "event_id"}, hot).select("c_custkey", "c_name", "event_id")
+
+
+def bucketed_join(spark, d):
+    """[J1 S3] customers x orders from tables in the same number of buckets: no exchange."""
+    customers, orders = T.table(spark, d, "customer"), T.table(spark, d, "orders")
+    ns = _namespace(spark)
+    replace_table(customers.select("c_custkey", "c_nationkey", "c_name"), f"{ns}.customers", bucket_by=(8, ["c_custkey"]))
+    replace_table(orders.select("o_orderkey", "o_custkey", "o_orderstatus"), f"{ns}.orders", bucket_by=(8, ["o_custkey"]))
+    return left_join_one_to_many(
+        read_table(spark, f"{ns}.customers"), read_table(spark, f"{ns}.orders"), [("c_custkey", "o_custkey")],
+        {"o_orderkey": "o_orderkey", "o_orderstatus": "o_orderstatus"}, skew_safe=False,
+    ).select("c_custkey", "c_name", "o_orderkey", "o_orderstatus")
+
+
 def lookup_single_composite(spark, d):
     """[J2 J5 J6] single-key lookup (nation) and composite-key lookup (supplier by
     id and nation)."""
@@ -157,6 +214,23 @@ def role_playing_lookup(spark, d):
     return df.select("l_orderkey", "l_linenumber", "cust_nation", "supp_nation")
 
 
+def role_lookups_one_shuffle(spark, d):
+    """[J3 J4] three roles of one lookup table by a single join of narrow rows; one role is
+    often NULL, one often without a match."""
+    o = T.table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    k = F.col("o_orderkey")
+    df = o.select(
+        "o_orderkey", T.org_of(F.col("o_custkey")).alias("org"),
+        F.concat(F.lit("S"), (k % 25).cast("string")).alias("status"),
+        F.when(k % 3 == 0, F.concat(F.lit("S"), (k % 40).cast("string"))).alias("source"),
+        F.concat(F.lit("S"), (F.col("o_custkey") % 25).cast("string")).alias("previous"))
+    return role_lookups_once(df, T.entity_labels(T.table(spark, d, "nation")), {
+        "status": ([("status", "_id"), ("org", "orgId")], {"labelName": "status_label", "entityName": "entity"}),
+        "source": ([("source", "_id"), ("org", "orgId")], {"labelName": "source_label"}),
+        "previous": ([("previous", "_id"), ("org", "orgId")], {"labelName": "previous_label"}),
+    }).select("o_orderkey", "status_label", "entity", "source_label", "previous_label")
+
+
 def lookup_from_optional_side(spark, d):
     """[J4] a lookup keyed by a column of the nullable side of an earlier left join."""
     cust = T.table(spark, d, "customer").select("c_custkey")
@@ -472,6 +546,7 @@ def comm_logs_flat(spark, d):
 
 
 def lead_360_inputs(spark, d):
+    """What M3 reads, as lazy plans over the test tables."""
     return (
         lead_flat_plan(T.leads_bronze(T.table(spark, d, "customer"))),
         communication_logs_flat(T.comm_logs_bronze(T.table(spark, d, "orders"))),
@@ -480,39 +555,76 @@ def lead_360_inputs(spark, d):
     )
 
 
+def _namespace(spark) -> str:
+    """A namespace of its own for a run, whose tables lie in the shared folder."""
+    run = uuid.uuid4().hex
+    ensure_namespace(spark, f"leadlake_check_{run}", f"{scratch_dir(spark)}/leadlake_tables/{run}")
+    return f"leadlake_check_{run}"
+
+
+def _job_tables(spark, d) -> tuple[str, dict[str, int]]:
+    """M1 and M2 run as jobs, from bronze files to tables; their namespace and row counts."""
+    ns, bronze = _namespace(spark), f"{scratch_dir(spark)}/leadlake_bronze/{uuid.uuid4().hex}"
+    T.leads_bronze(T.table(spark, d, "customer")).write.parquet(f"{bronze}/leads")
+    T.comm_logs_bronze(T.table(spark, d, "orders")).write.parquet(f"{bronze}/logs")
+    return ns, {
+        "lead_flat": jobs.run_lead_flat(spark, f"{bronze}/leads", f"{ns}.lead_flat")["rows"],
+        "comm_logs": jobs.run_communication_logs(spark, f"{bronze}/logs", f"{ns}.comm_logs")["rows"],
+    }
+
+
+def _lead_360(spark, d, ns: str) -> DataFrame:
+    return jobs.lead_360_of(
+        spark, f"{ns}.lead_flat", f"{ns}.comm_logs", T.projects(T.table(spark, d, "region")),
+        T.entity_labels(T.table(spark, d, "nation")))
+
+
 def lead_360(spark, d):
-    """[M3 J1-J4 P4 P7 P8 E1-E6] the wide lead dimension: all 163 columns."""
-    return complex_to_json(lead_360_plan(*lead_360_inputs(spark, d)))
+    """[M3 J1-J4 P4 P7 P8 E1-E6] the wide lead dimension, all 163 columns, by the plan of its
+    job over the tables that the jobs M1 and M2 wrote."""
+    ns, _ = _job_tables(spark, d)
+    return complex_to_json(_lead_360(spark, d, ns))
 
 
 # ---- S: sinks -----------------------------------------------------------------------
 def table_replace_roundtrip(spark, d):
-    """[S2 S3 S4] full refresh: replace a catalog table twice (order labels, then labels
-    derived from parts) and read it back; the second content must win.  The table has a
-    name of its own per run and lies under the cluster's ``spark.checkpoint.dir``."""
-    run = uuid.uuid4().hex
-    name = f"leadlake_check.entity_labels_{run}"
-    path = f"{scratch_dir(spark)}/leadlake_tables/{run}"
+    """[S2 S3 S4] full refresh: replace a catalog table twice (order labels, then campaigns
+    derived from parts, with another schema) and read it back; the second content must win.
+    The tables lie under the cluster's ``spark.checkpoint.dir``."""
+    name = f"{_namespace(spark)}.entity_labels"
     orders = T.table(spark, d, "orders").select(
         F.col("o_orderkey").cast("string").alias("_id"),
         T.org_of(F.col("o_orderkey")).alias("orgId"),
         F.col("o_orderpriority").alias("labelName"),
     )
-    replace_table(orders, name, path=path)
-    replace_table(T.campaigns(T.table(spark, d, "part")), name, path=path)
+    replace_table(orders, name)
+    replace_table(T.campaigns(T.table(spark, d, "part")), name)
     return read_table(spark, name)
 
 
+def table_replace_failed_write(spark, d):
+    """[S3] a refresh that fails midway, after some of its tasks have written: readers still
+    see the whole first content."""
+    name = f"{_namespace(spark)}.orders"
+    orders = T.table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    replace_table(orders, name, partition_by=["o_orderstatus"])
+    k = F.col("o_orderkey")
+    broken = orders.withColumn("o_orderkey", F.when(k % 1000 == 0, F.raise_error(F.lit("cut off")).cast("long")).otherwise(-k))
+    try:
+        replace_table(broken, name)
+    except Exception as error:
+        if "cut off" not in str(error):
+            raise
+        return read_table(spark, name).select("o_orderkey", "o_orderstatus")
+    raise AssertionError("the second write did not fail")
+
+
 def job_row_counts(spark, d):
-    """[A8] row count of each silver output before export: one distributed count
-    per table (the export job observes the same count during its write)."""
-    lf, lg, pr, lb = lead_360_inputs(spark, d)
-    outputs = {"lead_flat": lf, "comm_logs": lg, "lead_360": lead_360_plan(lf, lg, pr, lb)}
-    counts = [
-        df.groupBy().agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in outputs.items()
-    ]
-    return union_channels(*counts)
+    """[A8] rows of each silver table, observed while its job wrote it: no output is computed
+    again to be counted."""
+    ns, counts = _job_tables(spark, d)
+    counts["lead_360"] = replace_table(_lead_360(spark, d, ns), f"{ns}.lead_360")["rows"]
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")
 
 
 QUERIES: dict[str, Query] = {
@@ -520,7 +632,12 @@ QUERIES: dict[str, Query] = {
     "json_path_extract": json_path_extract,
     "missing_column_guard": missing_column_guard,
     "complex_to_json": complex_to_json_query,
+    "variant_flatten": variant_flatten,
+    "bronze_drift": bronze_drift,
     "left_join_composite": left_join_composite,
+    "left_join_hot_keys": left_join_hot_keys,
+    "bucketed_join": bucketed_join,
+    "role_lookups_one_shuffle": role_lookups_one_shuffle,
     "lookup_single_composite": lookup_single_composite,
     "role_playing_lookup": role_playing_lookup,
     "lookup_from_optional_side": lookup_from_optional_side,
@@ -553,5 +670,6 @@ QUERIES: dict[str, Query] = {
     "comm_logs_flat": comm_logs_flat,
     "lead_360": lead_360,
     "table_replace_roundtrip": table_replace_roundtrip,
+    "table_replace_failed_write": table_replace_failed_write,
     "job_row_counts": job_row_counts,
 }

@@ -6,6 +6,8 @@ that need one row per lead must reduce it (see plans.engagement / plans.response
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from ..functions.flags import (
     site_visit_scheduled,
 )
 from ..functions.text import normalize_phone
-from ..operators.joins import left_join_one_to_many, lookup, role_lookups
+from ..operators.joins import left_join_one_to_many, left_join_salted, lookup, role_lookups, role_lookups_once
 
 # ---- fixed values: output columns -------------------------------------------
 # label columns, named as the tables that read the dimension expect them
@@ -172,9 +174,17 @@ OUTPUT_COLUMNS = (
 )
 
 
-def lead_side(lead_flat: DataFrame, projects: DataFrame, labels: DataFrame) -> DataFrame:
+# keys of J1 as the two flat tables name them
+LEAD_KEYS = ("_id", "orgId", "projectId")
+LOG_KEYS = ("leadId", "orgId", "projectId")
+
+
+def lead_side(
+    lead_flat: DataFrame, projects: DataFrame, labels: DataFrame, labels_once: bool = False
+) -> DataFrame:
     """The lead columns with their lookups: J2 (project) and J3 (status, sub-source and
-    source labels), once per lead and not once per lead x log row."""
+    source labels), once per lead and not once per lead x log row.  ``labels_once``: the
+    three label roles in one join (``role_lookups_once``)."""
     phone = F.col("profile_whatsAppNumber")
     leads = lead_flat.select(
         *[F.col(src).alias(out) for out, src in LEAD_COLUMNS],
@@ -188,7 +198,7 @@ def lead_side(lead_flat: DataFrame, projects: DataFrame, labels: DataFrame) -> D
         leads, projects, on=[("projectId", "_id"), ("orgId", "orgId")],
         columns={c: c for c in PROJECT_COLUMNS}, role="project",
     )
-    return role_lookups(
+    return (role_lookups_once if labels_once else role_lookups)(
         leads,
         labels,
         {
@@ -220,22 +230,24 @@ def lead_360(
 
     Every lookup is keyed by columns of one side only, so it is applied to that side
     before the one-to-many join; left lookups commute with the left join.  For leads
-    with very many logs use ``lead_side`` written as a table and
-    ``join_sides(..., skew_safe=True)``, as ``plans.jobs.run_lead_360`` does."""
+    with very many logs give ``join_sides`` their keys, as ``plans.jobs.lead_360_of`` does."""
     return join_sides(lead_side(lead_flat, projects, labels), log_side(logs, labels))
 
 
-def join_sides(leads: DataFrame, logs: DataFrame, skew_safe: bool = False) -> DataFrame:
+def join_sides(
+    leads: DataFrame, logs: DataFrame, skew_safe: bool = False, hot: Sequence[tuple] | None = None
+) -> DataFrame:
     """J1 (``lead_side`` x ``log_side`` on lead id, org and project), then E1-E5 and the
-    163-column projection.  The skew-safe form reads ``leads`` twice, so they should be
-    a table by then."""
-    df = left_join_one_to_many(
-        leads,
-        logs,
-        on=[("lead_flat_id", "leadId"), ("orgId", "orgId"), ("projectId", "projectId")],
-        right_columns={**dict(COMM_COLUMNS), "previous_lead_status": "previous_lead_status"},
-        skew_safe=skew_safe,
-    )
+    163-column projection.  ``hot`` are the keys (lead, org, project) of leads with a large
+    share of the logs, each with a log; with it every side is read once
+    (``left_join_salted``).  ``skew_safe`` needs no such list and reads ``leads`` twice, so
+    they should be a table by then."""
+    on = [("lead_flat_id", "leadId"), ("orgId", "orgId"), ("projectId", "projectId")]
+    right_columns = {**dict(COMM_COLUMNS), "previous_lead_status": "previous_lead_status"}
+    if hot is not None:
+        df = left_join_salted(leads, logs, on, right_columns, hot)
+    else:
+        df = left_join_one_to_many(leads, logs, on, right_columns, skew_safe=skew_safe)
     label = F.col(LABEL_STATUS)
     booking = F.col("bookingId")
     derived = {

@@ -23,6 +23,8 @@ RAW_JSON_COLUMNS = (
     ("conversionPropensity", "conversionPropensity"),
     ("profile", "profile"),
 )
+# text columns that are read where a file has them
+INPUT_COLUMNS = (*ROOT_COLUMNS, *[src for _, src in RAW_JSON_COLUMNS])
 PROFILE_OUT = (
     "fullName", "email", "age", "gender", "currentLocation", "alternateNumber", "whatsAppNumber",
     "sourceOfLead", "subSourceOfLead", "referralSource", "agentName",

@@ -509,6 +509,34 @@ FROM orders""",
 SELECT event_id, event_type AS status, CAST(user_id AS VARCHAR) AS to_number, CAST(NULL AS VARCHAR) AS absent,
        upper(event_type) AS in_place_status
 FROM events""",
+    "variant_flatten": """
+SELECT event_id, event_type AS status, CAST(user_id AS VARCHAR) AS to_number, event_type AS second_tag,
+       CAST(NULL AS VARCHAR) AS absent, CAST(NULL AS VARCHAR) AS missing
+FROM events""",
+    "bronze_drift": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority, CAST(NULL AS VARCHAR) AS o_remark
+FROM orders""",
+    "left_join_hot_keys": """
+SELECT c_custkey, c_name, event_id
+FROM customer
+LEFT JOIN (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS u
+           FROM events) ON c_custkey = u""",
+    "bucketed_join": """
+SELECT c_custkey, c_name, o_orderkey, o_orderstatus FROM customer LEFT JOIN orders ON c_custkey = o_custkey""",
+    "role_lookups_one_shuffle": f"""
+WITH lab AS (SELECT 'S' || CAST(n_nationkey AS VARCHAR) AS id, {org('n_nationkey')} AS org, 'lead_status' AS entity,
+                    CASE WHEN n_regionkey = 1 THEN 'Booked' ELSE n_name END AS label FROM nation),
+     o AS (SELECT o_orderkey, {org('o_custkey')} AS org, 'S' || CAST(o_orderkey % 25 AS VARCHAR) AS status,
+                  CASE WHEN o_orderkey % 3 = 0 THEN 'S' || CAST(o_orderkey % 40 AS VARCHAR) END AS source,
+                  'S' || CAST(o_custkey % 25 AS VARCHAR) AS previous FROM orders)
+SELECT o_orderkey, a.label AS status_label, a.entity AS entity, b.label AS source_label, c.label AS previous_label
+FROM o
+LEFT JOIN lab a ON o.status = a.id AND o.org = a.org
+LEFT JOIN lab b ON o.source = b.id AND o.org = b.org
+LEFT JOIN lab c ON o.previous = c.id AND o.org = c.org""",
+    "table_replace_failed_write": """
+SELECT o_orderkey, o_orderstatus FROM orders""",
     "epoch_ms_decimal_day": f"""
 SELECT event_id, date_trunc('millisecond', ts) + {LOCAL} AS from_text,
        CAST(ts + {LOCAL} AS DATE) AS from_double, CAST(ts + {LOCAL} AS DATE) AS from_decimal

@@ -59,7 +59,6 @@ def jobs(spark, d: str, scratch: str):
     if not os.path.exists(l3_path):
         lf.write.parquet(lf_path)
         lg.write.parquet(lg_path)
-        lead_side(spark.read.parquet(lf_path), pr, lb).write.parquet(f"{scratch}/leads")
         lead_360(spark.read.parquet(lf_path), spark.read.parquet(lg_path), pr, lb).write.parquet(l3_path)
     dim = spark.read.parquet(l3_path)
     ev = T.table(spark, d, "events")
@@ -68,8 +67,11 @@ def jobs(spark, d: str, scratch: str):
         "M1 lead_flat": lead_flat(T.leads_bronze(T.table(spark, d, "customer"))),
         "M2 comm_logs": communication_logs_flat(T.comm_logs_bronze(T.table(spark, d, "orders"))),
         "M3 lead sides": lead_side(spark.read.parquet(lf_path), pr, lb),
-        "M3 lead_360 (from the staged leads)": join_sides(
-            spark.read.parquet(f"{scratch}/leads"), log_side(spark.read.parquet(lg_path), lb), skew_safe=True),
+        "M3 lead_360": join_sides(
+            lead_side(spark.read.parquet(lf_path), pr, lb), log_side(spark.read.parquet(lg_path), lb), hot=[("1", "org1", "P1")]),
+        "M3 lead_360 (labels in one go)": join_sides(
+            lead_side(spark.read.parquet(lf_path), pr, lb, labels_once=True), log_side(spark.read.parquet(lg_path), lb),
+            hot=[("1", "org1", "P1")]),
         "M4 sms_engagement": sms_engagement(T.sms_logs(ev), camp, dim),
         "M5 whatsapp_engagement": whatsapp_engagement(T.whatsapp_logs(ev), camp, dim),
         "M6 campaign_response": campaign_response(T.sms_webhooks(ev), T.whatsapp_webhooks(ev), T.email_webhooks(ev), dim),
@@ -80,9 +82,9 @@ NOTES = [
     "* **local** - this machine's defaults (AQE on; small lookups are broadcast by Spark).",
     "* **large** - the static plan when nothing is small: AQE off, automatic broadcast off.",
     "",
-    "M1 / M2 are map-only. M3 is shown as the job runs it: its input is the staged table of",
-    "looked-up leads, joined inner on both sides plus an anti join against the distinct log",
-    "keys. M4 / M5: log pre-aggregation, lead reduction, the lead join (two sides), per-lead",
+    "M1 / M2 are map-only. M3 is shown as the job runs it, with one hot lead: each side is read",
+    "once, rows of hot leads are salted; and again with the label roles in one join. Over tables",
+    "in the same number of buckets the join has no exchange (a test). M4 / M5: log pre-aggregation, lead reduction, the lead join (two sides), per-lead",
     "flags, counts - all hash aggregates with partial aggregation, no Expand. M6: pivot",
     "aggregate, dimension distinct, the join.",
 ]

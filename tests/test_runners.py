@@ -38,19 +38,23 @@ def test_job_chain_through_tables(spark, tmp_path):
     spark.createDataFrame([("open", "2024-01-01 10:00:00", "o1", "2")],
                           "status string, createdAt string, organisationId string, profileId string").write.parquet(str(b / "email"))
 
-    jobs.run_lead_flat(spark, str(b / "leads"), "chain.lead_flat")
-    jobs.run_communication_logs(spark, str(b / "logs"), "chain.comm_logs")
-    jobs.run_lead_360(spark, "chain.lead_flat", "chain.comm_logs", str(b / "projects"), str(b / "labels"), "chain.lead_360")
+    assert jobs.run_lead_flat(spark, str(b / "leads"), "chain.lead_flat") == {"rows": 2}
+    told = jobs.run_communication_logs(spark, str(b / "logs"), "chain.comm_logs")
+    assert told == {"rows": 3, "hot_keys": [("1", "o1", "P1")]}        # a lead with two of three logs: salted below
+    assert jobs.run_lead_360(spark, "chain.lead_flat", "chain.comm_logs", str(b / "projects"), str(b / "labels"),
+                             "chain.lead_360") == {"rows": 3}
     jobs.run_whatsapp_engagement(spark, str(b / "wa"), str(b / "campaigns"), "chain.lead_360", "chain.wa")
     jobs.run_sms_engagement(spark, str(b / "sms"), str(b / "campaigns"), "chain.lead_360", "chain.sms")
     jobs.run_campaign_response(spark, str(b / "sms"), str(b / "wa"), str(b / "email"), "chain.lead_360", "chain.resp")
 
     l360 = {(r.lead_flat_id, r.communication_log_id): r for r in read_table(spark, "chain.lead_360").collect()}
     assert set(l360) == {("1", "g1"), ("1", "g2"), ("2", "g3")}
-    assert not spark.catalog.tableExists("chain.lead_360__leads")      # the staged table is gone
     jobs.run_lead_360(spark, "chain.lead_flat", "chain.comm_logs", str(b / "projects"), str(b / "labels"),
                       "chain.lead_360_plain", skew_safe=False)
     assert sorted(map(str, read_table(spark, "chain.lead_360_plain").collect())) == sorted(map(str, l360.values()))
+    once = jobs.lead_360_of(spark, "chain.lead_flat", "chain.comm_logs", spark.read.parquet(str(b / "projects")),
+                            spark.read.parquet(str(b / "labels")), labels_once=True)
+    assert sorted(map(str, once.collect())) == sorted(map(str, l360.values()))
     assert l360[("1", "g1")].booked_flag == 1 and l360[("1", "g1")].previous_lead_status == "New"
     wa_out = read_table(spark, "chain.wa").collect()
     assert [(r.total_unique_leads, r.whatsapp_read_only_unique, r.whatsapp_click_only_unique, r.booked_any_unique)
