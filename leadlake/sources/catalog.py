@@ -41,8 +41,7 @@ def _is_file_catalog(spark: SparkSession, name: str) -> bool:
     return catalog == SESSION_CATALOG and not spark.conf.get(f"spark.sql.catalog.{SESSION_CATALOG}", None)
 
 
-VERSION_PROPERTY = "leadlake.version"
-HOT_KEYS_PROPERTY = "leadlake.hot_keys"
+NOTE = "leadlake: "      # begins the comment of a view, the rest is JSON
 KEPT_VERSIONS = 1
 
 
@@ -114,8 +113,8 @@ def replace_table(
         w = w.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
     w.saveAsTable(version)
     told = found()
-    _switch(spark, name, version, {
-        HOT_KEYS_PROPERTY: json.dumps({"columns": list(hot_keys), "keys": told["hot_keys"]})} if hot_keys else {})
+    _switch(spark, name, {
+        "version": version, **({"hot_keys": {"columns": list(hot_keys), "keys": told["hot_keys"]}} if hot_keys else {})})
     _drop_old_versions(spark, name)
     return told
 
@@ -124,32 +123,29 @@ def _is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.getTable(name).tableType == "VIEW"
 
 
-def _switch(spark: SparkSession, name: str, version: str, properties: Mapping[str, str]) -> None:
+def _switch(spark: SparkSession, name: str, note: Mapping[str, Any]) -> None:
     if spark.catalog.tableExists(name) and not _is_view(spark, name):
         spark.sql(f"DROP TABLE {name}")
+    comment = (NOTE + json.dumps(note)).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} COMMENT '{comment}' AS SELECT * FROM {note['version']}")
 
-    def quoted(text: str) -> str:
-        return text.replace("\\", "\\\\").replace("'", "\\'")
 
-    told = ", ".join(f"'{k}' = '{quoted(v)}'" for k, v in {VERSION_PROPERTY: version, **properties}.items())
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({told}) AS SELECT * FROM {version}")
-
-
-def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
-    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+def _note(spark: SparkSession, name: str) -> dict[str, Any]:
+    """What the view of a versioned table tells: its version, and hot keys if looked for."""
+    text = spark.catalog.getTable(name).description or ""
+    return json.loads(text.removeprefix(NOTE)) if text.startswith(NOTE) else {}
 
 
 def table_versions(spark: SparkSession, name: str) -> list[str]:
     """The complete versions of a file table, oldest first."""
     ns, _, table = name.rpartition(".")
-    inside = f" IN {ns}" if ns else ""
-    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES{inside} LIKE '{table}__v*'").collect()]
+    names = [t.name for t in spark.catalog.listTables(ns or None, f"{table}__v*")]
     own = re.compile(re.escape(table) + r"__v\d+_[0-9a-f]{8}", re.IGNORECASE)
     return [f"{ns}.{n}" if ns else n for n in sorted(names) if own.fullmatch(n)]
 
 
 def _drop_old_versions(spark: SparkSession, name: str, keep: int = KEPT_VERSIONS) -> None:
-    current = table_properties(spark, name)[VERSION_PROPERTY].lower()
+    current = _note(spark, name)["version"].lower()
     older = [v for v in table_versions(spark, name) if v.lower() < current]
     for version in older[:len(older) - keep] if keep else older:
         spark.sql(f"DROP TABLE IF EXISTS {version}")
@@ -195,7 +191,7 @@ def known_hot_keys(spark: SparkSession, name: str, keys: Sequence[str]) -> list[
     None if they were not looked for.  Versions do not change, so they are still there."""
     if not _is_file_catalog(spark, name) or not spark.catalog.tableExists(name) or not _is_view(spark, name):
         return None
-    told = json.loads(table_properties(spark, name).get(HOT_KEYS_PROPERTY, "null"))
+    told = _note(spark, name).get("hot_keys")
     if not told or told["columns"] != list(keys):
         return None
     return [tuple(k) for k in told["keys"]]
@@ -204,5 +200,7 @@ def known_hot_keys(spark: SparkSession, name: str, keys: Sequence[str]) -> list[
 def count_hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple]:
     """The frequent values of ``keys`` by a run over these columns, for tables that do not
     remember them."""
-    r = df.agg(F.count(F.lit(1)).alias("rows"), hot_key_summary(keys).alias("summary")).first()
-    return frequent_keys(r["summary"], r["rows"], keys)
+    seen = Observation(f"hot_{uuid.uuid4().hex}")
+    narrow = df.select(*keys).observe(seen, F.count(F.lit(1)).alias("rows"), hot_key_summary(keys).alias("summary"))
+    narrow.write.format("noop").mode("overwrite").save()
+    return frequent_keys(seen.get["summary"], seen.get["rows"], keys)
