@@ -4,8 +4,8 @@
    ids of its own: one root for each language, below it hash containers.  A container that
    grows beyond ``burst`` phrases bursts: the next words that hold many of them get
    containers of their own, the others go on sharing one (``Trie``).
-2. A trie beyond ``held`` phrases spills whole subtrees, largest first, as runs sorted by
-   phrase: rows (lang, phrase, n).  A vocabulary beyond ``vocabulary`` words spills
+2. A trie beyond ``held`` phrases spills whole subtrees, largest first, as runs sorted
+   word by word: rows (lang, phrase, n).  A vocabulary beyond ``vocabulary`` words spills
    everything and starts anew.
 3. The runs are dealt out by prefix (language and first two words, the path to a
    container at full depth) and merged per prefix partition.  Every task has added up its
@@ -42,7 +42,9 @@ from pyspark.sql import functions as F
 from leadlake.llm.common import bitmap_of, written
 
 BREAKS = b".,;:!?\n\x0b\x0c\r"
+BREAK, SPACE = 10, 32    # what stands for them, and for space and tab, while words are found
 UNKNOWN_LANG = "und"
+SLICE_BYTES = 1 << 20
 WORD_BITS = 21      # a phrase of up to three words is one long
 PARTS = 64          # of a language, to find its best phrases
 
@@ -56,8 +58,8 @@ class Phrases:
     scale: int = 1_000_000      # of the score
     held: int = 1_000_000       # phrases in a task's trie
     burst: int = 1 << 15        # phrases in a container before it bursts
-    vocabulary: int = 500_000   # words with an id in a task
-    block: int = 1 << 19        # words counted at a time
+    vocabulary: int = 800_000   # words with an id in a task
+    block: int = 1 << 18        # words counted at a time
     most_bits: int = 1 << 28    # of the bitmap of frequent parts (32 MB)
 
 
@@ -65,7 +67,7 @@ class _Ids(dict):
     """Word -> id; words not seen before get the next one, and their checksum is noted."""
 
     def __init__(self):
-        super().__init__({b"\n": 0})
+        super().__init__({b"": 0})
         self.sums = [0]
 
     def __missing__(self, word: bytes) -> int:
@@ -81,10 +83,10 @@ class _Node:
     """A container of phrases (packed word ids -> count) and, for next words that burst
     out of it, nodes of their own.  ``shift`` tells where the next word's id stands."""
 
-    __slots__ = ("shift", "bag", "own")
+    __slots__ = ("shift", "bag", "own", "looked")
 
     def __init__(self, shift: int):
-        self.shift, self.bag, self.own = shift, {}, {}
+        self.shift, self.bag, self.own, self.looked = shift, {}, {}, 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray, burst: int) -> int:
         """Count ``keys`` (sorted, distinct); the number of phrases that are new."""
@@ -106,8 +108,9 @@ class _Node:
         for key, n in zip(keys.tolist(), counts.tolist()):
             bag[key] = get(key, 0) + n
         new += len(bag)
-        if len(bag) > burst and self.shift:
+        if self.shift and len(bag) > max(burst, 2 * self.looked):
             self._burst(burst)
+            self.looked = len(self.bag)     # what stays shared is looked through again at twice the size
         return new
 
     def _burst(self, burst: int) -> None:
@@ -138,7 +141,7 @@ class _Node:
 
     def take(self, head: "int | None") -> dict[int, int]:
         if head is None:
-            bag, self.bag = self.bag, {}
+            bag, self.bag, self.looked = self.bag, {}, 0
             return bag
         return dict(self.own.pop(head).items())
 
@@ -149,14 +152,14 @@ class Trie:
 
     def __init__(self, rules: Phrases, size: int, frequent: "np.ndarray | None" = None):
         self.rules, self.phrase, self.frequent = rules, size, frequent
-        self.words = _Ids()
+        self.words, self.sums = _Ids(), np.zeros(1, dtype=np.int64)
         self.roots: dict[str, _Node] = {}
         self.size = 0
 
-    def add(self, lang: str, tokens: np.ndarray, starts: int) -> None:
-        """Count the phrases that begin at the first ``starts`` of ``tokens`` (ids from 1 on;
-        0 ends a piece) and whose parts are all frequent."""
-        keys = np.zeros(max(min(starts, len(tokens) - self.phrase + 1), 0), dtype=np.int64)
+    def add(self, lang: str, tokens: np.ndarray) -> None:
+        """Count the phrases of ``tokens`` (ids from 1 on; 0 ends a piece) whose parts are all
+        frequent."""
+        keys = np.zeros(max(len(tokens) - self.phrase + 1, 0), dtype=np.int64)
         whole = np.ones(len(keys), dtype=bool)
         for k in range(self.phrase):
             next_ = tokens[k:k + len(keys)]
@@ -170,8 +173,9 @@ class Trie:
 
     def _frequent(self, tokens: np.ndarray) -> np.ndarray:
         """Whether the part one word shorter that begins at each token may be frequent."""
-        sums = np.array(self.words.sums, dtype=np.int64)[tokens]
-        part = sums
+        if len(self.sums) < len(self.words):
+            self.sums = np.append(self.sums, np.array(self.words.sums[len(self.sums):], dtype=np.int64))
+        part = sums = self.sums[tokens]
         for k in range(1, self.phrase - 1):
             part = part[:-1] * MIX + sums[k:]
         place = part % (len(self.frequent) * 8)
@@ -181,31 +185,62 @@ class Trie:
         """Runs of the largest subtrees, until ``down_to`` phrases are left."""
         below = [(n, lang, head) for lang, root in self.roots.items() for n, head in root.subtrees()]
         words = pa.array(list(self.words), type=pa.binary())
+        place = np.empty(len(words), dtype=np.int64)    # of each word in their order
+        place[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
         for n, lang, head in sorted(below, key=lambda x: -x[0]):
             if self.size <= down_to or not n:
                 break
             held = self.roots[lang].take(head)
             self.size -= len(held)
-            yield from self._run(lang, held, words)
+            yield from self._run(lang, held, words, place)
         if not down_to:
-            self.words = _Ids()
+            self.words, self.sums = _Ids(), np.zeros(1, dtype=np.int64)
             self.roots.clear()
 
-    def _run(self, lang: str, held: dict[int, int], words: pa.Array) -> Iterator[pa.RecordBatch]:
+    def _run(self, lang: str, held: dict[int, int], words: pa.Array, place: np.ndarray) -> Iterator[pa.RecordBatch]:
         keys = np.fromiter(held.keys(), dtype=np.int64, count=len(held))
         n = np.fromiter(held.values(), dtype=np.int64, count=len(held))
-        ids = [(keys >> (k * WORD_BITS)) & ((1 << WORD_BITS) - 1) for k in (2, 1, 0)]
-        phrase = pc.binary_join_element_wise(*(words.take(pa.array(x)) for x in ids[:self.phrase]), b" ")
-        order = pc.sort_indices(phrase)
-        phrase, count = phrase.take(order).cast(pa.string()), pa.array(n).take(order)
+        ids = [(keys >> (k * WORD_BITS)) & ((1 << WORD_BITS) - 1) for k in (2, 1, 0)][:self.phrase]
+        order = np.lexsort([place[x] for x in reversed(ids)])
+        phrase = pc.binary_join_element_wise(*(words.take(pa.array(x[order])) for x in ids), b" ").cast(pa.string())
+        count = pa.array(n[order])
         for at in range(0, len(keys), 50_000):
             part = phrase.slice(at, 50_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(part)), part, count.slice(at, 50_000)], names=["lang", "phrase", "n"])
-
-
-# A-Z to a-z, tab to space, the characters that end a piece to LF; UTF-8 keeps these bytes apart
-PLAIN = bytes(10 if k in BREAKS else 32 if k == 9 else k + 32 if 65 <= k <= 90 else k for k in range(256))
+                [pa.repeat(lang, len(part)), part, count.slice(at, 50_000)], names=["lang", "phrase", "n"])
+
+
+# by byte, as UTF-8 keeps these apart: A-Z to a-z, tab to SPACE, what ends a piece to BREAK
+PLAIN = np.array([BREAK if k in BREAKS else SPACE if k == 9 else k + 32 if 65 <= k <= 90 else k for k in range(256)],
+                 dtype=np.uint8)
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(words, number of each one's piece, number of its text) of ``texts``."""
+    ends = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    plain = PLAIN[np.frombuffer(data, dtype=np.uint8)[ends[0]:ends[-1]]] if data else np.empty(0, dtype=np.uint8)
+    ends = (ends - ends[0]).astype(np.int64)
+    inside = (plain != SPACE) & (plain != BREAK)
+    edge = np.zeros(len(plain) + 1, dtype=bool)
+    edge[ends] = True
+    begin = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate(([False], inside[:-1]))))
+    end = np.flatnonzero(inside & (edge[1:] | ~np.concatenate((inside[1:], [False])))) + 1
+    offsets = np.concatenate(([0], np.cumsum(end - begin))).astype(np.int32)
+    words = pa.Array.from_buffers(
+        pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(plain[inside]))])
+    breaks = np.flatnonzero((plain == BREAK) | edge[:-1])
+    return words, np.searchsorted(breaks, begin, "right"), np.searchsorted(ends, begin, "right") - 1
+
+
+def _slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of stretches of about ``size`` bytes; a longer text is one alone."""
+    ends = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    at = 0
+    while at < len(texts):
+        to = max(int(np.searchsorted(ends, int(ends[at]) + size, "right")) - 1, at + 1)
+        yield at, to - at
+        at = to
 
 
 def runs(
@@ -222,33 +257,40 @@ def runs(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(rules, size, shared.value)
-        waiting: dict[str, list[bytes]] = {}
+        waiting: dict[str, list[np.ndarray]] = {}
         held = 0
 
         def counted() -> Iterator[pa.RecordBatch]:
-            for name, words in waiting.items():
-                for at in range(0, len(words), rules.block):  # each with the words that its last phrases reach
-                    part = words[at:at + rules.block + size - 1]
-                    if len(trie.words) + len(part) > rules.vocabulary \
-                            and len(trie.words) + len(set(part) - trie.words.keys()) > rules.vocabulary:
-                        yield from trie.spill()
-                    ids = np.fromiter(map(trie.words.__getitem__, part), dtype=np.int64, count=len(part))
-                    trie.add(name, ids, min(rules.block, len(words) - at))
-                    if trie.size > rules.held:
-                        yield from trie.spill(rules.held // 2)
+            for name, tokens in waiting.items():
+                trie.add(name, np.concatenate(tokens))
+                if trie.size > rules.held:
+                    yield from trie.spill(rules.held // 2)
             waiting.clear()
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                plain = text.as_py().translate(PLAIN).replace(b"\n", b" \n ")
-                words = waiting.setdefault(name, [])
-                before = len(words)
-                words += [w for w in plain.split(b" ") if w]
-                words.append(b"\n")
-                held += len(words) - before
-                if held >= rules.block:
-                    yield from counted()
-                    held = 0
+            texts = batch.column(1).cast(pa.binary())
+            for at, rows_ in _slices(texts, SLICE_BYTES):
+                names = batch.column(0).slice(at, rows_).dictionary_encode()
+                words, piece, text = _words(texts.slice(at, rows_))
+                lang = names.indices.to_numpy()[text]
+                for k in range(0, len(words), rules.block):  # with the words that its last phrases reach
+                    part = slice(k, k + rules.block + size - 1)
+                    coded = words[part].dictionary_encode()
+                    distinct = coded.dictionary.to_pylist()
+                    if len(trie.words) + len(distinct) > rules.vocabulary:
+                        yield from counted()
+                        yield from trie.spill()
+                    ids = np.fromiter(map(trie.words.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+                    ids = ids[coded.indices.to_numpy()]
+                    for n, name in enumerate(names.dictionary.to_pylist()):
+                        of = np.flatnonzero(lang[part] == n)
+                        if of.size:
+                            ends = np.flatnonzero(np.diff(piece[part][of])) + 1
+                            waiting.setdefault(name, []).append(np.append(np.insert(ids[of], ends, 0), 0))
+                    held += len(ids)
+                    if held >= rules.block:
+                        yield from counted()
+                        held = 0
         yield from counted()
         yield from trie.spill()
 
