@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ESCAPE = "▁"
-GROUP_CHARS = 1 << 19     # characters in one suffix array
-REMEMBERED = 400_000      # stretches kept with their tokens before starting anew
+GROUP_CHARS = 1 << 16     # characters in one suffix array
+REMEMBERED = 200_000      # stretches kept with their tokens before starting anew
 CACHE_BITS = 21           # neighbour decisions kept
 PACK = 5                  # characters in one sort key of 12 bits each
 
@@ -301,7 +301,7 @@ class Encoder:
         points = np.frombuffer("\0".join([*stretches, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         size = np.array([len(x) for x in stretches], dtype=np.int64)
         begin = np.cumsum(size + 1) - (size + 1)
-        codes = self.code_of[points].astype(np.int64)
+        codes = self.code_of[points].astype(np.int64)  # sort keys need the width
         codes[begin + size] = 0
         codes = np.concatenate((codes, np.zeros(m.longest + PACK, dtype=np.int64)))
         at, piece = self._edges(codes)
@@ -399,7 +399,7 @@ class Encoder:
             stretches = self.split.findall(ESCAPE + text.replace(" ", ESCAPE)) if text else []
             waiting.append(np.fromiter(map(known.__getitem__, stretches), dtype=np.int64, count=len(stretches)))
             size += len(stretches)
-            if size > 1 << 20:
+            if size > 1 << 18:
                 yield finish()
                 size = 0
                 if len(known) > REMEMBERED:
