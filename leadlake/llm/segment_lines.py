@@ -312,24 +312,33 @@ def _texts(docs: DataFrame, nodes: DataFrame, join: LineJoin) -> DataFrame:
 
 
 CLASSES = 16
+GRAM = 4                  # characters of the substrings that are counted by class
+GRAM_CLASSES = 64
 COUNTS = [f"g{k}" for k in range(CLASSES)]
 
 
 def character_counts(texts: DataFrame) -> DataFrame:
-    """(node, n, g0 ...): length of a line and the counts of its characters by class."""
+    """(node, n, g0 ..., grams): length of a line, the counts of its characters by class and
+    those of its substrings of ``GRAM`` characters."""
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = np.zeros((batch.num_rows, CLASSES), dtype=np.int32)
+            grams = np.zeros((batch.num_rows, GRAM_CLASSES), dtype=np.int32)
             for k, text in enumerate(batch.column(1).to_pylist()):
                 points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-                counts[k] = np.bincount(
-                    (_mix(points.astype(U64) + U64(1)) >> U64(40)) % U64(CLASSES), minlength=CLASSES)
+                points = points.astype(U64) + U64(1)
+                counts[k] = np.bincount((_mix(points) >> U64(40)) % U64(CLASSES), minlength=CLASSES)
+                joined = np.zeros(max(len(points) - GRAM + 1, 0), dtype=U64)
+                for place in range(GRAM):
+                    joined = joined * PrefixHashes.FACTOR + points[place:place + len(joined)]
+                grams[k] = np.bincount((_mix(joined) >> U64(40)) % U64(GRAM_CLASSES), minlength=GRAM_CLASSES)
+            ends = pa.array(np.arange(0, grams.size + 1, GRAM_CLASSES, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts.sum(axis=1)), *(pa.array(counts[:, k]) for k in range(CLASSES))],
-                names=["node", "n", *COUNTS])
+                [batch.column(0), pa.array(counts.sum(axis=1)), *(pa.array(counts[:, k]) for k in range(CLASSES)),
+                 pa.ListArray.from_arrays(ends, pa.array(grams.ravel()))], names=["node", "n", *COUNTS, "grams"])
 
     fields = ", ".join(f"{g} int" for g in COUNTS)
-    return texts.select("node", "text").mapInArrow(compute, f"node long, n long, {fields}")
+    return texts.select("node", "text").mapInArrow(compute, f"node long, n long, {fields}, grams array<int>")
 
 
 def _narrower(texts: DataFrame, join: LineJoin):
@@ -337,7 +346,8 @@ def _narrower(texts: DataFrame, join: LineJoin):
     characters by class, or two by one each: the counts of lines within the distance
     differ by at most 2 * edits together, and by at most ``edits`` in the sum over any
     set of classes.  Two such sums place the lines in cells of ``edits`` + 1; only
-    neighbouring cells are joined."""
+    neighbouring cells are joined.  An edit also changes at most ``GRAM`` substrings of that
+    many characters on either side, which tells lines with the same characters apart."""
     edits = join.edits
     width = edits + 1
 
@@ -351,15 +361,19 @@ def _narrower(texts: DataFrame, join: LineJoin):
         members = groups.join(counts, F.col("node") == F.col("__n"))
         other = members.select(
             F.col("pivot").alias("__p"), F.col("node").alias("b"), F.col("c").alias("__cb"), F.col("n").alias("__n_b"),
-            F.col("x").alias("__x"), F.col("y").alias("__y"), *[F.col(g).alias(f"__{g}") for g in COUNTS])
+            F.col("x").alias("__x"), F.col("y").alias("__y"), F.col("grams").alias("__grams"),
+            *[F.col(g).alias(f"__{g}") for g in COUNTS])
         around = F.array(*[F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
                            for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
         one = members.where("apart").withColumn("__cell", F.explode(around))
         apart = sum((F.abs(F.col(g) - F.col(f"__{g}")) for g in COUNTS), F.lit(0))
+        other_grams = F.aggregate(
+            F.zip_with("grams", "__grams", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, x: total + x)
         return one.join(
             other,
             (F.col("pivot") == F.col("__p")) & (F.col("__cell.x") == F.col("__x")) & (F.col("__cell.y") == F.col("__y"))
-            & (F.col("c") != F.col("__cb")) & (F.abs(F.col("n") - F.col("__n_b")) <= edits) & (apart <= 2 * edits),
+            & (F.col("c") != F.col("__cb")) & (F.abs(F.col("n") - F.col("__n_b")) <= edits) & (apart <= 2 * edits)
+            & (other_grams <= 2 * GRAM * edits),
         ).select(F.col("node").alias("a"), "b")
 
     return narrow
@@ -392,9 +406,10 @@ def _later_lines(classed: DataFrame) -> DataFrame:
     document (an equal one, or the one that stays), its class, and the document that keeps
     the class."""
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tkey", "line", "h1", "h2")
-    first = classed.groupBy("k1", "k2").agg(
+    # a table, as the join can split a very common class only if this is no aggregate of its own shuffle
+    first = written(classed.groupBy("k1", "k2").agg(
         F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select(
-        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "first")
+        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "first"), "line-classes")
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tkey") == F.col("first.tkey"))
     later = classed.join(first, (F.col("k1") == F.col("__k1")) & (F.col("k2") == F.col("__k2"))).where(
         ~(same & (F.col("line") == F.col("first.line"))))
