@@ -108,7 +108,7 @@ def test_every_stage_takes_odd_rows_and_empty_tables(spark, tmp_path):
 
 def test_every_operator_has_one_query():
     names = [n for n in entry.queries() if re.match(r"op\d+_|pipeline", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14))
     assert "pipeline" in names
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
