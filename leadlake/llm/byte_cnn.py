@@ -11,13 +11,16 @@ of table look-ups; places are joined in pairs to halve them.  Texts are worked t
 in slices of SLICE bytes, so memory does not grow with a text.
 
 Fitting uses a bounded sample: at most ``per_class`` labelled documents of each class
-(the first by a hash of their id) and at most ``max_chunks`` chunks of each of them.
-Both are parameters; scoring always reads whole texts.  The sample has equally many of
-both classes; the output is then shifted to the classes' true shares among the labels.
+(the first by a hash of their id), a parameter.  Their texts are read whole, as in
+scoring, so that means and maxima over all chunks of a text are what the weights are
+fitted on.  The sample has equally many of both classes; the output is then shifted to
+the classes' true shares among the labels.
 
 Defined cases: NULL and empty texts are scored as a text of zero chunks with all
 features 0; documents without a label, labels without a document and NULL labels are
-not learned from; a document labelled more than once counts once per class; without
+not learned from; a document labelled more than once counts once per class; of several
+texts with one doc_id the smallest is learned from; very long texts are worked through in
+slices, in fitting too; equal rows have equal scores; without
 two classes the score is the share of label 1 (0.5 without any label).
 """
 
@@ -35,12 +38,12 @@ KERNEL = 6          # even: places are looked up in pairs
 FILTERS = 32
 HALF = 128          # bytes of half a chunk
 SLICE = 1 << 17
+ROWS = 1024         # chunks whose responses are held at once in fitting: 32 MB
 
 
 @dataclass(frozen=True)
 class Fit:
     per_class: int = 1000
-    max_chunks: int = 16
     epochs: int = 10
     batch: int = 64
     rate: float = 0.01
@@ -105,41 +108,61 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _chunks(text: bytes, limit: int, random: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Chunks of ``text`` as rows of bytes and the number of places in each; a text with
-    more than ``limit`` gives that many of them at random."""
+def _chunks(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """All chunks of ``text`` as rows of bytes and the number of places in each."""
     halves = -(-len(text) // HALF)
     starts = HALF * np.arange(max(halves - 1, 1))
-    if len(starts) > limit:
-        starts = np.sort(random.choice(starts, limit, replace=False))
     padded = np.zeros(len(text) + 2 * HALF + KERNEL, dtype=np.uint8)
     padded[:len(text)] = np.frombuffer(text, dtype=np.uint8)
-    rows = padded[starts[:, None] + np.arange(2 * HALF + KERNEL - 1)]
+    rows = np.lib.stride_tricks.sliding_window_view(padded, 2 * HALF + KERNEL - 1)[starts]
     return rows, np.minimum(len(text) - starts, 2 * HALF)
 
 
+def _strongest(tables: np.ndarray, rows: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(response, place) of every filter where it responds most, for each chunk."""
+    places = np.arange(2 * HALF)
+    top = np.empty((len(rows), FILTERS), dtype=np.float32)
+    winner = np.empty((len(rows), FILTERS), dtype=np.int64)
+    for a in range(0, len(rows), ROWS):
+        part = rows[a:a + ROWS]
+        response = tables[0].take(part[:, :2 * HALF], axis=0)
+        for k in range(1, KERNEL):
+            response += tables[k].take(part[:, k:k + 2 * HALF], axis=0)
+        response[places[None, :] >= valid[a:a + ROWS, None]] = -np.inf
+        winner[a:a + ROWS] = response.argmax(axis=1)
+        top[a:a + ROWS] = np.take_along_axis(response, winner[a:a + ROWS, None, :], axis=1)[:, 0]
+    return top, winner
+
+
+def _table_gradient(rows: np.ndarray, winner: np.ndarray, grad: np.ndarray) -> np.ndarray:
+    """The gradient of the tables: what each chunk's winning bytes get."""
+    out = np.zeros(KERNEL * 256 * FILTERS)
+    offsets = np.arange(KERNEL)[None, :, None]
+    for a in range(0, len(rows), ROWS):
+        places = winner[a:a + ROWS, None, :] + offsets
+        found = np.take_along_axis(rows[a:a + ROWS], places.reshape(len(places), -1), axis=1).reshape(places.shape)
+        cell = (offsets * 256 + found) * FILTERS + np.arange(FILTERS)
+        out += np.bincount(
+            cell.ravel(), np.broadcast_to(grad[a:a + ROWS, None, :], cell.shape).ravel(), len(out))
+    return out.reshape(KERNEL, 256, FILTERS)
+
+
 def train(texts: list[bytes], labels: np.ndarray, fit: Fit = Fit()) -> Network:
     """Adam on the logistic loss; only the places that win the pooling get gradient."""
     random = np.random.default_rng(fit.seed)
     tables = random.normal(0, 0.4, (KERNEL, 256, FILTERS)).astype(np.float32)
     weights, bias = random.normal(0, 0.1, 2 * FILTERS), np.zeros(1)
-    docs = [_chunks(t, fit.max_chunks, random) for t in texts]
     values = [tables, weights, bias]
     moments = [(np.zeros(v.shape), np.zeros(v.shape)) for v in values]
     step = 0
-    places = np.arange(2 * HALF)
     for _ in range(fit.epochs):
-        for batch in np.array_split(random.permutation(len(docs)), max(1, len(docs) // fit.batch)):
-            rows = np.concatenate([docs[k][0] for k in batch])
-            valid = np.concatenate([docs[k][1] for k in batch])
-            count = np.array([len(docs[k][0]) for k in batch])
+        for batch in np.array_split(random.permutation(len(texts)), max(1, len(texts) // fit.batch)):
+            parts = [_chunks(texts[k]) for k in batch]
+            rows = np.concatenate([p[0] for p in parts])
+            valid = np.concatenate([p[1] for p in parts])
+            count = np.array([len(p[0]) for p in parts])
             at = np.cumsum(count) - count
-            response = tables[0].take(rows[:, :2 * HALF], axis=0)
-            for k in range(1, KERNEL):
-                response += tables[k].take(rows[:, k:k + 2 * HALF], axis=0)
-            response[places[None, :] >= valid[:, None]] = -np.inf
-            winner = response.argmax(axis=1)                      # chunk x filter
-            top = np.take_along_axis(response, winner[:, None, :], axis=1)[:, 0]
+            top, winner = _strongest(tables, rows, valid)
             chunks = np.maximum(top, 0)
             best = np.maximum.reduceat(chunks, at, axis=0)
             features = np.concatenate([np.add.reduceat(chunks, at, axis=0) / count[:, None], best], axis=1)
@@ -149,15 +172,9 @@ def train(texts: list[bytes], labels: np.ndarray, fit: Fit = Fit()) -> Network:
             doc = np.repeat(np.arange(len(batch)), count)
             grad = back[doc, :FILTERS] / count[doc, None] + back[doc, FILTERS:] * (chunks == best[doc])
             grad = np.where(top > 0, grad, 0)
-            bytes_at = np.take_along_axis(
-                rows, (winner[:, None, :] + np.arange(KERNEL)[None, :, None]).reshape(len(rows), -1), axis=1)
-            cell = ((np.arange(KERNEL)[None, :, None] * 256 + bytes_at.reshape(len(rows), KERNEL, FILTERS))
-                    * FILTERS + np.arange(FILTERS))
-            table_grad = np.bincount(
-                cell.ravel(), np.broadcast_to(grad[:, None, :], cell.shape).ravel(), tables.size
-            ).reshape(tables.shape)
             step += 1
-            gradients = (table_grad, features.T @ error + fit.decay * weights, np.array([error.sum()]))
+            gradients = (_table_gradient(rows, winner, grad), features.T @ error + fit.decay * weights,
+                         np.array([error.sum()]))
             for value, g, (m, v) in zip(values, gradients, moments):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
@@ -182,7 +199,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", fit: Fit =
         for k in (0, 1)
     ]
     sample = texts.join(F.broadcast(wanted[0].union(wanted[1])), F.col("__doc") == F.col("__id"))
-    rows = sorted((r["__id"], r["__label"], r["text"]) for r in sample.select("__id", "__label", "text").collect())
+    # one text an id, however often the table repeats it
+    sample = sample.groupBy("__id", "__label").agg(F.min("text").alias("text"))
+    rows = sorted((r["__id"], r["__label"], r["text"]) for r in sample.collect())
     kept = [r for r in rows if r[2]]
     marked = np.array([r[1] for r in kept], dtype=np.float64)
     if len(set(marked)) < 2:

@@ -129,6 +129,33 @@ def test_held_out_quality_and_odd_rows(spark):
     assert np.array_equal(again.tables, net.tables)      # the sample and the fit are deterministic
 
 
+def test_training_reads_whole_texts_in_slices(monkeypatch):
+    """What marks a class stands once, far behind the start of a long text."""
+    rnd = random.Random(5)
+    texts = [text(rnd, 1500).encode() for _ in range(60)]
+    marks = np.array([k % 2 for k in range(60)], dtype=np.float64)
+    texts = [t[:-300] + b" ZZZZZZZZZZ " + t[-288:] if m else t for t, m in zip(texts, marks)]
+    fit = byte_cnn.Fit(epochs=30, batch=8)
+    whole = byte_cnn.train(texts, marks, fit)
+    assert min(len(t) for t in texts) > 40 * byte_cnn.HALF
+    assert np.mean((whole.score(texts) >= 0.5) == marks) > 0.95
+    short = byte_cnn.Fit(epochs=2, batch=8)
+    one = byte_cnn.train(texts[:16], marks[:16], short)
+    monkeypatch.setattr(byte_cnn, "ROWS", 7)
+    many = byte_cnn.train(texts[:16], marks[:16], short)
+    assert np.allclose(one.tables, many.tables, atol=1e-5) and np.allclose(one.weights, many.weights, atol=1e-5)
+
+
+def test_a_repeated_id_brings_one_text_to_the_sample(spark, monkeypatch):
+    rows = [(k, f"text {k}") for k in range(10)] + [(3, f"text 3 {k}") for k in range(500)]
+    marks = spark.createDataFrame([(k, k % 2) for k in range(10)], "doc_id long, quality int")
+    seen = []
+    train = byte_cnn.train
+    monkeypatch.setattr(byte_cnn, "train", lambda texts, *rest: (seen.extend(texts), train(texts, *rest))[1])
+    byte_cnn.learn(frame(spark, rows), marks, fit=byte_cnn.Fit(epochs=1))
+    assert sorted(seen) == [f"text {k}".encode() for k in range(10)]
+
+
 def test_without_two_classes_the_score_is_the_share(spark):
     docs = frame(spark, [(1, "a"), (2, None)])
     ones = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
