@@ -261,7 +261,7 @@ def _listed(spans: Column) -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """The contract's columns from ``scan``'s spans."""
+    """The contract's columns from ``scan``'s spans, and the counts of the added kinds."""
     def count(kind: int) -> Column:
         return F.size(F.filter("spans", lambda x: x["k"] == kind)).cast("long")
 
@@ -270,4 +270,6 @@ def digest(found: DataFrame) -> DataFrame:
         "doc_id", *[count(k).alias(f"n_{KINDS[k]}") for k in range(BASE_KINDS)],
         F.sha2(_listed(base), 256).alias("base_sha256"),
         _listed(F.col("spans")).alias("spans"),
+        *[count(k).alias(f"n_{KINDS[k]}") for k in range(BASE_KINDS, len(KINDS))],
+        F.size("spans").cast("long").alias("n_spans"),
     )

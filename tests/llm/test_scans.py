@@ -77,6 +77,10 @@ def test_pii_query_columns_on_odd_rows(spark):
         base = _base_pii(t or "")
         want[(i, *(sum(k == x for _, k, _ in base) for x in range(4)), _sha(base, anchor_pii.KINDS))] += 1
     assert Counter((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got) == want
+    for r in got:
+        kinds = Counter(x.split(":")[0] for x in r.spans.split(",") if x)
+        assert {k: r[f"n_{k}"] for k in anchor_pii.KINDS if r[f"n_{k}"]} == kinds and r.n_spans == sum(kinds.values())
+    assert any(r.n_account for r in got) and any(r.n_ssn for r in got) and any(r.n_iban for r in got)
     assert anchor_pii.digest(anchor_pii.scan(frame(spark, rows).limit(0))).count() == 0
 
 
