@@ -15,7 +15,14 @@ components that all true links among nodes sharing a key would give:
 Rounds 1 and 2 make at most one pair per membership, and in a group of copies they join
 nearly all members.  No pair that can be linked is dropped in any round.
 
-Every round starts from written tables, so a lost executor costs a re-read.
+Every round starts from written tables, so a lost executor costs a re-read.  What is
+joined back to the rows it was aggregated from (the smallest node of a key or of a
+neighbourhood) is written first: an aggregate has its rows' own partitioning, and only
+against another table can AQE split the rows of a hot key.
+
+Defined cases: keys and nodes are hashes or ids, never NULL; repeated memberships and edges count
+once; of equally large components of a key the one with the smallest node gives the
+pivot; without memberships or edges there are no components.
 """
 
 from __future__ import annotations
@@ -39,11 +46,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            F.col("u").alias("c"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, F.col("u") == F.col("c")).select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small_least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select(
+            F.col("u").alias("c"), F.least("u", "m").alias("m")), "least")
+        large = written(both.where("v > u").join(least, F.col("u") == F.col("c")).select(
+            F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        small_least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(small_least.withColumnRenamed("u", "c"), F.col("u") == F.col("c"))
         after = written(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -71,9 +78,11 @@ def _labelled(pairs: DataFrame, components: DataFrame) -> DataFrame:
 def shared_memberships(members: DataFrame) -> DataFrame:
     """The memberships (key, node, rep) of keys with at least two nodes; ``rep`` is the
     smallest node of the key."""
-    keys = members.groupBy("key").agg(F.min("node").alias("rep"), F.max("node").alias("__most")).where(
-        "rep <> __most").select(F.col("key").alias("__key"), "rep")
-    return members.join(keys, F.col("key") == F.col("__key")).select("key", "node", "rep").distinct()
+    keys = written(members.groupBy("key").agg(F.min("node").alias("rep"), F.max("node").alias("__most")).where(
+        "rep <> __most").select(F.col("key").alias("__key"), "rep"), "shared-keys")
+    # distinct before the join: behind it, it would need the join's partitioning, and a hot key stay whole
+    return members.select("key", "node").distinct().join(keys, F.col("key") == F.col("__key")).select(
+        "key", "node", "rep")
 
 
 def linked_components(shared: DataFrame, verify: Verify, narrow: Narrow) -> DataFrame:
@@ -116,9 +125,9 @@ def _open_groups(shared: DataFrame, components: DataFrame) -> DataFrame:
     own = components.select(F.col("node").alias("__n"), "component")
     labelled = shared.join(own, F.col("node") == F.col("__n"), "left").select(
         "key", "node", F.coalesce("component", "node").alias("c"))
-    keys = labelled.groupBy("key", "c").count().groupBy("key").agg(
+    keys = written(labelled.groupBy("key", "c").count().groupBy("key").agg(
         F.max(F.struct("count", (-F.col("c")).alias("c"))).alias("top"), F.count("*").alias("several")
-    ).where("several > 1").select(F.col("key").alias("__key"), (-F.col("top.c")).alias("pivot"))
+    ).where("several > 1").select(F.col("key").alias("__key"), (-F.col("top.c")).alias("pivot")), "open-keys")
     members = labelled.join(keys, F.col("key") == F.col("__key"))
     return written(members.select(
         "pivot", "node", "c", (F.col("c") != F.col("pivot")).alias("apart")).distinct(), "open")
@@ -136,8 +145,8 @@ def prefix_pairs(
     member is found, and when it looks for partners of level k, ``apart_reach[k]`` (0: it
     does not).  ``close`` says whether two members' ``n`` may be linked.  Tokens that only
     one member has take the first places and match nothing."""
-    held = tokens.groupBy("pivot", "token").agg(F.count("*").alias("held")).where("held > 1").select(
-        F.col("pivot").alias("__pivot"), F.col("token").alias("__token"), "held")
+    held = written(tokens.groupBy("pivot", "token").agg(F.count("*").alias("held")).where("held > 1").select(
+        F.col("pivot").alias("__pivot"), F.col("token").alias("__token"), "held"), "held")
     common = tokens.join(held, (F.col("pivot") == F.col("__pivot")) & (F.col("token") == F.col("__token"))).select(
         "pivot", "node", "token", "held")
     shared = common.groupBy("pivot", "node").agg(F.count("*").alias("shared"))

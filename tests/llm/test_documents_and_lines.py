@@ -130,6 +130,67 @@ def test_components_equal_union_find(spark):
     assert links.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def _plans_of_written_tables(monkeypatch, module):
+    """(name, final plan) of every table that ``module`` writes."""
+    plans, write = [], module.written
+
+    def record(df, name):
+        df.collect()
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(module, "written", record)
+    return plans
+
+
+@pytest.fixture
+def eager_skew_join(spark):
+    """AQE splits a partition that is larger than the others, however small it is."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_keys_are_split(spark, eager_skew_join, monkeypatch, tmp_path):
+    """A key with most memberships, a centre with most edges, a line class with most lines."""
+    def table(df, name):
+        df.repartition(8).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    members = table(spark.range(60_000).selectExpr(
+        "if(id % 4 > 0, 7, 100 + id div 8) as key", "xxhash64(id) as node"), "members")
+    shared = links.shared_memberships(members)
+    assert len(shared.collect()) > 45_000
+    assert "skew=true" in shared._jdf.queryExecution().executedPlan().toString()
+
+    plans = _plans_of_written_tables(monkeypatch, links)
+    edges = table(spark.range(60_000).selectExpr(
+        "if(id % 4 > 0, 0, id div 8 * 8) as a", "id as b").where("a <> b"), "edges")
+    assert links.connected_components(edges).select("component").distinct().count() == 7_500
+    assert any(name == "large" and "skew=true" in plan for name, plan in plans)
+
+    del plans[:]
+    classes = table(spark.range(60_000).selectExpr("id as node", "id div 2 * 2 as component"), "classes")
+    rows = table(spark.range(60_000).selectExpr("if(id % 4 > 0, 7, 100 + id div 8) as key", "id as node", "id as rep"), "rows")
+    assert links._open_groups(rows, classes).where("pivot is null").isEmpty()
+    assert any(name == "open" and "skew=true" in plan for name, plan in plans)
+
+    lines = table(spark.range(60_000).selectExpr(
+        "id as doc_id", "xxhash64(id) as tkey", "0 as line", "if(id % 4 > 0, 7, 100 + id div 8) as h1", "0L as h2",
+        "false as again", "if(id % 4 > 0, 7, 100 + id div 8) as k1", "0L as k2"), "lines")
+    later = segment_lines._later_lines(lines)
+    assert len(later.collect()) > 45_000
+    assert "skew=true" in later._jdf.queryExecution().executedPlan().toString()
+
+
 # ---- lines -------------------------------------------------------------------------
 JOIN = segment_lines.LineJoin(min_chars=12, edits=2)
 
