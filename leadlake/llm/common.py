@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -42,6 +44,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started within hand at most ``rows`` rows to a Python function at once: the
+    session's 10,000 whole texts fill memory in the JVM and in Python.  A smaller setting of
+    the session stays, and its setting is put back afterwards, also after a failure."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)  # 0 or less: no limit
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 BITMAP_BITS = 1 << 24
 
 

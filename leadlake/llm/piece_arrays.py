@@ -44,6 +44,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ESCAPE = "▁"
 GROUP_CHARS = 1 << 16     # characters in one suffix array
 REMEMBERED = 200_000      # stretches kept with their tokens before starting anew
+TEXT_STRETCHES = 1 << 18  # stretches of whole texts handed on at once
 CACHE_BITS = 21           # neighbour decisions kept
 PACK = 5                  # characters in one sort key of 12 bits each
 
@@ -210,6 +211,8 @@ class Encoder:
         filled = np.where(place[None] < model.sizes[:, None, None], blocks, (1 << 12) - 1)
         self.high_keys = (filled * weights).sum(axis=2)
         self.split = re.compile(f"{ESCAPE}+[^{ESCAPE}]*")
+        self.fresh: list[str] = []              # stretches without tokens so far
+        self._forget()
 
     # -- which pieces may be neighbours
 
@@ -365,16 +368,19 @@ class Encoder:
 
     # -- texts
 
+    def _forget(self) -> None:
+        self.known = _Numbers(self.fresh)
+        self.flat, self.counts = np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
+
     def encode(self, texts: list["str | None"]) -> Iterator[list[np.ndarray]]:
-        """Tokens of ``texts``, in lists of consecutive ones."""
-        fresh: list[str] = []
-        known = _Numbers(fresh)
-        tokens, counts = [np.empty(0, dtype=np.int32)], [np.empty(0, dtype=np.int64)]
+        """Tokens of ``texts``, in lists of consecutive ones.  Stretches are remembered
+        from one call to the next."""
         waiting: list[np.ndarray] = []
 
         def finish() -> list[np.ndarray]:
+            tokens, counts = [self.flat], [self.counts]
             group, size = [], 0
-            for s in fresh:
+            for s in self.fresh:
                 group.append(s)
                 size += len(s) + 1
                 if size >= GROUP_CHARS:
@@ -382,9 +388,8 @@ class Encoder:
                     group, size = [], 0
             if group:
                 self._add(group, tokens, counts)
-            fresh.clear()
-            flat, n = np.concatenate(tokens), np.concatenate(counts)
-            tokens[:], counts[:] = [flat], [n]
+            self.fresh.clear()
+            flat, n = self.flat, self.counts = np.concatenate(tokens), np.concatenate(counts)
             first = np.cumsum(n) - n
             out = []
             for stretches in waiting:
@@ -397,14 +402,14 @@ class Encoder:
         size = 0
         for text in texts:
             stretches = self.split.findall(ESCAPE + text.replace(" ", ESCAPE)) if text else []
-            waiting.append(np.fromiter(map(known.__getitem__, stretches), dtype=np.int64, count=len(stretches)))
+            waiting.append(np.fromiter(
+                map(self.known.__getitem__, stretches), dtype=np.int64, count=len(stretches)))
             size += len(stretches)
-            if size > 1 << 18:
+            if size > TEXT_STRETCHES:
                 yield finish()
                 size = 0
-                if len(known) > REMEMBERED:
-                    known.clear()
-                    tokens[:], counts[:] = [np.empty(0, dtype=np.int32)], [np.empty(0, dtype=np.int64)]
+                if len(self.known) > REMEMBERED:
+                    self._forget()
         yield finish()
 
     def _add(self, group: list[str], tokens: list, counts: list) -> None:

@@ -9,6 +9,7 @@ import sentencepiece
 from corpora import frame, odd_rows, text
 
 from leadlake.llm import pfair, piece_arrays
+from leadlake.llm.common import batch_rows
 
 
 def test_schedule_meets_every_window_and_deviates_by_less_than_a_block():
@@ -126,3 +127,25 @@ def test_round_trip_of_odd_rows(spark):
     back = piece_arrays.decode(coded.withColumnRenamed("text", "was"), ["doc_id", "was"]).collect()
     assert all(r.text == (r.was or "") for r in back if r.doc_id != 50)
     assert piece_arrays.encode(docs.limit(0), ["doc_id"]).count() == 0
+
+
+def test_tokens_do_not_depend_on_batches(spark):
+    texts = ["one two  three", "", None, "two three " * 50, "é ü 漢字 " * 9, "one two  three"] * 20
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    whole = {r.doc_id: r.ids for r in piece_arrays.encode(docs, ["doc_id"]).collect()}
+    with batch_rows(spark, 7):
+        assert spark.conf.get(setting) == "7"
+        small = {r.doc_id: r.ids for r in piece_arrays.encode(docs, ["doc_id"]).collect()}
+    assert small == whole and spark.conf.get(setting) == before
+
+
+def test_encoder_remembers_between_calls(monkeypatch):
+    monkeypatch.setattr(piece_arrays, "REMEMBERED", 3)
+    monkeypatch.setattr(piece_arrays, "TEXT_STRETCHES", 2)
+    encoder, once = (piece_arrays.Encoder(piece_arrays.Model()) for _ in range(2))
+    texts = ["a b c d e", "c d", "e f g a", "a b c d e", "", None, "z"]
+    every = [t.tolist() for part in once.encode(texts) for t in part]
+    apart = [t.tolist() for text in texts for part in encoder.encode([text]) for t in part]
+    assert apart == every
