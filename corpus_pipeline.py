@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlake.llm import line_frequency, pfair, piece_arrays, segment_lines, setsketch
-from leadlake.llm.common import read_table, written
+from leadlake.llm.common import batch_rows, read_table, written
 
 
 RULES = line_frequency.LineRules(root_limit=True)
+TEXT_ROWS = 1_000   # whole texts handed to Python at once; each is read in full
 WEIGHTS = None      # of the mix, by source; None: the square root of its documents
 
 
@@ -28,13 +29,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every line but the first of its class leaves its document; confirmed copies of
     another document are left to the next stage."""
-    return segment_lines.without_duplicates(docs)
+    with batch_rows(spark, TEXT_ROWS):
+        return segment_lines.without_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, similarity 0.8 or more) the
     document with the smallest doc_id stays."""
-    return setsketch.without_near_duplicates(docs)
+    with batch_rows(spark, TEXT_ROWS):
+        return setsketch.without_near_duplicates(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +50,8 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and position in the mix: files read again have no order, so it is in the rows."""
     keyed = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("tkey"))
     # encoded once: the mix reads its input several times
-    coded = written(piece_arrays.encode(keyed, ["doc_id", "source", "tkey"]), "tokens")
+    with batch_rows(spark, TEXT_ROWS):
+        coded = written(piece_arrays.encode(keyed, ["doc_id", "source", "tkey"]), "tokens")
     placed = pfair.mix(coded.withColumnRenamed("tkey", "text"), WEIGHTS)  # the text settles ties only
     return placed.select("doc_id", "source", "n_tokens", "ids", "round_trip", "block", "slot", "position")
 
