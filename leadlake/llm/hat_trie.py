@@ -3,7 +3,8 @@
 1. Phrases are counted by length, one word first.  Every task counts in a trie over word
    ids of its own: one root for each language, below it hash containers.  A container that
    grows beyond ``burst`` phrases bursts: the next words that hold many of them get
-   containers of their own, the others go on sharing one (``Trie``).
+   containers of their own, the others go on sharing one (``Trie``).  A container's hash
+   table is two arrays, in which a block's phrases are looked up all at once.
 2. A trie beyond ``held`` phrases spills whole subtrees, largest first, as runs sorted
    word by word: rows (lang, phrase, n).  A vocabulary beyond ``vocabulary`` words spills
    everything and starts anew.
@@ -32,6 +33,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -75,18 +77,73 @@ class _Ids(dict):
         self.sums.append(zlib.crc32(word))
         return number
 
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The ids of distinct words."""
+        new = list(filterfalse(self.__contains__, words))
+        self.update(zip(new, range(len(self), len(self) + len(new))))
+        self.sums.extend(map(zlib.crc32, new))
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
 
+
+LEAST_BITS = 8      # of a hash table's size
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 MIX = 1540483477    # below 2**31, so that a checksum times it plus another fits a long
 
 
+class _Table:
+    """Hash table of phrases (packed word ids, never 0) and their counts, in two arrays: open
+    addressing, at most half full.  Phrases are looked for all at once."""
+
+    __slots__ = ("keys", "counts", "bits", "size")
+
+    def __init__(self, room: int = 0):
+        self._clear(max((2 * room).bit_length(), LEAST_BITS))
+
+    def _clear(self, bits: int) -> None:
+        self.bits, self.size = bits, 0
+        self.keys, self.counts = np.zeros(1 << bits, dtype=np.int64), np.zeros(1 << bits, dtype=np.int64)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> int:
+        """Count distinct ``keys``; the number of new ones."""
+        if 2 * (self.size + len(keys)) > len(self.keys):
+            held = self.items()
+            self._clear((2 * (self.size + len(keys))).bit_length())
+            self._put(*held)
+        return self._put(keys, counts)
+
+    def _put(self, keys: np.ndarray, counts: np.ndarray) -> int:
+        before, last = self.size, len(self.keys) - 1
+        slot = (keys.view(np.uint64) * SPREAD >> np.uint64(64 - self.bits)).view(np.int64)
+        while len(keys):
+            held = self.keys[slot]
+            found = held == keys
+            free = np.flatnonzero(held == 0)
+            if free.size:       # of several that want a place the last gets it
+                at, wanted = slot[free], keys[free]
+                self.keys[at] = wanted
+                found[free] = got = self.keys[at] == wanted
+                self.size += int(np.count_nonzero(got))
+            self.counts[slot[found]] += counts[found]
+            left = ~found
+            keys, counts, slot = keys[left], counts[left], (slot[left] + 1) & last
+        return self.size - before
+
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(self.keys)
+        return self.keys[at], self.counts[at]
+
+
 class _Node:
-    """A container of phrases (packed word ids -> count) and, for next words that burst
-    out of it, nodes of their own.  ``shift`` tells where the next word's id stands."""
+    """A container of phrases (a hash table) and, for next words that burst out of it, nodes of
+    their own.  ``shift`` tells where the next word's id stands."""
 
     __slots__ = ("shift", "bag", "own", "looked")
 
     def __init__(self, shift: int):
-        self.shift, self.bag, self.own, self.looked = shift, {}, {}, 0
+        self.shift, self.bag, self.own, self.looked = shift, _Table(), {}, 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray, burst: int) -> int:
         """Count ``keys`` (sorted, distinct); the number of phrases that are new."""
@@ -102,35 +159,34 @@ class _Node:
                     new += self.own[head].add(keys[a:b], counts[a:b], burst)
                     rest[a:b] = False
             keys, counts = keys[rest], counts[rest]
-        bag = self.bag
-        new -= len(bag)
-        get = bag.get
-        for key, n in zip(keys.tolist(), counts.tolist()):
-            bag[key] = get(key, 0) + n
-        new += len(bag)
-        if self.shift and len(bag) > max(burst, 2 * self.looked):
+        new += self.bag.add(keys, counts)
+        if self.shift and len(self.bag) > max(burst, 2 * self.looked):
             self._burst(burst)
             self.looked = len(self.bag)     # what stays shared is looked through again at twice the size
         return new
 
     def _burst(self, burst: int) -> None:
         """Next words with a sixteenth of the limit or more get nodes of their own."""
-        keys = np.fromiter(self.bag, dtype=np.int64, count=len(self.bag))
-        word, n = np.unique(keys >> self.shift, return_counts=True)
-        heavy = word[n >= max(burst >> 4, 2)].tolist()
-        for head in heavy:
-            self.own[head] = _Node(self.shift - WORD_BITS)
-        if heavy:
-            own, shift, rest = self.own, self.shift, {}
-            for key, count in self.bag.items():
-                node = own.get(key >> shift)
-                (rest if node is None else node.bag)[key] = count
-            self.bag = rest
-
-    def items(self) -> Iterator[tuple[int, int]]:
-        yield from self.bag.items()
+        keys, counts = self.bag.items()
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        heads, first, n = np.unique(keys >> self.shift, return_index=True, return_counts=True)
+        heavy = np.flatnonzero(n >= max(burst >> 4, 2))
+        if not heavy.size:
+            return
+        rest = np.ones(len(keys), dtype=bool)
+        for head, a, size in zip(heads[heavy].tolist(), first[heavy].tolist(), n[heavy].tolist()):
+            part = slice(a, a + size)
+            node = self.own[head] = _Node(self.shift - WORD_BITS)
+            node.bag.add(keys[part], counts[part])
+            rest[part] = False
+        self.bag = _Table(int(rest.sum()))
+        self.bag.add(keys[rest], counts[rest])
+
+    def parts(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        yield self.bag.items()
         for node in self.own.values():
-            yield from node.items()
+            yield from node.parts()
 
     def size(self) -> int:
         return len(self.bag) + sum(node.size() for node in self.own.values())
@@ -139,11 +195,13 @@ class _Node:
         """(size, next word) of the nodes below; the shared container has no word."""
         return [(node.size(), head) for head, node in self.own.items()] + [(len(self.bag), None)]
 
-    def take(self, head: "int | None") -> dict[int, int]:
+    def take(self, head: "int | None") -> tuple[np.ndarray, np.ndarray]:
+        """(phrases, counts) of a node below, which goes."""
         if head is None:
-            bag, self.bag, self.looked = self.bag, {}, 0
-            return bag
-        return dict(self.own.pop(head).items())
+            bag, self.bag, self.looked = self.bag, _Table(), 0
+            return bag.items()
+        keys, counts = zip(*self.own.pop(head).parts())
+        return np.concatenate(keys), np.concatenate(counts)
 
 
 class Trie:
@@ -190,18 +248,21 @@ class Trie:
         for n, lang, head in sorted(below, key=lambda x: -x[0]):
             if self.size <= down_to or not n:
                 break
-            held = self.roots[lang].take(head)
-            self.size -= len(held)
-            yield from self._run(lang, held, words, place)
+            keys, counts = self.roots[lang].take(head)
+            self.size -= len(keys)
+            yield from self._run(lang, keys, counts, words, place)
         if not down_to:
             self.words, self.sums = _Ids(), np.zeros(1, dtype=np.int64)
             self.roots.clear()
 
-    def _run(self, lang: str, held: dict[int, int], words: pa.Array, place: np.ndarray) -> Iterator[pa.RecordBatch]:
-        keys = np.fromiter(held.keys(), dtype=np.int64, count=len(held))
-        n = np.fromiter(held.values(), dtype=np.int64, count=len(held))
+    def _run(
+        self, lang: str, keys: np.ndarray, n: np.ndarray, words: pa.Array, place: np.ndarray
+    ) -> Iterator[pa.RecordBatch]:
         ids = [(keys >> (k * WORD_BITS)) & ((1 << WORD_BITS) - 1) for k in (2, 1, 0)][:self.phrase]
-        order = np.lexsort([place[x] for x in reversed(ids)])
+        sorting = place[ids[0]]
+        for x in ids[1:]:
+            sorting = sorting << WORD_BITS | place[x]
+        order = np.argsort(sorting)
         phrase = pc.binary_join_element_wise(*(words.take(pa.array(x[order])) for x in ids), b" ").cast(pa.string())
         count = pa.array(n[order])
         for at in range(0, len(keys), 50_000):
@@ -276,12 +337,11 @@ def runs(
                 for k in range(0, len(words), rules.block):  # with the words that its last phrases reach
                     part = slice(k, k + rules.block + size - 1)
                     coded = words[part].dictionary_encode()
-                    distinct = coded.dictionary.to_pylist()
+                    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
                     if len(trie.words) + len(distinct) > rules.vocabulary:
                         yield from counted()
                         yield from trie.spill()
-                    ids = np.fromiter(map(trie.words.__getitem__, distinct), dtype=np.int64, count=len(distinct))
-                    ids = ids[coded.indices.to_numpy()]
+                    ids = trie.words.of(distinct)[coded.indices.to_numpy()]
                     for n, name in enumerate(names.dictionary.to_pylist()):
                         of = np.flatnonzero(lang[part] == n)
                         if of.size:

@@ -5,6 +5,7 @@ import json
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -251,6 +252,22 @@ def test_trie_bursts_and_spills_sorted_subtrees():
     assert got == want and trie.size == 0
 
 
+def test_containers_are_small_arrays():
+    """A phrase takes two longs of a table that is a quarter full or more, not two Python objects
+    and a dict entry; repeated and colliding phrases count once each."""
+    rnd = np.random.default_rng(3)
+    blocks = [np.unique(rnd.integers(1, 1 << 18, 60_000) << 42 | rnd.integers(1, 3, 60_000) << 21) for _ in range(8)]
+    tracemalloc.start()
+    node = hat_trie._Node(42)
+    new = [node.add(b, np.ones(len(b), dtype=np.int64), 1 << 40) for b in blocks]
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    want = Counter(np.concatenate(blocks).tolist())
+    assert sum(new) == node.size() == len(want) and held < 80 * len(want)
+    keys, n = node.take(None)
+    assert dict(zip(keys.tolist(), n.tolist())) == want and node.size() == 0
+
+
 # -- prefix trie
 
 
