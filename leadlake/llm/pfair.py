@@ -30,10 +30,11 @@ interchangeable); an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,6 +82,18 @@ def schedule(numerators: Mapping, period: int) -> list[tuple[object, int, int, i
     return out
 
 
+def _table(rows: Sequence[tuple], types: Mapping[str, pa.DataType]) -> pa.Table:
+    columns = zip(*rows) if rows else [[]] * len(types)
+    return pa.table([pa.array(map(_text, c) if t == pa.string() else c, type=t)
+                     for c, t in zip(columns, types.values())], names=list(types))
+
+
+def _text(source: object) -> "str | None":
+    """A source as Spark's cast to string writes it."""
+    return source if source is None or isinstance(source, str) else str(source).lower() if isinstance(source, bool) \
+        else str(source)
+
+
 def mix(docs: DataFrame, weights: Mapping | None = None, mix: Mix = Mix()) -> DataFrame:
     """``docs`` plus block (of its source, from 0), release, deadline and slot (in blocks)
     and position (order in the mix; slots of sources that ran out leave gaps).  Weights
@@ -95,12 +108,13 @@ def mix(docs: DataFrame, weights: Mapping | None = None, mix: Mix = Mix()) -> Da
         weights = {s: weights[s] for s in counts}
     period = max(mix.period, 16 * len(counts))
     numerators = shares(weights, period) if counts else {}
-    slots = spark.createDataFrame(
+    # as Arrow tables: lists of rows would start Python processes on the executors to encode them
+    slots = spark.createDataFrame(_table(
         schedule(numerators, period) if counts else [],
-        "__s string, __j long, __release long, __deadline long, __slot long")
+        {"__s": pa.string(), "__j": pa.int64(), "__release": pa.int64(), "__deadline": pa.int64(), "__slot": pa.int64()}))
     bits = {s: max(0, (n // mix.chunk_docs).bit_length()) for s, n in counts.items()}
-    sources = spark.createDataFrame(
-        [(s, numerators[s], bits[s]) for s in counts], "__of string, __a long, __bits int")
+    sources = spark.createDataFrame(_table(
+        [(s, numerators[s], bits[s]) for s in counts], {"__of": pa.string(), "__a": pa.int64(), "__bits": pa.int32()}))
 
     def with_chunk(df: DataFrame) -> DataFrame:
         # both small tables are bounded by the number of sources

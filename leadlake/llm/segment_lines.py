@@ -510,7 +510,9 @@ def _nearly_equal(docs: DataFrame, some: DataFrame, near: setsketch.Near) -> Dat
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"),
                        F.col("text").cast("string").alias("text"))
-    theirs = rows.where(bitmap_filter(some, "xtkey")("tkey")).select("text").mapInArrow(shingled, "shingle long")
+    # a table: with both functions in one task, two Python processes a core would stay for all later stages
+    theirs = written(rows.where(bitmap_filter(some, "xtkey")("tkey")).select("text"), "unheld-texts")
+    theirs = theirs.mapInArrow(shingled, "shingle long")
     bits = docs.sparkSession.sparkContext.broadcast(bitmap_of(theirs, "shingle", KEY_BITS))
 
     def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -326,3 +326,24 @@ def test_difference_prefixes_include_every_link(spark):
     want = {(i, j) for i in range(1, len(texts)) for j in range(i + 1, len(texts))
             if linked(i, j) and not (i in with_pivot and j in with_pivot)}
     assert want and want <= got
+
+
+def test_no_task_needs_two_python_processes(spark, monkeypatch):
+    """A filter in Python and a map in Python in one task are two processes a core, which stay for
+    the stages to come; the documents in question are a table between them."""
+    rnd = random.Random(31)
+    base = text(rnd, 120)
+    rows = [(k, edited(rnd, base, 1) if k < 4 else text(rnd, 60), "en", "s") for k in range(12)]
+    docs = frame(spark, rows)
+    plans = []
+    real = segment_lines.bitmap_of
+
+    def told(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *args)
+
+    monkeypatch.setattr(segment_lines, "bitmap_of", told)
+    some = docs.where("doc_id in (1, 7)").selectExpr("doc_id as xid", "xxhash64(text) as xtkey")
+    got = segment_lines._nearly_equal(docs, some, setsketch.Near())
+    assert len(plans) == 1 and "MapInArrow" in plans[0] and "EvalPython" not in plans[0]
+    assert {r.xid for r in got.collect()} <= {1}

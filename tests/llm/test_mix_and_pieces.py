@@ -9,7 +9,7 @@ import sentencepiece
 from corpora import frame, odd_rows, text
 
 from leadlake.llm import pfair, piece_arrays
-from leadlake.llm.common import batch_rows
+from leadlake.llm.common import batch_rows, written
 
 
 def test_schedule_meets_every_window_and_deviates_by_less_than_a_block():
@@ -43,6 +43,17 @@ def _sources(rnd):
     return [(k, f"text {k}", "en", "big" if k % 3 else f"s{k % 4}") for k in range(150)] + [(500, "x", "en", None)]
 
 
+def test_mix_starts_no_python_on_executors(spark):
+    """Its two small tables come as Arrow: lists of rows were encoded by Python processes, which
+    then kept their memory.  Sources of other types are placed by their text."""
+    rows = _sources(random.Random(21))
+    plan = pfair.mix(written(frame(spark, rows), "docs"), mix=SMALL)._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan and "Python" not in plan
+    numbers = frame(spark, rows).selectExpr("doc_id", "text", "doc_id % 3 as source")
+    flags = frame(spark, rows).selectExpr("doc_id", "text", "doc_id % 3 = 0 as source")
+    assert pfair.mix(numbers, mix=SMALL).count() == pfair.mix(flags, mix=SMALL).count() == len(rows)
+
+
 def test_mix_places_every_document_once_in_its_window(spark):
     rnd = random.Random(21)
     rows = _sources(rnd) + odd_rows(rnd)
