@@ -2,7 +2,9 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 
@@ -244,3 +246,32 @@ def test_unknown_campaign_keeps_null_name(spark):
     wa = _wa(spark, [("c404", "o1", "read", "9000000001", DAY1)])
     r = whatsapp_engagement(wa, _campaigns(spark), dim).collect()
     assert [(x.campaignid, x.campaignname, x.campaignchannel, x.total_unique_leads) for x in r] == [("c404", None, None, 1)]
+
+
+def test_bronze_is_dense(spark, tmp_path, monkeypatch):
+    """The queries' bronze documents are written with a dense codec
+    and are the builders' rows."""
+    from pyspark.sql import functions as F
+
+    from leadlake.plans import catalogue
+    from leadlake.plans import testbed as T
+
+    k = F.col("id")
+    one = spark.range(0, 300, 1, 1)
+    one.select(
+        k.alias("c_custkey"), (k % 25).alias("c_nationkey"), F.lit("BUILDING").alias("c_mktsegment"),
+        F.concat(F.lit("name "), k).alias("c_name"), (k - 20.5).alias("c_acctbal")).write.parquet(f"{tmp_path}/customer.parquet")
+    one.select(
+        F.when(k % 50 > 0, k).alias("o_orderkey"), (k % 7).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        F.when(k % 3 > 0, "5-LOW").alias("o_orderpriority"), F.to_timestamp(F.lit("1997-02-03")).alias("o_orderdate")
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    seen = {}
+    for name in ("run_lead_flat", "run_communication_logs"):
+        monkeypatch.setattr(catalogue.jobs, name, lambda spark, path, target, name=name: seen.update({name: path}) or {"rows": 0})
+    catalogue._job_tables(spark, str(tmp_path))
+    for name, table, builder in (("run_lead_flat", "customer", T.leads_bronze), ("run_communication_logs", "orders", T.comm_logs_bronze)):
+        files = list(Path(seen[name]).glob("*.parquet"))
+        codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+        assert files and codecs == {"ZSTD"}
+        want = builder(T.table(spark, str(tmp_path), table)).collect()
+        assert sorted(map(repr, spark.read.parquet(seen[name]).collect())) == sorted(map(repr, want))
