@@ -563,8 +563,11 @@ def _namespace(spark) -> str:
 
 
 def _write_bronze(rows: DataFrame, documents: Callable[[DataFrame], DataFrame], path: str) -> None:
-    """JSON text is worth a denser codec than the default."""
-    documents(rows).write.option("compression", "zstd").parquet(path)
+    """The documents are some hundred times as large as the rows they are made of: the rows are
+    dealt out first, as a file of few row groups would keep most cores idle, and JSON text is
+    worth a denser codec."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    documents(rows.repartition(parts)).write.option("compression", "zstd").parquet(path)
 
 
 def _job_tables(spark, d) -> tuple[str, dict[str, int]]:
