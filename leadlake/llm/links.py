@@ -40,29 +40,30 @@ Narrow = Callable[[DataFrame], DataFrame]
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b longs): the component's
-    smallest node.  Alternates large-star and small-star steps until the edges are
-    stars; each step is an aggregation with map-side partials and an equi-join."""
+    smallest node.  Alternates large-star and small-star steps until a large-star step
+    leaves stars; each step is an aggregation with map-side partials and an equi-join.
+    Repeated edges are not sorted out on the way: no step makes more edges than it gets,
+    and those to a node's smallest neighbour become one."""
     now = written(edges.select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), "edges")
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).select(
             F.col("u").alias("c"), F.least("u", "m").alias("m")), "least")
         large = written(both.where("v > u").join(least, F.col("u") == F.col("c")).select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        small_least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(small_least.withColumnRenamed("u", "c"), F.col("u") == F.col("c"))
-        after = written(
-            small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(small_least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        # stars: nobody is both a child and a centre, and no child has two centres
-        children = after.select("u")
-        stars = after.join(children.withColumnRenamed("u", "c"), F.col("v") == F.col("c"), "left_semi").isEmpty() \
-            and after.groupBy("u").count().where("count > 1").isEmpty()
-        now = after
-        if stars:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+            F.col("v").alias("u"), F.col("m").alias("v")), "large")
+        children = written(large.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most")).select(
+            F.col("u").alias("c"), "m", (F.col("m") != F.col("most")).alias("several")), "children")
+        # stars: no child has two centres, and no centre is a child
+        if children.where("several").isEmpty() and children.select(F.col("m").alias("centre")).join(
+                children, F.col("centre") == F.col("c"), "left_semi").isEmpty():
+            centre = children.select(F.col("c").alias("__c"), F.col("m").alias("component"))
+            return written(least.join(centre, F.col("c") == F.col("__c"), "left").select(
+                F.col("c").alias("node"), F.coalesce("component", "c").alias("component")), "components")
+        now = written(
+            large.join(children, F.col("u") == F.col("c")).where("v <> m").select(
+                F.col("v").alias("u"), F.col("m").alias("v"))
+            .union(children.select(F.col("c").alias("u"), F.col("m").alias("v"))), "edges")
 
 
 def _labelled(pairs: DataFrame, components: DataFrame) -> DataFrame:
@@ -166,9 +167,13 @@ def prefix_pairs(
         "place", F.row_number().over(Window.partitionBy("pivot", "node").orderBy("held", "token")) + F.col("alone"))
     placed = written(placed.where(F.col("place") <= most).select(
         "pivot", "node", "c", "token", "n", "level", "place", "reach", "apart_reach"), "prefixes")
-    one = placed.select(
-        "pivot", "token", F.col("node").alias("a"), F.col("c").alias("__ca"), F.col("n").alias("__na"), "place",
-        F.posexplode("apart_reach").alias("__level", "__reach")).where("place <= __reach").drop("place", "__reach")
+    # a row only for levels at which the group has members, and that the place is in reach of
+    sought = written(placed.where("place <= reach").groupBy("pivot").agg(F.collect_set("level").alias("levels")).select(
+        F.col("pivot").alias("__pivot"), "levels"), "levels")
+    levels = F.filter("levels", lambda k: F.col("place") <= F.get(F.col("apart_reach"), k))
+    one = placed.join(sought, F.col("pivot") == F.col("__pivot")).select(
+        "pivot", "token", F.col("node").alias("a"), F.col("c").alias("__ca"), F.col("n").alias("__na"),
+        F.explode(levels).alias("__level"))
     other = placed.where("place <= reach").select(
         F.col("pivot").alias("__pivot"), F.col("token").alias("__token"), F.col("node").alias("b"),
         F.col("c").alias("__cb"), F.col("n").alias("__nb"), "level")

@@ -328,6 +328,44 @@ def test_difference_prefixes_include_every_link(spark):
     assert want and want <= got
 
 
+def _generated(plan):
+    """Rows that the Generate operators of an executed plan made."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _generated(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _generated(plan.plan())
+    below = sum(_generated(plan.children().apply(k)) for k in range(plan.children().size()))
+    return below + (plan.metrics().apply("numOutputRows").value() if name == "GenerateExec" else 0)
+
+
+def test_prefix_rows_are_of_levels_that_can_match(spark):
+    """A token is a row for each level that has members and that its place reaches, not for all."""
+    nodes, levels = range(40), 9
+    members = spark.createDataFrame(
+        [(0, k, k, 100, k % 2 * 3, 2, [3, 3, 2, 2, 1, 1, 0, 0, 0]) for k in nodes],
+        "pivot long, node long, c long, n long, level int, reach long, apart_reach array<long>")
+    tokens = spark.createDataFrame(
+        [(0, k, t) for k in nodes for t in (k // 2, 100 + k // 4, 200 + k // 8, 300)], "pivot long, node long, token long")
+    pairs = links.prefix_pairs(tokens, members, lambda x, y: x <= y)
+    got = {(r.a, r.b) for r in pairs.collect()}
+    # a's tokens at places up to apart_reach[level of b] meet b's at places up to reach
+    assert got == {(a, b) for a in nodes for b in nodes if a != b and a // 4 == b // 4}
+    made = _generated(pairs._jdf.queryExecution().executedPlan())
+    assert 0 < made <= len(nodes) * (3 + 2) < len(nodes) * 3 * levels
+
+
+def test_components_are_few_steps(spark, monkeypatch):
+    """Stars take one step, and what is known of them is written, not aggregated again by each reader."""
+    names, write = [], links.written
+    monkeypatch.setattr(links, "written", lambda df, name: names.append(name) or write(df, name))
+    edges = spark.createDataFrame([(k, k % 5) for k in range(5, 60)] * 2, "a long, b long")
+    got = links.connected_components(edges)
+    assert sorted((r.node, r.component) for r in got.collect()) == [(k, k % 5) for k in range(60)]
+    assert names == ["edges", "least", "large", "children", "components"]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_task_needs_two_python_processes(spark, monkeypatch):
     """A filter in Python and a map in Python in one task are two processes a core, which stay for
     the stages to come; the documents in question are a table between them."""
