@@ -32,7 +32,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import written
+from leadlake.llm.common import discard, written
 
 Verify = Callable[[DataFrame], DataFrame]
 Narrow = Callable[[DataFrame], DataFrame]
@@ -58,12 +58,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if children.where("several").isEmpty() and children.select(F.col("m").alias("centre")).join(
                 children, F.col("centre") == F.col("c"), "left_semi").isEmpty():
             centre = children.select(F.col("c").alias("__c"), F.col("m").alias("component"))
-            return written(least.join(centre, F.col("c") == F.col("__c"), "left").select(
+            components = written(least.join(centre, F.col("c") == F.col("__c"), "left").select(
                 F.col("c").alias("node"), F.coalesce("component", "c").alias("component")), "components")
-        now = written(
+            discard(now, least, large, children)
+            return components
+        after = written(
             large.join(children, F.col("u") == F.col("c")).where("v <> m").select(
                 F.col("v").alias("u"), F.col("m").alias("v"))
             .union(children.select(F.col("c").alias("u"), F.col("m").alias("v"))), "edges")
+        discard(now, least, large, children)
+        now = after
 
 
 def _labelled(pairs: DataFrame, components: DataFrame) -> DataFrame:

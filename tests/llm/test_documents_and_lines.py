@@ -1,5 +1,6 @@
 """op5 (quality rules), op7 (near duplicates) and op8 (line deduplication)."""
 
+import os
 import random
 from collections import Counter
 
@@ -9,6 +10,7 @@ import pytest
 from corpora import edited, frame, odd_rows, text
 
 from leadlake.llm import line_frequency, links, segment_lines, setsketch
+from leadlake.session import scratch_dir
 
 
 # ---- quality rules -----------------------------------------------------------------
@@ -357,12 +359,19 @@ def test_prefix_rows_are_of_levels_that_can_match(spark):
 
 def test_components_are_few_steps(spark, monkeypatch):
     """Stars take one step, and what is known of them is written, not aggregated again by each reader."""
+    def scratch():
+        return {x.rpartition("-")[0] for x in os.listdir(scratch_dir(spark).removeprefix("file:")) if x not in before}
+
+    before = set(os.listdir(scratch_dir(spark).removeprefix("file:")))
     names, write = [], links.written
     monkeypatch.setattr(links, "written", lambda df, name: names.append(name) or write(df, name))
     edges = spark.createDataFrame([(k, k % 5) for k in range(5, 60)] * 2, "a long, b long")
     got = links.connected_components(edges)
     assert sorted((r.node, r.component) for r in got.collect()) == [(k, k % 5) for k in range(60)]
     assert names == ["edges", "least", "large", "children", "components"]
+    assert scratch() == {"components"}
+    chain = links.connected_components(spark.createDataFrame([(k, k + 1) for k in range(100, 140)], "a long, b long"))
+    assert {r.component for r in chain.collect()} == {100} and len(names) > 10 and scratch() == {"components"}
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
 
 
